@@ -65,9 +65,10 @@ def values_close(a: Column, b: Column, rtol: float = 1e-5, atol: float = 1e-8) -
 
 
 def title_of(path: Column) -> Column:
-    """Last path element without its extension (a leading dot is no extension)."""
+    """Last path element without its extension (leading dots start no extension)."""
     base = F.regexp_extract(path, r"([^/]*)$", 1)
-    return F.regexp_replace(base, r"(?<=[^.])\.[^.]*$", "")
+    stem = F.regexp_extract(base, r"^(.*[^.].*)\.[^.]*$", 1)
+    return F.when(stem == "", base).otherwise(stem)
 
 
 def provenance(title: Column, url: Column, day: Column) -> Column:

@@ -71,7 +71,8 @@ def crossings(features: DataFrame, every: int = 1) -> DataFrame:
         .withColumn("first", F.ceil(F.greatest(zero, first_center(F.col("y0"))) / n))
         .withColumn("last", F.floor(F.least(F.col("ny") - 1, first_center(F.col("y1")) - 1) / n))
         .where(F.col("last") >= F.col("first"))
-        .withColumn("row", F.explode(F.sequence("first", "last")) * n)
+        .withColumn("step", F.explode(F.sequence("first", "last")))
+        .withColumn("row", F.col("step") * n)
     )
     x = F.col("x0") + (F.col("row") + F.lit(0.5) - F.col("y0")) * (F.col("x1") - F.col("x0")) / (
         F.col("y1") - F.col("y0")

@@ -23,9 +23,10 @@ def circle_zones(zones: DataFrame, quarter_segments: int = 16) -> DataFrame:
 
 
 def features_in_circle(
-    zones: DataFrame, features: DataFrame, bucket: float = 0.5, outline: str = "disc"
+    zones: DataFrame, features: DataFrame, bucket: float = 0.5, same: tuple[str, ...] = ()
 ) -> DataFrame:
-    """Pairs of a zone and a feature its disc meets.
+    """Pairs of a zone and a feature its disc meets; ``same`` names columns the
+    two must share.
 
     Both sides get the square buckets their boxes overlap and are joined on
     bucket and salt; a pair sharing several buckets is tested only in the one
@@ -52,7 +53,7 @@ def features_in_circle(
         .withColumn("_bx", F.explode(F.sequence(cut(F.col("_zx0")), cut(F.col("_zx1")))))
         .withColumn("_by", F.explode(F.sequence(cut(F.col("_zy0")), cut(F.col("_zy1")))))
     )
-    pairs = round_.join(boxed, ["_bx", "_by", "_salt"]).where(
+    pairs = round_.join(boxed, ["_bx", "_by", "_salt", *same]).where(
         (F.col("_x0") <= F.col("_zx1"))
         & (F.col("_zx0") <= F.col("_x1"))
         & (F.col("_y0") <= F.col("_zy1"))
@@ -61,8 +62,8 @@ def features_in_circle(
         & (F.col("_by") == cut(F.greatest("_y0", "_zy0")))
     )
     touch = G.disc_intersects(r, F.col("cx"), F.col("cy"), F.col("radius"))
-    kept = [c for c in (*zones.columns, *features.columns) if c != "rings"]
-    return pairs.where(touch).select(*kept)
+    kept = [c for c in features.columns if c != "rings" and c not in zones.columns]
+    return pairs.where(touch).select(*zones.columns, *kept)
 
 
 def cells_in_zone(zones: DataFrame, cells: DataFrame, grid: RasterGrid) -> DataFrame:

@@ -9,6 +9,7 @@ from gridloom.functions import values as V
 from gridloom.operators.grid import assign_coords
 from gridloom.operators.lookup import pick_key, variable_max
 from gridloom.operators.zonal import features_in_circle, majority
+from gridloom.plans.joins import join_dimension
 
 
 def compare_cells(store: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
@@ -20,12 +21,18 @@ def compare_cells(store: DataFrame, source: DataFrame, keys: list[str]) -> DataF
     )
 
 
-def sample_per_layer(cells: DataFrame, seed: int = 0) -> DataFrame:
-    """One pseudo-random cell of each layer."""
-    key = pick_key(F.col("row"), F.col("col"), seed)
-    best = F.min(F.struct(key.alias("k"), "row", "col")).alias("b")
-    picked = cells.select("layer", "row", "col").groupBy("layer").agg(best)
-    return picked.select("layer", "b.row", "b.col")
+def sample_per_layer(cells: DataFrame, variable: str, seed: int = 0) -> DataFrame:
+    """One pseudo-random cell of each layer with its value.
+
+    The lowest key is found first, so only cells with that key are compared.
+    """
+    keyed = cells.select(
+        "layer", "row", "col", variable, pick_key(F.col("row"), F.col("col"), seed).alias("_key")
+    )
+    lowest = keyed.groupBy("layer").agg(F.min("_key").alias("_lowest"))
+    near = join_dimension(keyed, lowest, ["layer"], spread="row").where(F.col("_key") == F.col("_lowest"))
+    best = F.min(F.struct("row", "col", variable)).alias("b")
+    return near.groupBy("layer").agg(best).select("layer", "b.*")
 
 
 def check_conversion(
@@ -53,23 +60,21 @@ def check_conversion(
     good = cells.where(V.has_value(v))
     if target is not None:
         good = good.where(target)
-    picked = sample_per_layer(good, seed)
-    at = assign_coords(picked.join(good.select("layer", "row", "col", variable), ["layer", "row", "col"]), spec)
+    at = assign_coords(sample_per_layer(good, variable, seed), spec)
     zones = at.select(
-        F.col("layer").alias("zone_id"),
+        "layer",
         F.col("longitude").alias("cx"),
         F.col("latitude").alias("cy"),
         F.lit(float(radius)).alias("radius"),
         v.alias("cell_value"),
     )
-    near = features_in_circle(
-        zones, features.select("fid", "layer", "rings", v.cast("double").alias("_near"))
-    ).where(F.col("zone_id") == F.col("layer"))
-    common = majority(near, ["zone_id"], "_near").select("zone_id", "majority")
+    around = features.select("fid", "layer", "rings", v.cast("double").alias("_near"))
+    near = features_in_circle(zones, around, same=("layer",))
+    common = majority(near, ["layer"], "_near").select("layer", "majority")
     return (
         source.join(gridded, "layer", "left")
-        .join(zones.withColumnRenamed("zone_id", "layer"), "layer", "left")
-        .join(common.withColumnRenamed("zone_id", "layer"), "layer", "left")
+        .join(zones, "layer", "left")
+        .join(common, "layer", "left")
         .select(
             "layer",
             F.col("source_max").cast("double").alias("source_max"),

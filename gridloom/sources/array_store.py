@@ -13,6 +13,7 @@ from dataclasses import dataclass
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceWriter, WriterCommitMessage
 
 from gridloom.operators.grid import SPEC_COLUMNS, latitude_label, longitude_label
@@ -25,60 +26,64 @@ DIMENSIONS_KEY = "_ARRAY_DIMENSIONS"
 GROUP_JSON = {"zarr_format": 2}
 
 
-@dataclass
-class _Written(WriterCommitMessage):
-    objects: int
+def array_store_source() -> type[DataSource]:
+    """Sink for rows ``(array, chunk_key, data)``.
 
+    The classes are made here so that they travel to the workers by value and
+    the package need not be installed there.
+    """
 
-class ArrayStoreSource(DataSource):
-    """Sink for rows ``(array, chunk_key, data)``."""
+    @dataclass
+    class Written(WriterCommitMessage):
+        objects: int
 
-    @classmethod
-    def name(cls) -> str:
-        return FORMAT_NAME
+    class ArrayStoreWriter(DataSourceWriter):
+        def __init__(self, options: dict):
+            self.path = options["path"]
+            self.documents = json.loads(options["documents"])
 
-    def schema(self) -> str:
-        return "array string, chunk_key string, data binary"
+        def _open(self):
+            from pyarrow import fs
 
-    def writer(self, schema, overwrite):
-        return ArrayStoreWriter(dict(self.options))
+            return fs.FileSystem.from_uri(self.path if ":" in self.path else f"file://{self.path}")
 
+        def _put(self, filesystem, root: str, key: str, data: bytes) -> None:
+            folder = f"{root}/{key}".rsplit("/", 1)[0]
+            filesystem.create_dir(folder, recursive=True)
+            with filesystem.open_output_stream(f"{root}/{key}") as out:
+                out.write(data)
 
-class ArrayStoreWriter(DataSourceWriter):
-    def __init__(self, options: dict):
-        self.path = options["path"]
-        self.documents = json.loads(options["documents"])
+        def write(self, iterator):
+            # a task run twice writes the same objects under the same names
+            filesystem, root = self._open()
+            count = 0
+            for row in iterator:
+                self._put(filesystem, root, f"{row['array']}/{row['chunk_key']}", bytes(row["data"]))
+                count += 1
+            return Written(count)
 
-    def _open(self):
-        from pyarrow import fs
+        def commit(self, messages):
+            filesystem, root = self._open()
+            for key, document in self.documents.items():
+                self._put(filesystem, root, key, json.dumps(document, indent=1).encode())
+            everything = {"zarr_consolidated_format": 1, "metadata": self.documents}
+            self._put(filesystem, root, ALL_FILE, json.dumps(everything, indent=1).encode())
 
-        path = self.path
-        return fs.FileSystem.from_uri(path if "://" in path else f"file://{path}")
+        def abort(self, messages):
+            """Objects stay: without the JSON files they are no store."""
 
-    def _put(self, filesystem, root: str, key: str, data: bytes) -> None:
-        folder = f"{root}/{key}".rsplit("/", 1)[0]
-        filesystem.create_dir(folder, recursive=True)
-        with filesystem.open_output_stream(f"{root}/{key}") as out:
-            out.write(data)
+    class ArrayStoreSource(DataSource):
+        @classmethod
+        def name(cls) -> str:
+            return FORMAT_NAME
 
-    def write(self, iterator):
-        # a task run twice writes the same objects under the same names
-        filesystem, root = self._open()
-        count = 0
-        for row in iterator:
-            self._put(filesystem, root, f"{row['array']}/{row['chunk_key']}", bytes(row["data"]))
-            count += 1
-        return _Written(count)
+        def schema(self) -> str:
+            return "array string, chunk_key string, data binary"
 
-    def commit(self, messages):
-        filesystem, root = self._open()
-        for key, document in self.documents.items():
-            self._put(filesystem, root, key, json.dumps(document, indent=1).encode())
-        everything = {"zarr_consolidated_format": 1, "metadata": self.documents}
-        self._put(filesystem, root, ALL_FILE, json.dumps(everything, indent=1).encode())
+        def writer(self, schema, overwrite):
+            return ArrayStoreWriter(dict(self.options))
 
-    def abort(self, messages):
-        """Leave objects as they are: without the JSON files they are no store."""
+    return ArrayStoreSource
 
 
 def _array_json(shape: list[int], chunks: list[int], dtype: str, fill) -> dict:
@@ -94,23 +99,31 @@ def _array_json(shape: list[int], chunks: list[int], dtype: str, fill) -> dict:
     }
 
 
-@F.pandas_udf("binary")
-def _dense_float32(pos: pd.Series, vals: pd.Series, size: pd.Series) -> pd.Series:
-    import numpy as np
+def _dense_float32(pos: Column, vals: Column, size: Column) -> Column:
+    """A chunk's values scattered over a zero block, as raw little-endian bytes."""
+
+    @F.pandas_udf(T.BinaryType())
+    def dense(pos: pd.Series, vals: pd.Series, size: pd.Series) -> pd.Series:
+        import numpy as np
+
+        def one(p, v, n):
+            block = np.zeros(n, dtype="<f4")
+            block[np.asarray(p)] = np.asarray(v, dtype="<f4")
+            return block.tobytes()
+
+        return pd.Series([one(p, v, n) for p, v, n in zip(pos, vals, size)])
 
-    def one(p, v, n):
-        block = np.zeros(n, dtype="<f4")
-        block[np.asarray(p)] = np.asarray(v, dtype="<f4")
-        return block.tobytes()
+    return dense(pos, vals, size)
 
-    return pd.Series([one(p, v, n) for p, v, n in zip(pos, vals, size)])
 
+def _raw_float64(vals: Column) -> Column:
+    @F.pandas_udf(T.BinaryType())
+    def raw(vals: pd.Series) -> pd.Series:
+        import numpy as np
 
-@F.pandas_udf("binary")
-def _packed_float64(vals: pd.Series) -> pd.Series:
-    import numpy as np
+        return pd.Series([np.asarray(v, dtype="<f8").tobytes() for v in vals])
 
-    return pd.Series([np.asarray(v, dtype="<f8").tobytes() for v in vals])
+    return raw(vals)
 
 
 def _axis_chunks(spec: DataFrame, axis: str, size: str, label: Column, chunk: int) -> DataFrame:
@@ -126,7 +139,7 @@ def _axis_chunks(spec: DataFrame, axis: str, size: str, label: Column, chunk: in
         F.col("s")["label"], F.array_repeat(F.lit(0.0), F.lit(int(chunk)) - F.size("s"))
     )
     return packed.select(
-        F.lit(axis).alias("array"), F.col("k").cast("string").alias("chunk_key"), _packed_float64(padded).alias("data")
+        F.lit(axis).alias("array"), F.col("k").cast("string").alias("chunk_key"), _raw_float64(padded).alias("data")
     )
 
 
@@ -146,7 +159,7 @@ def write_array_store(
     A chunk without cells is not written; readers see the fill value 0.
     """
     spark: SparkSession = chunks.sparkSession
-    spark.dataSource.register(ArrayStoreSource)
+    spark.dataSource.register(array_store_source())
     one = spec.where(F.col("layer") == layer)
     size = one.select("nx", "ny").first()
     nx, ny = int(size["nx"]), int(size["ny"])
@@ -171,7 +184,7 @@ def write_array_store(
         mine.select(
             F.col("var").alias("array"),
             F.concat_ws(".", "chunk_row", "chunk_col").alias("chunk_key"),
-            _dense_float32("pos", "vals", F.col("chunk") * F.col("chunk")).alias("data"),
+            _dense_float32(F.col("pos"), F.col("vals"), F.col("chunk") * F.col("chunk")).alias("data"),
         )
         .unionByName(_axis_chunks(one, "latitude", "ny", lat, chunk))
         .unionByName(_axis_chunks(one, "longitude", "nx", longitude_label(F.col("idx"), labels), chunk))
