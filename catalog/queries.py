@@ -13,7 +13,7 @@ from gridloom.functions import values as V
 from gridloom.operators import align, encode, grid, lookup, rasterize, tiles, validity, zonal
 from gridloom.plans import check, convert
 from gridloom.plans import metadata as M
-from gridloom.plans.joins import ensure_checkpoint_dir, settle
+from gridloom.plans.joins import ensure_checkpoint_dir, settle, store
 from gridloom.sources import array_store, chunk_store, features, files, rasters, wkt
 
 RESOLUTION = 0.01
@@ -330,11 +330,15 @@ def lookup_position(spark, d):
 
 @query
 def subset_bbox(spark, d):
+    """Chunks outside the box are left out before unpacking."""
+    box = (2.0, 1.0, 8.0, 5.0)
     cells, g = raster_on_grid(spark, d)
-    labelled = grid.on_raster(cells, g).withColumn(
+    packed = align.pack_chunks(cells, ["value"], CHUNK, ["band"])
+    near = align.unpack_chunks(packed.where(lookup.chunk_window(g, CHUNK, *box)))
+    labelled = grid.on_raster(near, g).withColumn(
         "latitude", grid.latitude_label(F.col("row"))
     ).withColumn("longitude", grid.longitude_label(F.col("col")))
-    return lookup.subset_bbox(labelled, 2.0, 1.0, 8.0, 5.0).select(
+    return lookup.subset_bbox(labelled, *box).select(
         *as_long("band", "row", "col"), "latitude", "longitude"
     )
 
@@ -700,7 +704,7 @@ def variable_status(spark, d):
 @query
 def check_conversion(spark, d):
     g, spec = gridded_polygons(spark, d, V.to_float32(F.col("size")).alias("size"))
-    cells = settle(rasterize.polygon_cells(g, ["size"]))
+    cells = store(rasterize.polygon_cells(g, ["size"]))
     report = check.check_conversion(X.polygons(spark, d), cells, spec, "size", target=F.col("size") == 20)
     flag = lambda n: F.col(n).cast("long").alias(n)
     return report.select(

@@ -46,6 +46,17 @@ def y_max(rings: Column) -> Column:
     return F.array_max(vertices(rings)["y"])
 
 
+BOX_COLUMNS = ("xmin", "ymin", "xmax", "ymax")
+
+
+def box_of(columns: list[str]) -> tuple[Column, Column, Column, Column]:
+    """A feature's box: its stored columns if it has them, else from its rings."""
+    if all(c in columns for c in BOX_COLUMNS):
+        return tuple(F.col(c) for c in BOX_COLUMNS)
+    r = F.col("rings")
+    return x_min(r), y_min(r), x_max(r), y_max(r)
+
+
 def edges(rings: Column) -> Column:
     """All consecutive vertex pairs of every ring as ``ARRAY<STRUCT<a, b>>``."""
     drawable = F.filter(rings, lambda r: F.size(r) >= 2)

@@ -9,11 +9,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gridloom.functions import values as V
+from gridloom.functions.geometry import BOX_COLUMNS
 from gridloom.operators.tiles import tile_pairs
 from gridloom.plans.joins import join_dimension, settle
 from gridloom.plans.numbering import WINDOW_ROWS, number_rows
 
-KEY_COLUMNS = ("fid", "layer", "geom_type", "rings", "xmin", "ymin", "xmax", "ymax")
+KEY_COLUMNS = ("fid", "layer", "geom_type", "rings", *BOX_COLUMNS)
 
 
 def attribute_names(features: DataFrame) -> list[str]:
@@ -112,13 +113,17 @@ def codes_by_tile(
 
 
 def apply_codes(
-    features: DataFrame, codes: DataFrame, variables: list[str], clean: str = "basic"
+    features: DataFrame,
+    codes: DataFrame,
+    variables: list[str],
+    clean: str = "basic",
+    settled: bool = False,
 ) -> DataFrame:
     """Replace each categorical variable by its float32 code."""
-    settled = settle(codes)
+    table = codes if settled else settle(codes)
 
     def one(df: DataFrame, v: str) -> DataFrame:
-        dim = settled.where(F.col("var") == v).select(
+        dim = table.where(F.col("var") == v).select(
             "layer", F.col("category").alias("_category"), F.col("code").cast("float").alias("_code")
         )
         keyed = df.withColumn("_category", V.category(F.col(v), clean))
@@ -159,6 +164,6 @@ def encode(
     table = None
     if text:
         make = {"first_seen": codes_first_seen, "sorted": codes_sorted}[codes]
-        table = settle(make(features, text, clean))
-        features = apply_codes(features, table, text, clean)
+        table = make(features, text, clean)
+        features = apply_codes(features, table, text, clean, settled=True)
     return features.withColumns({v: V.to_float32(F.col(v), null_policy) for v in numeric}), table

@@ -14,22 +14,16 @@ SPEC_COLUMNS = ["lon_min", "lat_min", "lon_max", "lat_max", "nx", "ny", "dx", "d
 
 
 def layer_bounds(features: DataFrame) -> DataFrame:
-    """Smallest box around all geometry of each layer."""
-    return (
-        features.select(
-            "layer",
-            G.x_min(F.col("rings")).alias("x0"),
-            G.y_min(F.col("rings")).alias("y0"),
-            G.x_max(F.col("rings")).alias("x1"),
-            G.y_max(F.col("rings")).alias("y1"),
-        )
-        .groupBy("layer")
-        .agg(
-            F.min("x0").alias("lon_min"),
-            F.min("y0").alias("lat_min"),
-            F.max("x1").alias("lon_max"),
-            F.max("y1").alias("lat_max"),
-        )
+    """Smallest box around all geometry of each layer.
+
+    With stored boxes only those four columns are read, not the geometry.
+    """
+    x0, y0, x1, y1 = G.box_of(features.columns)
+    return features.groupBy("layer").agg(
+        F.min(x0).alias("lon_min"),
+        F.min(y0).alias("lat_min"),
+        F.max(x1).alias("lon_max"),
+        F.max(y1).alias("lat_max"),
     )
 
 

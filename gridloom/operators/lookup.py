@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridloom.functions import values as V
+from gridloom.operators.grid import SPEC_COLUMNS, RasterGrid
+from gridloom.plans.joins import join_on_skewed_keys
 
 # Fixed values of the seeded pick: multipliers and a prime modulus.
 PICK_ROW, PICK_COL, PICK_SEED, PICK_MOD = 2654435761, 40503, 69069, 2147483647
@@ -42,10 +46,9 @@ def cell_of(lon: Column, lat: Column) -> tuple[Column, Column]:
 def lookup_positions(positions: DataFrame, cells: DataFrame) -> DataFrame:
     """Value under each position ``(lon, lat)``, which carries the grid columns."""
     row, col = cell_of(F.col("lon"), F.col("lat"))
-    at = positions.withColumn("row", row).withColumn("col", col).drop(
-        "lon_min", "lat_min", "lon_max", "lat_max", "nx", "ny", "dx", "dy"
-    )
-    return at.join(cells.withColumn("row", F.col("row").cast("long")).withColumn("col", F.col("col").cast("long")), ["row", "col"], "inner")
+    at = positions.withColumn("row", row).withColumn("col", col).drop(*SPEC_COLUMNS)
+    indexed = cells.withColumn("row", F.col("row").cast("long")).withColumn("col", F.col("col").cast("long"))
+    return join_on_skewed_keys(at, indexed, ["row", "col"], spread="lon")
 
 
 def subset_bbox(cells: DataFrame, west: float, south: float, east: float, north: float) -> DataFrame:
@@ -55,14 +58,23 @@ def subset_bbox(cells: DataFrame, west: float, south: float, east: float, north:
     )
 
 
-def chunks_in_rows(chunks: DataFrame, row_from: int, row_to: int, col_from: int, col_to: int) -> DataFrame:
-    """Chunks that can hold cells of an index box: prunes before unpacking."""
-    n = F.col("chunk")
-    return chunks.where(
-        (F.col("chunk_row") * n <= row_to)
-        & ((F.col("chunk_row") + 1) * n > row_from)
-        & (F.col("chunk_col") * n <= col_to)
-        & ((F.col("chunk_col") + 1) * n > col_from)
+def chunk_window(
+    grid: RasterGrid, chunk: int, west: float, south: float, east: float, north: float, ascending: bool = False
+) -> Column:
+    """Chunks that can hold labels of the closed box: literal bounds on
+    ``chunk_row, chunk_col``, so they reach a stored chunk table's scan.
+
+    Two cells of slack on every side cover both kinds of labels and rounding;
+    the labels themselves are compared after unpacking.
+    """
+    col_from = math.floor((west - grid.lon_min) / grid.dx) - 2
+    col_to = math.floor((east - grid.lon_min) / grid.dx) + 2
+    row_from = math.floor((grid.lat_max - north) / grid.dy) - 2
+    row_to = math.floor((grid.lat_max - south) / grid.dy) + 2
+    if ascending:
+        row_from, row_to = grid.ny - 1 - row_to, grid.ny - 1 - row_from
+    return F.col("chunk_row").between(row_from // chunk, row_to // chunk) & F.col("chunk_col").between(
+        col_from // chunk, col_to // chunk
     )
 
 

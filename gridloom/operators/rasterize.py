@@ -10,14 +10,19 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridloom.functions import geometry as G
-from gridloom.plans.joins import join_dimension, settle
+from gridloom.plans.joins import join_dimension, store
 
 # A scanline of one layer with more crossings than this is not kept in one task.
 HOT_ROW_CROSSINGS = 2_000_000
 # The same for the spans of one tile.
 HOT_TILE_SPANS = 1_000_000
 
-GEOMETRY_COLUMNS = ["geom_type", "rings", "lon_min", "lat_min", "lon_max", "lat_max", "nx", "ny", "dx", "dy"]
+GEOMETRY_COLUMNS = [
+    "geom_type", "rings", *G.BOX_COLUMNS, "lon_min", "lat_min", "lon_max", "lat_max", "nx", "ny", "dx", "dy",
+]
+
+
+GRID_COLUMNS = ["lon_min", "lat_min", "lon_max", "lat_max", "nx", "ny", "dx", "dy"]
 
 
 def _carried(features: DataFrame) -> list[str]:
@@ -39,13 +44,29 @@ def first_center(v: Column) -> Column:
 
 def pixel_edges(features: DataFrame, keep: list[str]) -> DataFrame:
     """One row per edge in pixel space, oriented from low to high row."""
-    e = F.col("e")
-    ends = features.withColumn("e", F.explode(G.edges(F.col("rings")))).select(
-        *keep,
-        pixel_x(e["a"]["x"]).alias("ax"),
-        pixel_y(e["a"]["y"]).alias("ay"),
-        pixel_x(e["b"]["x"]).alias("bx"),
-        pixel_y(e["b"]["y"]).alias("by"),
+    pixels = [c for c in ("lon_min", "lat_max", "dx", "dy") if c not in keep]
+    ring, e = F.col("ring"), F.col("e")
+    # exploding rings and then zipped vertices keeps this within generated code
+    ends = (
+        features.select(*keep, *pixels, F.explode("rings").alias("ring"))
+        .where(F.size(ring) >= 2)
+        .select(
+            *keep,
+            *pixels,
+            F.explode(
+                F.arrays_zip(
+                    F.slice(ring, 1, F.size(ring) - 1).alias("a"),
+                    F.slice(ring, 2, F.size(ring) - 1).alias("b"),
+                )
+            ).alias("e"),
+        )
+        .select(
+            *keep,
+            pixel_x(e["a"]["x"]).alias("ax"),
+            pixel_y(e["a"]["y"]).alias("ay"),
+            pixel_x(e["b"]["x"]).alias("bx"),
+            pixel_y(e["b"]["y"]).alias("by"),
+        )
     )
     up = F.col("ay") <= F.col("by")
     return ends.select(
@@ -126,7 +147,7 @@ def polygon_cells(
     """
     carried = ["layer", "fid", *variables]
     hits = crossings(features.select(*carried, *_present(features)))
-    hot = settle(
+    hot = (
         crossings(features.select("layer", "fid", *_present(features)))
         .groupBy("layer", "row")
         .count()
@@ -146,7 +167,7 @@ def polygon_cells(
 
 
 def _present(features: DataFrame) -> list[str]:
-    return [c for c in GEOMETRY_COLUMNS if c in features.columns and c != "geom_type"]
+    return ["rings", *[c for c in GRID_COLUMNS if c in features.columns]]
 
 
 def split_spans(spans: DataFrame, tile: int) -> DataFrame:
@@ -181,10 +202,9 @@ def tiled_cells(
     )
     if ascending:
         spans = spans.withColumn("row", F.col("_ny") - 1 - F.col("row"))
-    spans = settle(split_spans(spans.drop("_ny"), tile))
-    hot = settle(
-        spans.groupBy(*tile_key).count().where(F.col("count") > hot_tile).select(*tile_key)
-    )
+    spans = store(split_spans(spans.drop("_ny"), tile))
+    hot = spans.groupBy(*tile_key).count().where(F.col("count") > hot_tile).select(*tile_key)
+
     def winners(s: DataFrame) -> DataFrame:
         return s.groupBy(*tile_key, "row", "col").agg(
             F.max("fid").alias("fid"), *[F.max_by(v, "fid").alias(v) for v in variables]

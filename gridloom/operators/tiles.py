@@ -26,9 +26,10 @@ def tile_pairs(
     )
     limits = ["_tiles_x", "_tiles_y"]
 
-    touched = _touched(pixel_edges(base, [*carried, *limits]), n)
-    lone = base.select(
-        "*", F.explode(F.flatten(F.filter("rings", lambda r: F.size(r) == 1))).alias("p")
+    outlines = base.where(F.col("geom_type") != "POINT")
+    touched = _touched(pixel_edges(outlines, [*carried, *limits]), n)
+    lone = base.where(F.col("geom_type") == "POINT").select(
+        "*", F.explode(F.flatten("rings")).alias("p")
     ).select(
         *carried, *limits,
         pixel_x(F.col("p.x")).alias("x0"), pixel_y(F.col("p.y")).alias("y0"),

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridloom.functions import geometry as G
+from gridloom.plans.joins import join_dimension
 
 # Outlines of at most this many edges are checked pair by pair in their row.
 ROW_EDGES = 256
@@ -35,20 +36,20 @@ def valid_geometries(features: DataFrame, row_edges: int = ROW_EDGES) -> DataFra
     rings = F.col("rings")
     polygon = F.col("geom_type") == "POLYGON"
     small = F.size(G.vertices(rings)) <= row_edges
-    edges = G.edges(rings)
-    n = F.size(edges)
-    # compare each edge only with the later ones
+    # bound as one lambda variable, so that the edges are built once per row;
+    # each edge is compared only with the later ones
     crosses = F.exists(
-        F.sequence(F.lit(0), n - 1),
-        lambda i: F.exists(
-            F.slice(edges, i + 2, n), lambda f: G.segments_cross(edges[i], f)
+        F.array(G.edges(rings)),
+        lambda es: F.exists(
+            F.sequence(F.lit(0), F.size(es) - 1),
+            lambda i: F.exists(F.slice(es, i + 2, F.size(es)), lambda f: G.segments_cross(es[i], f)),
         ),
     )
     sound = features.where(~polygon | _rings_ok(rings))
     easy = sound.where(~polygon | (small & ~crosses))
     large = sound.where(polygon & ~small)
     bad = _large_self_crossing(large)
-    return easy.unionByName(large.join(bad, ["layer", "fid"], "left_anti"))
+    return easy.unionByName(join_dimension(large, bad, ["layer", "fid"], how="left_anti"))
 
 
 def _large_self_crossing(large: DataFrame) -> DataFrame:

@@ -9,10 +9,17 @@ from gridloom.functions import geometry as G
 from gridloom.functions import values as V
 from gridloom.operators.grid import RasterGrid, on_raster
 from gridloom.operators.rasterize import polygon_spans, span_cells
+from gridloom.plans.joins import (
+    BROADCAST_BYTES,
+    join_dimension,
+    join_on_skewed_keys,
+    measured_bytes,
+    store,
+)
 
-# Features of one bucket are spread over this many tasks; each zone is copied
-# to all of them.
-SALTS = 8
+# With many zones, the features of one bucket are spread over this many tasks
+# and each zone is copied to all of them.
+SALTS = 32
 
 
 def circle_zones(zones: DataFrame, quarter_segments: int = 16) -> DataFrame:
@@ -23,37 +30,66 @@ def circle_zones(zones: DataFrame, quarter_segments: int = 16) -> DataFrame:
 
 
 def features_in_circle(
-    zones: DataFrame, features: DataFrame, bucket: float = 0.5, same: tuple[str, ...] = ()
+    zones: DataFrame,
+    features: DataFrame,
+    bucket: float = 0.5,
+    same: tuple[str, ...] = (),
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Pairs of a zone and a feature its disc meets; ``same`` names columns the
     two must share.
 
-    Both sides get the square buckets their boxes overlap and are joined on
-    bucket and salt; a pair sharing several buckets is tested only in the one
-    holding the lower left corner of the boxes' overlap, so none repeats.
+    Boxes are matched first, without geometry; then the few candidate pairs
+    meet the rings, which are read once and copied only for actual candidates.
+    """
+    pairs = store(_box_pairs(zones, features, bucket, same, broadcast_bytes))
+    skip = {*G.BOX_COLUMNS, *zones.columns} - {"layer"}
+    wanted = features.select(*[c for c in features.columns if c not in skip])
+    keep = [c for c in wanted.columns if c not in ("rings", "layer")]
+    matched = join_dimension(
+        wanted, pairs, ["layer", "fid"], settled=True, broadcast_bytes=broadcast_bytes
+    )
+    touch = G.disc_intersects(F.col("rings"), F.col("cx"), F.col("cy"), F.col("radius"))
+    others = [c for c in zones.columns if c != "layer"]
+    return matched.where(touch).select(*others, "layer", *keep)
+
+
+def _box_pairs(
+    zones: DataFrame, features: DataFrame, bucket: float, same: tuple[str, ...], broadcast_bytes: int
+) -> DataFrame:
+    """Zone and feature key wherever the boxes meet.
+
+    Both sides get the square buckets their boxes overlap. A pair sharing
+    several buckets is kept only in the one holding the lower left corner of
+    the boxes' overlap, so none repeats. Few zones are broadcast; many are
+    copied to every salt of the features.
     """
     b = F.lit(float(bucket))
     cut = lambda v: F.floor(v / b)
-    r = F.col("rings")
+    x0, y0, x1, y1 = G.box_of(features.columns)
     boxed = (
-        features.withColumn("_x0", G.x_min(r))
-        .withColumn("_y0", G.y_min(r))
-        .withColumn("_x1", G.x_max(r))
-        .withColumn("_y1", G.y_max(r))
-        .withColumn("_salt", F.pmod(F.xxhash64("fid"), F.lit(SALTS)).cast("int"))
+        features.select("layer", "fid", x0.alias("_x0"), y0.alias("_y0"), x1.alias("_x1"), y1.alias("_y1"))
         .withColumn("_bx", F.explode(F.sequence(cut(F.col("_x0")), cut(F.col("_x1")))))
         .withColumn("_by", F.explode(F.sequence(cut(F.col("_y0")), cut(F.col("_y1")))))
     )
-    round_ = (
+    discs = (
         zones.withColumn("_zx0", F.col("cx") - F.col("radius"))
         .withColumn("_zy0", F.col("cy") - F.col("radius"))
         .withColumn("_zx1", F.col("cx") + F.col("radius"))
         .withColumn("_zy1", F.col("cy") + F.col("radius"))
-        .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
         .withColumn("_bx", F.explode(F.sequence(cut(F.col("_zx0")), cut(F.col("_zx1")))))
         .withColumn("_by", F.explode(F.sequence(cut(F.col("_zy0")), cut(F.col("_zy1")))))
     )
-    pairs = round_.join(boxed, ["_bx", "_by", "_salt", *same]).where(
+    if "layer" in zones.columns and "layer" not in same:
+        raise ValueError("zones with a layer need same=('layer',)")
+    on = ["_bx", "_by", *same]
+    if measured_bytes(discs) <= broadcast_bytes:
+        joined = boxed.join(F.broadcast(discs), on)
+    else:
+        salt = F.pmod(F.xxhash64("fid"), F.lit(SALTS)).cast("int")
+        copies = discs.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        joined = boxed.withColumn("_salt", salt).join(copies, [*on, "_salt"])
+    met = joined.where(
         (F.col("_x0") <= F.col("_zx1"))
         & (F.col("_zx0") <= F.col("_x1"))
         & (F.col("_y0") <= F.col("_zy1"))
@@ -61,9 +97,7 @@ def features_in_circle(
         & (F.col("_bx") == cut(F.greatest("_x0", "_zx0")))
         & (F.col("_by") == cut(F.greatest("_y0", "_zy0")))
     )
-    touch = G.disc_intersects(r, F.col("cx"), F.col("cy"), F.col("radius"))
-    kept = [c for c in features.columns if c != "rings" and c not in zones.columns]
-    return pairs.where(touch).select(*zones.columns, *kept)
+    return met.select("layer", "fid", *[c for c in zones.columns if c != "layer"])
 
 
 def cells_in_zone(zones: DataFrame, cells: DataFrame, grid: RasterGrid) -> DataFrame:
@@ -71,7 +105,7 @@ def cells_in_zone(zones: DataFrame, cells: DataFrame, grid: RasterGrid) -> DataF
     placed = on_raster(zones.select(F.lit("zones").alias("layer"), F.col("zone_id").alias("fid"), "rings"), grid)
     covered = span_cells(polygon_spans(placed)).select(F.col("fid").alias("zone_id"), "row", "col")
     target = cells.withColumn("row", F.col("row").cast("long")).withColumn("col", F.col("col").cast("long"))
-    return covered.join(target, ["row", "col"])
+    return join_on_skewed_keys(covered, target, ["row", "col"], spread="zone_id")
 
 
 def majority(df: DataFrame, group: list[str], value: str, nodata: float | None = None) -> DataFrame:

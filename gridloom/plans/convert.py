@@ -82,8 +82,8 @@ def grid_features_tiled(
     table = None
     if text:
         placed = grid.with_grid(features, spec, settled=True)
-        table = settle(encode.codes_by_tile(placed, text, tile, clean))
-        sound = encode.apply_codes(sound, table, text, clean)
+        table = encode.codes_by_tile(placed, text, tile, clean)
+        sound = encode.apply_codes(sound, table, text, clean, settled=True)
     numeric = {
         v: encode.V.to_float32(F.col(v), null_policy) for v in names if v not in text
     }

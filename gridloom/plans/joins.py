@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,11 +28,23 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
 
 
 def settle(df: DataFrame) -> DataFrame:
-    """Compute once into the shared checkpoint folder and cut the lineage."""
+    """Compute a small table once into the checkpoint folder, cutting its lineage."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint()
 
 
+def store(df: DataFrame) -> DataFrame:
+    """The same for a large table, as Parquet, so that readers prune columns.
+
+    The files stay until the checkpoint folder is cleaned.
+    """
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    path = f"{spark.sparkContext.getCheckpointDir()}/stored-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def measured_bytes(df: DataFrame) -> int:
     """Upper estimate of a table's in-memory size, from its actual values."""
     width = F.lit(16)
@@ -61,7 +74,8 @@ def join_dimension(
     broadcast and the fact side is not shuffled. Beyond that both sides are
     shuffled on the key plus a salt taken from the fact column ``spread``, so
     one key holding much of the fact table is spread over ``SALTS`` tasks.
-    ``dim`` must be unique on ``on``; ``how`` is ``inner`` or ``left``.
+    ``how`` is any join that keeps or drops fact rows one by one: ``inner``,
+    ``left``, ``left_semi`` or ``left_anti``.
     """
     if not settled:
         dim = settle(dim)
@@ -70,3 +84,18 @@ def join_dimension(
     salted = fact.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(SALTS)).cast("int"))
     copies = dim.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     return salted.join(copies, on + ["_salt"], how).drop("_salt")
+
+
+def join_on_skewed_keys(
+    fact: DataFrame, table: DataFrame, on: list[str], spread: str, broadcast_bytes: int = BROADCAST_BYTES
+) -> DataFrame:
+    """Inner join where many fact rows may share a key and ``table`` is large.
+
+    The keys asked for are made distinct first, so the large table is only
+    joined with unique keys; the matching part is then joined as a dimension.
+    """
+    asked = fact.select(*on).distinct()
+    found = store(table.join(asked, on, "left_semi"))
+    return join_dimension(
+        fact, found, on, settled=True, broadcast_bytes=broadcast_bytes, spread=spread
+    )

@@ -19,7 +19,8 @@ def number_rows(
 ) -> DataFrame:
     """Add ``name``: the 1-based position of a row in its group by ``order``.
 
-    ``order`` must be unique within the group. A table of at most
+    ``order`` must be unique within the group. The rows are computed once, so
+    the result is cheap to read again. A table of at most
     ``window_rows`` rows is numbered by one window. A larger one is
     range-partitioned on (group, order): each range is numbered on its own and
     shifted by the number of rows its group has in earlier ranges.

@@ -67,7 +67,7 @@ def with_boxes(features: DataFrame) -> DataFrame:
     """Add each feature's box, so that Parquet statistics can prune a table."""
     r = F.col("rings")
     return features.withColumns(
-        {"xmin": G.x_min(r), "ymin": G.y_min(r), "xmax": G.x_max(r), "ymax": G.y_max(r)}
+        dict(zip(G.BOX_COLUMNS, (G.x_min(r), G.y_min(r), G.x_max(r), G.y_max(r))))
     )
 
 
