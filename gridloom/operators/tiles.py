@@ -21,10 +21,15 @@ def tile_pairs(
     keep = keep or []
     n = F.lit(int(tile)).cast("long")
     carried = ["layer", "fid", *keep]
-    base = gridded.withColumn("_tiles_x", F.ceil(F.col("nx") / n)).withColumn(
-        "_tiles_y", F.ceil(F.col("ny") / n)
+    base = gridded.withColumns(
+        {
+            "_tiles_x": F.ceil(F.col("nx") / n),
+            "_tiles_y": F.ceil(F.col("ny") / n),
+            "_width": F.col("nx"),
+            "_height": F.col("ny"),
+        }
     )
-    limits = ["_tiles_x", "_tiles_y"]
+    limits = ["_tiles_x", "_tiles_y", "_width", "_height"]
 
     outlines = base.where(F.col("geom_type") != "POINT")
     touched = _touched(pixel_edges(outlines, [*carried, *limits]), n)
@@ -67,15 +72,18 @@ def _tile_range(lo: Column, hi: Column, n: Column, count: Column) -> tuple[Colum
 
 
 def _touched(edges: DataFrame, n: Column) -> DataFrame:
+    """Tiles each edge meets; the last row and column of tiles end with the grid."""
     first, last = _tile_range(F.col("y0"), F.col("y1"), n, F.col("_tiles_y"))
     rows = (
-        edges.withColumn("_f", first)
+        edges.where(F.col("y0") <= F.col("_height"))
+        .withColumn("_f", first)
         .withColumn("_l", last)
         .where(F.col("_l") >= F.col("_f"))
         .withColumn("tile_row", F.explode(F.sequence("_f", "_l")))
     )
+    end = F.least((F.col("tile_row") + 1) * n, F.col("_height")).cast("double")
     top = F.greatest(F.col("y0"), (F.col("tile_row") * n).cast("double"))
-    bottom = F.least(F.col("y1"), ((F.col("tile_row") + 1) * n).cast("double"))
+    bottom = F.least(F.col("y1"), end)
 
     def x_at(y: Column) -> Column:
         slope = F.try_divide((y - F.col("y0")) * (F.col("x1") - F.col("x0")), F.col("y1") - F.col("y0"))
@@ -84,9 +92,11 @@ def _touched(edges: DataFrame, n: Column) -> DataFrame:
     clipped = rows.withColumn(
         "_xa", F.when(top == F.col("y0"), F.col("x0")).otherwise(x_at(top))
     ).withColumn("_xb", F.when(bottom == F.col("y1"), F.col("x1")).otherwise(x_at(bottom)))
-    first, last = _tile_range(F.least("_xa", "_xb"), F.greatest("_xa", "_xb"), n, F.col("_tiles_x"))
+    west = F.least("_xa", "_xb")
+    first, last = _tile_range(west, F.greatest("_xa", "_xb"), n, F.col("_tiles_x"))
     return (
-        clipped.withColumn("_f", first)
+        clipped.where(west <= F.col("_width"))
+        .withColumn("_f", first)
         .withColumn("_l", last)
         .where(F.col("_l") >= F.col("_f"))
         .withColumn("tile_col", F.explode(F.sequence("_f", "_l")))
