@@ -6,12 +6,13 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from gridloom.functions.geometry import RINGS_TYPE, vertex
 from gridloom.plans.joins import ensure_checkpoint_dir
 from gridloom.sources.features import with_boxes
 
-_STORED: dict[tuple[str, str, str], str] = {}
+_STORED: dict[tuple[str, str, str], tuple[str, StructType]] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,9 +29,11 @@ def _stored(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
     key = (sc.applicationId, sf_dir, name)
     if key not in _STORED:
         path = f"{sc.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
-        with_boxes(build()).repartition(sc.defaultParallelism, "fid").write.parquet(path)
-        _STORED[key] = path
-    return spark.read.parquet(_STORED[key])
+        table = with_boxes(build()).repartition(sc.defaultParallelism, "fid")
+        table.write.parquet(path)
+        _STORED[key] = (path, table.schema)
+    path, schema = _STORED[key]
+    return spark.read.schema(schema).parquet(path)
 
 
 def polygons(spark: SparkSession, sf_dir: str) -> DataFrame:

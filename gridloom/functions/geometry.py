@@ -57,6 +57,14 @@ def box_of(columns: list[str]) -> tuple[Column, Column, Column, Column]:
     return x_min(r), y_min(r), x_max(r), y_max(r)
 
 
+SIZE_COLUMN = "n_vertices"
+
+
+def vertex_count(columns: list[str]) -> Column:
+    """Number of vertices: the stored column if there is one, else counted."""
+    return F.col(SIZE_COLUMN) if SIZE_COLUMN in columns else F.size(vertices(F.col("rings")))
+
+
 def edges(rings: Column) -> Column:
     """All consecutive vertex pairs of every ring as ``ARRAY<STRUCT<a, b>>``."""
     drawable = F.filter(rings, lambda r: F.size(r) >= 2)

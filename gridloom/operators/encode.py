@@ -9,12 +9,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gridloom.functions import values as V
-from gridloom.functions.geometry import BOX_COLUMNS
+from gridloom.functions.geometry import BOX_COLUMNS, SIZE_COLUMN
 from gridloom.operators.tiles import tile_pairs
 from gridloom.plans.joins import join_dimension, settle
 from gridloom.plans.numbering import WINDOW_ROWS, number_rows
 
-KEY_COLUMNS = ("fid", "layer", "geom_type", "rings", *BOX_COLUMNS)
+KEY_COLUMNS = ("fid", "layer", "geom_type", "rings", *BOX_COLUMNS, SIZE_COLUMN)
 
 
 def attribute_names(features: DataFrame) -> list[str]:

@@ -17,14 +17,12 @@ HOT_ROW_CROSSINGS = 2_000_000
 # The same for the spans of one tile.
 HOT_TILE_SPANS = 1_000_000
 
+GRID_COLUMNS = ["lon_min", "lat_min", "lon_max", "lat_max", "nx", "ny", "dx", "dy"]
 GEOMETRY_COLUMNS = [
-    "geom_type", "rings", *G.BOX_COLUMNS, "lon_min", "lat_min", "lon_max", "lat_max", "nx", "ny", "dx", "dy",
+    "geom_type", "rings", *G.BOX_COLUMNS, G.SIZE_COLUMN, *GRID_COLUMNS,
 ]
 
 
-GRID_COLUMNS = ["lon_min", "lat_min", "lon_max", "lat_max", "nx", "ny", "dx", "dy"]
-
-
 def _carried(features: DataFrame) -> list[str]:
     return [c for c in features.columns if c not in GEOMETRY_COLUMNS]
 
@@ -142,19 +140,23 @@ def polygon_cells(
 
     Crossings are shuffled on (layer, row): pairing, filling and the last-wins
     aggregate all keep that layout, so cells are never shuffled. Rows with more
-    than ``hot_row`` crossings (counted first) take the other way: paired per
-    (layer, fid, row), filled, then merged after a partial aggregate.
+    than ``hot_row`` crossings take the other way: paired per (layer, fid, row),
+    filled, then merged after a partial aggregate. An edge crosses a row at most
+    once, so rows are only counted if there are that many vertices at all.
     """
     carried = ["layer", "fid", *variables]
     hits = crossings(features.select(*carried, *_present(features)))
-    hot = (
-        crossings(features.select("layer", "fid", *_present(features)))
-        .groupBy("layer", "row")
-        .count()
-        .where(F.col("count") > hot_row)
-        .select("layer", "row")
-    )
-    if hot.isEmpty():
+    hot = None
+    most = features.agg(F.sum(G.vertex_count(features.columns)).alias("n")).first()["n"] or 0
+    if most > hot_row:
+        hot = (
+            crossings(features.select("layer", "fid", *_present(features)))
+            .groupBy("layer", "row")
+            .count()
+            .where(F.col("count") > hot_row)
+            .select("layer", "row")
+        )
+    if hot is None or hot.isEmpty():
         return last_wins(span_cells(pair_crossings(hits.repartition("layer", "row"), carried)), variables)
     flagged = join_dimension(
         hits, hot.withColumn("hot", F.lit(True)), ["layer", "row"], how="left"

@@ -35,7 +35,7 @@ def valid_geometries(features: DataFrame, row_edges: int = ROW_EDGES) -> DataFra
     """
     rings = F.col("rings")
     polygon = F.col("geom_type") == "POLYGON"
-    small = F.size(G.vertices(rings)) <= row_edges
+    small = G.vertex_count(features.columns) <= row_edges
     # bound as one lambda variable, so that the edges are built once per row;
     # each edge is compared only with the later ones
     crosses = F.exists(

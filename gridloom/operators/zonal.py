@@ -43,7 +43,7 @@ def features_in_circle(
     meet the rings, which are read once and copied only for actual candidates.
     """
     pairs = store(_box_pairs(zones, features, bucket, same, broadcast_bytes))
-    skip = {*G.BOX_COLUMNS, *zones.columns} - {"layer"}
+    skip = {*G.BOX_COLUMNS, G.SIZE_COLUMN, *zones.columns} - {"layer"}
     wanted = features.select(*[c for c in features.columns if c not in skip])
     keep = [c for c in wanted.columns if c not in ("rings", "layer")]
     matched = join_dimension(
