@@ -27,7 +27,7 @@ def _stored(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
     ensure_checkpoint_dir(spark)
     sc = spark.sparkContext
     key = (sc.applicationId, sf_dir, name)
-    if key not in _STORED:
+    if key not in _STORED or not _exists(spark, _STORED[key][0]):
         path = f"{sc.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
         table = with_boxes(build()).repartition(sc.defaultParallelism, "fid")
         table.write.parquet(path)
@@ -36,6 +36,11 @@ def _stored(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
+
+
 def polygons(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _stored(spark, sf_dir, "polygons", lambda: derive_polygons(spark, sf_dir))
 
@@ -118,7 +123,7 @@ def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     return s.select(
         k.alias("fid"),
-        F.lit("lines").alias("layer"),
+        F.concat(F.lit("lines_"), (k % 2).cast("string")).alias("layer"),
         F.lit("LINE").alias("geom_type"),
         rings.cast(RINGS_TYPE).alias("rings"),
         F.col("s_acctbal").alias("value"),

@@ -101,7 +101,7 @@ burns AS (SELECT layer, fid, value, row, col FROM fell WHERE row BETWEEN 0 AND n
 
 LINES = """
 ends AS (
-  SELECT s_suppkey AS fid, 'lines' AS layer,
+  SELECT s_suppkey AS fid, 'lines_'||(s_suppkey%2) AS layer,
     CAST(s_suppkey*37%1000 AS DOUBLE)/CAST(100 AS DOUBLE) AS ux, CAST(s_suppkey*61%600 AS DOUBLE)/CAST(100 AS DOUBLE) AS uy,
     CAST(s_suppkey*53%1000 AS DOUBLE)/CAST(100 AS DOUBLE) AS vx, CAST(s_suppkey*29%600 AS DOUBLE)/CAST(100 AS DOUBLE) AS vy
   FROM supplier),
@@ -504,6 +504,8 @@ r AS (
   UNION ALL SELECT layer, 'title', 0, 'parts_'||layer, -1 FROM e
   UNION ALL SELECT layer, 'Conventions', 0, 'CF-1.8', -1 FROM e
   UNION ALL SELECT layer, 'History', 0, 'Converted from parts_'||layer||', downloaded from file:///parts.zip, on 2024-01-01', -1 FROM e
+  UNION ALL SELECT layer, 'history', 0, 'Converted on 2024-01-01', -1 FROM e
+  UNION ALL SELECT layer, 'Comment', 0, 'Converted from parts_'||layer||', downloaded from file:///parts.zip, on 2024-01-01', -1 FROM e
   UNION ALL SELECT layer, 'resolution', 0, '', CAST(0.01 AS DOUBLE) FROM e
   UNION ALL SELECT layer, 'geographical_extent', 0, '', w FROM e UNION ALL SELECT layer, 'geographical_extent', 1, '', s FROM e
   UNION ALL SELECT layer, 'geographical_extent', 2, '', e FROM e UNION ALL SELECT layer, 'geographical_extent', 3, '', n FROM e

@@ -132,6 +132,29 @@ def disc_intersects(rings: Column, px: Column, py: Column, radius: Column) -> Co
     return near | single | contains_point(rings, px, py)
 
 
+def segments_touch(e: Column, f: Column) -> Column:
+    """True if two closed segments share a point."""
+    a, b, c, d = e["a"], e["b"], f["a"], f["b"]
+    d1, d2, d3, d4 = _cross(c, d, a), _cross(c, d, b), _cross(a, b, c), _cross(a, b, d)
+    apart = lambda u, v: ((u > 0) & (v > 0)) | ((u < 0) & (v < 0))
+    over = lambda k: (F.least(a[k], b[k]) <= F.greatest(c[k], d[k])) & (
+        F.least(c[k], d[k]) <= F.greatest(a[k], b[k])
+    )
+    # on one line, boxes decide; otherwise both must reach the other's line
+    return over("x") & over("y") & ~apart(d1, d2) & ~apart(d3, d4)
+
+
+def polygons_intersect(rings: Column, outline: Column) -> Column:
+    """True if a geometry meets the polygon ``outline`` (rings)."""
+    touch = F.exists(
+        F.array(edges(rings)),
+        lambda es: F.exists(edges(outline), lambda f: F.exists(es, lambda e: segments_touch(e, f))),
+    )
+    held = F.exists(vertices(rings), lambda p: contains_point(outline, p["x"], p["y"]))
+    corner = F.element_at(vertices(outline), 1)
+    return touch | held | contains_point(rings, corner["x"], corner["y"])
+
+
 def _cross(o: Column, p: Column, q: Column) -> Column:
     return (p["x"] - o["x"]) * (q["y"] - o["y"]) - (p["y"] - o["y"]) * (q["x"] - o["x"])
 

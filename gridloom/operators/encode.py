@@ -134,13 +134,18 @@ def apply_codes(
     return reduce(one, variables, features).select(*order)
 
 
-def category_map(codes: DataFrame) -> DataFrame:
-    """One map ``category -> code`` per layer and variable, for metadata.
+# A map holds at most this many categories.
+MAP_CATEGORIES = 10_000
 
-    The map is what the store keeps as an attribute; consumers that only need
-    rows use the code table itself.
+
+def category_map(codes: DataFrame, part_size: int = MAP_CATEGORIES) -> DataFrame:
+    """Maps ``category -> code`` per layer and variable, for metadata.
+
+    Codes are consecutive, so they are cut into parts of ``part_size``: an
+    ordinary encoding is one map (part 0), a very large one several.
     """
-    return codes.groupBy("layer", "var").agg(
+    part = F.floor((F.col("code") - 1) / F.lit(part_size)).cast("int").alias("part")
+    return codes.groupBy("layer", "var", part).agg(
         F.map_from_entries(
             F.sort_array(F.collect_list(F.struct("category", "code")))
         ).alias("encoding")

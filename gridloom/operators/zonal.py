@@ -35,9 +35,11 @@ def features_in_circle(
     bucket: float = 0.5,
     same: tuple[str, ...] = (),
     broadcast_bytes: int = BROADCAST_BYTES,
+    quarter_segments: int | None = None,
 ) -> DataFrame:
     """Pairs of a zone and a feature its disc meets; ``same`` names columns the
-    two must share.
+    two must share. With ``quarter_segments`` the disc is a polygon with that
+    many sides per quarter, as buffering libraries make it (16 is usual).
 
     Boxes are matched first, without geometry; then the few candidate pairs
     meet the rings, which are read once and copied only for actual candidates.
@@ -49,7 +51,11 @@ def features_in_circle(
     matched = join_dimension(
         wanted, pairs, ["layer", "fid"], settled=True, broadcast_bytes=broadcast_bytes
     )
-    touch = G.disc_intersects(F.col("rings"), F.col("cx"), F.col("cy"), F.col("radius"))
+    disc = (F.col("cx"), F.col("cy"), F.col("radius"))
+    if quarter_segments is None:
+        touch = G.disc_intersects(F.col("rings"), *disc)
+    else:
+        touch = G.polygons_intersect(F.col("rings"), G.circle_rings(*disc, quarter_segments))
     others = [c for c in zones.columns if c != "layer"]
     return matched.where(touch).select(*others, "layer", *keep)
 

@@ -77,8 +77,13 @@ def dataset_metadata(
     epsg: int = DEFAULT_EPSG,
 ) -> DataFrame:
     """Attributes of the dataset of each layer: reference system, title, extent,
-    conventions, provenance and, if given, resolution."""
+    conventions, provenance and, if given, resolution.
+
+    Provenance is given under all the names in use: ``History``, ``history`` and
+    ``Comment``.
+    """
     as_col = lambda v: v if isinstance(v, Column) else F.lit(v)
+    origin = V.provenance(as_col(title), as_col(url), F.lit(day))
     lat, lon = F.col("axis") == "latitude", F.col("axis") == "longitude"
     extent = labels.groupBy("layer").agg(
         F.min(F.when(lon, F.col("label"))).alias("west"),
@@ -92,7 +97,9 @@ def dataset_metadata(
         _text("dataset", "title", as_col(title)),
         *[_number("dataset", "geographical_extent", F.col(s), i) for i, s in enumerate(sides)],
         _text("dataset", "Conventions", CONVENTIONS),
-        _text("dataset", "History", V.provenance(as_col(title), as_col(url), F.lit(day))),
+        _text("dataset", "History", origin),
+        _text("dataset", "history", F.concat(F.lit("Converted on "), F.lit(day))),
+        _text("dataset", "Comment", origin),
         _number("dataset", "geospatial_lat_min", F.col("south")),
         _number("dataset", "geospatial_lat_max", F.col("north")),
         _number("dataset", "geospatial_lon_min", F.col("west")),

@@ -152,6 +152,31 @@ def test_features_in_circle_equal_brute_force(spark, limit):
     assert rows_of(got, "zone_id", "fid") == rows_of(brute, "zone_id", "fid")
 
 
+@pytest.mark.parametrize(
+    "x,y,side,disc,outline",
+    [
+        (0.1, -0.05, 1, True, True),  # touches the eastern vertex
+        (0.0, 0.0, 0.001, True, True),  # inside the disc
+        (-5, -5, 10, True, True),  # holds the disc
+        (0.2, 0.2, 1, False, False),
+        # meets the arc between two vertices but not the chord
+        (0.0998, 0.00488, 0.00002, True, False),
+    ],
+)
+def test_disc_and_its_outline(spark, x, y, side, disc, outline):
+    df = features(spark, [(1, [square(x, y, side)])])
+    zones = spark.createDataFrame([(1, 0.0, 0.0, 0.1)], "zone_id long, cx double, cy double, radius double")
+    assert zonal.features_in_circle(zones, df).count() == disc
+    assert zonal.features_in_circle(zones, df, quarter_segments=16).count() == outline
+
+
+def test_category_map_parts(spark):
+    codes = spark.createDataFrame([("a", "v", f"c{i:02d}", i + 1) for i in range(25)], "layer string, var string, category string, code long")
+    maps = {r.part: r.encoding for r in encode.category_map(codes, 10).collect()}
+    assert sorted(maps) == [0, 1, 2] and len(maps[2]) == 5 and maps[1]["c10"] == 11
+    assert [r.part for r in encode.category_map(codes).collect()] == [0]
+
+
 def test_majority_ties_and_missing(spark):
     rows = [("z", 2.0), ("z", 1.0), ("z", float("nan")), ("z", float("nan")), ("z", None), ("y", 5.0), ("y", 5.0), ("y", 3.0), ("x", None)]
     df = spark.createDataFrame(rows, "g string, v double")
