@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from gridloom.functions import values as V
 from gridloom.operators.grid import SPEC_COLUMNS, RasterGrid
-from gridloom.plans.joins import join_on_skewed_keys
+from gridloom.plans.joins import join_skewed
 
 # Fixed values of the seeded pick: multipliers and a prime modulus.
 PICK_ROW, PICK_COL, PICK_SEED, PICK_MOD = 2654435761, 40503, 69069, 2147483647
@@ -48,7 +48,7 @@ def lookup_positions(positions: DataFrame, cells: DataFrame) -> DataFrame:
     row, col = cell_of(F.col("lon"), F.col("lat"))
     at = positions.withColumn("row", row).withColumn("col", col).drop(*SPEC_COLUMNS)
     indexed = cells.withColumn("row", F.col("row").cast("long")).withColumn("col", F.col("col").cast("long"))
-    return join_on_skewed_keys(at, indexed, ["row", "col"], spread="lon")
+    return join_skewed(at, indexed, ["row", "col"], spread="fid" if "fid" in at.columns else "lon")
 
 
 def subset_bbox(cells: DataFrame, west: float, south: float, east: float, north: float) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridloom.functions import geometry as G
-from gridloom.plans.joins import join_dimension, store
+from gridloom.plans.joins import join_dimension, shuffle_partitions, store
 
 # A scanline of one layer with more crossings than this is not kept in one task.
 HOT_ROW_CROSSINGS = 2_000_000
@@ -146,6 +146,7 @@ def polygon_cells(
     """
     carried = ["layer", "fid", *variables]
     hits = crossings(features.select(*carried, *_present(features)))
+    width = shuffle_partitions(features)
     hot = None
     most = features.agg(F.sum(G.vertex_count(features.columns)).alias("n")).first()["n"] or 0
     if most > hot_row:
@@ -157,11 +158,11 @@ def polygon_cells(
             .select("layer", "row")
         )
     if hot is None or hot.isEmpty():
-        return last_wins(span_cells(pair_crossings(hits.repartition("layer", "row"), carried)), variables)
+        return last_wins(span_cells(pair_crossings(hits.repartition(width, "layer", "row"), carried)), variables)
     flagged = join_dimension(
         hits, hot.withColumn("hot", F.lit(True)), ["layer", "row"], how="left"
     )
-    calm = flagged.where(F.col("hot").isNull()).drop("hot").repartition("layer", "row")
+    calm = flagged.where(F.col("hot").isNull()).drop("hot").repartition(width, "layer", "row")
     busy = flagged.where(F.col("hot")).drop("hot")
     return last_wins(span_cells(pair_crossings(calm, carried)), variables).unionByName(
         last_wins(span_cells(pair_crossings(busy, carried)), variables)
@@ -199,6 +200,7 @@ def tiled_cells(
     are merged cell by cell with a partial aggregate instead.
     """
     tile_key = ["layer", "tile_row", "tile_col"]
+    width = shuffle_partitions(features)
     spans = polygon_spans(
         features.select("layer", "fid", *variables, F.col("ny").alias("_ny"), *_present(features))
     )
@@ -213,9 +215,9 @@ def tiled_cells(
         )
 
     if hot.isEmpty():
-        return winners(span_cells(spans.repartition(*tile_key)))
+        return winners(span_cells(spans.repartition(width, *tile_key)))
     flagged = join_dimension(spans, hot.withColumn("hot", F.lit(True)), tile_key, how="left")
-    calm = flagged.where(F.col("hot").isNull()).drop("hot").repartition(*tile_key)
+    calm = flagged.where(F.col("hot").isNull()).drop("hot").repartition(width, *tile_key)
     busy = flagged.where(F.col("hot")).drop("hot")
     return winners(span_cells(calm)).unionByName(winners(span_cells(busy)))
 

@@ -9,18 +9,7 @@ from gridloom.functions import geometry as G
 from gridloom.functions import values as V
 from gridloom.operators.grid import RasterGrid, on_raster
 from gridloom.operators.rasterize import polygon_spans, span_cells
-from gridloom.plans.joins import (
-    BROADCAST_BYTES,
-    join_dimension,
-    join_on_skewed_keys,
-    measured_bytes,
-    store,
-)
-
-# With many zones, the features of one bucket are spread over this many tasks
-# and each zone is copied to all of them.
-SALTS = 32
-
+from gridloom.plans.joins import BROADCAST_BYTES, join_skewed, measured_bytes, store
 
 def circle_zones(zones: DataFrame, quarter_segments: int = 16) -> DataFrame:
     """Zones ``(zone_id, cx, cy, radius)`` with a polygon outline."""
@@ -48,9 +37,11 @@ def features_in_circle(
     skip = {*G.BOX_COLUMNS, G.SIZE_COLUMN, *zones.columns} - {"layer"}
     wanted = features.select(*[c for c in features.columns if c not in skip])
     keep = [c for c in wanted.columns if c not in ("rings", "layer")]
-    matched = join_dimension(
-        wanted, pairs, ["layer", "fid"], settled=True, broadcast_bytes=broadcast_bytes
-    )
+    key = ["layer", "fid"]
+    if measured_bytes(pairs) <= broadcast_bytes:
+        matched = wanted.join(F.broadcast(pairs), key)
+    else:
+        matched = join_skewed(pairs, wanted, key, spread="cx")
     disc = (F.col("cx"), F.col("cy"), F.col("radius"))
     if quarter_segments is None:
         touch = G.disc_intersects(F.col("rings"), *disc)
@@ -67,8 +58,7 @@ def _box_pairs(
 
     Both sides get the square buckets their boxes overlap. A pair sharing
     several buckets is kept only in the one holding the lower left corner of
-    the boxes' overlap, so none repeats. Few zones are broadcast; many are
-    copied to every salt of the features.
+    the boxes' overlap, so none repeats. Few zones are broadcast.
     """
     b = F.lit(float(bucket))
     cut = lambda v: F.floor(v / b)
@@ -92,9 +82,7 @@ def _box_pairs(
     if measured_bytes(discs) <= broadcast_bytes:
         joined = boxed.join(F.broadcast(discs), on)
     else:
-        salt = F.pmod(F.xxhash64("fid"), F.lit(SALTS)).cast("int")
-        copies = discs.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        joined = boxed.withColumn("_salt", salt).join(copies, [*on, "_salt"])
+        joined = join_skewed(boxed, discs, on)
     met = joined.where(
         (F.col("_x0") <= F.col("_zx1"))
         & (F.col("_zx0") <= F.col("_x1"))
@@ -111,7 +99,7 @@ def cells_in_zone(zones: DataFrame, cells: DataFrame, grid: RasterGrid) -> DataF
     placed = on_raster(zones.select(F.lit("zones").alias("layer"), F.col("zone_id").alias("fid"), "rings"), grid)
     covered = span_cells(polygon_spans(placed)).select(F.col("fid").alias("zone_id"), "row", "col")
     target = cells.withColumn("row", F.col("row").cast("long")).withColumn("col", F.col("col").cast("long"))
-    return join_on_skewed_keys(covered, target, ["row", "col"], spread="zone_id")
+    return join_skewed(covered, target, ["row", "col"], spread="zone_id")
 
 
 def majority(df: DataFrame, group: list[str], value: str, nodata: float | None = None) -> DataFrame:

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 BROADCAST_BYTES = 32 * 1024 * 1024
-SALTS = 32
+SALTS = 64
+HOT_ROWS = 1_000_000
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
@@ -59,6 +60,12 @@ def measured_bytes(df: DataFrame) -> int:
     return df.agg(F.coalesce(F.sum(width.cast("long")), F.lit(0)).alias("b")).first()["b"]
 
 
+def shuffle_partitions(df: DataFrame) -> int:
+    """The session's shuffle width, for stages that grow after the shuffle and
+    must not be coalesced by their input size."""
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
 def join_dimension(
     fact: DataFrame,
     dim: DataFrame,
@@ -67,13 +74,12 @@ def join_dimension(
     settled: bool = False,
     broadcast_bytes: int = BROADCAST_BYTES,
     spread: str = "fid",
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Join a large table with a table expected to be small.
 
     ``dim`` is computed once and measured. Within ``broadcast_bytes`` it is
-    broadcast and the fact side is not shuffled. Beyond that both sides are
-    shuffled on the key plus a salt taken from the fact column ``spread``, so
-    one key holding much of the fact table is spread over ``SALTS`` tasks.
+    broadcast and the fact side is not shuffled, else see :func:`join_skewed`.
     ``how`` is any join that keeps or drops fact rows one by one: ``inner``,
     ``left``, ``left_semi`` or ``left_anti``.
     """
@@ -81,21 +87,35 @@ def join_dimension(
         dim = settle(dim)
     if measured_bytes(dim) <= broadcast_bytes:
         return fact.join(F.broadcast(dim), on, how)
-    salted = fact.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(SALTS)).cast("int"))
-    copies = dim.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return salted.join(copies, on + ["_salt"], how).drop("_salt")
+    return join_skewed(fact, dim, on, how, spread, hot_rows)
 
 
-def join_on_skewed_keys(
-    fact: DataFrame, table: DataFrame, on: list[str], spread: str, broadcast_bytes: int = BROADCAST_BYTES
+def join_skewed(
+    fact: DataFrame,
+    table: DataFrame,
+    on: list[str],
+    how: str = "inner",
+    spread: str = "fid",
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """Inner join where many fact rows may share a key and ``table`` is large.
+    """Shuffle join that spreads keys with more than ``hot_rows`` fact rows.
 
-    The keys asked for are made distinct first, so the large table is only
-    joined with unique keys; the matching part is then joined as a dimension.
+    The fact keys are counted first. Hot keys, if any, are joined on the key and
+    a salt taken from the fact column ``spread``; only their few table rows are
+    copied to every salt. All other keys are joined as usual.
     """
-    asked = fact.select(*on).distinct()
-    found = store(table.join(asked, on, "left_semi"))
-    return join_dimension(
-        fact, found, on, settled=True, broadcast_bytes=broadcast_bytes, spread=spread
+    hot = settle(
+        fact.groupBy(*on).count().where(F.col("count") > hot_rows).select(*on)
+    )
+    if hot.isEmpty():
+        return fact.join(table, on, how)
+    if measured_bytes(hot) <= BROADCAST_BYTES:
+        hot = F.broadcast(hot)
+    flagged = fact.join(hot.withColumn("_hot", F.lit(True)), on, "left")
+    calm = flagged.where(F.col("_hot").isNull()).drop("_hot").join(table, on, how)
+    salt = F.pmod(F.xxhash64(spread), F.lit(SALTS)).cast("int")
+    copies = table.join(hot, on, "left_semi").withColumn(
+        "_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
     )
+    busy = flagged.where(F.col("_hot")).drop("_hot").withColumn("_salt", salt)
+    return calm.unionByName(busy.join(copies, [*on, "_salt"], how).drop("_salt"))

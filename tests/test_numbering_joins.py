@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from gridloom.operators import encode, lookup
-from gridloom.plans.joins import join_dimension, join_on_skewed_keys, measured_bytes
+from gridloom.plans.joins import join_dimension, join_skewed, measured_bytes
 from gridloom.plans.numbering import number_rows
 from tests.helpers import exploded_plan, rows_of
 
@@ -40,9 +40,10 @@ def test_numbering_without_group(spark, keyed, window_rows):
 def test_salted_join_equals_broadcast(spark, keyed, how):
     dim = spark.createDataFrame([("hot", 1.0), ("g1", 2.0)], "g string, w double")
     small = join_dimension(keyed, dim, ["g"], how)
-    large = join_dimension(keyed, dim, ["g"], how, broadcast_bytes=0)
-    assert small.columns == large.columns
-    assert small.exceptAll(large).count() == 0 and large.exceptAll(small).count() == 0
+    for hot_rows in (10**9, 500, 0):
+        large = join_dimension(keyed, dim, ["g"], how, broadcast_bytes=0, hot_rows=hot_rows)
+        assert small.columns == large.columns
+        assert small.exceptAll(large).count() == 0 and large.exceptAll(small).count() == 0
     assert "BroadcastHashJoin" in exploded_plan(small)
 
 
@@ -51,7 +52,7 @@ def test_salted_join_spreads_the_hot_key(spark, keyed):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        joined = join_dimension(keyed, dim, ["g"], broadcast_bytes=0)
+        joined = join_dimension(keyed, dim, ["g"], broadcast_bytes=0, hot_rows=500)
         sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id().alias("p")).count().collect()]
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
@@ -61,9 +62,9 @@ def test_salted_join_spreads_the_hot_key(spark, keyed):
 
 def test_skewed_keys_against_a_large_table(spark, keyed):
     table = spark.createDataFrame([("hot", i) for i in range(3)] + [("x", 9)], "g string, b long")
-    for limit in (0, 10**6):
-        got = join_on_skewed_keys(keyed, table, ["g"], spread="fid", broadcast_bytes=limit)
-        assert got.count() == 3000
+    for hot_rows in (10**9, 500):
+        got = join_skewed(keyed, table, ["g"], hot_rows=hot_rows)
+        assert got.count() == 3000 and got.select("fid", "b").distinct().count() == 3000
 
 
 def test_measured_bytes_grow_with_text(spark):

@@ -5,6 +5,7 @@ import pytest
 from catalog.compare import connect, difference
 from catalog.oracles import ORACLES
 from catalog.queries import QUERIES
+from tests.helpers import exploded_plan
 
 
 @pytest.fixture(scope="module")
@@ -18,7 +19,10 @@ def test_every_query_has_an_oracle():
 
 @pytest.mark.parametrize("name", list(QUERIES))
 def test_query_equals_sql(spark, sf_dir, duck, name):
-    got = QUERIES[name](spark, sf_dir).toPandas()
+    df = QUERIES[name](spark, sf_dir)
+    plan = exploded_plan(df)
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+    got = df.toPandas()
     assert difference(got, duck.execute(ORACLES[name]).df()) is None
 
 
