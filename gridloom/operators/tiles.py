@@ -75,8 +75,7 @@ def _touched(edges: DataFrame, n: Column) -> DataFrame:
     """Tiles each edge meets; the last row and column of tiles end with the grid."""
     first, last = _tile_range(F.col("y0"), F.col("y1"), n, F.col("_tiles_y"))
     rows = (
-        edges.where(F.col("y0") <= F.col("_height"))
-        .withColumn("_f", first)
+        edges.withColumn("_f", first)
         .withColumn("_l", last)
         .where(F.col("_l") >= F.col("_f"))
         .withColumn("tile_row", F.explode(F.sequence("_f", "_l")))
@@ -92,16 +91,31 @@ def _touched(edges: DataFrame, n: Column) -> DataFrame:
     clipped = rows.withColumn(
         "_xa", F.when(top == F.col("y0"), F.col("x0")).otherwise(x_at(top))
     ).withColumn("_xb", F.when(bottom == F.col("y1"), F.col("x1")).otherwise(x_at(bottom)))
-    west = F.least("_xa", "_xb")
-    first, last = _tile_range(west, F.greatest("_xa", "_xb"), n, F.col("_tiles_x"))
-    return (
-        clipped.where(west <= F.col("_width"))
-        .withColumn("_f", first)
+    # rounding may put a clipped end on the wrong side of a border, so tiles
+    # next to it stay candidates until the box test decides
+    slack = F.lit(1e-6)
+    first, last = _tile_range(
+        F.least("_xa", "_xb") - slack, F.greatest("_xa", "_xb") + slack, n, F.col("_tiles_x")
+    )
+    candidates = (
+        clipped.withColumn("_f", first)
         .withColumn("_l", last)
         .where(F.col("_l") >= F.col("_f"))
         .withColumn("tile_col", F.explode(F.sequence("_f", "_l")))
-        .drop("_f", "_l", "_xa", "_xb", "x0", "x1", "y0", "y1")
     )
+    return candidates.where(_meets_box(n)).drop("_f", "_l", "_xa", "_xb", "x0", "x1", "y0", "y1")
+
+
+def _meets_box(n: Column) -> Column:
+    """Edge against its candidate tile's closed box: they are apart only if an
+    axis or the edge's own line separates them."""
+    r0, c0 = F.col("tile_row") * n, F.col("tile_col") * n
+    r1, c1 = F.least(r0 + n, F.col("_height")), F.least(c0 + n, F.col("_width"))
+    x0, y0, x1, y1 = (F.col(c) for c in ("x0", "y0", "x1", "y1"))
+    side = lambda r, c: (x1 - x0) * (r - y0) - (y1 - y0) * (c - x0)
+    sides = [side(r0, c0), side(r0, c1), side(r1, c0), side(r1, c1)]
+    boxes = (F.least(x0, x1) <= c1) & (F.greatest(x0, x1) >= c0) & (y0 <= r1) & (y1 >= r0)
+    return boxes & (F.least(*sides) <= 0) & (F.greatest(*sides) >= 0)
 
 
 def strip_max(cells: DataFrame, variable: str, height: int, group: list[str]) -> DataFrame:
