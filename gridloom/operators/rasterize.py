@@ -190,6 +190,7 @@ def tiled_cells(
     tile: int,
     ascending: bool = False,
     hot_tile: int = HOT_TILE_SPANS,
+    geom_types: tuple[str, ...] = ("POLYGON",),
 ) -> DataFrame:
     """Burned cells partitioned by tile, so packing them needs no shuffle.
 
@@ -201,9 +202,10 @@ def tiled_cells(
     """
     tile_key = ["layer", "tile_row", "tile_col"]
     width = shuffle_partitions(features)
-    spans = polygon_spans(
-        features.select("layer", "fid", *variables, F.col("ny").alias("_ny"), *_present(features))
+    needed = features.select(
+        "layer", "fid", "geom_type", *variables, F.col("ny").alias("_ny"), *_present(features)
     )
+    spans = _spans(needed, geom_types)
     if ascending:
         spans = spans.withColumn("row", F.col("_ny") - 1 - F.col("row"))
     spans = store(split_spans(spans.drop("_ny"), tile))
@@ -283,6 +285,30 @@ def burn_lines(features: DataFrame) -> DataFrame:
     )
 
 
+def _spans(features: DataFrame, geom_types: tuple[str, ...]) -> DataFrame:
+    """Spans of mixed geometry; points and lines burn spans of one cell."""
+    one_cell = {"c0": F.col("col"), "c1": F.col("col")}
+    parts = []
+    for g in geom_types:
+        some = features.where(F.col("geom_type") == g)
+        if g == "POLYGON":
+            parts.append(polygon_spans(some))
+        else:
+            burned = (burn_points if g == "POINT" else burn_lines)(some)
+            parts.append(burned.withColumns(one_cell).drop("col"))
+    spans = parts[0]
+    for p in parts[1:]:
+        spans = spans.unionByName(p)
+    return spans
+
+
+def geometry_types(features: DataFrame) -> tuple[str, ...]:
+    """The (at most three) geometry types present."""
+    known = ["POLYGON", "LINE", "POINT"]
+    found = {r["geom_type"] for r in features.select("geom_type").where(F.col("geom_type").isin(known)).distinct().collect()}
+    return tuple(g for g in known if g in found)
+
+
 def burn(features: DataFrame, variables: list[str], geom_types: list[str]) -> DataFrame:
     """Last-wins cells of a layer that may mix the named geometry types."""
     parts = []

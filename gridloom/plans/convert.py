@@ -48,10 +48,12 @@ def grid_features(
     clean: str = "basic",
     codes: str = "first_seen",
     null_policy: str = "nan",
-    geom_types: tuple[str, ...] = ("POLYGON",),
+    geom_types: tuple[str, ...] | None = None,
 ) -> Gridded:
     """Burn all layers and variables of a feature table in one job.
 
+    ``geom_types`` names the geometry types to burn; by default those present.
+
     Variables that are unknown or cannot be put on a grid are left out, see
     :func:`gridloom.plans.metadata.variable_status`.
     """
@@ -59,7 +61,7 @@ def grid_features(
     spec = settle(grid.grid_spec(grid.layer_bounds(features), resolution))
     encoded, table = encode.encode(features, names, clean, codes, null_policy)
     placed = grid.with_grid(encoded, spec, settled=True)
-    cells = rasterize.burn(placed, names, list(geom_types))
+    cells = rasterize.burn(placed, names, list(geom_types or rasterize.geometry_types(features)))
     return Gridded(_from_south(cells, spec), spec, names, table)
 
 
@@ -71,8 +73,9 @@ def grid_features_tiled(
     variables: list[str] | None = None,
     clean: str = "strip",
     null_policy: str = "zero",
+    geom_types: tuple[str, ...] | None = None,
 ) -> Gridded:
-    """The same for large grids of polygons: invalid shapes are dropped, codes
+    """The same for large grids: invalid shapes are dropped, codes
     follow the order of ``tile`` x ``tile`` windows, and cells come out grouped
     in ``chunk`` x ``chunk`` blocks, ready to be packed."""
     names = _usable(features, variables)
@@ -88,7 +91,8 @@ def grid_features_tiled(
         v: encode.V.to_float32(F.col(v), null_policy) for v in names if v not in text
     }
     placed = grid.with_grid(sound.withColumns(numeric), spec, settled=True)
-    cells = rasterize.tiled_cells(placed, names, chunk, ascending=True)
+    types = geom_types or rasterize.geometry_types(features)
+    cells = rasterize.tiled_cells(placed, names, chunk, ascending=True, geom_types=types)
     return Gridded(cells, spec, names, table, tile=chunk)
 
 

@@ -21,9 +21,12 @@ def read_features(
     layer: str | None = None,
     columns: list[str] | None = None,
     fmt: str = "parquet",
+    schema: str | None = None,
 ) -> DataFrame:
-    """Read a feature table; ``layer`` and ``columns`` reach the scan."""
-    df = spark.read.format(fmt).load(path)
+    """Read a feature table; ``layer`` and ``columns`` reach the scan. Text
+    formats should be given a schema."""
+    reader = spark.read.format(fmt)
+    df = (reader.schema(schema) if schema else reader).load(path)
     if layer is not None:
         df = df.where(F.col("layer") == layer)
     return df if columns is None else prune(df, columns)

@@ -156,6 +156,17 @@ def test_mixed_geometry_keeps_the_last_feature(spark):
     assert len(by_cell) == 16
 
 
+@pytest.mark.parametrize("hot", [0, 10**9])
+def test_mixed_geometry_tiled(spark, hot):
+    rows = [(1, [square(0, 0, 4)]), (2, [ring((1.5, 1.5))], "POINT"), (3, [ring((0.5, 0.5), (9.5, 8.5))], "LINE")]
+    g = on_grid(features(spark, rows), TEN)
+    types = rasterize.geometry_types(g)
+    assert types == ("POLYGON", "LINE", "POINT")
+    names = ("row", "col", "fid", "value")
+    tiled = rasterize.tiled_cells(g, ["value"], 3, hot_tile=hot, geom_types=types)
+    assert rows_of(tiled, *names) == rows_of(rasterize.burn(g, ["value"], list(types)), *names)
+
+
 def test_nan_value_is_burned(spark):
     rows = [(1, [square(0, 0, 2)], "POLYGON", "a", 5.0), (2, [square(0, 0, 1)], "POLYGON", "a", float("nan"))]
     got = {(r.row, r.col): r.value for r in rasterize.polygon_cells(on_grid(features(spark, rows), TEN), ["value"]).collect()}

@@ -167,6 +167,15 @@ def test_feature_scan_prunes_and_pushes(spark, tmp_path):
     assert "rings" not in bounds.split("ReadSchema")[1].split(">")[0]
 
 
+def test_features_from_json(spark, tmp_path):
+    path = tmp_path / "f.json"
+    path.write_text('{"fid": 1, "layer": "a", "geom_type": "POINT", "rings": [[{"x": 1.5, "y": 2}]], "v": 3}\n')
+    schema = "fid bigint, layer string, geom_type string, rings array<array<struct<x:double,y:double>>>, v int"
+    df = features.read_features(spark, str(path), fmt="json", schema=schema)
+    gridded = convert.grid_features(df, 1.0)
+    assert rows_of(gridded.cells, "layer", "row", "col", "v") == [("a", 0, 0, 3.0)]
+
+
 def test_raster_read_and_bands(spark, tmp_path):
     path = str(tmp_path / "r")
     df = spark.createDataFrame([(b, r, c, float(b)) for b in (1, 2) for r in range(3) for c in range(2)], "band int, row int, col int, value double")
