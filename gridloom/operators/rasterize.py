@@ -96,7 +96,9 @@ def crossings(features: DataFrame, every: int = 1) -> DataFrame:
     x = F.col("x0") + (F.col("row") + F.lit(0.5) - F.col("y0")) * (F.col("x1") - F.col("x0")) / (
         F.col("y1") - F.col("y0")
     )
-    return steps.select(*_carried(features), "nx", "row", x.alias("start"))
+    # clamped to the grid here, so that its width need not be shuffled
+    inside = F.least(F.greatest(x, F.lit(0.0)), F.col("nx").cast("double"))
+    return steps.select(*_carried(features), "row", inside.alias("start"))
 
 
 def pair_crossings(hits: DataFrame, carried: list[str]) -> DataFrame:
@@ -107,8 +109,7 @@ def pair_crossings(hits: DataFrame, carried: list[str]) -> DataFrame:
         .withColumn("end", F.lead("start").over(along))
         .where(F.col("i") % 2 == 1)
     )
-    c0 = F.greatest(F.lit(0).cast("long"), first_center(F.col("start")))
-    c1 = F.least(F.col("nx") - 1, first_center(F.col("end")) - 1)
+    c0, c1 = first_center(F.col("start")), first_center(F.col("end")) - 1
     return pairs.select(*carried, "row", c0.alias("c0"), c1.alias("c1")).where(
         F.col("c1") >= F.col("c0")
     )
