@@ -103,10 +103,12 @@ def longitude_label(col: Column, labels: str = "edges") -> Column:
     return axis_label(col, F.col("lon_min"), F.col("lon_max"), F.col("nx"))
 
 
-def assign_coords(cells: DataFrame, spec: DataFrame, labels: str = "edges") -> DataFrame:
+def assign_coords(
+    cells: DataFrame, spec: DataFrame, labels: str = "edges", settled: bool = False
+) -> DataFrame:
     """Add latitude and longitude labels to layered cells by row and col."""
     joined = join_dimension(
-        cells, spec.select("layer", *SPEC_COLUMNS), ["layer"], how="left", spread="row"
+        cells, spec.select("layer", *SPEC_COLUMNS), ["layer"], how="left", settled=settled, spread="row"
     )
     return (
         joined.withColumn("latitude", latitude_label(F.col("row"), labels))

@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gridloom.functions import geometry as G
 from gridloom.functions import values as V
 from gridloom.operators.grid import assign_coords
 from gridloom.operators.lookup import pick_key, variable_max
 from gridloom.operators.zonal import features_in_circle, majority
-from gridloom.plans.joins import join_dimension
+from gridloom.plans.joins import join_dimension, settle
 
 
 def compare_cells(store: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
@@ -61,14 +62,18 @@ def check_conversion(
     if target is not None:
         good = good.where(target)
     at = assign_coords(sample_per_layer(good, variable, seed), spec)
-    zones = at.select(
-        "layer",
-        F.col("longitude").alias("cx"),
-        F.col("latitude").alias("cy"),
-        F.lit(float(radius)).alias("radius"),
-        v.alias("cell_value"),
+    # one record per layer, needed several times
+    zones = settle(
+        at.select(
+            "layer",
+            F.col("longitude").alias("cx"),
+            F.col("latitude").alias("cy"),
+            F.lit(float(radius)).alias("radius"),
+            v.alias("cell_value"),
+        )
     )
-    around = features.select("fid", "layer", "rings", v.cast("double").alias("_near"))
+    boxes = [c for c in G.BOX_COLUMNS if c in features.columns]
+    around = features.select("fid", "layer", "rings", *boxes, v.cast("double").alias("_near"))
     near = features_in_circle(zones, around, same=("layer",))
     common = majority(near, ["layer"], "_near").select("layer", "majority")
     return (

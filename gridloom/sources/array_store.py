@@ -45,7 +45,8 @@ def array_store_source() -> type[DataSource]:
         def _open(self):
             from pyarrow import fs
 
-            return fs.FileSystem.from_uri(self.path if ":" in self.path else f"file://{self.path}")
+            path = self.path.replace("s3a://", "s3://", 1)
+            return fs.FileSystem.from_uri(path if ":" in path else f"file://{path}")
 
         def _put(self, filesystem, root: str, key: str, data: bytes) -> None:
             folder = f"{root}/{key}".rsplit("/", 1)[0]
