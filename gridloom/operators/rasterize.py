@@ -16,6 +16,8 @@ from gridloom.plans.joins import join_dimension, shuffle_partitions, store
 HOT_ROW_CROSSINGS = 2_000_000
 # The same for the spans of one tile.
 HOT_TILE_SPANS = 1_000_000
+# Nor is a scanline or tile that fills more cells than this, overlaps counted.
+HOT_CELLS = 200_000_000
 
 GRID_COLUMNS = ["lon_min", "lat_min", "lon_max", "lat_max", "nx", "ny", "dx", "dy"]
 GEOMETRY_COLUMNS = [
@@ -135,27 +137,36 @@ def burn_polygons(features: DataFrame) -> DataFrame:
 
 
 def polygon_cells(
-    features: DataFrame, variables: list[str], hot_row: int = HOT_ROW_CROSSINGS
+    features: DataFrame,
+    variables: list[str],
+    hot_row: int = HOT_ROW_CROSSINGS,
+    hot_cells: int = HOT_CELLS,
 ) -> DataFrame:
     """Burned cells of polygons, last feature wins, with a single shuffle.
 
     Crossings are shuffled on (layer, row): pairing, filling and the last-wins
     aggregate all keep that layout, so cells are never shuffled. Rows with more
-    than ``hot_row`` crossings take the other way: paired per (layer, fid, row),
-    filled, then merged after a partial aggregate. An edge crosses a row at most
-    once, so rows are only counted if there are that many vertices at all.
+    than ``hot_row`` crossings, or filling possibly more than ``hot_cells``
+    cells, take the other way: paired per (layer, fid, row), filled, then merged
+    after a partial aggregate.
+
+    An edge crosses a row at most once, and a pair of crossings fills at most
+    the width of its feature's box; so rows are only counted if all vertices
+    together could make one hot.
     """
     carried = ["layer", "fid", *variables]
     hits = crossings(features.select(*carried, *_present(features)))
     width = shuffle_partitions(features)
+    west, _, east, _ = G.box_of(features.columns)
+    n, wide = G.vertex_count(features.columns), (east - west) / F.col("dx") + 1
+    most = features.agg(F.sum(n).alias("n"), (F.sum(n * wide) / 2).alias("cells")).first()
     hot = None
-    most = features.agg(F.sum(G.vertex_count(features.columns)).alias("n")).first()["n"] or 0
-    if most > hot_row:
+    if (most["n"] or 0) > hot_row or (most["cells"] or 0) > hot_cells:
         hot = (
-            crossings(features.select("layer", "fid", *_present(features)))
+            crossings(features.select("layer", "fid", wide.alias("_wide"), *_present(features)))
             .groupBy("layer", "row")
-            .count()
-            .where(F.col("count") > hot_row)
+            .agg(F.count(F.lit(1)).alias("n"), (F.sum("_wide") / 2).alias("cells"))
+            .where((F.col("n") > hot_row) | (F.col("cells") > hot_cells))
             .select("layer", "row")
         )
     if hot is None or hot.isEmpty():
@@ -191,6 +202,7 @@ def tiled_cells(
     tile: int,
     ascending: bool = False,
     hot_tile: int = HOT_TILE_SPANS,
+    hot_cells: int = HOT_CELLS,
     geom_types: tuple[str, ...] = ("POLYGON",),
 ) -> DataFrame:
     """Burned cells partitioned by tile, so packing them needs no shuffle.
@@ -199,7 +211,8 @@ def tiled_cells(
 
     Spans are cut at tile borders and shuffled on their tile. They are written
     to the checkpoint folder first, and tiles with more than ``hot_tile`` spans
-    are merged cell by cell with a partial aggregate instead.
+    or ``hot_cells`` filled cells are merged cell by cell with a partial
+    aggregate instead.
     """
     tile_key = ["layer", "tile_row", "tile_col"]
     width = shuffle_partitions(features)
@@ -210,7 +223,12 @@ def tiled_cells(
     if ascending:
         spans = spans.withColumn("row", F.col("_ny") - 1 - F.col("row"))
     spans = store(split_spans(spans.drop("_ny"), tile))
-    hot = spans.groupBy(*tile_key).count().where(F.col("count") > hot_tile).select(*tile_key)
+    hot = (
+        spans.groupBy(*tile_key)
+        .agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("c1") - F.col("c0") + 1).alias("cells"))
+        .where((F.col("n") > hot_tile) | (F.col("cells") > hot_cells))
+        .select(*tile_key)
+    )
 
     def winners(s: DataFrame) -> DataFrame:
         return s.groupBy(*tile_key, "row", "col").agg(

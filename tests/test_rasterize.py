@@ -122,6 +122,15 @@ def test_hot_rows_take_another_way_to_the_same_cells(spark, hot):
     )
 
 
+@pytest.mark.parametrize("hot_cells", [0, 60, 300])
+def test_rows_and_tiles_hot_by_cells(spark, hot_cells):
+    g = many(spark)
+    names = ("layer", "row", "col", "fid", "value")
+    want = rows_of(rasterize.polygon_cells(g, ["value"]), *names)
+    assert rows_of(rasterize.polygon_cells(g, ["value"], hot_cells=hot_cells), *names) == want
+    assert rows_of(rasterize.tiled_cells(g, ["value"], 40, hot_cells=hot_cells), *names) == want
+
+
 @pytest.mark.parametrize("tile,hot", [(7, 10**9), (64, 10**9), (500, 10**9), (32, 5), (32, 0)])
 def test_tiled_equals_untiled(spark, tile, hot):
     g = many(spark)
