@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridloom.llm import secrets as S
+from gridloom.llm.html import extract_main_text
+from gridloom.llm.shards import shuffle_into_shards
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -38,7 +40,30 @@ def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents shuffled into eight shards of equal row counts."""
+    placed = shuffle_into_shards(table(spark, sf_dir, "documents"), ["doc_id"], shards=8)
+    text = F.coalesce(F.col("text"), F.lit(""))
+    return placed.select(
+        "doc_id",
+        (F.octet_length(text) + 1).cast("long").alias("size"),
+        F.crc32(text).alias("text_crc32"),
+        F.lit("rows").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+def op8_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    pages = extract_main_text(table(spark, sf_dir, "pages"), "html", "text")
+    return pages.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 QUERIES = {
+    "op6_shards": op6_shards,
+    "op8_main_text": op8_main_text,
     "op9_secret_scan": op9_secret_scan,
 }
 
