@@ -77,18 +77,25 @@ class Transducer:
         if len(self._pair) > 20 * self.limit:
             self._pair.clear()
 
+    def _merged(self, token: int) -> bool:
+        """Whether the merges make ``token`` out of its bytes."""
+        whole = self._whole.get(token)
+        if whole is None:
+            whole = self._whole[token] = merge_bytes(self.bytes_of[token], self.ranks) == (token,)
+        return whole
+
     def _follows(self, left: int, right: int) -> bool:
         """Whether ``right`` is one merged token and may stand after ``left``."""
-        whole = self._whole.get(right)
-        if whole is None:
-            whole = self._whole[right] = merge_bytes(self.bytes_of[right], self.ranks) == (right,)
-        if not whole or left < 0:
-            return whole
+        if not self._merged(right) or left < 0:
+            return self._merged(right)
         key = left << 32 | right
         good = self._pair.get(key)
         if good is None:
             data = self.bytes_of[left] + self.bytes_of[right]
-            good = self._pair[key] = merge_bytes(data, self.ranks) == (left, right)
+            joined = self.ranks.get(data)
+            # a pair that makes up one merged token is never left apart
+            good = (joined is None or not self._merged(joined)) and merge_bytes(data, self.ranks) == (left, right)
+            self._pair[key] = good
         return good
 
     def _step(self, state: int, byte: int) -> tuple[int, tuple[int, ...]]:

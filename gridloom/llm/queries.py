@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridloom.llm import secrets as S
+from gridloom.llm import bpe, quality
 from gridloom.llm.html import extract_main_text
 from gridloom.llm.shards import shuffle_into_shards
 
@@ -14,6 +16,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of every document and the text they decode to, as digests."""
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    ids = bpe.encode_text(docs, path, public_tokenizers.PATTERN).select("doc_id", "ids")
+    return bpe.decode_ids(ids, path).select(
+        "doc_id",
+        bpe.token_count().alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def _listed(spans: Column) -> Column:
     return F.array_join(
         F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))),
@@ -61,10 +76,24 @@ def op8_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
 
 
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document by a network fitted outside the held-out fold."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    net = quality.train(docs, table(spark, sf_dir, "labels"))
+    return quality.score_quality(docs, net).select(
+        "doc_id",
+        quality.held_out("doc_id").alias("held_out"),
+        "score",
+        (F.col("score") >= 0.7).cast("int").alias("predicted"),
+    )
+
+
 QUERIES = {
+    "op1_byte_bpe": op1_byte_bpe,
     "op6_shards": op6_shards,
     "op8_main_text": op8_main_text,
     "op9_secret_scan": op9_secret_scan,
+    "op10_quality": op10_quality,
 }
 
 ORACLES: dict[str, str] = {}
