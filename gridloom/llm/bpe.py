@@ -13,6 +13,7 @@ an incremental UTF-8 state machine.
 from __future__ import annotations
 
 import base64
+import gc
 from functools import lru_cache
 
 import numpy as np
@@ -24,8 +25,9 @@ from pyspark.sql import types as T
 
 from gridloom.llm.frames import col
 
-STATES = 100_000  # transitions are forgotten beyond this many states
-PIECES = 300_000  # and encoded pieces beyond this many
+STATES = 60_000  # transitions are forgotten beyond this many states
+PIECES = 150_000  # and encoded pieces beyond this many
+NO_RANK = 1 << 60
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -38,25 +40,36 @@ def merge_bytes(data: bytes, ranks: dict[bytes, int]) -> tuple[int, ...]:
     """Encoding by its definition: merge the leftmost pair of lowest rank, again
     and again."""
     parts = [data[i : i + 1] for i in range(len(data))]
-    while len(parts) > 1:
-        rank, at = min((ranks.get(a + b, 1 << 60), i) for i, (a, b) in enumerate(zip(parts, parts[1:])))
-        if rank == 1 << 60:
+    rank_of = ranks.get
+    pairs = [rank_of(a + b, NO_RANK) for a, b in zip(parts, parts[1:])]
+    while pairs:
+        best = min(pairs)
+        if best == NO_RANK:
             break
-        parts[at : at + 2] = [parts[at] + parts[at + 1]]
+        i = pairs.index(best)
+        joined = parts[i] = parts[i] + parts.pop(i + 1)
+        del pairs[i]
+        if i:
+            pairs[i - 1] = rank_of(parts[i - 1] + joined, NO_RANK)
+        if i < len(pairs):
+            pairs[i] = rank_of(joined + parts[i + 1], NO_RANK)
     return tuple(ranks[p] for p in parts)
 
 
 class Transducer:
-    """Bytes of one piece in, token ids out."""
+    """Bytes of one piece in, packed token ids out."""
 
     def __init__(self, ranks: dict[bytes, int], states: int = STATES) -> None:
         self.ranks, self.limit = ranks, states
         self.bytes_of = {i: b for b, i in ranks.items()}
+        self.packed = {i: i.to_bytes(4, "little") for i in self.bytes_of}
         self.child: dict[int, int] = {}
         self.token: list[int] = [-1]
+        inner = {0}
         for data, rank in ranks.items():
             node = 0
             for byte in data:
+                inner.add(node)
                 key = node << 8 | byte
                 nxt = self.child.get(key)
                 if nxt is None:
@@ -64,17 +77,18 @@ class Transducer:
                     self.token.append(-1)
                 node = nxt
             self.token[node] = rank
+        self.inner = [i in inner for i in range(len(self.token))]
         self._whole: dict[int, bool] = {}
         self._pair: dict[int, bool] = {}
         self._forget()
 
     def _forget(self) -> None:
-        # a hypothesis: output still to agree on, last token (-1: none), trie node
-        start = (((), -1, 0),)
+        # a hypothesis: packed output still to agree on, last token (-1: none), trie node
+        start = ((b"", -1, 0),)
         self.states = [start]
         self.number = {start: 0}
-        self.steps: list[dict[int, tuple[int, tuple[int, ...]]]] = [{}]
-        if len(self._pair) > 20 * self.limit:
+        self.steps: list[dict[int, tuple[int, bytes]]] = [{}]
+        if len(self._pair) > 4 * self.limit:
             self._pair.clear()
 
     def _merged(self, token: int) -> bool:
@@ -86,7 +100,7 @@ class Transducer:
 
     def _follows(self, left: int, right: int) -> bool:
         """Whether ``right`` is one merged token and may stand after ``left``."""
-        if not self._merged(right) or left < 0:
+        if left < 0 or not self._merged(right):
             return self._merged(right)
         key = left << 32 | right
         good = self._pair.get(key)
@@ -98,61 +112,67 @@ class Transducer:
             self._pair[key] = good
         return good
 
-    def _step(self, state: int, byte: int) -> tuple[int, tuple[int, ...]]:
+    def _step(self, state: int, byte: int) -> tuple[int, bytes]:
+        child, token, inner = self.child, self.token, self.inner
         ahead, ended = [], None
         for out, last, node in self.states[state]:
-            nxt = self.child.get(node << 8 | byte)
+            nxt = child.get(node << 8 | byte)
             if nxt is None:
                 continue
-            ahead.append((out, last, nxt))
-            rank = self.token[nxt]
-            if ended is None and rank >= 0 and self._follows(last, rank):
-                ended = (out + (rank,), rank, 0)
+            if inner[nxt]:
+                ahead.append((out, last, nxt))
+            if ended is None:
+                rank = token[nxt]
+                if rank >= 0 and self._follows(last, rank):
+                    ended = (out + self.packed[rank], rank, 0)
         if ended is None:
             raise ValueError(f"no token for byte {byte}")
         ahead.append(ended)
-        shared = min(len(h[0]) for h in ahead)
-        first = ahead[0][0]
-        for out, _, _ in ahead:
-            while out[:shared] != first[:shared]:
-                shared -= 1
-        key = tuple((out[shared:], last, node) for out, last, node in ahead)
+        agreed = ended[0]
+        for h in ahead:
+            out = h[0]
+            while not out.startswith(agreed):
+                agreed = agreed[:-4]
+            if not agreed:
+                break
+        if agreed:
+            cut = len(agreed)
+            ahead = [(out[cut:], last, node) for out, last, node in ahead]
+        key = tuple(ahead)
         number = self.number.get(key)
         if number is None:
             number = self.number[key] = len(self.states)
             self.states.append(key)
             self.steps.append({})
-        found = self.steps[state][byte] = (number, first[:shared])
+        found = self.steps[state][byte] = (number, agreed)
         return found
 
-    def encode(self, data: bytes) -> list[int]:
-        """Ids of one piece; a piece that is a token itself is that token."""
+    def encode(self, data: bytes) -> bytes:
+        """Packed ids of one piece; a piece that is a token itself is that token."""
         rank = self.ranks.get(data)
         if rank is not None:
-            return [rank]
+            return self.packed[rank]
         if len(self.states) > self.limit:
             self._forget()
-        out: list[int] = []
+        out = b""
         state, steps = 0, self.steps
         for byte in data:
             step = steps[state].get(byte) or self._step(state, byte)
             state = step[0]
             if step[1]:
                 out += step[1]
-        if data:
-            out += self.states[state][-1][0]
-        return out
+        return out + self.states[state][-1][0]
 
 
 class _Pieces(dict):
-    """Piece to its ids as little-endian 32-bit numbers, made when first met."""
+    """Piece to its packed ids, made when first met."""
 
     def __init__(self, machine: Transducer, most: int) -> None:
         super().__init__()
         self.machine, self.most = machine, most
 
     def __missing__(self, piece: str) -> bytes:
-        ids = np.array(self.machine.encode(piece.encode()), dtype="<u4").tobytes()
+        ids = self.machine.encode(piece.encode())
         if len(self) >= self.most:
             self.clear()
         if len(piece) <= 64:
@@ -324,7 +344,12 @@ def encode_text(df: DataFrame, path: str, pattern: str, text: str = "text", out:
 
     def encoded(texts: pa.Array) -> pa.Array:
         encode = _encoder(path, pattern).encode
-        return pa.array([encode(t.as_py()) for t in texts], pa.binary())
+        # the caches hold no cycles; looking for some takes longer than the work
+        gc.disable()
+        try:
+            return pa.array([encode(t.as_py()) for t in texts], pa.binary())
+        finally:
+            gc.enable()
 
     return df.withColumn(out, F.arrow_udf(encoded, T.BinaryType())(col(text)))
 
