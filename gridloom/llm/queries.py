@@ -7,8 +7,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridloom.llm import secrets as S
-from gridloom.llm import bpe, quality
+from gridloom.llm import bpe, oracles, quality
 from gridloom.llm.html import extract_main_text
+from gridloom.llm.minhash import near_duplicates
 from gridloom.llm.shards import shuffle_into_shards
 
 
@@ -29,6 +30,11 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose five-word shingles agree by 85 percent."""
+    return near_duplicates(table(spark, sf_dir, "documents"), "doc_id", "text", percent=85, width=5)
+
+
 def _listed(spans: Column) -> Column:
     return F.array_join(
         F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))),
@@ -90,10 +96,11 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
+    "op2_near_duplicates": op2_near_duplicates,
     "op6_shards": op6_shards,
     "op8_main_text": op8_main_text,
     "op9_secret_scan": op9_secret_scan,
     "op10_quality": op10_quality,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op2_near_duplicates": oracles.NEAR_DUPLICATES}
