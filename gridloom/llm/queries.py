@@ -10,6 +10,7 @@ from gridloom.llm import secrets as S
 from gridloom.llm import bpe, oracles, quality
 from gridloom.llm.html import extract_main_text
 from gridloom.llm.minhash import near_duplicates
+from gridloom.llm.mixing import mix_plan
 from gridloom.llm.shards import shuffle_into_shards
 
 
@@ -35,6 +36,14 @@ def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), "doc_id", "text", percent=85, width=5)
 
 
+def op3_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many words the mix takes of every document."""
+    plan = mix_plan(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+    return plan.select(
+        "doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).cast("long").alias("taken"), "source"
+    )
+
+
 def _listed(spans: Column) -> Column:
     return F.array_join(
         F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))),
@@ -97,6 +106,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_near_duplicates": op2_near_duplicates,
+    "op3_mix": op3_mix,
     "op6_shards": op6_shards,
     "op8_main_text": op8_main_text,
     "op9_secret_scan": op9_secret_scan,

@@ -154,3 +154,26 @@ def shingle_hashes(words: np.ndarray, width: int = 5) -> np.ndarray:
         for k in range(1, width):
             h = h * BASE + words[k : n - width + 1 + k]
         return np.unique(mix(h, 2))
+
+
+def word_counts(texts: pa.Array) -> pa.Array:
+    """Number of words of each text; none in a null text."""
+    out, pending, size = [], [], 0
+
+    def flush() -> None:
+        gap = np.full(1, 0x20, dtype=np.uint8)
+        data = np.concatenate([x for p in pending for x in (p, gap)])
+        inside = ~GAP[data]
+        begins = np.concatenate([[0], np.cumsum(inside & ~np.concatenate([[False], inside[:-1]]))])
+        bounds = np.cumsum([len(p) + 1 for p in pending])
+        out.append(np.diff(begins[np.concatenate([[0], bounds])]))
+
+    for data in texts_bytes(texts):
+        if pending and size + len(data) > BLOCK:
+            flush()
+            pending, size = [], 0
+        pending.append(data)
+        size += len(data) + 1
+    if pending:
+        flush()
+    return pa.array(np.concatenate(out) if out else np.zeros(0, np.int64), pa.int64())
