@@ -5,9 +5,9 @@ once more with the probability that is left. That last choice is balanced: the
 flight phase moves the probabilities of three documents at a time along the one
 direction that changes neither their expected count nor their expected words, until
 one of them is decided. Blocks of a source fly on their own and leave two
-undecided documents at most; these fly again together, level by level, until two
-are left for a whole source. The landing decides them with the count kept if
-possible. Long documents fly first, so what lands is short.
+undecided documents at most; these fly again together, level by level, until one
+block is left for a whole source. There a dozen documents of all lengths wait, and
+the landing tries every choice of them and of the two that the flight leaves.
 """
 
 from __future__ import annotations
@@ -28,6 +28,8 @@ from gridloom.plans.numbering import number_rows
 BLOCK_UNITS = 20_000  # documents of one source that fly together
 MOST = 3  # a document is taken three times at most
 EPS = 1e-9
+LANDING = 12  # documents that wait for the landing, beside the two the flight leaves
+COUNT_SHARE = 0.02  # weight of a document too many against the words of one
 
 
 def word_count(text: Column) -> Column:
@@ -69,17 +71,17 @@ def flight(p: np.ndarray, size: np.ndarray, rng: np.random.Generator) -> np.ndar
     return out
 
 
-def landing(p: np.ndarray, rng: np.random.Generator) -> np.ndarray:
-    """Decide the last documents: two at a time with the count kept, the last by
-    its probability alone."""
-    out = p.copy()
-    live = [i for i in range(len(out)) if EPS < out[i] < 1 - EPS]
-    while len(live) >= 2:
-        moved = _move([out[live[0]], out[live[1]]], (1.0, -1.0), rng.random())
-        out[live[0]], out[live[1]] = moved
-        live = [i for i in live if 0 < out[i] < 1]
-    for i in live:
-        out[i] = 1.0 if rng.random() < out[i] else 0.0
+def landing(p: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Decide the last documents, a few, by the choice whose words and count come
+    nearest to what is expected of them; the words weigh more."""
+    out, sizes = p.copy(), size.astype("f8")
+    live = np.flatnonzero((out > EPS) & (out < 1 - EPS))
+    if len(live):
+        chosen = (np.arange(1 << len(live))[:, None] >> np.arange(len(live)) & 1).astype("f8")
+        words = chosen @ sizes[live] - out[live] @ sizes[live]
+        count = chosen.sum(axis=1) - out[live].sum()
+        scale = max(float(sizes[live].mean()), 1.0)
+        out[live] = chosen[np.argmin((words / scale) ** 2 + (COUNT_SHARE * count) ** 2)]
     return np.round(out)
 
 
@@ -88,9 +90,16 @@ def _fly(seed: int, last: bool) -> Callable[[pa.Table], pa.Table]:
         group = group.sort_by([("size", "descending"), ("order", "ascending"), ("copy", "ascending")])
         first = group.slice(0, 1).to_pylist()[0]
         rng = np.random.default_rng([seed, first["place"], first["block"], len(group)])
-        p = flight(group["p"].to_numpy(), group["size"].to_numpy(), rng)
+        p, size = group["p"].to_numpy().copy(), group["size"].to_numpy()
         if last:
-            p = landing(p, rng)
+            # documents of all lengths wait for the landing
+            live = np.flatnonzero((p > EPS) & (p < 1 - EPS))
+            wait = live[np.unique(np.linspace(0, len(live) - 1, LANDING).astype(int))] if len(live) else live
+            fly = np.setdiff1d(np.arange(len(p)), wait)
+            p[fly] = flight(p[fly], size[fly], rng)
+            p = landing(p, size)
+        else:
+            p = flight(p, size, rng)
         return group.set_column(group.column_names.index("p"), "p", pa.array(p, pa.float64()))
 
     return fly
