@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from gridloom.llm import secrets as S
 from gridloom.llm import bpe, oracles, quality
+from gridloom.llm.ann import nearest_neighbours
 from gridloom.llm.html import extract_main_text
 from gridloom.llm.minhash import near_duplicates
 from gridloom.llm.mixing import mix_plan
@@ -44,6 +45,11 @@ def op3_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ten nearest vectors of every hundredth vector, among all others."""
+    return nearest_neighbours(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, found=10)
+
+
 def _listed(spans: Column) -> Column:
     return F.array_join(
         F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))),
@@ -107,6 +113,7 @@ QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_near_duplicates": op2_near_duplicates,
     "op3_mix": op3_mix,
+    "op4_neighbours": op4_neighbours,
     "op6_shards": op6_shards,
     "op8_main_text": op8_main_text,
     "op9_secret_scan": op9_secret_scan,
