@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from gridloom.llm import secrets as S
 from gridloom.llm import bpe, oracles, quality
 from gridloom.llm.ann import nearest_neighbours
+from gridloom.llm.embed_dedup import near_duplicate_vectors
 from gridloom.llm.html import extract_main_text
 from gridloom.llm.minhash import near_duplicates
 from gridloom.llm.mixing import mix_plan
@@ -50,6 +51,11 @@ def op4_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest_neighbours(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, found=10)
 
 
+def op5_vector_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of vectors whose cosine is at least 0.9."""
+    return near_duplicate_vectors(table(spark, sf_dir, "embeddings"), threshold=0.9)
+
+
 def _listed(spans: Column) -> Column:
     return F.array_join(
         F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))),
@@ -114,10 +120,14 @@ QUERIES = {
     "op2_near_duplicates": op2_near_duplicates,
     "op3_mix": op3_mix,
     "op4_neighbours": op4_neighbours,
+    "op5_vector_duplicates": op5_vector_duplicates,
     "op6_shards": op6_shards,
     "op8_main_text": op8_main_text,
     "op9_secret_scan": op9_secret_scan,
     "op10_quality": op10_quality,
 }
 
-ORACLES: dict[str, str] = {"op2_near_duplicates": oracles.NEAR_DUPLICATES}
+ORACLES: dict[str, str] = {
+    "op2_near_duplicates": oracles.NEAR_DUPLICATES,
+    "op5_vector_duplicates": oracles.EMBEDDING_DUPLICATES,
+}
