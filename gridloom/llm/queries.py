@@ -11,6 +11,7 @@ from gridloom.llm import bpe, oracles, quality
 from gridloom.llm.ann import nearest_neighbours
 from gridloom.llm.embed_dedup import near_duplicate_vectors
 from gridloom.llm.html import extract_main_text
+from gridloom.llm.lm import score_documents
 from gridloom.llm.minhash import near_duplicates
 from gridloom.llm.mixing import mix_plan
 from gridloom.llm.shards import shuffle_into_shards
@@ -56,6 +57,11 @@ def op5_vector_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicate_vectors(table(spark, sf_dir, "embeddings"), threshold=0.9)
 
 
+def op7_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language-model scores of every document, learned outside the held-out fold."""
+    return score_documents(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def _listed(spans: Column) -> Column:
     return F.array_join(
         F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))),
@@ -122,6 +128,7 @@ QUERIES = {
     "op4_neighbours": op4_neighbours,
     "op5_vector_duplicates": op5_vector_duplicates,
     "op6_shards": op6_shards,
+    "op7_lm_scores": op7_lm_scores,
     "op8_main_text": op8_main_text,
     "op9_secret_scan": op9_secret_scan,
     "op10_quality": op10_quality,
