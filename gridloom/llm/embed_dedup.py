@@ -3,15 +3,17 @@
 Equal vectors are one node. Every node starts with its nearest among those that
 share its nearest signed axes under some rotations. A refinement joins each node's
 neighbours, and those that name it as theirs, with each other, and keeps the best
-for every list. Threshold edges of the lists make components. Lists that are full
-of such edges are saturated: they are enlarged to all that neighbours of neighbours
-reach, their component, which is compared in blocks, so that only counts leave a
-task. Recall is audited on some nodes against every vector, and if any of their
-links is missing the descent goes on from further rotations.
+for every list. Threshold edges of the lists make components. A list full of such
+edges is saturated: it is enlarged by all that neighbours of neighbours reach, its
+component, which is compared in blocks so that only counts leave a task; and the
+list itself then takes only nodes of other components. Recall is audited on some
+nodes against every vector, and if a link of theirs is missing the descent goes on
+from further rotations.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 import numpy as np
@@ -28,7 +30,7 @@ from gridloom.plans.joins import join_dimension, settle, store
 
 NEIGHBOURS = 6  # length of a list
 TABLES = 6  # rotations a round starts from
-ROUNDS, REFINEMENTS = 6, 2
+ROUNDS, REFINEMENTS = 10, 2
 BUCKET = 256  # nodes of a start bucket compared with each other
 BLOCK = 512
 AUDITED = 256  # nodes an audit compares with every vector, about
@@ -44,19 +46,21 @@ def unit(vectors: pa.Array) -> np.ndarray:
 
 
 def _best_of_bucket(most: int) -> Callable[[pa.Table], pa.Table]:
-    """The nearest of each node within one bucket."""
+    """The nearest of each node within one bucket, of other components."""
 
     def best(group: pa.Table) -> pa.Table:
         x, node = unit(group["vector"]), group["node"].to_numpy()
-        cos = x @ x.T
-        np.fill_diagonal(cos, -2)
+        root = group["root"].to_numpy()
+        cos = np.where(root[:, None] == root[None, :], -2, x @ x.T)
         k = min(most, len(node) - 1)
         near = np.argpartition(-cos, k - 1, axis=1)[:, :k] if k > 0 else np.zeros((len(node), 0), int)
+        best = np.take_along_axis(cos, near, 1)
+        i, j = np.nonzero(best > -2)
         return pa.table(
             {
-                "node": pa.array(np.repeat(node, k), pa.int64()),
-                "near": pa.array(node[near].reshape(-1), pa.int64()),
-                "cos": pa.array(np.take_along_axis(cos, near, 1).reshape(-1), pa.float64()),
+                "node": pa.array(node[i], pa.int64()),
+                "near": pa.array(node[near[i, j]], pa.int64()),
+                "cos": pa.array(best[i, j], pa.float64()),
             }
         )
 
@@ -70,18 +74,16 @@ ARROW_JOINED = pa.list_(pa.struct([("node", pa.int64()), ("near", pa.int64()), (
 
 
 def _local_join(groups: pa.Array) -> pa.Array:
-    """Pairs within each group of neighbours that would enter a list: better than
-    the worst the node has."""
+    """Pairs within each group of neighbours that would enter a list: of different
+    components, and better than the worst the node has."""
     out = []
     for group in groups:
         members = group.values
         node, worst = members.field("node").to_numpy(), members.field("worst").to_numpy()
+        root = members.field("root").to_numpy()
         x = unit(members.field("vector"))
-        cos = x @ x.T
-        np.fill_diagonal(cos, -2)
+        cos = np.where(root[:, None] == root[None, :], -2, x @ x.T)
         i, j = np.nonzero(cos > worst[:, None])
-        keep = node[i] != node[j]
-        i, j = i[keep], j[keep]
         out.append([{"node": a, "near": b, "cos": c} for a, b, c in zip(node[i].tolist(), node[j].tolist(), cos[i, j].tolist())])
     return pa.array(out, ARROW_JOINED)
 
@@ -93,31 +95,40 @@ def _top(pairs: DataFrame, most: int) -> DataFrame:
     return lists.select("node", F.explode("l").alias("l")).select("node", "l.near", "l.cos")
 
 
-def _start(nodes: DataFrame, most: int, seed: int) -> DataFrame:
-    codes = F.arrow_udf(axis_codes(TABLES, 2, seed), CODES)
-    filed = nodes.select("node", "vector", F.posexplode(codes("vector")).alias("tab", "code"))
-    filed = filed.select("node", "vector", F.xxhash64(F.size("vector"), "tab", "code").alias("bucket"), "tab")
+def _depth(nodes: DataFrame) -> int:
+    """Axes per code, so that a bucket of evenly spread vectors has about ``BUCKET``
+    nodes."""
+    r = nodes.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.avg(F.size("vector")), F.lit(2)).alias("d")).first()
+    return max(1, round(math.log(max(r["n"] / BUCKET, 1)) / math.log(max(2 * r["d"], 2))))
+
+
+def _start(nodes: DataFrame, most: int, depth: int, seed: int) -> DataFrame:
+    codes = F.arrow_udf(axis_codes(TABLES, depth, seed), CODES)
+    filed = nodes.select("node", "root", "vector", F.posexplode(codes("vector")).alias("tab", "code"))
+    filed = filed.select("node", "root", "vector", F.xxhash64(F.size("vector"), "tab", "code").alias("bucket"), "tab")
     sizes = filed.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     sizes = settle(sizes.select("bucket", F.ceil(F.col("size") / BUCKET).cast("int").alias("parts")))
     filed = join_dimension(filed, sizes, ["bucket"], settled=True, spread="node")
     part = F.pmod(F.xxhash64("node", "tab", F.lit(seed)), F.col("parts")).alias("part")
     best = _best_of_bucket(most)
-    return filed.select("bucket", part, "node", "vector").groupBy("bucket", "part").applyInArrow(best, LISTS)
+    return filed.select("bucket", part, "node", "root", "vector").groupBy("bucket", "part").applyInArrow(best, LISTS)
 
 
-def _refine(nodes: DataFrame, lists: DataFrame, most: int, seed: int) -> DataFrame:
-    """One round of joins between neighbours of neighbours."""
-    forth = lists.select(F.col("node").alias("at"), F.col("near").alias("node"))
+def _refine(nodes: DataFrame, lists: DataFrame, inner: DataFrame, most: int, seed: int) -> DataFrame:
+    """One round of joins between neighbours of neighbours; ``inner`` has neighbours
+    of the same component, which only lead to others."""
+    named = lists.unionByName(inner)
+    forth = named.select(F.col("node").alias("at"), F.col("near").alias("node"))
     # of those that name a node, one for each of `most` places
     place = F.pmod(F.xxhash64("node", F.lit(seed)), F.lit(most)).alias("place")
-    back = lists.groupBy(F.col("near").alias("at"), place).agg(F.min(F.struct(F.xxhash64("node", F.lit(seed)), "node")).alias("m"))
+    back = named.groupBy(F.col("near").alias("at"), place).agg(F.min(F.struct(F.xxhash64("node", F.lit(seed)), "node")).alias("m"))
     back = back.select("at", F.col("m.node").alias("node"))
-    own = lists.select(F.col("node").alias("at"), "node").distinct()
+    own = named.select(F.col("node").alias("at"), "node").distinct()
     around = forth.unionByName(back).unionByName(own).distinct()
     bounds = lists.groupBy("node").agg(F.when(F.count(F.lit(1)) >= most, F.min("cos")).otherwise(-1.5).alias("worst"))
-    known = nodes.select("node", "vector").join(bounds, "node", "left").select("node", "vector", F.coalesce("worst", F.lit(-1.5)).alias("worst"))
+    known = nodes.select("node", "root", "vector").join(bounds, "node", "left").select("node", "root", "vector", F.coalesce("worst", F.lit(-1.5)).alias("worst"))
     met = around.join(known, "node")
-    joined = met.groupBy("at", F.size("vector").alias("length")).agg(F.collect_list(F.struct("node", "worst", "vector")).alias("group"))
+    joined = met.groupBy("at", F.size("vector").alias("length")).agg(F.collect_list(F.struct("node", "root", "worst", "vector")).alias("group"))
     pairs = joined.where(F.size("group") > 1).select(F.explode(F.arrow_udf(_local_join, JOINED)("group")).alias("p")).select("p.*")
     return _top(lists.unionByName(pairs), most)
 
@@ -221,19 +232,26 @@ def near_duplicate_vectors(
     rows = df.select(col(key).alias("key"), F.when(sound(col(vector)), col(vector)).alias("vector"))
     same = rows.where(F.col("vector").isNotNull()).groupBy("vector").agg(F.min("key").alias("rep"), F.count(F.lit(1)).alias("copies"))
     nodes = store(same.withColumn("node", F.monotonically_increasing_id()))
-    lists = None
+    depth = _depth(nodes)
+    roots = nodes.select("node", F.col("node").alias("root")).limit(0)
+    empty = nodes.select("node", F.col("node").alias("near"), F.lit(1.0).alias("cos")).limit(0)
+    lists, inner, links = empty, empty, empty
     for r in range(rounds):
-        begun = _start(nodes, NEIGHBOURS, seed + 100 * r)
-        # links found before stay whatever a new start finds
-        lists = store(_top(begun if lists is None else begun.unionByName(lists), NEIGHBOURS))
+        placed = store(nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")))
+        lists = store(_top(_start(placed, NEIGHBOURS, depth, seed + 100 * r).unionByName(lists), NEIGHBOURS))
         for i in range(REFINEMENTS):
-            lists = store(_refine(nodes, lists, NEIGHBOURS, seed + 100 * r + i))
-        edges = lists.where(F.col("cos") >= threshold).select(F.col("node").alias("a"), F.col("near").alias("b"))
-        links = edges if r == 0 else links.unionByName(edges)
-        roots = components(links)
+            lists = store(_refine(placed, lists, inner, NEIGHBOURS, seed + 100 * r + i))
+        links = store(links.unionByName(lists.where(F.col("cos") >= threshold)))
+        roots = components(links, "node", "near")
         linked = settle(_links_within(nodes, roots, threshold))
         if _audit(nodes, linked, threshold, seed + r):
             break
+        # from now on lists are of other components; the nearest links lead on
+        inner = store(_top(links, NEIGHBOURS))
+        here, there = roots.toDF("node", "ra"), roots.toDF("near", "rb")
+        apart = lists.join(here, "node", "left").join(there, "near", "left")
+        apart = apart.where(F.coalesce("ra", "node") != F.coalesce("rb", "near"))
+        lists = store(apart.select("node", "near", "cos"))
     named = nodes.select("node", "rep", "copies", "vector").join(roots, "node", "left").join(linked, "node", "left")
     named = named.withColumn("root", F.coalesce("root", "node"))
     least = settle(named.groupBy("root").agg(F.min("rep").alias("least")))

@@ -25,7 +25,7 @@ from gridloom.llm.words import word_counts
 from gridloom.plans.joins import join_dimension, settle, store
 from gridloom.plans.numbering import number_rows
 
-BLOCK_UNITS = 20_000  # documents of one source that fly together
+BLOCK_UNITS = 2_000  # documents of one source that fly together
 MOST = 3  # a document is taken three times at most
 EPS = 1e-9
 LANDING = 12  # documents that wait for the landing, beside the two the flight leaves

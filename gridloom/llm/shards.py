@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gridloom.llm.frames import col, scratch
+from gridloom.llm.frames import col
 from gridloom.plans.joins import join_dimension, settle, store
 
 BUCKET_BYTES = 16 * 1024 * 1024
@@ -35,12 +35,12 @@ def fisher_yates(n: int, seed: list[int]) -> np.ndarray:
     return np.array(order, dtype=np.int64)
 
 
-def _shuffle_bucket(seed: int, bucket: str, at: str) -> Callable[[pa.Table], pa.Table]:
+def _shuffle_bucket(seed: int) -> Callable[[pa.Table], pa.Table]:
     def shuffled(group: pa.Table) -> pa.Table:
-        group = group.take(pc.sort_indices(group, sort_keys=[(at, "ascending")]))
-        order = fisher_yates(len(group), [seed, group[bucket][0].as_py()])
+        group = group.take(pc.sort_indices(group, sort_keys=[("place", "ascending")]))
+        order = fisher_yates(len(group), [seed, group["bucket"][0].as_py()])
         group = group.take(pa.array(order))
-        return group.set_column(group.column_names.index(at), at, pa.array(np.arange(len(group)), pa.int64()))
+        return group.set_column(group.column_names.index("place"), "place", pa.array(np.arange(len(group)), pa.int64()))
 
     return shuffled
 
@@ -75,24 +75,25 @@ def shuffle_into_shards(
     called ``shard`` or ``slot`` are replaced.
     """
     df = df.drop("shard", "slot")
-    bucket, at = scratch(df, "bucket", "place")
     total = df.agg(F.sum(record_bytes(df)).alias("b")).first()["b"] or 0
     buckets = max(1, -(-total // bucket_bytes))
-    scattered = df.withColumn(at, F.monotonically_increasing_id()).withColumn(
-        bucket, F.pmod(F.xxhash64(F.lit(seed), *[col(k) for k in keys], col(at)), F.lit(buckets)).cast("long")
+    place = F.monotonically_increasing_id()
+    scattered = df.select(
+        F.struct(*[col(c) for c in df.columns]).alias("record"),
+        place.alias("place"),
+        F.pmod(F.xxhash64(F.lit(seed), *[col(k) for k in keys], place), F.lit(buckets)).cast("long").alias("bucket"),
     )
-    written = store(scattered.groupBy(bucket).applyInArrow(_shuffle_bucket(seed, bucket, at), scattered.schema))
-    before = Window.orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
-    counts = settle(written.groupBy(bucket).agg(F.count(F.lit(1)).alias("n")))
+    written = store(scattered.groupBy("bucket").applyInArrow(_shuffle_bucket(seed), scattered.schema))
+    before = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    counts = settle(written.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")))
     rows = counts.agg(F.sum("n").alias("n")).first()["n"] or 0
-    first = counts.select(bucket, F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_first"))
-    placed = join_dimension(written, first, [bucket], spread=at)
-    position = col("_first") + col(at)
+    first = counts.select("bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
+    placed = join_dimension(written, first, ["bucket"], spread="place")
     # the rows of shard s begin at ceil(s * rows / shards)
-    shard = F.expr(f"(_first + `{at}`) * {shards} div {max(rows, 1)}").cast("int")
-    placed = placed.withColumn("shard", shard)
+    placed = placed.withColumn("position", F.col("first") + F.col("place"))
+    placed = placed.withColumn("shard", F.expr(f"position * {shards} div {max(rows, 1)}").cast("int"))
     start = F.expr(f"(cast(shard as bigint) * {rows} + {shards - 1}) div {shards}")
-    return placed.withColumn("slot", (position - start).cast("long")).drop(bucket, at, "_first")
+    return placed.select("record.*", "shard", (F.col("position") - start).cast("long").alias("slot"))
 
 
 def write_shards(placed: DataFrame, path: str) -> None:
