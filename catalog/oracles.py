@@ -7,7 +7,6 @@ definitions, reached another way.
 
 from __future__ import annotations
 
-from gridloom.plans.metadata import AXES
 
 # -- fixtures --------------------------------------------------------------------
 
@@ -424,6 +423,8 @@ FROM full_grid f LEFT JOIN (SELECT CAST(band AS VARCHAR) AS layer, row, col, val
   ON v.layer=f.layer AND v.row=f.row AND v.col=f.col""").replace("\n, full_grid", ", full_grid")
 oracle("pack_chunks", RASTER, select="""
 SELECT band, row//40 AS chunk_row, col//40 AS chunk_col, (row%40)*40+col%40 AS pos, value FROM ras""")
+oracle("export_encoding", select="""
+SELECT CAST(p_partkey AS BIGINT) AS code, p_name||' '||p_partkey AS category FROM part""")
 oracle("category_map", POLY, FIRST_CODES, select="SELECT layer, 'category' AS var, category, code FROM codes")
 oracle("infer_resolution", RASTER, RASTER_SPEC, AXIS_TABLE, select="""
 SELECT abs(max(label)-min(label)) AS resolution FROM (
@@ -445,9 +446,11 @@ oracle("index_matches", RASTER, select="""
 SELECT band, row, col, row_number() OVER (PARTITION BY band ORDER BY row, col)-1 AS match FROM ras WHERE NOT isnan(value)""")
 oracle("sort_latitude", RASTER, select="SELECT band, ny-1-row AS row, col, value FROM ras, g")
 oracle("sample_cell", RASTER, select="""
-SELECT row, col, value FROM (
-  SELECT row, col, value, (row*2654435761+col*40503+7*69069)%2147483647 AS k FROM ras WHERE band=1 AND NOT isnan(value))
-ORDER BY (k*k)%2147483647, row, col LIMIT 1""")
+SELECT seed::BIGINT AS seed, band, row, col, value FROM (
+  SELECT seed, band, row, col, value, row_number() OVER (
+    PARTITION BY seed ORDER BY md5(concat_ws(':', seed, band, row, col)), band, row, col) AS i
+  FROM ras, (VALUES (0), (7), (8)) s(seed) WHERE NOT isnan(value))
+WHERE i = 1""")
 
 # -- set operations ----------------------------------------------------------------------
 
@@ -484,7 +487,13 @@ SELECT page_id, 'Converted from '||title||', downloaded from '||url||', on 2024-
 
 
 def _fixed_rows() -> str:
-    return ",".join(f"('{a}','{k}','{v}')" for a, kv in AXES.items() for k, v in kv.items())
+    # fixed values of the convention, written out apart from the library
+    return (
+        "('latitude','_CoordinateAxisType','Lat'),('latitude','axis','Y'),('latitude','long_name','latitude'),"
+        "('latitude','standard_name','latitude'),('latitude','units','degrees_north'),"
+        "('longitude','_CoordinateAxisType','Lon'),('longitude','axis','X'),('longitude','long_name','longitude'),"
+        "('longitude','standard_name','longitude'),('longitude','units','degrees_east')"
+    )
 
 
 oracle("axis_metadata", *GRID, AXIS_TABLE, select=f"""
@@ -534,9 +543,9 @@ FROM (
   UNION ALL SELECT layer, 'unknown', 'not in schema', 0, count(*) FROM poly GROUP BY layer)""")
 
 PICKED = f"""
-sand AS (SELECT w.*, (row*2654435761+col*40503)%2147483647 AS k FROM winners w JOIN poly p USING (fid) WHERE p.size=20),
+sand AS (SELECT w.*, md5(concat_ws(':', '0', row, col)) AS k FROM winners w JOIN poly p USING (fid) WHERE p.size=20),
 pick AS (SELECT layer, row, col FROM (
-  SELECT layer, row, col, row_number() OVER (PARTITION BY layer ORDER BY (k*k)%2147483647, row, col) AS i FROM sand) WHERE i=1),
+  SELECT layer, row, col, row_number() OVER (PARTITION BY layer ORDER BY k, row, col) AS i FROM sand) WHERE i=1),
 zone AS (
   SELECT layer AS zone_id, {label('col','lon_min','lon_max','nx')} AS cx, {label('row','lat_max','lat_min','ny')} AS cy,
     CAST(0.1 AS DOUBLE) AS radius FROM pick JOIN spec USING (layer))"""

@@ -171,6 +171,11 @@ def write_array_store(spark, d):
     cells, g = raster_on_grid(spark, d)
     spec = spark.range(1).select(F.lit("raster").alias("layer")).withColumns(g.columns())
     path = fresh_path(spark, "arrays")
+    # a full export first, then the real one over it: only the second may be left
+    full = align.pack_chunks(cells.withColumn("value", F.lit(1.0)), ["value"], CHUNK, ["band"]).withColumns(
+        {"layer": F.lit("raster"), "var": F.concat(F.lit("value_"), F.col("band"))}
+    )
+    array_store.write_array_store(full.drop("band"), spec, "raster", {}, path, CHUNK)
     array_store.write_array_store(
         _raster_chunks(spark, d), spec, "raster", {"title": "raster"}, path, CHUNK
     )
@@ -196,6 +201,25 @@ def write_array_store(spark, d):
     return objects.mapInPandas(decode, "var string, row bigint, col bigint, value double")
 
 
+@query
+def export_encoding(spark, d):
+    """Codes of every part's name, exported as objects and read back."""
+    named = X.table(spark, d, "part").select(
+        F.lit("parts").alias("layer"), F.lit("name").alias("var"), F.concat_ws(" ", "p_name", "p_partkey").alias("category"),
+        F.col("p_partkey").cast("long").alias("code"),
+    )
+    spec = spark.range(1).select(F.lit("parts").alias("layer")).withColumns(raster_on_grid(spark, d)[1].columns())
+    path = fresh_path(spark, "encoding")
+    chunk = spark.range(1).select(
+        F.lit("parts").alias("layer"), F.lit("name").alias("var"), F.lit(0).cast("long").alias("chunk_row"),
+        F.lit(0).cast("long").alias("chunk_col"), F.lit(CHUNK).alias("chunk"), F.array(F.lit(0)).alias("pos"),
+        F.array(F.lit(1.0).cast("float")).alias("vals"),
+    )
+    rows = M.encoding_metadata(named)
+    array_store.write_array_store(chunk, spec, "parts", {}, path, CHUNK, encodings=M.encoding_rows(rows, "parts"))
+    return array_store.read_encoding(spark, path, "name").select("code", "category")
+
+
 @query
 def stack_bands(spark, d):
     """Each band staged as one strip, read again and stacked."""
@@ -527,7 +551,7 @@ def pack_chunks(spark, d):
 
 @query
 def category_map(spark, d):
-    maps = encode.category_map(encode.codes_first_seen(X.polygons(spark, d), ["category"]))
+    maps = encode.category_map(encode.codes_first_seen(X.polygons(spark, d), ["category"]), part_size=10)
     return maps.select("layer", "var", F.explode("encoding").alias("category", "code"))
 
 
@@ -572,8 +596,15 @@ def sort_latitude(spark, d):
 
 @query
 def sample_cell(spark, d):
-    valid = lookup.mask_valid(lookup.select_band(X.raster(spark, d), 1), "value")
-    return lookup.sample_cell(valid, seed=7).select(*as_long("row", "col"), "value")
+    """One cell of all bands for each of several seeds."""
+    valid = lookup.mask_valid(X.raster(spark, d), "value")
+    picks = [
+        lookup.sample_cell(valid, seed, ("band", "row", "col")).select(
+            F.lit(seed).cast("long").alias("seed"), *as_long("band", "row", "col"), "value"
+        )
+        for seed in (0, 7, 8)
+    ]
+    return picks[0].unionByName(picks[1]).unionByName(picks[2])
 
 
 # -- set operations ------------------------------------------------------------------
@@ -740,5 +771,6 @@ def convert_layers_tiled(spark, d):
 @query
 def convert_raster(spark, d):
     cells, g = raster_on_grid(spark, d)
-    chunks, _ = convert.grid_raster(cells, g, "depth_ratio", CHUNK, "raster", "orders", "file:///orders.zip", day=DAY)
-    return align.unpack_chunks(chunks).select("layer", "var", *as_long("row", "col"), "value")
+    path = fresh_path(spark, "raster")
+    convert.write_raster(cells, g, "depth_ratio", CHUNK, "raster", "orders", "file:///orders.zip", path, day=DAY)
+    return convert.read_cells(spark, path).select("layer", "var", *as_long("row", "col"), "value")

@@ -14,6 +14,7 @@ from gridloom.operators.tiles import tile_pairs
 from gridloom.plans.joins import join_dimension, settle
 from gridloom.plans.numbering import WINDOW_ROWS, number_rows
 
+FLOAT32_CODES = 1 << 24
 KEY_COLUMNS = ("fid", "layer", "geom_type", "rings", *BOX_COLUMNS, SIZE_COLUMN)
 
 
@@ -119,8 +120,14 @@ def apply_codes(
     clean: str = "basic",
     settled: bool = False,
 ) -> DataFrame:
-    """Replace each categorical variable by its float32 code."""
+    """Replace each categorical variable by its float32 code.
+
+    Codes beyond the integers that float32 tells apart are an error.
+    """
     table = codes if settled else settle(codes)
+    most = table.agg(F.max("code").alias("m")).first()["m"] or 0
+    if most > FLOAT32_CODES:
+        raise ValueError(f"{most} categories; float32 tells only {FLOAT32_CODES} codes apart")
 
     def one(df: DataFrame, v: str) -> DataFrame:
         dim = table.where(F.col("var") == v).select(
@@ -134,15 +141,11 @@ def apply_codes(
     return reduce(one, variables, features).select(*order)
 
 
-# A map holds at most this many categories.
-MAP_CATEGORIES = 10_000
-
-
-def category_map(codes: DataFrame, part_size: int = MAP_CATEGORIES) -> DataFrame:
+def category_map(codes: DataFrame, part_size: int) -> DataFrame:
     """Maps ``category -> code`` per layer and variable, for metadata.
 
-    Codes are consecutive, so they are cut into parts of ``part_size``: an
-    ordinary encoding is one map (part 0), a very large one several.
+    Codes are consecutive; map ``part`` holds those from ``part * part_size + 1``
+    on, at most ``part_size`` of them, so no map grows with the encoding.
     """
     part = F.floor((F.col("code") - 1) / F.lit(part_size)).cast("int").alias("part")
     return codes.groupBy("layer", "var", part).agg(

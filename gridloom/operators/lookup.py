@@ -11,9 +11,6 @@ from gridloom.functions import values as V
 from gridloom.operators.grid import SPEC_COLUMNS, RasterGrid
 from gridloom.plans.joins import join_skewed
 
-# Fixed values of the seeded pick: multipliers and a prime modulus.
-PICK_ROW, PICK_COL, PICK_SEED, PICK_MOD = 2654435761, 40503, 69069, 2147483647
-
 
 def mask_equals(df: DataFrame, variable: str, value: float) -> DataFrame:
     return df.where(F.col(variable) == F.lit(value))
@@ -100,16 +97,15 @@ def index_matches(matches: DataFrame, group: list[str]) -> DataFrame:
     )
 
 
-def pick_key(row: Column, col: Column, seed: int) -> Column:
-    """Repeatable pseudo-random order of cells."""
-    mixed = (row.cast("long") * PICK_ROW + col.cast("long") * PICK_COL + int(seed) * PICK_SEED) % PICK_MOD
-    return (mixed * mixed) % PICK_MOD
+def pick_key(seed: int, *at: str) -> Column:
+    """Repeatable pseudo-random order of cells: a digest of the seed and the cell's place."""
+    return F.md5(F.concat_ws(":", F.lit(str(int(seed))), *[F.col(c).cast("string") for c in at]))
 
 
-def sample_cell(matches: DataFrame, seed: int = 0) -> DataFrame:
-    """One matching cell, chosen by the seeded order."""
-    key = pick_key(F.col("row"), F.col("col"), seed)
-    return matches.withColumn("_key", key).orderBy("_key", "row", "col").limit(1).drop("_key")
+def sample_cell(matches: DataFrame, seed: int = 0, at: tuple[str, ...] = ("row", "col")) -> DataFrame:
+    """One matching cell, every one with the same chance; ``at`` names the columns
+    that tell cells apart."""
+    return matches.withColumn("_key", pick_key(seed, *at)).orderBy("_key", *at).limit(1).drop("_key")
 
 
 def variable_max(df: DataFrame, variable: str, group: list[str]) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gridloom.functions import geometry as G
 from gridloom.functions import values as V
@@ -21,7 +22,7 @@ def circle_zones(zones: DataFrame, quarter_segments: int = 16) -> DataFrame:
 def features_in_circle(
     zones: DataFrame,
     features: DataFrame,
-    bucket: float = 0.5,
+    bucket: float | None = None,
     same: tuple[str, ...] = (),
     broadcast_bytes: int = BROADCAST_BYTES,
     quarter_segments: int | None = None,
@@ -30,9 +31,13 @@ def features_in_circle(
     two must share. With ``quarter_segments`` the disc is a polygon with that
     many sides per quarter, as buffering libraries make it (16 is usual).
 
-    Boxes are matched first, without geometry; then the few candidate pairs
+    ``bucket`` is the side of the squares boxes are matched in, by default twice
+    the largest radius. Boxes are matched first, without geometry; then the few candidate pairs
     meet the rings, which are read once and copied only for actual candidates.
     """
+    if bucket is None:
+        widest = zones.agg(F.max("radius").alias("r")).first()["r"]
+        bucket = 2.0 * widest if widest else 1.0
     pairs = store(_box_pairs(zones, features, bucket, same, broadcast_bytes))
     skip = {*G.BOX_COLUMNS, G.SIZE_COLUMN, *zones.columns} - {"layer"}
     wanted = features.select(*[c for c in features.columns if c not in skip])
@@ -110,11 +115,12 @@ def majority(df: DataFrame, group: list[str], value: str, nodata: float | None =
     record per distinct value.
     """
     v = F.col(value)
-    kept = df.where(V.has_value(v))
+    floating = isinstance(df.schema[value].dataType, (T.FloatType, T.DoubleType))
+    kept = df.where(V.has_value(v) if floating else v.isNotNull())
     if nodata is not None:
         kept = kept.where(v != F.lit(nodata))
     counts = kept.groupBy(*group, v.alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
-    best = F.max(F.struct(F.col("_n"), (-F.col("_v")).alias("_m")))
+    best = F.min(F.struct((-F.col("_n")).alias("_m"), F.col("_v"), F.col("_n")))
     return counts.groupBy(*group).agg(best.alias("_b")).select(
-        *group, (-F.col("_b._m")).alias("majority"), F.col("_b._n").alias("n")
+        *group, F.col("_b._v").alias("majority"), F.col("_b._n").alias("n")
     )

@@ -28,7 +28,7 @@ def sample_per_layer(cells: DataFrame, variable: str, seed: int = 0) -> DataFram
     The lowest key is found first, so only cells with that key are compared.
     """
     keyed = cells.select(
-        "layer", "row", "col", variable, pick_key(F.col("row"), F.col("col"), seed).alias("_key")
+        "layer", "row", "col", variable, pick_key(seed, "row", "col").alias("_key")
     )
     lowest = keyed.groupBy("layer").agg(F.min("_key").alias("_lowest"))
     near = join_dimension(keyed, lowest, ["layer"], spread="row").where(F.col("_key") == F.col("_lowest"))
@@ -89,6 +89,6 @@ def check_conversion(
             F.col("cx").alias("longitude"),
             F.col("cell_value").cast("double").alias("cell_value"),
             "majority",
-            F.coalesce(F.col("cell_value").cast("double") == F.col("majority"), F.lit(False)).alias("agrees"),
+            V.values_close(F.col("cell_value"), F.col("majority").cast("float")).alias("agrees"),
         )
     )

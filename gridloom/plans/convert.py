@@ -14,6 +14,9 @@ from gridloom.plans.joins import settle
 from gridloom.sources import array_store, chunk_store, rasters
 
 
+DEFAULT_CHUNK = 200
+
+
 @dataclass
 class Gridded:
     """Burned layers: sparse cells (rows counted from the south), their grid
@@ -26,7 +29,7 @@ class Gridded:
     tile: int | None = None
 
     def chunks(self, chunk: int | None = None) -> DataFrame:
-        size = chunk or self.tile
+        size = chunk or self.tile or DEFAULT_CHUNK
         return align.pack_chunks(self.cells, self.variables, size, placed=size == self.tile)
 
     def metadata(self, title: str, url: str, wkt: str, resolution: float, day: str | None = None) -> DataFrame:
@@ -122,17 +125,27 @@ def write_dataset(
     )
 
 
-def export_arrays(store: str, spec: DataFrame, layer: str, path: str) -> None:
-    """One layer of a written store as a folder of raw arrays."""
+def export_arrays(
+    store: str, spec: DataFrame, layer: str, path: str, labels: str = "edges", fill: float = 0.0
+) -> None:
+    """One layer of a written store as a folder of raw arrays; an export that is
+    already there is replaced.
+
+    Category encodings are written whole, as objects beside their array. ``fill``
+    is the value of cells that are not stored: 0 for burned layers, NaN for
+    rasters.
+    """
     spark = spec.sparkSession
     chunks = chunk_store.read_chunks(spark, store, layer)
     first = chunks.select("chunk").first()
     if first is None:
         raise ValueError(f"no chunks of layer {layer!r} in {store}")
-    documents = M.attribute_documents(chunk_store.read_metadata(spark, store), layer)
+    rows = chunk_store.read_metadata(spark, store)
+    documents = M.attribute_documents(rows, layer)
     array_store.write_array_store(
         chunks, spec, layer, documents.pop("dataset", {}), path, first["chunk"],
-        variable_attributes=documents, axis_attributes=documents,
+        variable_attributes=documents, axis_attributes=documents, labels=labels, fill=fill,
+        encodings=M.encoding_rows(rows, layer),
     )
 
 
@@ -159,15 +172,34 @@ def grid_raster(
     spec = cells.sparkSession.range(1).select(F.lit(layer).alias("layer")).withColumns(raster.columns())
     labels = grid.axis_labels(spec, "centers")
     bands = rasters.band_info(cells, descriptions)
+    # a raster's bands are few
+    names = [f"{variable}_{r['band']}" for r in bands.select("band").orderBy("band").collect()]
     rows = (
         M.dataset_metadata(labels, title, url, day or datetime.date.today().isoformat(), raster.dy)
         .unionByName(M.axis_metadata(labels))
-        .unionByName(M.variable_metadata(spec, [variable]))
+        .unionByName(M.variable_metadata(spec, names))
         .unionByName(M.band_metadata(bands, layer))
     )
     return chunks, rows
 
 
+def write_raster(
+    cells: DataFrame,
+    raster: grid.RasterGrid,
+    variable: str,
+    chunk: int,
+    layer: str,
+    title: str,
+    url: str,
+    path: str,
+    descriptions: DataFrame | None = None,
+    day: str | None = None,
+) -> None:
+    """A banded raster as a stored dataset; an existing store is replaced."""
+    chunks, rows = grid_raster(cells, raster, variable, chunk, layer, title, url, descriptions, day)
+    chunk_store.write_chunks(chunks, rows, path)
+
+
 def read_cells(spark, path: str, layer: str | None = None, variables: list[str] | None = None) -> DataFrame:
     """Cells of a written store."""
     return align.unpack_chunks(chunk_store.read_chunks(spark, path, layer, variables))
@@ -175,5 +207,5 @@ def read_cells(spark, path: str, layer: str | None = None, variables: list[str]
 
 __all__ = [
     "Gridded", "grid_features", "grid_features_tiled", "write_dataset", "export_arrays",
-    "grid_raster", "read_cells",
+    "grid_raster", "write_raster", "read_cells",
 ]

@@ -22,7 +22,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         sc.setCheckpointDir(configured)
-    elif sc.master.startswith("local"):
+    elif sc.master == "local" or sc.master.startswith("local["):
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="gridloom-checkpoint-"))
     else:
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
@@ -100,13 +100,14 @@ def join_skewed(
 ) -> DataFrame:
     """Shuffle join that spreads keys with more than ``hot_rows`` fact rows.
 
-    The fact keys are counted first. Hot keys, if any, are joined on the key and
+    Neither side's size is known, so neither is broadcast. The fact keys are counted first. Hot keys, if any, are joined on the key and
     a salt taken from the fact column ``spread``; only their few table rows are
     copied to every salt. All other keys are joined as usual.
     """
     hot = settle(
         fact.groupBy(*on).count().where(F.col("count") > hot_rows).select(*on)
     )
+    table = table.hint("merge")
     if hot.isEmpty():
         return fact.join(table, on, how)
     if measured_bytes(hot) <= BROADCAST_BYTES:
@@ -116,6 +117,6 @@ def join_skewed(
     salt = F.pmod(F.xxhash64(spread), F.lit(SALTS)).cast("int")
     copies = table.join(hot, on, "left_semi").withColumn(
         "_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
-    )
+    ).hint("merge")
     busy = flagged.where(F.col("_hot")).drop("_hot").withColumn("_salt", salt)
     return calm.unionByName(busy.join(copies, [*on, "_salt"], how).drop("_salt"))

@@ -181,32 +181,27 @@ def variable_status(features: DataFrame, wanted: list[str]) -> DataFrame:
     )
 
 
-# Encodings with more categories than this stay in the metadata table only.
-INLINE_CATEGORIES = 10_000
+def encoding_rows(metadata: DataFrame, layer: str) -> DataFrame:
+    """One layer's category encodings: ``var, code, category``, a row per category."""
+    mine = metadata.where((F.col("layer") == layer) & (F.col("key") == "categorical_encoding"))
+    return mine.select(
+        F.col("scope").alias("var"), F.col("number").cast("long").alias("code"), F.col("text").alias("category")
+    )
 
 
 def attribute_documents(metadata: DataFrame, layer: str) -> dict[str, dict]:
     """One layer's attributes as nested dictionaries ``{scope: {key: value}}``.
 
     This is what goes into the JSON files of an array store. Category encodings
-    are data-sized: one with more than ``INLINE_CATEGORIES`` entries is named
-    but not listed, the metadata table has it whole.
+    are data-sized and not part of it, see :func:`encoding_rows`.
     """
-    mine = metadata.where(F.col("layer") == layer)
-    encoding = F.col("key") == "categorical_encoding"
-    sizes = {r["scope"]: r["count"] for r in mine.where(encoding).groupBy("scope").count().collect()}
-    inline = [v for v, n in sizes.items() if n <= INLINE_CATEGORIES]
-    documents: dict[str, dict] = {
-        v: {"categorical_encoding_size": n} for v, n in sizes.items() if n > INLINE_CATEGORIES
-    }
+    mine = metadata.where((F.col("layer") == layer) & (F.col("key") != "categorical_encoding"))
+    documents: dict[str, dict] = {}
     lists = {"geographical_extent", "variables", "band_descriptions"}
-    wanted = mine.where(~encoding | F.col("scope").isin(inline)).orderBy("scope", "key", "pos")
-    for r in wanted.collect():
+    for r in mine.orderBy("scope", "key", "pos").collect():
         scope = documents.setdefault(r["scope"], {})
         value = r["text"] if r["text"] is not None else r["number"]
-        if r["key"] == "categorical_encoding":
-            scope.setdefault(r["key"], {})[r["text"]] = int(r["number"])
-        elif r["key"] == "_CRS":
+        if r["key"] == "_CRS":
             scope[r["key"]] = {"wkt": value}
         elif r["key"] == "proj:epsg":
             scope[r["key"]] = int(value)

@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceWriter, WriterCommitMessage
 
 from gridloom.operators.grid import SPEC_COLUMNS, latitude_label, longitude_label
+from gridloom.plans.joins import settle
 
 FORMAT_NAME = "gridloom_arrays"
 
@@ -24,6 +25,9 @@ FORMAT_NAME = "gridloom_arrays"
 GROUP_FILE, ARRAY_FILE, ATTRS_FILE, ALL_FILE = ".zgroup", ".zarray", ".zattrs", ".zmetadata"
 DIMENSIONS_KEY = "_ARRAY_DIMENSIONS"
 GROUP_JSON = {"zarr_format": 2}
+DTYPES = {"float": "<f4", "double": "<f8", "int": "<i4", "bigint": "<i8", "smallint": "<i2", "tinyint": "|i1"}
+ENCODING_FOLDER = "encoding"
+ENCODING_CODES = 5_000  # codes in one object
 
 
 def array_store_source() -> type[DataSource]:
@@ -42,15 +46,18 @@ def array_store_source() -> type[DataSource]:
             self.path = options["path"]
             self.documents = json.loads(options["documents"])
 
+            self.folders = set()
+
         def _open(self):
             from pyarrow import fs
 
-            path = self.path.replace("s3a://", "s3://", 1)
-            return fs.FileSystem.from_uri(path if ":" in path else f"file://{path}")
+            return fs.FileSystem.from_uri(self.path.replace("s3a://", "s3://", 1))
 
         def _put(self, filesystem, root: str, key: str, data: bytes) -> None:
             folder = f"{root}/{key}".rsplit("/", 1)[0]
-            filesystem.create_dir(folder, recursive=True)
+            if folder not in self.folders:
+                filesystem.create_dir(folder, recursive=True)
+                self.folders.add(folder)
             with filesystem.open_output_stream(f"{root}/{key}") as out:
                 out.write(data)
 
@@ -100,16 +107,65 @@ def _array_json(shape: list[int], chunks: list[int], dtype: str, fill) -> dict:
     }
 
 
-def _dense_float32(pos: Column, vals: Column, size: Column) -> Column:
-    """A chunk's values scattered over a zero block, as raw little-endian bytes."""
+def shared_uri(spark: SparkSession, path: str) -> str:
+    """``path`` on the session's default file system, as every executor names it.
+
+    A bare path on a machine's own disk is refused on a cluster: the executors
+    would each write to their own.
+    """
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    filesystem = hadoop.getFileSystem(spark._jsc.hadoopConfiguration())
+    uri = filesystem.makeQualified(hadoop).toString()
+    master = spark.sparkContext.master
+    if uri.startswith("file:"):
+        if "://" not in path and master != "local" and not master.startswith("local["):
+            raise ValueError(f"{path!r} is on each machine's own disk; name a file system that all executors share")
+        uri = "file://" + uri.removeprefix("file:").removeprefix("//")
+    return uri
+
+
+def _clear_export(spark: SparkSession, uri: str) -> None:
+    """Remove an earlier export; a folder that is none is left alone."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(uri)
+    filesystem = hadoop.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not filesystem.exists(hadoop):
+        return
+    marked = filesystem.exists(spark._jvm.org.apache.hadoop.fs.Path(f"{uri}/{GROUP_FILE}"))
+    if not marked and len(filesystem.listStatus(hadoop)):
+        raise ValueError(f"{uri} is not empty and no array store")
+    filesystem.delete(hadoop, True)
+
+
+def _encoding_objects(encodings: DataFrame) -> DataFrame:
+    """Codes in order, some thousand to an object: one JSON pair to a line."""
+    part = F.floor((F.col("code") - 1) / F.lit(ENCODING_CODES)).cast("long").alias("part")
+    line = F.to_json(F.struct("code", "category"))
+    lines = encodings.select("var", part, "code", line.alias("line")).groupBy("var", "part").agg(
+        F.array_sort(F.collect_list(F.struct("code", "line"))).alias("s")
+    )
+    return lines.select(
+        F.col("var").alias("array"),
+        F.concat(F.lit(f"{ENCODING_FOLDER}/"), F.col("part").cast("string")).alias("chunk_key"),
+        F.encode(F.array_join(F.col("s")["line"], "\n"), "UTF-8").alias("data"),
+    )
+
+
+def read_encoding(spark: SparkSession, path: str, variable: str) -> DataFrame:
+    """``code, category`` of a variable of an exported store."""
+    folder = f"{shared_uri(spark, path)}/{variable}/{ENCODING_FOLDER}"
+    return spark.read.schema("code bigint, category string").json(folder)
+
+
+def _dense(pos: Column, vals: Column, size: Column, dtype: str, fill: float) -> Column:
+    """A chunk's values scattered over a block of ``fill``, as raw little-endian bytes."""
 
     @F.pandas_udf(T.BinaryType())
     def dense(pos: pd.Series, vals: pd.Series, size: pd.Series) -> pd.Series:
         import numpy as np
 
         def one(p, v, n):
-            block = np.zeros(n, dtype="<f4")
-            block[np.asarray(p)] = np.asarray(v, dtype="<f4")
+            block = np.full(n, fill, dtype=dtype)
+            block[np.asarray(p)] = np.asarray(v, dtype=dtype)
             return block.tobytes()
 
         return pd.Series([one(p, v, n) for p, v, n in zip(pos, vals, size)])
@@ -154,12 +210,22 @@ def write_array_store(
     variable_attributes: dict[str, dict] | None = None,
     axis_attributes: dict[str, dict] | None = None,
     labels: str = "edges",
+    fill: float = 0.0,
+    encodings: DataFrame | None = None,
 ) -> None:
     """Write one layer's chunks, ascending in latitude, as a folder of arrays.
 
-    A chunk without cells is not written; readers see the fill value 0.
+    An export already at ``path`` is removed first. Values keep the chunks' type.
+    A chunk without cells is not written; readers see ``fill``. ``encodings``
+    (``var, code, category``) are written whole by the executors as objects in a
+    folder of their variable, which its attributes name.
     """
     spark: SparkSession = chunks.sparkSession
+    path = shared_uri(spark, path)
+    _clear_export(spark, path)
+    kind = chunks.schema["vals"].dataType.elementType
+    dtype = DTYPES[kind.simpleString()]
+    shown = fill if fill == fill else "NaN"
     spark.dataSource.register(array_store_source())
     one = spec.where(F.col("layer") == layer)
     size = one.select("nx", "ny").first()
@@ -174,7 +240,7 @@ def write_array_store(
             **(axis_attributes or {}).get(axis, {}), DIMENSIONS_KEY: [axis]
         }
     for v in variables:
-        documents[f"{v}/{ARRAY_FILE}"] = _array_json([ny, nx], [chunk, chunk], "<f4", 0.0)
+        documents[f"{v}/{ARRAY_FILE}"] = _array_json([ny, nx], [chunk, chunk], dtype, shown)
         documents[f"{v}/{ATTRS_FILE}"] = {
             **(variable_attributes or {}).get(v, {}), DIMENSIONS_KEY: ["latitude", "longitude"]
         }
@@ -185,11 +251,17 @@ def write_array_store(
         mine.select(
             F.col("var").alias("array"),
             F.concat_ws(".", "chunk_row", "chunk_col").alias("chunk_key"),
-            _dense_float32(F.col("pos"), F.col("vals"), F.col("chunk") * F.col("chunk")).alias("data"),
+            _dense(F.col("pos"), F.col("vals"), F.col("chunk") * F.col("chunk"), dtype, fill).alias("data"),
         )
         .unionByName(_axis_chunks(one, "latitude", "ny", lat, chunk))
         .unionByName(_axis_chunks(one, "longitude", "nx", longitude_label(F.col("idx"), labels), chunk))
     )
+    if encodings is not None:
+        encodings = settle(encodings)
+        for r in encodings.select("var").distinct().collect():
+            known = documents.setdefault(f"{r['var']}/{ATTRS_FILE}", {})
+            known["categorical_encoding"] = f"{r['var']}/{ENCODING_FOLDER}"
+        objects = objects.unionByName(_encoding_objects(encodings))
     (
         objects.write.format(FORMAT_NAME)
         .mode("append")

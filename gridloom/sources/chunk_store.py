@@ -23,9 +23,13 @@ def read_chunks(
     path: str,
     layer: str | None = None,
     variables: list[str] | None = None,
-    value_type: str = "float",
+    value_type: str | None = None,
 ) -> DataFrame:
-    """Chunk table; layer and variables prune partitions."""
+    """Chunk table; layer and variables prune partitions. Values have the stored
+    type unless one is named."""
+    if value_type is None:
+        stored = spark.read.parquet(f"{path}/chunks").schema["vals"].dataType
+        value_type = stored.elementType.simpleString()
     # the schema is stated so that a layer named like a number stays text
     schema = (
         f"chunk_row bigint, chunk_col bigint, chunk int, pos array<int>, vals array<{value_type}>, "

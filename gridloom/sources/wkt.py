@@ -19,9 +19,24 @@ GEOMETRY_NAMES = {
 }
 
 
+# One simple geometry inside a collection, its parentheses at most three deep.
+PART = r"([A-Za-z]+\s*(?:[ZzMm]{1,2}\s*)?\((?:[^()]|\((?:[^()]|\([^()]*\))*\))*\))"
+
+
+def wkt_parts(text: Column) -> Column:
+    """Simple geometries of a text: those of a collection, else the text itself.
+
+    Exploded, they are features of one ``fid``; an empty collection has none.
+    """
+    inside = F.regexp_extract(text, r"(?is)^\s*(?:SRID=\d+;)?\s*GEOMETRYCOLLECTION[^(]*\((.*)\)\s*$", 1)
+    collected = F.upper(text).rlike(r"^\s*(SRID=\d+;)?\s*GEOMETRYCOLLECTION")
+    return F.when(collected, F.regexp_extract_all(inside, F.lit(PART), F.lit(1))).otherwise(F.array(text))
+
+
 def wkt_type(text: Column) -> Column:
-    """POINT, LINE or POLYGON; null for any other geometry."""
-    name = F.upper(F.regexp_extract(text, r"^\s*([A-Za-z]+)", 1))
+    """POINT, LINE or POLYGON; null for any other geometry. A leading reference
+    system number is passed over."""
+    name = F.upper(F.regexp_extract(text, r"^\s*(?:(?i:SRID)=\d+;)?\s*([A-Za-z]+)", 1))
     names = F.create_map(*[F.lit(v) for pair in GEOMETRY_NAMES.items() for v in pair])
     return F.try_element_at(names, name)
 
@@ -35,7 +50,7 @@ def wkt_rings(text: Column) -> Column:
     number = lambda words, i: F.get(words, F.lit(i)).try_cast("double")
 
     def point(pair: Column) -> Column:
-        words = F.split(F.trim(pair), r"\s+")
+        words = F.split(F.regexp_replace(pair, r"^\s+|\s+$", ""), r"\s+")
         return F.struct(number(words, 0).alias("x"), number(words, 1).alias("y"))
 
     groups = F.regexp_extract_all(text, F.lit(r"\(([^()]+)\)"), F.lit(1))

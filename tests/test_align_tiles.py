@@ -174,7 +174,7 @@ def test_category_map_parts(spark):
     codes = spark.createDataFrame([("a", "v", f"c{i:02d}", i + 1) for i in range(25)], "layer string, var string, category string, code long")
     maps = {r.part: r.encoding for r in encode.category_map(codes, 10).collect()}
     assert sorted(maps) == [0, 1, 2] and len(maps[2]) == 5 and maps[1]["c10"] == 11
-    assert [r.part for r in encode.category_map(codes).collect()] == [0]
+    assert [r.part for r in encode.category_map(codes, 25).collect()] == [0]
 
 
 def test_majority_ties_and_missing(spark):
@@ -201,11 +201,56 @@ def test_status_and_documents(spark):
     assert status == {(l, v): why for l in "ab" for v, why in (("value", "numeric"), ("t", "unsupported type"), ("q", "not in schema"))}
 
 
-def test_large_encodings_stay_in_the_table(spark, monkeypatch):
-    monkeypatch.setattr(M, "INLINE_CATEGORIES", 2)
-    codes = spark.createDataFrame([("a", "k", c, i + 1) for i, c in enumerate("xyz")] + [("a", "s", "x", 1)], "layer string, var string, category string, code long")
-    docs = M.attribute_documents(M.encoding_metadata(codes), "a")
-    assert docs == {"k": {"categorical_encoding_size": 3}, "s": {"categorical_encoding": {"x": 1}}}
+def test_encodings_are_rows_and_not_documents(spark):
+    codes = spark.createDataFrame([("a", "k", c, i + 1) for i, c in enumerate("xyz")] + [("b", "s", "x", 1)], "layer string, var string, category string, code long")
+    rows = M.encoding_metadata(codes)
+    assert M.attribute_documents(rows, "a") == {}
+    assert rows_of(M.encoding_rows(rows, "a"), "var", "code", "category") == [("k", 1, "x"), ("k", 2, "y"), ("k", 3, "z")]
+
+
+def test_codes_beyond_float32_are_refused(spark):
+    df = features(spark, [(1, [square(0, 0, 2)])]).withColumn("k", F.lit("x"))
+    codes = spark.createDataFrame([("a", "k", "x", (1 << 24) + 1)], "layer string, var string, category string, code long")
+    with pytest.raises(ValueError, match="float32"):
+        encode.apply_codes(df, codes, ["k"])
+
+
+def test_majority_of_text(spark):
+    df = spark.createDataFrame([("z", "b"), ("z", "a"), ("y", "q"), ("y", "p"), ("y", "q"), ("x", None)], "g string, v string")
+    assert rows_of(zonal.majority(df, ["g"], "v"), "g", "majority", "n") == [("y", "q", 2), ("z", "a", 1)]
+
+
+def test_picks_spread_over_the_grid(spark):
+    from gridloom.operators import lookup
+
+    cells = spark.range(400).select((F.col("id") % 20).alias("row"), F.floor(F.col("id") / 20).alias("col"))
+    picks = [(r["row"], r["col"]) for s in range(30) for r in lookup.sample_cell(cells, s).collect()]
+    assert len(set(picks)) > 25 and (0, 0) not in picks[:1]
+    assert len({r for r, _ in picks}) > 8 and len({c for _, c in picks}) > 8
+
+
+def test_check_of_values_that_are_no_integers(spark):
+    from gridloom.operators import rasterize
+
+    df = features(spark, [(1, [square(0, 0, 2)], "POLYGON", "a", 0.1)])
+    spec = grid.grid_spec(grid.layer_bounds(df), 0.1)
+    cells = rasterize.polygon_cells(grid.with_grid(df, spec), ["value"])
+    assert check.check_conversion(df, cells, spec, "value", radius=0.01).first().agrees
+
+
+def test_discs_of_any_radius_meet_what_they_touch(spark):
+    df = features(spark, [(i, [square(i, 0, 0.5)]) for i in range(20)])
+    zones = spark.createDataFrame([(1, 0.25, 0.25, 0.01), (2, 10.0, 0.25, 3.0)], "zone_id long, cx double, cy double, radius double")
+    near = rows_of(zonal.features_in_circle(zones, df), "zone_id", "fid")
+    assert near == [(1, 0)] + [(2, i) for i in range(7, 14)]
+
+
+def test_unmeasured_joins_broadcast_nothing(spark):
+    from gridloom.plans.joins import join_skewed
+    from tests.conftest import plan_of
+
+    a = spark.range(100).withColumnRenamed("id", "k").withColumn("fid", F.col("k"))
+    assert "Broadcast" not in plan_of(join_skewed(a, spark.range(5).withColumnRenamed("id", "k"), ["k"]))
 
 
 def test_side_by_side(spark):

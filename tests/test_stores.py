@@ -120,7 +120,9 @@ def test_conversion_to_arrays(spark, tmp_path):
     assert np.allclose(read_array(out, "longitude"), np.round(np.linspace(0, 5, 10), 4))
     with open(f"{out}/.zmetadata") as f:
         everything = json.load(f)["metadata"]
-    assert everything["kind/.zattrs"]["categorical_encoding"] == {"None": 1, "rock": 2}
+    assert everything["kind/.zattrs"]["categorical_encoding"] == "kind/encoding"
+    kinds = array_store.read_encoding(spark, out, "kind").collect()
+    assert {r["category"]: r["code"] for r in kinds} == {"None": 1, "rock": 2}
     assert everything["kind/.zattrs"]["_ARRAY_DIMENSIONS"] == ["latitude", "longitude"]
     assert everything["kind/.zattrs"]["_CRS"] == {"wkt": "WKT"}
     assert everything["latitude/.zattrs"]["step"] == 0.5
@@ -144,6 +146,76 @@ def test_writing_arrays_twice_gives_the_same_objects(spark, tmp_path):
     assert np.count_nonzero(dense) == sum(1 for r in cells(spark).collect() if r.layer == "a" and r.v != 0)
 
 
+def test_large_encodings_are_exported_whole(spark, tmp_path):
+    n = 25_000
+    df = spark.range(n).select(
+        (F.col("id") + 1).alias("fid"), F.lit("a").alias("layer"), F.lit("POINT").alias("geom_type"),
+        F.expr("array(array(named_struct('x', id / 1000D, 'y', (id % 7) / 1D)))").alias("rings"),
+        F.concat(F.lit('k"\n'), F.col("id")).alias("kind"),
+    )
+    gridded = convert.grid_features(df, 1.0)
+    store, out = str(tmp_path / "store"), str(tmp_path / "arrays")
+    convert.write_dataset(gridded, store, "t", "u", "WKT", 1.0)  # without a chunk size
+    convert.export_arrays(store, gridded.spec, "a", out)
+    back = {r["code"]: r["category"] for r in array_store.read_encoding(spark, out, "kind").collect()}
+    assert back == {i + 1: f'k"\n{i}' for i in range(n)}
+    codes = read_array(out, "kind")
+    assert set(codes[codes > 0].astype(int)) <= set(back)
+
+
+def test_an_old_export_is_replaced(spark, tmp_path):
+    spec = spark.range(1).select(F.lit("a").alias("layer")).withColumns(RasterGrid(0, 0, 4, 4, 4, 4).columns())
+    schema = "layer string, row long, col long, v double"
+    full = spark.createDataFrame([("a", r, c, 1.5) for r in range(4) for c in range(4)], schema)
+    sparse = spark.createDataFrame([("a", 3, 3, 0.1)], schema)
+    out = str(tmp_path / "arrays")
+    array_store.write_array_store(align.pack_chunks(full, ["v"], 2), spec, "a", {}, out, 2)
+    array_store.write_array_store(align.pack_chunks(sparse, ["v"], 2), spec, "a", {}, out, 2, fill=float("nan"))
+    assert sorted(f for f in os.listdir(f"{out}/v") if not f.startswith(".")) == ["1.1"]
+    with open(f"{out}/v/.zarray") as f:
+        described = json.load(f)
+    assert described["dtype"] == "<f8" and described["fill_value"] == "NaN"
+    block = np.fromfile(f"{out}/v/1.1", "<f8").reshape(2, 2)
+    assert block[1, 1] == 0.1 and np.isnan(block).sum() == 3
+    (tmp_path / "other").mkdir()
+    (tmp_path / "other" / "file").write_text("x")
+    with pytest.raises(ValueError, match="no array store"):
+        array_store.write_array_store(align.pack_chunks(sparse, ["v"], 2), spec, "a", {}, str(tmp_path / "other"), 2)
+
+
+def test_raster_store_keeps_doubles_and_names_its_arrays(spark, tmp_path):
+    cells = spark.createDataFrame([(b, r, 0, 0.1 + b + r) for b in (1, 2) for r in range(3)], "band int, row int, col int, value double")
+    path = str(tmp_path / "raster")
+    convert.write_raster(cells, RasterGrid(0, 0, 1, 3, 1, 3), "depth", 2, "r", "t", "u", path, day="2024-01-01")
+    back = {(r["var"], r["row"]): r["value"] for r in convert.read_cells(spark, path).collect()}
+    assert back == {(f"depth_{b}", 2 - r): 0.1 + b + r for b in (1, 2) for r in range(3)}
+    named = chunk_store.read_metadata(spark, path).where("key = 'standard_name' and scope like 'depth%'")
+    assert sorted(r["scope"] for r in named.collect()) == ["depth_1", "depth_2"]
+
+
+def test_text_geometries_of_all_forms(spark):
+    from gridloom.sources.wkt import wkt_parts, wkt_rings, wkt_type
+
+    rows = [
+        (1, "POLYGON ((0 0,\n1 0,\t1 1 , 0 0))"),
+        (2, "SRID=4326;point(1 2)"),
+        (3, "GEOMETRYCOLLECTION (POINT (1 2), POLYGON ((0 0, 1 0, 1 1, 0 0), (0 0, 1 0, 1 1, 0 0)), MULTIPOLYGON (((0 0, 1 0, 1 1, 0 0))))"),
+        (4, "srid=1; GeometryCollection(LINESTRING(0 0, 1 1))"),
+        (5, "GEOMETRYCOLLECTION EMPTY"),
+    ]
+    df = spark.createDataFrame(rows, "fid long, t string").select("fid", F.explode(wkt_parts(F.col("t"))).alias("p"))
+    got = [(r["fid"], r["kind"], [len(x) for x in r["rings"]]) for r in df.select("fid", wkt_type(F.col("p")).alias("kind"), wkt_rings(F.col("p")).alias("rings")).collect()]
+    assert got == [(1, "POLYGON", [4]), (2, "POINT", [1]), (3, "POINT", [1]), (3, "POLYGON", [4, 4]), (3, "POLYGON", [4]), (4, "LINE", [2])]
+
+
+def test_box_outline(spark):
+    from gridloom.functions.geometry import box_rings
+
+    one = spark.range(1).select(box_rings(F.lit(0.0), F.lit(1.0), F.lit(2.0), F.lit(4.0)).alias("r")).first()["r"]
+    points = [(p["x"], p["y"]) for p in one[0]]
+    assert len(one) == 1 and points[0] == points[-1] and set(points) == {(0, 1), (2, 1), (2, 4), (0, 4)}
+
+
 def test_match_files(spark, tmp_path):
     for name in ("x/a.tif", "y/a.tif", "y/ba.tif", "z/a.txt"):
         p = tmp_path / name
