@@ -33,7 +33,7 @@ from gridloom.plans.joins import store
 
 DISCOUNT = 0.75
 STEP = 2048.0  # quantised values per unit of log10
-PART_BYTES = 16 * 1024 * 1024  # text whose pairs one part holds
+PART_BYTES = 12 * 1024 * 1024  # text whose pairs one part holds
 BATCH_TOKENS = 1_000_000
 BATCH_DOCS = 30_000
 SAMPLE_DOCS, FREQUENT, SHARE = 500, 512, 1 / 1000  # for the words spread over all parts
@@ -201,7 +201,7 @@ def _look_up(frequent: np.ndarray, key_type: pa.DataType) -> Callable[[pa.Table]
                 doc = tag[part] & 0x7FFF
                 docs, of = np.unique(doc, return_inverse=True)
                 sums = [np.bincount(of, x, minlength=len(docs)) for x in (np.where(train[part], value[part], 0), log_base[at[part]], is_known[at[part]])]
-                rows.append(row(1, sub, data=pack(docs, sums[0], sums[1], sums[2].astype(np.uint32))))
+                rows.append(row(1, sub, data=pack(docs, sums[0].astype("f4"), sums[1], sums[2].astype(np.uint32))))
                 held = ~train[part]
                 if held.any():
                     rows.append(
@@ -244,7 +244,7 @@ def _assemble(totals: dict, key_type: pa.DataType) -> Callable[[pa.Table], pa.Ta
         value, seen, single = np.zeros(tokens, "f8"), np.zeros(tokens, bool), np.zeros(tokens)
         for k, data in zip(kinds, rows):
             if k == 1:
-                d, x, y, z = unpack(data, "<u2", "<f8", "<f8", "<u4")
+                d, x, y, z = unpack(data, "<u2", "<f4", "<f8", "<u4")
                 score[d] += x
                 base[d] += y
                 known[d] += z
