@@ -10,42 +10,32 @@ than one hash per element.
 
 Coordinates are cut into bands; documents that share a band are candidates.
 Documents with equal sets are one class from the start. Each class is first
-compared with the least member of its bands; then bands that still hold more than
-one component are compared in blocks by their sketches, which emit only pairs
-likely to be similar. All links are confirmed on the full sets.
+compared with the least member of its bands. Bands that still hold more than one
+component are compared in blocks by their sketches, which gives groups of likely
+duplicates; these are compared in blocks again, with the full sets. A block emits
+no more than the links that connect it. All links are confirmed on the full sets.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from gridloom.llm.components import components
 from gridloom.llm.frames import col
 from gridloom.llm.words import BASE, batch_word_hashes, mix, shingle_hashes
 from gridloom.plans.joins import join_dimension, settle, store
 
-ROWS, BANDS = 5, 25  # a pair at 0.85 shares no band with a chance below one in a million
-BINS = ROWS * BANDS
+BINS = 125
+MISS = 5e-5  # chance that a pair just at the threshold shares no band
 BLOCK = 512  # sketches compared at a time
-SLACK = 0.2  # a sketch estimate this far below the threshold is six deviations off
+SLACK = 0.13  # a sketch estimate this far below the threshold is four deviations off
 UNFILLED = np.uint64(2**64 - 1)
-ELEMENTS = 500_000  # elements sketched at a time
-
-SIGNATURE = T.StructType(
-    [
-        T.StructField("n", T.LongType()),
-        T.StructField("digest", T.BinaryType()),
-        T.StructField("bands", T.ArrayType(T.LongType(), False)),
-        T.StructField("sketch", T.BinaryType()),
-    ]
-)
-
+ELEMENTS, BATCH_DOCS = 150_000, 2_000  # elements and documents sketched at a time
 
 def similarity_sketches(sets: list[np.ndarray], bins: int = BINS) -> np.ndarray:
     """One row of ``bins`` coordinates per set; a set without elements stays unfilled."""
@@ -75,9 +65,15 @@ def similarity_sketches(sets: list[np.ndarray], bins: int = BINS) -> np.ndarray:
     return out.reshape(len(sets), bins)
 
 
-def band_keys(sketches: np.ndarray) -> np.ndarray:
+def band_rows(percent: int, bins: int = BINS) -> int:
+    """The most coordinates a band may have: five for 80 to 85 percent."""
+    good = [r for r in range(1, 21) if (1 - (percent / 100) ** r) ** (bins // r) <= MISS]
+    return max(good, default=1)
+
+
+def band_keys(sketches: np.ndarray, rows: int) -> np.ndarray:
     """One 64-bit key per band, different for every band."""
-    parts = sketches.reshape(len(sketches), -1, ROWS)
+    parts = sketches[:, : sketches.shape[1] // rows * rows].reshape(len(sketches), -1, rows)
     with np.errstate(over="ignore"):
         h = parts[:, :, 0].copy()
         for r in range(1, parts.shape[2]):
@@ -91,108 +87,185 @@ def set_digest(items: np.ndarray) -> bytes:
         return np.array([mix(items, 7).sum(dtype=np.uint64), mix(items, 8).sum(dtype=np.uint64)], dtype="<u8").tobytes()
 
 
-def _signatures(width: int) -> Callable[[pa.Array], pa.Array]:
-    def signed(texts: pa.Array) -> pa.Array:
-        rows: list[dict] = []
-        sets: list[np.ndarray] = []
-        size = 0
-
-        def flush() -> None:
-            sketches = similarity_sketches(sets)
-            keys = band_keys(sketches) if sets else []
-            short = (sketches & np.uint64(0xFFFF)).astype("<u2")
-            for s, k, e in zip(sets, keys, short):
-                if len(s):
-                    rows.append({"n": len(s), "digest": set_digest(s), "bands": k, "sketch": e.tobytes()})
-                else:
-                    rows.append({"n": 0, "digest": None, "bands": None, "sketch": None})
-            sets.clear()
-
-        for words in batch_word_hashes(texts):
-            sets.append(shingle_hashes(words, width))
-            size += len(sets[-1])
-            if size > ELEMENTS:
-                flush()
-                size = 0
-        flush()
-        return pa.StructArray.from_arrays(
+def _signatures(width: int, rows: int) -> Callable[[Iterator], Iterator]:
+    """Each batch of texts to batches of set size, digest, band keys and the low
+    bits of the sketch, a limited number of elements at a time."""
+
+    def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets: list[np.ndarray] = []
+            lo = size = 0
+            for words in batch_word_hashes(batch["text"]):
+                sets.append(shingle_hashes(words, width))
+                size += len(sets[-1])
+                if size > ELEMENTS or len(sets) >= BATCH_DOCS:
+                    yield signatures(batch["key"].slice(lo, len(sets)), sets)
+                    lo, size, sets = lo + len(sets), 0, []
+            if sets:
+                yield signatures(batch["key"].slice(lo, len(sets)), sets)
+
+    def signatures(keys: pa.Array, sets: list[np.ndarray]) -> pa.RecordBatch:
+        sketches = similarity_sketches(sets)
+        bands = band_keys(sketches, rows)
+        short = (sketches & np.uint64(0xFFFF)).astype("<u2")
+        filled = [len(s) > 0 for s in sets]
+        return pa.RecordBatch.from_arrays(
             [
-                pa.array([r["n"] for r in rows], pa.int64()),
-                pa.array([r["digest"] for r in rows], pa.binary()),
-                pa.array([r["bands"] for r in rows], pa.list_(pa.int64())),
-                pa.array([r["sketch"] for r in rows], pa.binary()),
+                keys,
+                pa.array([len(s) for s in sets], pa.int64()),
+                pa.array([set_digest(s) if f else None for s, f in zip(sets, filled)], pa.binary()),
+                pa.array([k if f else None for k, f in zip(bands, filled)], pa.list_(pa.int64())),
+                pa.array([e.tobytes() if f else None for e, f in zip(short, filled)], pa.binary()),
             ],
-            names=["n", "digest", "bands", "sketch"],
+            names=["key", "n", "digest", "bands", "sketch"],
         )
 
     return signed
 
 
-def _full_sets(width: int) -> Callable[[pa.Array], pa.Array]:
-    def full(texts: pa.Array) -> pa.Array:
-        return pa.array([shingle_hashes(w, width).tobytes() for w in batch_word_hashes(texts)], pa.binary())
+def _full_sets(width: int) -> Callable[[Iterator], Iterator]:
+    """The sets of those texts that still have the digest asked for; a key may
+    repeat with another text."""
+
+    def full(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            digests, items, size = [], [], 0
+            for want, words in zip(batch["want"].to_pylist(), batch_word_hashes(batch["text"])):
+                s = shingle_hashes(words, width)
+                if set_digest(s) == want:
+                    digests.append(want)
+                    items.append(s.tobytes())
+                    size += len(s)
+                if size > ELEMENTS:
+                    yield pa.RecordBatch.from_pydict({"digest": pa.array(digests, pa.binary()), "items": pa.array(items, pa.binary())})
+                    digests, items, size = [], [], 0
+            yield pa.RecordBatch.from_pydict({"digest": pa.array(digests, pa.binary()), "items": pa.array(items, pa.binary())})
 
     return full
 
 
-def _linked(percent: int) -> Callable[[pa.Array, pa.Array], pa.Array]:
-    def linked(one: pa.Array, two: pa.Array) -> pa.Array:
-        out = []
-        for x, y in zip(one, two):
-            x, y = np.frombuffer(x.as_py(), "<u8"), np.frombuffer(y.as_py(), "<u8")
-            if 100 * min(len(x), len(y)) < percent * max(len(x), len(y)):
-                out.append(False)
-                continue
-            common = len(x) + len(y) - len(np.union1d(x, y))
-            out.append(100 * common >= percent * (len(x) + len(y) - common))
-        return pa.array(out, pa.bool_())
+def similar(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    """Whether 100 times the intersection reaches ``percent`` times the union."""
+    if 100 * min(len(x), len(y)) < percent * max(len(x), len(y)):
+        return False
+    common = len(np.intersect1d(x, y, assume_unique=True))
+    return 100 * common >= percent * (len(x) + len(y) - common)
+
+
+def _linked(percent: int) -> Callable[[Iterator], Iterator]:
+    """The pairs whose full sets are similar enough."""
+
+    def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            good = [
+                similar(np.frombuffer(x.as_buffer(), "<u8"), np.frombuffer(y.as_buffer(), "<u8"), percent)
+                for x, y in zip(batch["x"], batch["y"])
+            ]
+            yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
     return linked
 
 
-def _block_pairs(least: float) -> Callable[[pa.Table], pa.Table]:
-    """Pairs of one block pair of a band that lie in different components and
-    whose sketches agree on ``least`` of the coordinates."""
-
-    def compared(group: pa.Table) -> pa.Table:
-        side = group["side"].to_numpy()
-        digest = np.array(group["digest"].to_pylist(), dtype=object)
-        root = np.array(group["root"].to_pylist(), dtype=object)
-        sketch = np.frombuffer(b"".join(group["sketch"].to_pylist()), "<u2").reshape(len(group), -1)
-        left, right = np.flatnonzero(side != 2), np.flatnonzero(side != 1)
-        out_a, out_b = [], []
-        for i in left:
-            same = (sketch[right] == sketch[i]).mean(axis=1)
-            for j in right[same >= least]:
-                if root[i] != root[j] and (side[i] or digest[i] < digest[j]):
-                    out_a.append(min(digest[i], digest[j]))
-                    out_b.append(max(digest[i], digest[j]))
-        return pa.table({"a": pa.array(out_a, pa.binary()), "b": pa.array(out_b, pa.binary())})
-
-    return compared
-
-
-def _rest(members: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
-    """Candidate pairs of the bands whose members are not all one component."""
-    placed = members.join(roots.withColumnRenamed("node", "digest"), "digest", "left").withColumn(
-        "root", F.coalesce("root", "digest")
-    )
+def _joins(label: np.ndarray, left: np.ndarray, right: np.ndarray, sketch: np.ndarray, least: float, good: Callable[[int, int], bool]) -> list[tuple[int, int]]:
+    """Pairs that join different labels: sketches agree on ``least`` of the
+    coordinates and ``good`` says so, the most alike first. ``label`` is changed."""
+    out = []
+    for i in left:
+        same = (sketch[right] == sketch[i]).mean(axis=1)
+        near = np.flatnonzero((same >= least) & (label[right] != label[i]))
+        near = right[near[np.argsort(-same[near], kind="stable")]]
+        for j in near:
+            if label[j] != label[i] and good(i, j):
+                out.append((i, j))
+                label[label == label[j]] = label[i]
+    return out
+
+
+def _sides(group: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    side = group["side"].to_numpy()
+    sketch = np.frombuffer(b"".join(group["sketch"].to_pylist()), "<u2").reshape(len(group), -1)
+    label = np.unique(np.array(group["root"].to_pylist(), dtype=object), return_inverse=True)[1]
+    return np.flatnonzero(side != 2), np.flatnonzero(side != 1), sketch, label
+
+
+def _pairs(group: pa.Table, found: list[tuple[int, int]]) -> pa.Table:
+    digest = group["digest"].to_pylist()
+    return pa.table({"a": pa.array([digest[i] for i, _ in found], pa.binary()), "b": pa.array([digest[j] for _, j in found], pa.binary())})
+
+
+def _likely(least: float) -> Callable[[pa.Table], pa.Table]:
+    """Of two blocks of a band, pairs that connect all whose sketches are close."""
+
+    def likely(group: pa.Table) -> pa.Table:
+        left, right, sketch, label = _sides(group)
+        return _pairs(group, _joins(label, left, right, sketch, least, lambda i, j: True))
+
+    return likely
+
+
+def _confirmed(least: float, percent: int) -> Callable[[pa.Table], pa.Table]:
+    """Of two blocks of likely groups, links that connect all that are linked,
+    each confirmed on the full sets."""
+
+    def confirmed(group: pa.Table) -> pa.Table:
+        left, right, sketch, label = _sides(group)
+        items, pack = group["items"], np.array(group["likely"].to_pylist(), dtype=object)
+        whole = [np.frombuffer(items[k].as_buffer(), "<u8") for k in range(len(group))]
+
+        def linked(i: int, j: int) -> bool:
+            return similar(whole[i], whole[j], percent)
+
+        found: list[tuple[int, int]] = []
+        for one in dict.fromkeys(pack):
+            inside = pack == one
+            found += _joins(label, left[inside[left]], right[inside[right]], sketch, least, linked)
+        return _pairs(group, found)
+
+    return confirmed
+
+
+def _blocked(members: DataFrame, key: str, sizes: DataFrame) -> DataFrame:
+    """Each member once for every other block of its ``key``: a block meets itself
+    (side 0) and every other block once (sides 1 and 2)."""
+    here = join_dimension(members, sizes, [key], settled=True, spread="digest")
+    block = F.pmod(F.xxhash64("digest", F.lit(3)), F.col("blocks")).cast("int")
+    here = here.withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    side = F.when(F.col("block") == F.col("other"), 0).when(F.col("block") < F.col("other"), 1).otherwise(2)
+    return here.withColumn("lo", F.least("block", "other")).withColumn("hi", F.greatest("block", "other")).withColumn("side", side)
+
+
+def _rest(members: DataFrame, stands: DataFrame, sets: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
+    """Links between the components that share a band."""
+    least = percent / 100 - SLACK
+    own = roots.withColumnRenamed("node", "digest")
+    placed = members.join(own, "digest", "left").withColumn("root", F.coalesce("root", "digest"))
     mixed = placed.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("size"))
     mixed = settle(mixed.where(F.col("lo") != F.col("hi")).select("key", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks")))
-    here = join_dimension(placed, mixed, ["key"], settled=True, spread="digest")
-    block = F.pmod(F.xxhash64("digest", F.lit(3)), F.col("blocks")).cast("int")
-    # a block meets itself (side 0), and every other block once (sides 1 and 2)
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    here = here.withColumn("block", block).withColumn("other", other)
-    here = here.withColumn("lo", F.least("block", "other")).withColumn("hi", F.greatest("block", "other"))
-    side = F.when(F.col("lo") == F.col("hi"), 0).when(F.col("block") == F.col("lo"), 1).otherwise(2)
-    compare = _block_pairs(percent / 100 - SLACK)
-    return (
-        here.withColumn("side", side)
+    here = settle(_blocked(placed, "key", mixed))
+    wanted = settle(here.select("digest").distinct())
+    sketches = join_dimension(stands.select("digest", "sketch"), wanted, ["digest"], settled=True, spread="digest").dropDuplicates(["digest"])
+    sketches = store(sketches)
+    near = (
+        here.join(sketches.hint("merge"), "digest")
         .select("key", "lo", "hi", "side", "digest", "root", "sketch")
         .groupBy("key", "lo", "hi")
-        .applyInArrow(compare, "a binary, b binary")
-        .distinct()
+        .applyInArrow(_likely(least), "a binary, b binary")
+    )
+    # whatever is linked is in one likely group, and there all pairs are tried
+    likely = components(near).select(F.col("node").alias("digest"), F.col("root").alias("likely"))
+    sizes = likely.groupBy("likely").agg(F.count(F.lit(1)).alias("size"))
+    sizes = settle(sizes.select("likely", "size", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks")))
+    small = sizes.where("blocks = 1").agg(F.coalesce(F.sum("size"), F.lit(0)).alias("n")).first()["n"]
+    pack = F.when(F.col("blocks") > 1, F.xxhash64("likely")).otherwise(F.pmod(F.xxhash64("likely"), F.lit(1 + small // BLOCK)))
+    named = likely.join(own, "digest", "left").withColumn("root", F.coalesce("root", "digest"))
+    full = sketches.join(sets, "digest")
+    return (
+        _blocked(named, "likely", sizes)
+        .withColumn("pack", pack)
+        .join(full.hint("merge"), "digest")
+        .select("pack", "lo", "hi", "side", "likely", "digest", "root", "sketch", "items")
+        .groupBy("pack", "lo", "hi")
+        .applyInArrow(_confirmed(least, percent), "a binary, b binary")
     )
 
 
@@ -214,47 +287,38 @@ def near_duplicates(
     their own texts. An empty table gives an empty result.
     """
     docs = df.select(col(key).alias("key"), col(text).alias("text"))
-    sign = F.arrow_udf(_signatures(width), SIGNATURE)
-    # asNondeterministic would not help: one projection, so the texts are read once
-    signed = store(docs.select("key", sign("text").alias("s")).select("key", "s.*"))
-    classes = store(
-        signed.where(F.col("digest").isNotNull() & F.col("key").isNotNull())
-        .groupBy("digest")
-        .agg(F.min("key").alias("rep"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"))
-    )
-    exploded = classes.select("digest", F.explode("bands").alias("key"))
-    shared = settle(
-        exploded.groupBy("key").agg(F.min("digest").alias("leader"), F.count(F.lit(1)).alias("size")).where("size > 1")
-    )
-    members = join_dimension(exploded, shared.select("key", "leader"), ["key"], settled=True, spread="digest")
-    members = store(members)
+    fields = f"key {df.schema[key].dataType.simpleString()}, n long, digest binary, bands array<long>, sketch binary"
+    signed = store(docs.mapInArrow(_signatures(width, band_rows(percent)), fields))
+    classes = signed.where(F.col("digest").isNotNull() & F.col("key").isNotNull())
+    classes = settle(classes.groupBy("digest").agg(F.min("key").alias("rep")))
+    # a row that repeats stands for its class twice, which changes nothing below
+    stands = signed.withColumnRenamed("key", "rep")
+    stands = join_dimension(stands, classes, ["digest", "rep"], "left_semi", settled=True, spread="rep")
+    exploded = stands.select("digest", F.explode("bands").alias("key"))
+    shared = exploded.groupBy("key").agg(F.min("digest").alias("leader"), F.max("digest").alias("other"))
+    shared = settle(shared.where("leader != other").select("key", "leader"))
+    members = store(join_dimension(exploded, shared, ["key"], settled=True, spread="digest"))
     first = members.where("digest != leader").groupBy("digest").agg(F.min("leader").alias("a"))
     first = settle(first.select("a", F.col("digest").alias("b")))
     involved = settle(members.select("digest").distinct())
 
-    reps = join_dimension(classes.select("digest", "rep"), involved, ["digest"], settled=True, spread="rep")
-    wanted = settle(reps.select(F.col("rep").alias("key"), F.col("digest").alias("want")))
-    sets = join_dimension(docs, wanted, ["key"], settled=True, spread="text")
-    again = F.arrow_udf(_full_sets(width), T.BinaryType())
-    check = F.arrow_udf(lambda s: pa.array([set_digest(np.frombuffer(x.as_py(), "<u8")) for x in s], pa.binary()), T.BinaryType())
-    sets = sets.select(F.col("want").alias("digest"), again("text").alias("items"))
-    # a key may repeat with another text
-    sets = store(sets.where(check("items") == F.col("digest")).dropDuplicates(["digest"]))
-
-    link = F.arrow_udf(_linked(percent), T.BooleanType())
+    wanted = join_dimension(classes, involved, ["digest"], settled=True, spread="rep")
+    wanted = settle(wanted.select(F.col("rep").alias("key"), F.col("digest").alias("want")))
+    sets = join_dimension(docs, wanted, ["key"], settled=True, spread="text").select("want", "text")
+    sets = sets.mapInArrow(_full_sets(width), "digest binary, items binary")
+    sets = store(sets.groupBy("digest").agg(F.min("items").alias("items")))
 
     def confirmed(pairs: DataFrame) -> DataFrame:
         one = sets.select(F.col("digest").alias("a"), F.col("items").alias("x"))
         two = sets.select(F.col("digest").alias("b"), F.col("items").alias("y"))
-        return settle(pairs.join(one, "a").join(two, "b").where(link("x", "y")).select("a", "b"))
+        both = pairs.join(one, "a").join(two, "b").select("a", "b", "x", "y")
+        return settle(both.mapInArrow(_linked(percent), "a binary, b binary"))
 
     links = confirmed(first)
     roots = components(links)
-    sketches = classes.select("digest", "sketch")
-    rest = settle(_rest(join_dimension(members.select("key", "digest"), sketches, ["digest"], spread="key"), roots, percent))
+    rest = settle(_rest(members.select("key", "digest"), stands, sets, roots, percent))
     if not rest.isEmpty():
-        links = links.unionByName(confirmed(rest.join(first, ["a", "b"], "left_anti")))
-        roots = components(links)
+        roots = components(links.unionByName(rest))
 
     grouped = classes.select("digest", "rep").join(roots.withColumnRenamed("node", "digest"), "digest")
     grouped = settle(grouped)
@@ -271,3 +335,22 @@ def near_duplicates(
         component.alias("component_id"),
         (component.isNull() | (component == F.col("key"))).alias("kept"),
     )
+
+
+def drop_near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", percent: int = 85, width: int = 5) -> DataFrame:
+    """The rows of ``df`` without those whose component has a smaller key; all its
+    columns.
+
+    Rows with a null key, and rows without words, stay. Of rows that repeat both
+    key and text one stays. A key that repeats with other texts goes only if every
+    row of it would.
+    """
+    judged = near_duplicates(df, key, text, percent, width)
+    keys = store(judged.where(col(key).isNotNull()).groupBy(col(key)).agg(F.max("kept").alias("stays"), F.count(F.lit(1)).alias("rows")))
+    gone = settle(keys.where(~F.col("stays")).select(key))
+    left = join_dimension(df, gone, [key], "left_anti", settled=True, spread=text)
+    repeated = settle(keys.where(F.col("stays") & (F.col("rows") > 1)).select(key))
+    if repeated.isEmpty():
+        return left
+    once = join_dimension(left, repeated, [key], "left_anti", settled=True, spread=text)
+    return once.unionByName(join_dimension(left, repeated, [key], "left_semi", settled=True, spread=text).dropDuplicates([key, text]))

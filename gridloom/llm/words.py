@@ -13,7 +13,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-BLOCK = 1 << 21  # bytes hashed at a time, cut between words
+BLOCK = 1 << 19  # bytes hashed at a time, cut between words
 
 
 def _tables() -> tuple[np.ndarray, np.ndarray]:
