@@ -25,8 +25,8 @@ from pyspark.sql import types as T
 
 from gridloom.llm.frames import col
 
-STATES = 60_000  # transitions are forgotten beyond this many states
-PIECES = 150_000  # and encoded pieces beyond this many
+STATES = 200_000  # transitions are forgotten beyond this many states
+PIECES = 250_000  # and encoded pieces beyond this many
 NO_RANK = 1 << 60
 
 
@@ -87,7 +87,11 @@ class Transducer:
         start = ((b"", -1, 0),)
         self.states = [start]
         self.number = {start: 0}
-        self.steps: list[dict[int, tuple[int, bytes]]] = [{}]
+        # state times 256 plus byte to the next state, or to -1 - i if tokens come
+        # out too: the state and the packed tokens of telling[i]
+        self.steps: dict[int, int] = {}
+        self.telling: list[tuple[int, bytes]] = []
+        self.known: dict[tuple, tuple] = {}
         if len(self._pair) > 4 * self.limit:
             self._pair.clear()
 
@@ -112,19 +116,21 @@ class Transducer:
             self._pair[key] = good
         return good
 
-    def _step(self, state: int, byte: int) -> tuple[int, bytes]:
-        child, token, inner = self.child, self.token, self.inner
+    def _step(self, state: int, byte: int) -> int:
+        child, token, inner, pair, known = self.child.get, self.token, self.inner, self._pair.get, self.known
         ahead, ended = [], None
         for out, last, node in self.states[state]:
-            nxt = child.get(node << 8 | byte)
+            nxt = child(node << 8 | byte)
             if nxt is None:
                 continue
             if inner[nxt]:
                 ahead.append((out, last, nxt))
             if ended is None:
                 rank = token[nxt]
-                if rank >= 0 and self._follows(last, rank):
-                    ended = (out + self.packed[rank], rank, 0)
+                if rank >= 0:
+                    fits = pair(last << 32 | rank)
+                    if self._follows(last, rank) if fits is None else fits:
+                        ended = (out + self.packed[rank], rank, 0)
         if ended is None:
             raise ValueError(f"no token for byte {byte}")
         ahead.append(ended)
@@ -138,14 +144,16 @@ class Transducer:
         if agreed:
             cut = len(agreed)
             ahead = [(out[cut:], last, node) for out, last, node in ahead]
-        key = tuple(ahead)
+        key = tuple([known.setdefault(h, h) for h in ahead])
         number = self.number.get(key)
         if number is None:
             number = self.number[key] = len(self.states)
             self.states.append(key)
-            self.steps.append({})
-        found = self.steps[state][byte] = (number, agreed)
-        return found
+        if agreed:
+            self.telling.append((number, agreed))
+            number = -len(self.telling)
+        self.steps[state << 8 | byte] = number
+        return number
 
     def encode(self, data: bytes) -> bytes:
         """Packed ids of one piece; a piece that is a token itself is that token."""
@@ -155,12 +163,15 @@ class Transducer:
         if len(self.states) > self.limit:
             self._forget()
         out = b""
-        state, steps = 0, self.steps
+        state, step, telling = 0, self.steps.get, self.telling
         for byte in data:
-            step = steps[state].get(byte) or self._step(state, byte)
-            state = step[0]
-            if step[1]:
-                out += step[1]
+            nxt = step(state << 8 | byte)
+            if nxt is None:
+                nxt = self._step(state, byte)
+            if nxt < 0:
+                nxt, told = telling[-1 - nxt]
+                out += told
+            state = nxt
         return out + self.states[state][-1][0]
 
 
@@ -231,13 +242,12 @@ class StreamDecoder:
     could have begun a character, at the latest by ``finish``.
     """
 
-    def __init__(self, tokens: list[bytes], closed: np.ndarray) -> None:
-        # closed: tokens that begin and end between characters
-        self.tokens, self.closed = tokens, closed
+    def __init__(self, table: Decoder) -> None:
+        self.tokens, self.closed, self.table = table.tokens, table.closed, table
         self.state, self.held = 0, b""
 
     def feed(self, ids: np.ndarray) -> str:
-        data = b"".join(map(self.tokens.__getitem__, ids.tolist()))
+        data = self.table.joined(ids)
         if not self.held and bool(self.closed[ids].all()):
             return data.decode("utf-8")
         return self._feed_open(data, ids)
@@ -298,7 +308,18 @@ class Decoder:
         self.tokens = [b""] * (max(ranks.values(), default=-1) + 1)
         for data, rank in ranks.items():
             self.tokens[rank] = data
+        # tokens that begin and end between characters
         self.closed = np.array([self._closed(t) for t in self.tokens], dtype=bool)
+        self.sizes = np.array([len(t) for t in self.tokens], dtype=np.int64)
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.flat = np.frombuffer(b"".join(self.tokens), dtype=np.uint8)
+
+    def joined(self, ids: np.ndarray) -> bytes:
+        """The bytes of the tokens, one after another."""
+        sizes = self.sizes[ids]
+        ends = np.cumsum(sizes)
+        at = np.repeat(self.starts[ids] - ends + sizes, sizes)
+        return self.flat[at + np.arange(len(at))].tobytes()
 
     @staticmethod
     def _closed(token: bytes) -> bool:
@@ -310,7 +331,7 @@ class Decoder:
         return state == 0
 
     def stream(self) -> StreamDecoder:
-        return StreamDecoder(self.tokens, self.closed)
+        return StreamDecoder(self)
 
     def decode(self, ids: bytes | None, portion: int = 65_536) -> str:
         """Text of packed ids, fed in portions; ids must be in the vocabulary."""
