@@ -533,7 +533,7 @@ FROM (SELECT DISTINCT layer FROM poly), (VALUES ('category'),('price'),('size'))
 UNION ALL SELECT 'raster', 'dataset', 'band_count', 0, '', CAST(count(DISTINCT band) AS DOUBLE) FROM ras
 UNION ALL SELECT DISTINCT 'raster', 'dataset', 'band_descriptions', band-1, r_name, CAST(-1 AS DOUBLE) FROM ras JOIN region ON r_regionkey+1=band""")
 oracle("variable_status", POLY, select="""
-SELECT layer, variable, CASE WHEN reason IN ('categorical','numeric') THEN 'converted' ELSE 'skipped' END AS status, reason, n_values, n_features
+SELECT layer, variable, CASE WHEN reason IN ('categorical','numeric') THEN 'converted' ELSE 'skipped' END AS status, reason, n_values, n_features, 0::BIGINT AS n_dropped
 FROM (
   SELECT layer, 'category' AS variable, CASE WHEN count(category)=0 THEN 'no values' ELSE 'categorical' END AS reason, count(category) AS n_values, count(*) AS n_features FROM poly GROUP BY layer
   UNION ALL SELECT layer, 'price', CASE WHEN count(price)=0 THEN 'no values' ELSE 'numeric' END, count(price), count(*) FROM poly GROUP BY layer

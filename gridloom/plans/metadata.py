@@ -21,6 +21,7 @@ AXES = {
     "longitude": {"_CoordinateAxisType": "Lon", "axis": "X", "long_name": "longitude",
                   "standard_name": "longitude", "units": "degrees_east"},
 }
+GEOMETRY_TYPES = ("POLYGON", "LINE", "POINT")
 CONVENTIONS = "CF-1.8"
 DEFAULT_EPSG = 4326
 
@@ -152,11 +153,14 @@ def variable_status(features: DataFrame, wanted: list[str]) -> DataFrame:
     """What happens to each wanted variable in each layer, and why.
 
     ``converted``; ``skipped`` when the attribute does not exist, cannot be put
-    on a grid or has no value in that layer.
+    on a grid or has no value in that layer. ``n_dropped`` counts the layer's
+    features whose geometry type cannot be burned; they are on no grid.
     """
     known = {v: variable_kind(features.schema[v].dataType) for v in wanted if v in features.columns}
+    burned = F.col("geom_type").isin(*GEOMETRY_TYPES) if "geom_type" in features.columns else F.lit(True)
+    lost = F.count(F.when(~F.coalesce(burned, F.lit(False)), 1))
     counts = features.groupBy("layer").agg(
-        F.count(F.lit(1)).alias("_all"), *[F.count(v).alias(v) for v in known]
+        F.count(F.lit(1)).alias("_all"), lost.alias("_lost"), *[F.count(v).alias(v) for v in known]
     )
 
     def entry(v: str) -> Column:
@@ -174,6 +178,7 @@ def variable_status(features: DataFrame, wanted: list[str]) -> DataFrame:
             reason.alias("reason"),
             filled.alias("n_values"),
             F.col("_all").alias("n_features"),
+            F.col("_lost").alias("n_dropped"),
         )
 
     return counts.select("layer", F.explode(F.array(*[entry(v) for v in wanted])).alias("s")).select(

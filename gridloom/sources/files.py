@@ -18,12 +18,22 @@ def match_paths(paths: DataFrame, column: str, suffix: str, name: str | None = N
 
 
 def match_files(spark: SparkSession, root: str, suffix: str, name: str | None = None) -> DataFrame:
-    """All matching files below ``root`` with their size; contents are not read."""
-    listing = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", f"*{suffix}")
-        .load(root)
-        .select("path", "length")
-    )
-    return match_paths(listing, "path", suffix, name).orderBy("path")
+    """All matching files and folders below ``root``: ``path``, ``length`` (0 for a
+    folder), ``folder``; contents are not read, names that begin with a dot or an
+    underscore count.
+
+    The driver walks the folders, as every listing does, and goes into none that
+    matches: a container may be a folder.
+    """
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(root)
+    filesystem = hadoop.getFileSystem(spark._jsc.hadoopConfiguration())
+    found, open_now = [], [hadoop]
+    while open_now:
+        for status in filesystem.listStatus(open_now.pop()):
+            path, folder = status.getPath(), status.isDirectory()
+            base = path.getName()
+            if base.endswith(suffix) and (name is None or base == name):
+                found.append((path.toString(), 0 if folder else status.getLen(), folder))
+            elif folder:
+                open_now.append(path)
+    return spark.createDataFrame(found, "path string, length long, folder boolean").orderBy("path")

@@ -201,6 +201,13 @@ def test_status_and_documents(spark):
     assert status == {(l, v): why for l in "ab" for v, why in (("value", "numeric"), ("t", "unsupported type"), ("q", "not in schema"))}
 
 
+def test_features_that_cannot_be_burned_are_counted(spark):
+    df = features(spark, [(1, [square(0, 0, 2)]), (2, [square(2, 0, 2)])]).withColumn(
+        "geom_type", F.when(F.col("fid") == 1, F.col("geom_type"))
+    )
+    assert M.variable_status(df, ["value"]).first()["n_dropped"] == 1
+
+
 def test_encodings_are_rows_and_not_documents(spark):
     codes = spark.createDataFrame([("a", "k", c, i + 1) for i, c in enumerate("xyz")] + [("b", "s", "x", 1)], "layer string, var string, category string, code long")
     rows = M.encoding_metadata(codes)

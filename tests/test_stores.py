@@ -91,7 +91,7 @@ def read_array(path, name):
     padded = [-(-s // c) * c for s, c in zip(shape, chunks)]
     out = np.zeros(padded, dtype)
     for file in os.listdir(f"{path}/{name}"):
-        if file.startswith("."):
+        if file.startswith(".") or file == "encoding":
             continue
         at = [int(k) for k in file.split(".")]
         block = np.fromfile(f"{path}/{name}/{file}", dtype).reshape(chunks)
@@ -267,3 +267,12 @@ def test_raster_conversion_keeps_the_value_type(spark):
     assert got == sorted(("d_1", 2 - r, c, r * 10 + c) for r in range(3) for c in range(2))
     keys = {r.key for r in meta.collect()}
     assert {"band_count", "band_descriptions", "resolution", "units", "variables"} <= keys
+
+
+def test_folders_match_like_files(spark, tmp_path):
+    for name in ("w/a.gdb/part", "w/_b.gdb", "w/.c.gdb/part", "v/a.gdb.txt"):
+        p = tmp_path / name
+        p.parent.mkdir(exist_ok=True, parents=True)
+        p.write_bytes(b"1")
+    got = files.match_files(spark, str(tmp_path), ".gdb").collect()
+    assert sorted((r.path.split("/")[-1], r.folder, r.length) for r in got) == [(".c.gdb", True, 0), ("_b.gdb", False, 1), ("a.gdb", True, 0)]
