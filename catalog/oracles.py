@@ -423,8 +423,7 @@ FROM full_grid f LEFT JOIN (SELECT CAST(band AS VARCHAR) AS layer, row, col, val
   ON v.layer=f.layer AND v.row=f.row AND v.col=f.col""").replace("\n, full_grid", ", full_grid")
 oracle("pack_chunks", RASTER, select="""
 SELECT band, row//40 AS chunk_row, col//40 AS chunk_col, (row%40)*40+col%40 AS pos, value FROM ras""")
-oracle("export_encoding", select="""
-SELECT CAST(p_partkey AS BIGINT) AS code, p_name||' '||p_partkey AS category FROM part""")
+ORACLES["export_encoding"] = "SELECT CAST(p_partkey AS BIGINT) AS code, p_name||' '||p_partkey AS category FROM part"
 oracle("category_map", POLY, FIRST_CODES, select="SELECT layer, 'category' AS var, category, code FROM codes")
 oracle("infer_resolution", RASTER, RASTER_SPEC, AXIS_TABLE, select="""
 SELECT abs(max(label)-min(label)) AS resolution FROM (
