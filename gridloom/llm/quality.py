@@ -22,6 +22,7 @@ from gridloom.llm.frames import col
 CHUNK, HOP = 512, 256
 SAMPLE_DOCS = 3000  # labelled documents a fit reads at most
 SAMPLE_CHUNKS = 8  # chunks of each, evenly spread over the document
+STEPS = 700  # updates a fit makes at least
 
 
 @dataclass
@@ -114,6 +115,8 @@ def fit(
     first = {k: np.zeros_like(getattr(net, k)) for k in names} | {"offset": 0.0}
     second = {k: np.zeros_like(getattr(net, k)) for k in names} | {"offset": 0.0}
     step = 0
+    # few documents are gone over more often
+    epochs = max(epochs, -(-STEPS // -(-len(docs) // batch)))
     for epoch in range(epochs):
         lr = rate * (1 - epoch / epochs) + rate / 20
         order = rng.permutation(len(docs))
