@@ -36,6 +36,7 @@ STEP = 2048.0  # quantised values per unit of log10
 PART_BYTES = 12 * 1024 * 1024  # text whose pairs one part holds
 BATCH_TOKENS = 1_000_000
 BATCH_DOCS = 30_000
+LOOKUPS = 300_000  # pairs looked up at a time
 SAMPLE_DOCS, FREQUENT, SHARE = 500, 512, 1 / 1000  # for the words spread over all parts
 BEGIN, END = np.uint64(0x0123456789ABCDEF), np.uint64(0xFEDCBA9876543210)
 
@@ -190,7 +191,10 @@ def _look_up(frequent: np.ndarray, key_type: pa.DataType) -> Callable[[pa.Table]
             trie = PairTrie(first[known], follower, weight.astype("f8"), spread[known])
             del key, pair
             home = trie.words.find(first)
-            seen, value = trie.pairs(home[at], rel)
+            seen, value = np.empty(len(at), bool), np.empty(len(at), "f4")
+            for lo in range(0, len(at), LOOKUPS):
+                some = slice(lo, lo + LOOKUPS)
+                seen[some], value[some] = trie.pairs(home[at[some]], rel[some])
             total = np.where(home >= 0, trie.total[np.maximum(home, 0)], 0) if len(known) else np.zeros(len(first), np.int64)
             # of the first word as a word by itself; spread words are added later
             log_base = np.where(spread, 0.0, np.log10(total + 1.0))
