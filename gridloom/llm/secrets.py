@@ -271,6 +271,16 @@ def _blotted(texts: pa.Array, spans: pa.Array) -> pa.Array:
     return pa.array(out, pa.string())
 
 
+def _clean(texts: pa.Array) -> pa.Array:
+    return _blotted(texts, _spans_of(texts))
+
+
+def scan_and_redact(df: DataFrame, text: str = "text") -> DataFrame:
+    """Replace each secret of ``text`` by its kind in brackets, in one pass; as
+    :func:`scan_secrets` and :func:`redact_secrets` one after the other."""
+    return df.withColumn(text, F.arrow_udf(_clean, T.StringType())(col(text)))
+
+
 def redact_secrets(df: DataFrame, text: str = "text", spans: str = "secret_spans") -> DataFrame:
     """Replace each span of ``text`` by its kind in brackets and drop ``spans``.
 

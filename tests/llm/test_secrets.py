@@ -98,6 +98,7 @@ def test_frames(spark):
     assert out[1]["found"] == [] and out[2]["found"] == [] and out[4]["found"] == []
     clean = {r["doc_id"]: r["text"] for r in S.redact_secrets(S.scan_secrets(df, spans="found"), spans="found").collect()}
     assert clean[0] == "é [assign] [access] end" and clean[1] is None and clean[4] == "clean " * 20_000
+    assert {r["doc_id"]: r["text"] for r in S.scan_and_redact(df).collect()} == clean
     assert S.scan_secrets(df.limit(0)).count() == 0
 
 
