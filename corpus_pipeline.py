@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from gridloom.llm import bpe, quality
 from gridloom.llm.minhash import drop_near_duplicates
 from gridloom.llm.mixing import mix_plan, take_mix
-from gridloom.llm.secrets import redact_secrets, scan_secrets
+from gridloom.llm.secrets import scan_and_redact
 from gridloom.plans.joins import store
 
 QUALITY = 0.7  # documents that score less go
@@ -38,7 +38,7 @@ def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Replace every secret by its kind; every document stays."""
-    return _counted(redact_secrets(scan_secrets(docs, spans="_spans"), spans="_spans"))
+    return _counted(scan_and_redact(docs))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -49,8 +49,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every text, and whether they decode to it again."""
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    encoded = bpe.encode_text(docs.select("doc_id", "source", "text"), path, public_tokenizers.PATTERN)
-    decoded = bpe.decode_ids(encoded, path)
+    decoded = bpe.round_trip(docs.select("doc_id", "source", "text"), path, public_tokenizers.PATTERN)
     return decoded.select(
         "doc_id",
         "source",

@@ -385,6 +385,28 @@ def decode_ids(df: DataFrame, path: str, ids: str = "ids", out: str = "decoded")
     return df.withColumn(out, F.arrow_udf(decoded, T.StringType())(col(ids)))
 
 
+def round_trip(
+    df: DataFrame, path: str, pattern: str, text: str = "text", ids: str = "ids", out: str = "decoded"
+) -> DataFrame:
+    """Add ``ids`` and ``out`` as :func:`encode_text` and :func:`decode_ids` would,
+    in one pass: chained, the texts would be encoded once for each."""
+
+    def both(texts: pa.Array) -> pa.Array:
+        encode, decode = _encoder(path, pattern).encode, _decoder(path).decode
+        gc.disable()
+        try:
+            packed = [encode(t.as_py()) for t in texts]
+        finally:
+            gc.enable()
+        return pa.StructArray.from_arrays(
+            [pa.array(packed, pa.binary()), pa.array([decode(p) for p in packed], pa.string())], names=["ids", "decoded"]
+        )
+
+    kind = T.StructType([T.StructField("ids", T.BinaryType()), T.StructField("decoded", T.StringType())])
+    found = F.arrow_udf(both, kind)(col(text))
+    return df.withColumns({ids: found["ids"], out: found["decoded"]})
+
+
 def token_count(ids: str = "ids") -> Column:
     return F.floor(F.octet_length(col(ids)) / 4).cast("long")
 

@@ -25,8 +25,7 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of every document and the text they decode to, as digests."""
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    ids = bpe.encode_text(docs, path, public_tokenizers.PATTERN).select("doc_id", "ids")
-    return bpe.decode_ids(ids, path).select(
+    return bpe.round_trip(docs, path, public_tokenizers.PATTERN).select(
         "doc_id",
         bpe.token_count().alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),

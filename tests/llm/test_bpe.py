@@ -74,4 +74,6 @@ def test_round_trip_in_spark(spark):
     df = clashing(docs(spark, [None, "", "Hello  wörld 😀", "Hello  wörld 😀", "x" * 100_000]))
     out = bpe.decode_ids(bpe.encode_text(df, PATH, P.PATTERN, out="packed"), PATH, "packed").collect()
     assert [r["decoded"] for r in sorted(out, key=lambda r: r["doc_id"])] == ["", "", "Hello  wörld 😀", "Hello  wörld 😀", "x" * 100_000]
+    both = bpe.round_trip(df, PATH, P.PATTERN, ids="packed", out="decoded").collect()
+    assert sorted((r["doc_id"], bytes(r["packed"]), r["decoded"]) for r in both) == sorted((r["doc_id"], bytes(r["packed"]), r["decoded"]) for r in out)
     assert bpe.encode_text(df.limit(0), PATH, P.PATTERN).count() == 0
