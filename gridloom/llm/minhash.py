@@ -11,9 +11,10 @@ than one hash per element.
 Coordinates are cut into bands; documents that share a band are candidates.
 Documents with equal sets are one class from the start. Each class is first
 compared with the least member of its bands. Bands that still hold more than one
-component are compared in blocks by their sketches, which gives groups of likely
-duplicates; these are compared in blocks again, with the full sets. A block emits
-no more than the links that connect it. All links are confirmed on the full sets.
+component are compared in blocks by their sketches, which gives groups of components
+that may be linked; all their members are compared in blocks again, with the full
+sets, but for those of one component. A block emits no more than the links that
+connect it. All links are confirmed on the full sets.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridloom.llm.components import components
@@ -188,17 +189,18 @@ def _sides(group: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndar
     return np.flatnonzero(side != 2), np.flatnonzero(side != 1), sketch, label
 
 
-def _pairs(group: pa.Table, found: list[tuple[int, int]]) -> pa.Table:
-    digest = group["digest"].to_pylist()
-    return pa.table({"a": pa.array([digest[i] for i, _ in found], pa.binary()), "b": pa.array([digest[j] for _, j in found], pa.binary())})
+def _pairs(group: pa.Table, name: str, found: list[tuple[int, int]]) -> pa.Table:
+    names = group[name].to_pylist()
+    return pa.table({"a": pa.array([names[i] for i, _ in found], pa.binary()), "b": pa.array([names[j] for _, j in found], pa.binary())})
 
 
 def _likely(least: float) -> Callable[[pa.Table], pa.Table]:
-    """Of two blocks of a band, pairs that connect all whose sketches are close."""
+    """Of two blocks of a band, pairs of components that connect all that have
+    members whose sketches are close."""
 
     def likely(group: pa.Table) -> pa.Table:
         left, right, sketch, label = _sides(group)
-        return _pairs(group, _joins(label, left, right, sketch, least, lambda i, j: True))
+        return _pairs(group, "root", _joins(label, left, right, sketch, least, lambda i, j: True))
 
     return likely
 
@@ -219,17 +221,28 @@ def _confirmed(least: float, percent: int) -> Callable[[pa.Table], pa.Table]:
         for one in dict.fromkeys(pack):
             inside = pack == one
             found += _joins(label, left[inside[left]], right[inside[right]], sketch, least, linked)
-        return _pairs(group, found)
+        return _pairs(group, "digest", found)
 
     return confirmed
 
 
-def _blocked(members: DataFrame, key: str, sizes: DataFrame) -> DataFrame:
-    """Each member once for every other block of its ``key``: a block meets itself
-    (side 0) and every other block once (sides 1 and 2)."""
-    here = join_dimension(members, sizes, [key], settled=True, spread="digest")
-    block = F.pmod(F.xxhash64("digest", F.lit(3)), F.col("blocks")).cast("int")
-    here = here.withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+def _blocked(members: DataFrame, key: str) -> DataFrame:
+    """Each member of a ``key`` with several components once for every block it is
+    compared with: a block meets itself (side 0) and every other block once (sides 1
+    and 2), but blocks of one component do not meet. A component of more than
+    ``BLOCK`` members has blocks of its own; the others share theirs."""
+    sized = members.groupBy(key, "root").agg(F.count(F.lit(1)).alias("size"))
+    sized = store(sized.withColumn("unit", F.when(F.col("size") > BLOCK, F.col("root")).otherwise(F.lit(b""))))
+    units = sized.groupBy(key, "unit").agg(F.count(F.lit(1)).alias("roots"), F.ceil(F.sum("size") / BLOCK).alias("blocks"))
+    of_key = Window.partitionBy(key)
+    first = F.sum("blocks").over(of_key.orderBy("unit")) - F.col("blocks")
+    units = units.select(key, "unit", "blocks", first.alias("first"), F.sum("blocks").over(of_key).alias("total"), F.sum("roots").over(of_key).alias("roots"))
+    units = settle(units.where("roots > 1").drop("roots"))
+    places = settle(join_dimension(sized.select(key, "root", "unit"), units, [key, "unit"], settled=True, spread="root"))
+    here = join_dimension(members, places, [key, "root"], settled=True, spread="digest")
+    block = F.col("first") + F.pmod(F.xxhash64("digest", F.lit(3)), F.col("blocks"))
+    foreign = (F.col("unit") == F.lit(b"")) | (F.col("other") < F.col("first")) | (F.col("other") >= F.col("first") + F.col("blocks"))
+    here = here.withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("total") - 1))).where(foreign)
     side = F.when(F.col("block") == F.col("other"), 0).when(F.col("block") < F.col("other"), 1).otherwise(2)
     return here.withColumn("lo", F.least("block", "other")).withColumn("hi", F.greatest("block", "other")).withColumn("side", side)
 
@@ -239,28 +252,25 @@ def _rest(members: DataFrame, stands: DataFrame, sets: DataFrame, roots: DataFra
     least = percent / 100 - SLACK
     own = roots.withColumnRenamed("node", "digest")
     placed = members.join(own, "digest", "left").withColumn("root", F.coalesce("root", "digest"))
-    mixed = placed.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("size"))
-    mixed = settle(mixed.where(F.col("lo") != F.col("hi")).select("key", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks")))
-    here = settle(_blocked(placed, "key", mixed))
-    wanted = settle(here.select("digest").distinct())
-    sketches = join_dimension(stands.select("digest", "sketch"), wanted, ["digest"], settled=True, spread="digest").dropDuplicates(["digest"])
-    sketches = store(sketches)
+    here = settle(_blocked(placed, "key"))
+    wanted = settle(placed.select("digest", "root").distinct())
+    sketches = join_dimension(stands.select("digest", "sketch"), wanted.select("digest"), ["digest"], settled=True, spread="digest")
+    sketches = store(sketches.dropDuplicates(["digest"]))
     near = (
         here.join(sketches.hint("merge"), "digest")
         .select("key", "lo", "hi", "side", "digest", "root", "sketch")
         .groupBy("key", "lo", "hi")
         .applyInArrow(_likely(least), "a binary, b binary")
     )
-    # whatever is linked is in one likely group, and there all pairs are tried
-    likely = components(near).select(F.col("node").alias("digest"), F.col("root").alias("likely"))
-    sizes = likely.groupBy("likely").agg(F.count(F.lit(1)).alias("size"))
-    sizes = settle(sizes.select("likely", "size", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks")))
-    small = sizes.where("blocks = 1").agg(F.coalesce(F.sum("size"), F.lit(0)).alias("n")).first()["n"]
-    pack = F.when(F.col("blocks") > 1, F.xxhash64("likely")).otherwise(F.pmod(F.xxhash64("likely"), F.lit(1 + small // BLOCK)))
-    named = likely.join(own, "digest", "left").withColumn("root", F.coalesce("root", "digest"))
+    # components with a link between them are in one likely group with all their
+    # members, and there all pairs of different components are tried
+    likely = settle(components(near).select(F.col("node").alias("root"), F.col("root").alias("likely")))
+    named = store(join_dimension(wanted, likely, ["root"], settled=True, spread="digest"))
+    small = named.groupBy("likely").count().where(F.col("count") <= BLOCK).agg(F.coalesce(F.sum("count"), F.lit(0)).alias("n")).first()["n"]
+    pack = F.when(F.col("total") > 1, F.xxhash64("likely")).otherwise(F.pmod(F.xxhash64("likely"), F.lit(1 + small // BLOCK)))
     full = sketches.join(sets, "digest")
     return (
-        _blocked(named, "likely", sizes)
+        _blocked(named, "likely")
         .withColumn("pack", pack)
         .join(full.hint("merge"), "digest")
         .select("pack", "lo", "hi", "side", "likely", "digest", "root", "sketch", "items")

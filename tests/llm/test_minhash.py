@@ -98,6 +98,24 @@ def test_large_group_with_chains(spark):
     check(spark, texts)
 
 
+def test_links_of_other_members_than_the_nearest(spark):
+    rnd = random.Random(8)
+    texts = []
+    for g in range(6):
+        base = [f"g{g}w{i}" for i in range(204)]
+        for k in range(40):  # each has its own edit, so that all are linked with each other
+            copy = list(base)
+            copy[5 + 5 * k % 195] = f"own{g}x{k}"
+            texts.append(" ".join(copy))
+        for k in range(40):  # linked only with the copy whose edit it shares, if with any
+            copy = texts[g * 80 + k].split(" ")
+            far = [p for p in range(5, 200, 5) if p != 5 + 5 * k % 195]
+            for p in rnd.sample(far, 3):
+                copy[p] = f"far{g}x{k}p{p}"
+            texts.append(" ".join(copy))
+    check(spark, texts, percent=86)
+
+
 def test_odd_rows(spark):
     texts = [None, "", " ", "one two", "One\ttwo", "one two", "one two three four five", "one two three four five"]
     check(spark, texts)
