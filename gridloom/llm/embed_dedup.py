@@ -6,9 +6,10 @@ neighbours, and those that name it as theirs, with each other, and keeps the bes
 for every list. Threshold edges of the lists make components. A list full of such
 edges is saturated: it is enlarged by all that neighbours of neighbours reach, its
 component, which is compared in blocks so that only counts leave a task; and the
-list itself then takes only nodes of other components. Recall is audited on some
-nodes against every vector, and if a link of theirs is missing the descent goes on
-from further rotations.
+list itself then takes only nodes of other components. Recall is audited against
+every vector on some nodes of all, some that have links and those that nearly have,
+and if a link of theirs is missing the descent goes on from further rotations. If
+rounds run out before an audit passes, all vectors are compared, in blocks.
 """
 
 from __future__ import annotations
@@ -31,9 +32,10 @@ from gridloom.plans.joins import join_dimension, settle, store
 NEIGHBOURS = 6  # length of a list
 TABLES = 6  # rotations a round starts from
 ROUNDS, REFINEMENTS = 10, 2
-BUCKET = 256  # nodes of a start bucket compared with each other
+BUCKET = 256  # nodes of a start bucket compared at a time
 BLOCK = 512
-AUDITED = 256  # nodes an audit compares with every vector, about
+AUDITED = 256  # nodes of each kind an audit compares with every vector, about
+EXACT_BLOCK = 4096  # nodes of a block where all are compared
 
 LISTS = "node long, near long, cos double"
 
@@ -46,23 +48,28 @@ def unit(vectors: pa.Array) -> np.ndarray:
 
 
 def _best_of_bucket(most: int) -> Callable[[pa.Table], pa.Table]:
-    """The nearest of each node within one bucket, of other components."""
+    """The nearest, of other components, of each node of two blocks of a bucket in
+    the other block."""
 
     def best(group: pa.Table) -> pa.Table:
-        x, node = unit(group["vector"]), group["node"].to_numpy()
-        root = group["root"].to_numpy()
-        cos = np.where(root[:, None] == root[None, :], -2, x @ x.T)
-        k = min(most, len(node) - 1)
-        near = np.argpartition(-cos, k - 1, axis=1)[:, :k] if k > 0 else np.zeros((len(node), 0), int)
-        best = np.take_along_axis(cos, near, 1)
-        i, j = np.nonzero(best > -2)
-        return pa.table(
-            {
-                "node": pa.array(node[i], pa.int64()),
-                "near": pa.array(node[near[i, j]], pa.int64()),
-                "cos": pa.array(best[i, j], pa.float64()),
-            }
-        )
+        side, node, root = group["side"].to_numpy(), group["node"].to_numpy(), group["root"].to_numpy()
+        x = unit(group["vector"])
+        left, right = np.flatnonzero(side != 2), np.flatnonzero(side != 1)
+        cos = np.where(root[left][:, None] == root[right][None, :], -2, x[left] @ x[right].T)
+        ways = [(left, right, cos)]
+        if len(left) and side[left[0]] != 0:
+            ways.append((right, left, cos.T))
+        out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        for own, other, c in ways:
+            k = min(most, len(other))
+            if not len(own) or not k:
+                continue
+            near = np.argpartition(-c, k - 1, axis=1)[:, :k]
+            top = np.take_along_axis(c, near, 1)
+            i, j = np.nonzero(top > -2)
+            out.append((node[own[i]], node[other[near[i, j]]], top[i, j]))
+        node_, near_, cos_ = (np.concatenate(part) for part in zip(*out)) if out else ([], [], [])
+        return pa.table({"node": pa.array(node_, pa.int64()), "near": pa.array(near_, pa.int64()), "cos": pa.array(cos_, pa.float64())})
 
     return best
 
@@ -109,9 +116,13 @@ def _start(nodes: DataFrame, most: int, depth: int, seed: int) -> DataFrame:
     sizes = filed.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     sizes = settle(sizes.select("bucket", F.ceil(F.col("size") / BUCKET).cast("int").alias("parts")))
     filed = join_dimension(filed, sizes, ["bucket"], settled=True, spread="node")
-    part = F.pmod(F.xxhash64("node", "tab", F.lit(seed)), F.col("parts")).alias("part")
+    # every part of a bucket meets itself (side 0) and every other once (sides 1 and 2)
+    filed = filed.withColumn("part", F.pmod(F.xxhash64("node", "tab", F.lit(seed)), F.col("parts")).cast("int"))
+    filed = filed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    lo, hi = F.least("part", "other").alias("lo"), F.greatest("part", "other").alias("hi")
+    side = F.when(F.col("part") == F.col("other"), 0).when(F.col("part") < F.col("other"), 1).otherwise(2).alias("side")
     best = _best_of_bucket(most)
-    return filed.select("bucket", part, "node", "root", "vector").groupBy("bucket", "part").applyInArrow(best, LISTS)
+    return filed.select("bucket", lo, hi, side, "node", "root", "vector").groupBy("bucket", "lo", "hi").applyInArrow(best, LISTS)
 
 
 def _refine(nodes: DataFrame, lists: DataFrame, inner: DataFrame, most: int, seed: int) -> DataFrame:
@@ -176,12 +187,48 @@ def _links_within(nodes: DataFrame, roots: DataFrame, threshold: float) -> DataF
     )
 
 
-def _audit(nodes: DataFrame, linked: DataFrame, threshold: float, seed: int) -> bool:
+def _exact(nodes: DataFrame, threshold: float) -> DataFrame:
+    """Links that connect all that are linked, from comparing all vectors in blocks;
+    ``nodes`` have the ``root`` of what is connected already."""
+
+    def joined(group: pa.Table) -> pa.Table:
+        side, node = group["side"].to_numpy(), group["node"].to_numpy()
+        label = np.unique(group["root"].to_numpy(), return_inverse=True)[1]
+        x = unit(group["vector"])
+        left, right = np.flatnonzero(side != 2), np.flatnonzero(side != 1)
+        found: list[tuple[int, int]] = []
+        for at in range(0, len(left), BLOCK):
+            rows = left[at : at + BLOCK]
+            i, j = np.nonzero((x[rows] @ x[right].T >= threshold) & (label[rows][:, None] != label[right][None, :]))
+            for a, b in zip(rows[i], right[j]):
+                if label[a] != label[b]:
+                    found.append((a, b))
+                    label[label == label[b]] = label[a]
+        return pa.table({"node": pa.array([node[a] for a, _ in found], pa.int64()), "near": pa.array([node[b] for _, b in found], pa.int64())})
+
+    sizes = nodes.groupBy(F.size("vector").alias("length")).agg(F.ceil(F.count(F.lit(1)) / EXACT_BLOCK).cast("int").alias("blocks"))
+    placed = nodes.withColumn("length", F.size("vector")).join(F.broadcast(settle(sizes)), "length")
+    placed = placed.withColumn("block", F.pmod(F.xxhash64("node", F.lit(11)), F.col("blocks")).cast("int"))
+    placed = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    lo, hi = F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi")
+    side = F.when(F.col("block") == F.col("other"), 0).when(F.col("block") < F.col("other"), 1).otherwise(2).alias("side")
+    placed = placed.select("length", lo, hi, side, "node", "root", "vector")
+    return placed.groupBy("length", "lo", "hi").applyInArrow(joined, "node long, near long")
+
+
+def _audit(nodes: DataFrame, lists: DataFrame, links: DataFrame, linked: DataFrame, threshold: float, seed: int) -> bool:
     """Whether some nodes, compared with every vector, have all their links."""
     total = nodes.count()
     share = max(1, total // AUDITED)
-    # a bounded sample: about AUDITED nodes, however many there are
-    some = nodes.where(F.pmod(F.xxhash64("node", F.lit(seed)), F.lit(share)) == 0).limit(4 * AUDITED).select("node", "copies", "vector")
+    # bounded samples: about AUDITED nodes of all, of those with links, and of those
+    # without the ones whose nearest is closest, however many there are
+    any_ = nodes.where(F.pmod(F.xxhash64("node", F.lit(seed)), F.lit(share)) == 0).limit(4 * AUDITED).select("node")
+    ends = links.select("node").union(links.select("near")).distinct()
+    tied = ends.orderBy(F.xxhash64("node", F.lit(seed))).limit(AUDITED)
+    closest = lists.groupBy("node").agg(F.max("cos").alias("cos")).join(ends, "node", "left_anti")
+    closest = closest.orderBy(F.desc("cos"), "node").limit(AUDITED).select("node")
+    picked = settle(any_.union(tied).union(closest).distinct())
+    some = nodes.select("node", "copies", "vector").join(F.broadcast(picked), "node", "left_semi")
     some = some.toArrow()
     if not len(some):
         return True
@@ -192,7 +239,7 @@ def _audit(nodes: DataFrame, linked: DataFrame, threshold: float, seed: int) ->
         by_length[int(n)] = (some["node"].take(rows).to_numpy(), unit(some["vector"].take(rows)))
 
     def compared(batches):
-        for batch in batches:
+        for batch in (b.slice(k, BLOCK) for b in batches for k in range(0, len(b), BLOCK)):
             table = pa.Table.from_batches([batch])
             sizes = pc.list_value_length(table["vector"]).to_numpy()
             for n in np.unique(sizes):
@@ -244,7 +291,7 @@ def near_duplicate_vectors(
         links = store(links.unionByName(lists.where(F.col("cos") >= threshold)))
         roots = components(links, "node", "near")
         linked = settle(_links_within(nodes, roots, threshold))
-        if _audit(nodes, linked, threshold, seed + r):
+        if _audit(nodes, lists, links, linked, threshold, seed + r):
             break
         # from now on lists are of other components; the nearest links lead on
         inner = store(_top(links, NEIGHBOURS))
@@ -252,6 +299,10 @@ def near_duplicate_vectors(
         apart = lists.join(here, "node", "left").join(there, "near", "left")
         apart = apart.where(F.coalesce("ra", "node") != F.coalesce("rb", "near"))
         lists = store(apart.select("node", "near", "cos"))
+    else:
+        placed = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        roots = components(store(links.select("node", "near").unionByName(_exact(placed, threshold))), "node", "near")
+        linked = settle(_links_within(nodes, roots, threshold))
     named = nodes.select("node", "rep", "copies", "vector").join(roots, "node", "left").join(linked, "node", "left")
     named = named.withColumn("root", F.coalesce("root", "node"))
     least = settle(named.groupBy("root").agg(F.min("rep").alias("least")))

@@ -105,3 +105,36 @@ def test_links_against_all_pairs(spark, threshold):
     for k, i in enumerate(ids):
         least = ids[order[roots[place[k]]]]
         assert (got[i]["n_links"], got[i]["component_id"], got[i]["kept"]) == (near[k].sum(), least, least == i)
+
+
+def cone(seed, n, pairs, width=64):
+    """Distinct vectors around one axis, few of them with a near copy."""
+    rng = np.random.default_rng(seed)
+    x = rng.normal(size=(n, width)) * 0.5 / np.sqrt(width)
+    x[:, 0] += 0.93
+    x[-pairs:] = x[:pairs] + rng.normal(size=(pairs, width)) * 0.3 / np.sqrt(width)
+    return [(i, v.tolist()) for i, v in enumerate(x)]
+
+
+def check_cone(spark, n, pairs, **options):
+    rows = cone(7, n, pairs)
+    x = np.array([v for _, v in rows])
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    near = x @ x.T >= 0.9
+    np.fill_diagonal(near, False)
+    assert pairs <= near.sum() // 2 < 4 * pairs
+    got = {r["vec_id"]: r["n_links"] for r in E.near_duplicate_vectors(frame(spark, rows), **options).collect()}
+    assert [got[i] for i in range(n)] == near.sum(axis=1).tolist()
+
+
+def test_rare_links_in_a_hot_bucket(spark, monkeypatch):
+    monkeypatch.setattr(E, "BUCKET", 16)
+    monkeypatch.setattr(E, "AUDITED", 8)
+    check_cone(spark, 800, 8)
+
+
+def test_all_compared_when_rounds_run_out(spark, monkeypatch):
+    monkeypatch.setattr(E, "_audit", lambda *_: False)
+    monkeypatch.setattr(E, "_start", lambda nodes, *_: nodes.selectExpr("node", "node as near", "1D as cos").limit(0))
+    monkeypatch.setattr(E, "EXACT_BLOCK", 100)
+    check_cone(spark, 300, 8, rounds=1)
