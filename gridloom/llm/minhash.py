@@ -19,6 +19,7 @@ connect it. All links are confirmed on the full sets.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -32,9 +33,8 @@ from gridloom.llm.words import BASE, batch_word_hashes, mix, shingle_hashes
 from gridloom.plans.joins import join_dimension, settle, store
 
 BINS = 125
-MISS = 5e-5  # chance that a pair just at the threshold shares no band
+MISS = 5e-5  # chance that a pair just at the threshold shares no band, and that its sketches seem too far
 BLOCK = 512  # sketches compared at a time
-SLACK = 0.13  # a sketch estimate this far below the threshold is four deviations off
 UNFILLED = np.uint64(2**64 - 1)
 ELEMENTS, BATCH_DOCS = 150_000, 2_000  # elements and documents sketched at a time
 
@@ -72,6 +72,18 @@ def band_rows(percent: int, bins: int = BINS) -> int:
     return max(good, default=1)
 
 
+def least_share(percent: int, bins: int = BINS) -> float:
+    """The largest share of equal coordinates that a pair just at the threshold
+    falls below with a chance of no more than ``MISS``."""
+    p, below, k = percent / 100, 0.0, 0
+    while k < bins:
+        below += math.comb(bins, k) * p**k * (1 - p) ** (bins - k)
+        if below > MISS:
+            break
+        k += 1
+    return k / bins
+
+
 def band_keys(sketches: np.ndarray, rows: int) -> np.ndarray:
     """One 64-bit key per band, different for every band."""
     parts = sketches[:, : sketches.shape[1] // rows * rows].reshape(len(sketches), -1, rows)
@@ -249,7 +261,7 @@ def _blocked(members: DataFrame, key: str) -> DataFrame:
 
 def _rest(members: DataFrame, stands: DataFrame, sets: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
     """Links between the components that share a band."""
-    least = percent / 100 - SLACK
+    least = least_share(percent)
     own = roots.withColumnRenamed("node", "digest")
     placed = members.join(own, "digest", "left").withColumn("root", F.coalesce("root", "digest"))
     here = settle(_blocked(placed, "key"))

@@ -1,3 +1,4 @@
+import math
 import random
 
 import numpy as np
@@ -76,6 +77,13 @@ def test_sketch_fills_every_coordinate_and_estimates():
     assert (M.similarity_sketches([a])[0] == s[0]).all()
 
 
+def test_pairs_at_the_threshold_pass_the_sketch_filter():
+    for percent in (50, 60, 70, 80, 85, 90, 95):
+        p, cut = percent / 100, round(M.least_share(percent) * M.BINS)
+        chance = [math.comb(M.BINS, k) * p**k * (1 - p) ** (M.BINS - k) for k in range(cut + 1)]
+        assert sum(chance[:-1]) <= M.MISS < sum(chance)
+
+
 def test_against_all_pairs(spark):
     check(spark, varied(1, 60))
 
