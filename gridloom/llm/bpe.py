@@ -14,6 +14,9 @@ from __future__ import annotations
 
 import base64
 import gc
+from array import array
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import lru_cache
 
 import numpy as np
@@ -27,6 +30,7 @@ from gridloom.llm.frames import col
 
 STATES = 200_000  # transitions are forgotten beyond this many states
 PIECES = 250_000  # and encoded pieces beyond this many
+SLICE = 256  # texts whose results leave together
 NO_RANK = 1 << 60
 
 
@@ -83,18 +87,25 @@ class Transducer:
         self._forget()
 
     def _forget(self) -> None:
-        # a hypothesis: packed output still to agree on, last token (-1: none), trie node
-        start = ((b"", -1, 0),)
-        self.states = [start]
+        # a state is a flat tuple of three fields for each hypothesis: packed output
+        # still to agree on, last token (-1: none), trie node
+        start = (b"", -1, 0)
+        self._flat = [start]
         self.number = {start: 0}
-        # state times 256 plus byte to the next state, or to -1 - i if tokens come
-        # out too: the state and the packed tokens of telling[i]
+        # the first transition met from a state is in two arrays: its byte, and the
+        # next state, or -1 - i if tokens come out too: the state and the packed
+        # tokens of telling[i]; further ones by state times 256 plus byte
+        self.first_byte, self.first_next = array("h", [-1]), array("i", [0])
         self.steps: dict[int, int] = {}
         self.telling: list[tuple[int, bytes]] = []
-        self.known: dict[tuple, tuple] = {}
-        if len(self._pair) > 4 * self.limit:
+        if len(self._pair) > self.limit:
             self._pair.clear()
 
+    @property
+    def states(self) -> list[tuple[tuple[bytes, int, int], ...]]:
+        """The hypotheses of every state."""
+        return [tuple(zip(flat[::3], flat[1::3], flat[2::3])) for flat in self._flat]
+
     def _merged(self, token: int) -> bool:
         """Whether the merges make ``token`` out of its bytes."""
         whole = self._whole.get(token)
@@ -117,42 +128,47 @@ class Transducer:
         return good
 
     def _step(self, state: int, byte: int) -> int:
-        child, token, inner, pair, known = self.child.get, self.token, self.inner, self._pair.get, self.known
+        child, token, inner, pair = self.child.get, self.token, self.inner, self._pair.get
         ahead, ended = [], None
-        for out, last, node in self.states[state]:
+        fields = iter(self._flat[state])
+        for out, last, node in zip(fields, fields, fields):
             nxt = child(node << 8 | byte)
             if nxt is None:
                 continue
             if inner[nxt]:
-                ahead.append((out, last, nxt))
+                ahead += (out, last, nxt)
             if ended is None:
                 rank = token[nxt]
                 if rank >= 0:
                     fits = pair(last << 32 | rank)
                     if self._follows(last, rank) if fits is None else fits:
-                        ended = (out + self.packed[rank], rank, 0)
+                        ended = (out + self.packed[rank] if out else self.packed[rank], rank, 0)
         if ended is None:
             raise ValueError(f"no token for byte {byte}")
-        ahead.append(ended)
+        ahead += ended
         agreed = ended[0]
-        for h in ahead:
-            out = h[0]
+        for out in ahead[::3]:
             while not out.startswith(agreed):
                 agreed = agreed[:-4]
             if not agreed:
                 break
         if agreed:
             cut = len(agreed)
-            ahead = [(out[cut:], last, node) for out, last, node in ahead]
-        key = tuple([known.setdefault(h, h) for h in ahead])
+            ahead[::3] = [out[cut:] for out in ahead[::3]]
+        key = tuple(ahead)
         number = self.number.get(key)
         if number is None:
-            number = self.number[key] = len(self.states)
-            self.states.append(key)
+            number = self.number[key] = len(self._flat)
+            self._flat.append(key)
+            self.first_byte.append(-1)
+            self.first_next.append(0)
         if agreed:
-            self.telling.append((number, agreed))
+            self.telling.append((number, self.packed[int.from_bytes(agreed, "little")] if cut == 4 else agreed))
             number = -len(self.telling)
-        self.steps[state << 8 | byte] = number
+        if self.first_byte[state] < 0:
+            self.first_byte[state], self.first_next[state] = byte, number
+        else:
+            self.steps[state << 8 | byte] = number
         return number
 
     def encode(self, data: bytes) -> bytes:
@@ -160,19 +176,23 @@ class Transducer:
         rank = self.ranks.get(data)
         if rank is not None:
             return self.packed[rank]
-        if len(self.states) > self.limit:
+        if len(self._flat) > self.limit:
             self._forget()
         out = b""
         state, step, telling = 0, self.steps.get, self.telling
+        first_byte, first_next = self.first_byte, self.first_next
         for byte in data:
-            nxt = step(state << 8 | byte)
-            if nxt is None:
-                nxt = self._step(state, byte)
+            if first_byte[state] == byte:
+                nxt = first_next[state]
+            else:
+                nxt = step(state << 8 | byte)
+                if nxt is None:
+                    nxt = self._step(state, byte)
             if nxt < 0:
                 nxt, told = telling[-1 - nxt]
                 out += told
             state = nxt
-        return out + self.states[state][-1][0]
+        return out + self._flat[state][-3]
 
 
 class _Pieces(dict):
@@ -352,6 +372,23 @@ def _decoder(path: str) -> Decoder:
     return Decoder(read_ranks(path))
 
 
+def _slices(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    """A batch in parts of few rows, so that results leave before the next part."""
+    for batch in batches:
+        for at in range(0, max(len(batch), 1), SLICE):
+            yield batch.slice(at, SLICE)
+
+
+@contextmanager
+def _no_collection() -> Iterator[None]:
+    """The caches hold no cycles; looking for some takes longer than the work."""
+    gc.disable()
+    try:
+        yield
+    finally:
+        gc.enable()
+
+
 def encode_text(df: DataFrame, path: str, pattern: str, text: str = "text", out: str = "ids") -> DataFrame:
     """Add ``out``: the token ids of each text, packed as little-endian unsigned
     32-bit numbers in a binary column.
@@ -363,14 +400,11 @@ def encode_text(df: DataFrame, path: str, pattern: str, text: str = "text", out:
     and one batch of texts.
     """
 
-    def encoded(texts: pa.Array) -> pa.Array:
+    def encoded(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encode = _encoder(path, pattern).encode
-        # the caches hold no cycles; looking for some takes longer than the work
-        gc.disable()
-        try:
-            return pa.array([encode(t.as_py()) for t in texts], pa.binary())
-        finally:
-            gc.enable()
+        for texts in _slices(batches):
+            with _no_collection():
+                yield pa.array([encode(t.as_py()) for t in texts], pa.binary())
 
     return df.withColumn(out, F.arrow_udf(encoded, T.BinaryType())(col(text)))
 
@@ -378,9 +412,10 @@ def encode_text(df: DataFrame, path: str, pattern: str, text: str = "text", out:
 def decode_ids(df: DataFrame, path: str, ids: str = "ids", out: str = "decoded") -> DataFrame:
     """Add ``out``: the text of packed ids; null or empty ids give an empty text."""
 
-    def decoded(packed: pa.Array) -> pa.Array:
+    def decoded(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         decode = _decoder(path).decode
-        return pa.array([decode(p.as_py()) for p in packed], pa.string())
+        for packed in _slices(batches):
+            yield pa.array([decode(p.as_py()) for p in packed], pa.string())
 
     return df.withColumn(out, F.arrow_udf(decoded, T.StringType())(col(ids)))
 
@@ -389,18 +424,22 @@ def round_trip(
     df: DataFrame, path: str, pattern: str, text: str = "text", ids: str = "ids", out: str = "decoded"
 ) -> DataFrame:
     """Add ``ids`` and ``out`` as :func:`encode_text` and :func:`decode_ids` would,
-    in one pass: chained, the texts would be encoded once for each."""
+    in one pass: chained, the texts would be encoded once for each.
+
+    A null or empty text has no ids and decodes to an empty text. Repeated rows
+    stay, an empty table stays empty, columns already called ``ids`` or ``out`` are
+    replaced. Results leave a task in slices, so a task holds one batch of texts,
+    one slice of results and the caches.
+    """
 
-    def both(texts: pa.Array) -> pa.Array:
+    def both(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encode, decode = _encoder(path, pattern).encode, _decoder(path).decode
-        gc.disable()
-        try:
-            packed = [encode(t.as_py()) for t in texts]
-        finally:
-            gc.enable()
-        return pa.StructArray.from_arrays(
-            [pa.array(packed, pa.binary()), pa.array([decode(p) for p in packed], pa.string())], names=["ids", "decoded"]
-        )
+        for texts in _slices(batches):
+            with _no_collection():
+                packed = [encode(t.as_py()) for t in texts]
+            yield pa.StructArray.from_arrays(
+                [pa.array(packed, pa.binary()), pa.array([decode(p) for p in packed], pa.string())], names=["ids", "decoded"]
+            )
 
     kind = T.StructType([T.StructField("ids", T.BinaryType()), T.StructField("decoded", T.StringType())])
     found = F.arrow_udf(both, kind)(col(text))
