@@ -17,7 +17,6 @@ import gc
 from array import array
 from collections.abc import Iterator
 from contextlib import contextmanager
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -26,11 +25,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gridloom.llm.frames import col
+from gridloom.llm.frames import col, slices
 
 STATES = 200_000  # transitions are forgotten beyond this many states
 PIECES = 250_000  # and encoded pieces beyond this many
-SLICE = 256  # texts whose results leave together
 NO_RANK = 1 << 60
 
 
@@ -362,23 +360,6 @@ class Decoder:
         return "".join(parts) + stream.finish()
 
 
-@lru_cache(maxsize=4)
-def _encoder(path: str, pattern: str) -> Encoder:
-    return Encoder(read_ranks(path), pattern)
-
-
-@lru_cache(maxsize=4)
-def _decoder(path: str) -> Decoder:
-    return Decoder(read_ranks(path))
-
-
-def _slices(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-    """A batch in parts of few rows, so that results leave before the next part."""
-    for batch in batches:
-        for at in range(0, max(len(batch), 1), SLICE):
-            yield batch.slice(at, SLICE)
-
-
 @contextmanager
 def _no_collection() -> Iterator[None]:
     """The caches hold no cycles; looking for some takes longer than the work."""
@@ -401,8 +382,8 @@ def encode_text(df: DataFrame, path: str, pattern: str, text: str = "text", out:
     """
 
     def encoded(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        encode = _encoder(path, pattern).encode
-        for texts in _slices(batches):
+        encode = Encoder(read_ranks(path), pattern).encode
+        for texts in slices(batches):
             with _no_collection():
                 yield pa.array([encode(t.as_py()) for t in texts], pa.binary())
 
@@ -413,8 +394,8 @@ def decode_ids(df: DataFrame, path: str, ids: str = "ids", out: str = "decoded")
     """Add ``out``: the text of packed ids; null or empty ids give an empty text."""
 
     def decoded(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        decode = _decoder(path).decode
-        for packed in _slices(batches):
+        decode = Decoder(read_ranks(path)).decode
+        for packed in slices(batches):
             yield pa.array([decode(p.as_py()) for p in packed], pa.string())
 
     return df.withColumn(out, F.arrow_udf(decoded, T.StringType())(col(ids)))
@@ -429,12 +410,13 @@ def round_trip(
     A null or empty text has no ids and decodes to an empty text. Repeated rows
     stay, an empty table stays empty, columns already called ``ids`` or ``out`` are
     replaced. Results leave a task in slices, so a task holds one batch of texts,
-    one slice of results and the caches.
+    one slice of results and the caches, which end with it.
     """
 
     def both(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        encode, decode = _encoder(path, pattern).encode, _decoder(path).decode
-        for texts in _slices(batches):
+        ranks = read_ranks(path)
+        encode, decode = Encoder(ranks, pattern).encode, Decoder(ranks).decode
+        for texts in slices(batches):
             with _no_collection():
                 packed = [encode(t.as_py()) for t in texts]
             yield pa.StructArray.from_arrays(

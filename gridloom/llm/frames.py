@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -21,3 +25,22 @@ def scratch(df: DataFrame, *names: str) -> list[str]:
         taken.add(name.lower())
         out.append(name)
     return out
+
+
+SLICE = 256  # texts whose results leave together
+
+
+def slices(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    """A batch in parts of few rows, so that results leave before the next part.
+
+    At the end of the task the memory that Arrow and the C library keep for later
+    is given back, as idle Python workers stay.
+    """
+    for batch in batches:
+        for at in range(0, max(len(batch), 1), SLICE):
+            yield batch.slice(at, SLICE)
+        del batch
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # not in every C library
+    if trim is not None:
+        trim(0)

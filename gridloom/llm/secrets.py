@@ -21,13 +21,14 @@ import base64
 import binascii
 import json
 import re
+from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gridloom.llm.frames import col
+from gridloom.llm.frames import col, slices
 
 # The kinds in the order of a report, and the plain patterns.
 KINDS = ("assign", "access", "hex", "jwt", "der", "openssh")
@@ -271,8 +272,9 @@ def _blotted(texts: pa.Array, spans: pa.Array) -> pa.Array:
     return pa.array(out, pa.string())
 
 
-def _clean(texts: pa.Array) -> pa.Array:
-    return _blotted(texts, _spans_of(texts))
+def _clean(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    for texts in slices(batches):
+        yield _blotted(texts, _spans_of(texts))
 
 
 def scan_and_redact(df: DataFrame, text: str = "text") -> DataFrame:
