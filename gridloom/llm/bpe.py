@@ -28,7 +28,7 @@ from pyspark.sql import types as T
 from gridloom.llm.frames import col, slices
 
 STATES = 200_000  # transitions are forgotten beyond this many states
-PIECES = 250_000  # and encoded pieces beyond this many
+PIECES = 125_000  # and encoded pieces beyond twice this many
 NO_RANK = 1 << 60
 
 
@@ -194,15 +194,23 @@ class Transducer:
 
 
 class _Pieces(dict):
-    """Piece to its packed ids, made when first met."""
+    """Piece to its packed ids, made when first met.
+
+    Full, it is set aside and a new one begun; what is met again moves over, so
+    that rare pieces go and common ones stay.
+    """
 
     def __init__(self, machine: Transducer, most: int) -> None:
         super().__init__()
         self.machine, self.most = machine, most
+        self.aside: dict[str, bytes] = {}
 
     def __missing__(self, piece: str) -> bytes:
-        ids = self.machine.encode(piece.encode())
+        ids = self.aside.pop(piece, None)
+        if ids is None:
+            ids = self.machine.encode(piece.encode())
         if len(self) >= self.most:
+            self.aside = dict(self)
             self.clear()
         if len(piece) <= 64:
             self[piece] = ids
