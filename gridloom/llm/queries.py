@@ -15,6 +15,7 @@ from gridloom.llm.lm import score_documents
 from gridloom.llm.minhash import near_duplicates
 from gridloom.llm.mixing import mix_plan
 from gridloom.llm.shards import shuffle_into_shards
+from gridloom.llm.whitening import whitened_components
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -120,6 +121,13 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector along the eight components of largest variance, whitened."""
+    rows = whitened_components(table(spark, sf_dir, "embeddings"), components=8)
+    # null where the exact number is too large for a long
+    return rows.withColumn("deviation", F.col("deviation").try_cast("long"))
+
+
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_near_duplicates": op2_near_duplicates,
@@ -131,6 +139,7 @@ QUERIES = {
     "op8_main_text": op8_main_text,
     "op9_secret_scan": op9_secret_scan,
     "op10_quality": op10_quality,
+    "op11_whitening": op11_whitening,
 }
 
 ORACLES: dict[str, str] = {
