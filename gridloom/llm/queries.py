@@ -10,6 +10,7 @@ from gridloom.llm import secrets as S
 from gridloom.llm import bpe, oracles, quality
 from gridloom.llm.ann import nearest_neighbours
 from gridloom.llm.embed_dedup import near_duplicate_vectors
+from gridloom.llm.fingerprints import compare_with_edits
 from gridloom.llm.html import extract_main_text
 from gridloom.llm.lm import score_documents
 from gridloom.llm.minhash import near_duplicates
@@ -128,6 +129,11 @@ def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumn("deviation", F.col("deviation").try_cast("long"))
 
 
+def op13_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and of its edited text, and their likeness."""
+    return compare_with_edits(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_near_duplicates": op2_near_duplicates,
@@ -140,6 +146,7 @@ QUERIES = {
     "op9_secret_scan": op9_secret_scan,
     "op10_quality": op10_quality,
     "op11_whitening": op11_whitening,
+    "op13_fingerprints": op13_fingerprints,
 }
 
 ORACLES: dict[str, str] = {
