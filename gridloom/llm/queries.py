@@ -16,6 +16,7 @@ from gridloom.llm.lm import score_documents
 from gridloom.llm.minhash import near_duplicates
 from gridloom.llm.mixing import mix_plan
 from gridloom.llm.shards import shuffle_into_shards
+from gridloom.llm.spelling import spelling_variants
 from gridloom.llm.whitening import whitened_components
 
 
@@ -129,6 +130,11 @@ def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumn("deviation", F.col("deviation").try_cast("long"))
 
 
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near words, form and root of every word of the documents."""
+    return spelling_variants(table(spark, sf_dir, "documents"), damage=97)
+
+
 def op13_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of every document and of its edited text, and their likeness."""
     return compare_with_edits(table(spark, sf_dir, "documents"))
@@ -146,10 +152,12 @@ QUERIES = {
     "op9_secret_scan": op9_secret_scan,
     "op10_quality": op10_quality,
     "op11_whitening": op11_whitening,
+    "op12_spelling_variants": op12_spelling_variants,
     "op13_fingerprints": op13_fingerprints,
 }
 
 ORACLES: dict[str, str] = {
     "op2_near_duplicates": oracles.NEAR_DUPLICATES,
     "op5_vector_duplicates": oracles.EMBEDDING_DUPLICATES,
+    "op12_spelling_variants": oracles.SPELLING_VARIANTS,
 }
