@@ -336,6 +336,13 @@ _lon = label("col", "0::DOUBLE", "10::DOUBLE", "nx")
 oracle("subset_bbox", RASTER, select=f"""
 SELECT * FROM (SELECT band, row, col, {_lat} AS latitude, {_lon} AS longitude FROM ras, g)
 WHERE latitude>=1 AND latitude<=5 AND longitude>=2 AND longitude<=8""")
+oracle("scan_chunks_box", RASTER, select=f"""
+SELECT * FROM (SELECT row, col, {_lat} AS latitude, {_lon} AS longitude, value FROM ras, g WHERE band=2)
+WHERE latitude>=1 AND latitude<=5 AND longitude>=2 AND longitude<=8""")
+oracle("scan_axes", RASTER, select=f"""
+SELECT 'latitude' AS array, ny-1-row AS idx, {_lat} AS label FROM (SELECT unnest(range(0,ny)) AS row FROM g), g
+UNION ALL
+SELECT 'longitude' AS array, col AS idx, {_lon} AS label FROM (SELECT unnest(range(0,nx)) AS col FROM g), g""")
 oracle("assign_coords", POINTS, BOUNDS, SPEC, POINT_BURNS, select=f"""
 SELECT layer, row, col, {label('row','lat_max','lat_min','ny')} AS latitude, {label('col','lon_min','lon_max','nx')} AS longitude
 FROM (SELECT DISTINCT layer, row, col FROM burns) JOIN spec USING (layer)""")

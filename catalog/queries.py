@@ -14,7 +14,7 @@ from gridloom.operators import align, encode, grid, lookup, rasterize, tiles, va
 from gridloom.plans import check, convert
 from gridloom.plans import metadata as M
 from gridloom.plans.joins import ensure_checkpoint_dir, settle, store
-from gridloom.sources import array_store, chunk_store, features, files, rasters, wkt
+from gridloom.sources import array_reader, array_store, chunk_store, features, files, rasters, wkt
 
 RESOLUTION = 0.01
 TILE = 200
@@ -142,10 +142,43 @@ def band_info(spark, d):
     return rasters.band_info(X.raster(spark, d), names).select(*as_long("band", "n_cells"), "description")
 
 
+def _exported_raster(spark, d) -> tuple[str, grid.RasterGrid]:
+    """The raster's bands as variables of an exported array store."""
+    cells, g = raster_on_grid(spark, d)
+    path = fresh_path(spark, "export")
+    chunks = align.pack_chunks(cells, ["value"], CHUNK, ["band"]).withColumns(
+        {"layer": F.lit("raster"), "var": F.concat(F.lit("value_"), F.col("band"))}
+    )
+    spec = spark.range(1).select(F.lit("raster").alias("layer")).withColumns(g.columns())
+    array_store.write_array_store(chunks.drop("band"), spec, "raster", {"title": "raster"}, path, CHUNK)
+    return path, g
+
+
 @query
 def scan_chunks(spark, d):
-    packed = align.pack_chunks(X.raster(spark, d), ["value"], CHUNK, ["band"])
-    return align.unpack_chunks(packed).select(*as_long("band", "row", "col"), "value")
+    """Every band of an exported store, read back."""
+    path, _ = _exported_raster(spark, d)
+    band = F.substring_index("var", "_", -1).cast("long").alias("band")
+    return align.unpack_chunks(array_reader.read_array_chunks(spark, path)).select(band, *as_long("row", "col"), "value")
+
+
+@query
+def scan_chunks_box(spark, d):
+    """One band of an exported store inside a box; objects outside are not opened."""
+    path, g = _exported_raster(spark, d)
+    box = (2.0, 1.0, 8.0, 5.0)
+    near = array_reader.read_array_chunks(spark, path, ["value_2"], *lookup.chunk_bounds(g, CHUNK, *box))
+    labelled = grid.on_raster(align.unpack_chunks(near), g).withColumn(
+        "latitude", grid.latitude_label(F.col("row"))
+    ).withColumn("longitude", grid.longitude_label(F.col("col")))
+    return lookup.subset_bbox(labelled, *box).select(*as_long("row", "col"), "latitude", "longitude", "value")
+
+
+@query
+def scan_axes(spark, d):
+    """Axis labels of an exported store; latitudes ascend."""
+    path, _ = _exported_raster(spark, d)
+    return array_reader.read_axes(spark, path)
 
 
 @query

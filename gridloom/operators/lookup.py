@@ -55,11 +55,10 @@ def subset_bbox(cells: DataFrame, west: float, south: float, east: float, north:
     )
 
 
-def chunk_window(
+def chunk_bounds(
     grid: RasterGrid, chunk: int, west: float, south: float, east: float, north: float, ascending: bool = False
-) -> Column:
-    """Chunks that can hold labels of the closed box: literal bounds on
-    ``chunk_row, chunk_col``, so they reach a stored chunk table's scan.
+) -> tuple[tuple[int, int], tuple[int, int]]:
+    """First and last chunk row, and column, that can hold labels of the closed box.
 
     Two cells of slack on every side cover both kinds of labels and rounding;
     the labels themselves are compared after unpacking.
@@ -70,9 +69,16 @@ def chunk_window(
     row_to = math.floor((grid.lat_max - south) / grid.dy) + 2
     if ascending:
         row_from, row_to = grid.ny - 1 - row_to, grid.ny - 1 - row_from
-    return F.col("chunk_row").between(row_from // chunk, row_to // chunk) & F.col("chunk_col").between(
-        col_from // chunk, col_to // chunk
-    )
+    return (row_from // chunk, row_to // chunk), (col_from // chunk, col_to // chunk)
+
+
+def chunk_window(
+    grid: RasterGrid, chunk: int, west: float, south: float, east: float, north: float, ascending: bool = False
+) -> Column:
+    """The same as literal bounds on ``chunk_row, chunk_col``, so they reach a stored
+    chunk table's scan."""
+    rows, cols = chunk_bounds(grid, chunk, west, south, east, north, ascending)
+    return F.col("chunk_row").between(*rows) & F.col("chunk_col").between(*cols)
 
 
 def index_matches(matches: DataFrame, group: list[str]) -> DataFrame:

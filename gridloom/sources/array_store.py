@@ -8,6 +8,7 @@ driver writes only the JSON files.
 from __future__ import annotations
 
 import json
+import uuid
 from dataclasses import dataclass
 
 import pandas as pd
@@ -18,6 +19,7 @@ from pyspark.sql.datasource import DataSource, DataSourceWriter, WriterCommitMes
 
 from gridloom.operators.grid import SPEC_COLUMNS, latitude_label, longitude_label
 from gridloom.plans.joins import settle
+from gridloom.sources.folders import Folder
 
 FORMAT_NAME = "gridloom_arrays"
 
@@ -124,16 +126,37 @@ def shared_uri(spark: SparkSession, path: str) -> str:
     return uri
 
 
-def _clear_export(spark: SparkSession, uri: str) -> None:
-    """Remove an earlier export; a folder that is none is left alone."""
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path(uri)
-    filesystem = hadoop.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not filesystem.exists(hadoop):
+STAGED, REPLACED = ".staged-", ".replaced-"
+
+
+def _check_target(folder: Folder) -> None:
+    """An export may replace an earlier one or an empty folder, nothing else."""
+    if folder.names() and not folder.exists(GROUP_FILE):
+        raise ValueError(f"{folder.path} is not empty and no array store")
+
+
+def settle_export(spark: SparkSession, uri: str) -> None:
+    """Finish a replacement that broke off between its two renames: the old export
+    stands aside, the new one, whole, has not taken its place yet."""
+    folder = Folder(spark, uri)
+    if folder.exists():
         return
-    marked = filesystem.exists(spark._jvm.org.apache.hadoop.fs.Path(f"{uri}/{GROUP_FILE}"))
-    if not marked and len(filesystem.listStatus(hadoop)):
-        raise ValueError(f"{uri} is not empty and no array store")
-    filesystem.delete(hadoop, True)
+    for name in folder.parent.names():
+        if name.startswith(folder.name + REPLACED):
+            staged = Folder(spark, f"{uri}{STAGED}{name.rpartition('-')[2]}")
+            if staged.exists(ALL_FILE):
+                staged.rename_to(uri)
+                folder.parent.delete(name)
+                return
+
+
+def _replace_export(spark: SparkSession, staged: str, uri: str, version: str) -> None:
+    """Put a finished export in the place of an earlier one."""
+    old = Folder(spark, uri)
+    if old.exists():
+        old.rename_to(f"{uri}{REPLACED}{version}")
+    Folder(spark, staged).rename_to(uri)
+    Folder(spark, f"{uri}{REPLACED}{version}").delete()
 
 
 def _encoding_objects(encodings: DataFrame) -> DataFrame:
@@ -215,14 +238,18 @@ def write_array_store(
 ) -> None:
     """Write one layer's chunks, ascending in latitude, as a folder of arrays.
 
-    An export already at ``path`` is removed first. Values keep the chunks' type.
+    The export is written beside ``path`` and takes its place when it is whole: a
+    write that fails leaves an earlier export as it was. (Renames of folders are one
+    step on file systems, not on object stores.) Values keep the chunks' type.
     A chunk without cells is not written; readers see ``fill``. ``encodings``
     (``var, code, category``) are written whole by the executors as objects in a
     folder of their variable, which its attributes name.
     """
     spark: SparkSession = chunks.sparkSession
-    path = shared_uri(spark, path)
-    _clear_export(spark, path)
+    path, version = shared_uri(spark, path).rstrip("/"), uuid.uuid4().hex
+    settle_export(spark, path)
+    _check_target(Folder(spark, path))
+    staged = f"{path}{STAGED}{version}"
     kind = chunks.schema["vals"].dataType.elementType
     dtype = DTYPES[kind.simpleString()]
     shown = fill if fill == fill else "NaN"
@@ -262,10 +289,15 @@ def write_array_store(
             known = documents.setdefault(f"{r['var']}/{ATTRS_FILE}", {})
             known["categorical_encoding"] = f"{r['var']}/{ENCODING_FOLDER}"
         objects = objects.unionByName(_encoding_objects(encodings))
-    (
-        objects.write.format(FORMAT_NAME)
-        .mode("append")
-        .option("path", path)
-        .option("documents", json.dumps(documents))
-        .save()
-    )
+    try:
+        (
+            objects.write.format(FORMAT_NAME)
+            .mode("append")
+            .option("path", staged)
+            .option("documents", json.dumps(documents))
+            .save()
+        )
+    except BaseException:
+        Folder(spark, staged).delete()
+        raise
+    _replace_export(spark, staged, path, version)
