@@ -516,7 +516,7 @@ def distinct_categories(spark, d):
 @query
 def burn_replace(spark, d):
     g, _ = gridded_polygons(spark, d)
-    return rasterize.polygon_cells(g, []).select("layer", *as_long("row", "col"), "fid")
+    return rasterize.swept_cells(g, []).select("layer", *as_long("row", "col"), "fid")
 
 
 def _raster_labels(spark, d) -> DataFrame:
@@ -768,7 +768,7 @@ def variable_status(spark, d):
 @query
 def check_conversion(spark, d):
     g, spec = gridded_polygons(spark, d, V.to_float32(F.col("size")).alias("size"))
-    cells = store(rasterize.polygon_cells(g, ["size"]))
+    cells = store(rasterize.swept_cells(g, ["size"]))
     report = check.check_conversion(X.polygons(spark, d), cells, spec, "size", target=F.col("size") == 20)
     flag = lambda n: F.col(n).cast("long").alias(n)
     return report.select(

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridloom.functions import geometry as G
+from gridloom.operators.sweep import PART_COLUMNS, cut_rows, winning_spans
 from gridloom.plans.joins import join_dimension, shuffle_partitions, store
 
 # A scanline of one layer with more crossings than this is not kept in one task.
@@ -142,7 +143,8 @@ def polygon_cells(
     hot_row: int = HOT_ROW_CROSSINGS,
     hot_cells: int = HOT_CELLS,
 ) -> DataFrame:
-    """Burned cells of polygons, last feature wins, with a single shuffle.
+    """Burned cells of polygons, last feature wins, with a single shuffle and without
+    Python; :func:`swept_cells` is the better way where features overlap.
 
     Crossings are shuffled on (layer, row): pairing, filling and the last-wins
     aggregate all keep that layout, so cells are never shuffled. Rows with more
@@ -328,16 +330,62 @@ def geometry_types(features: DataFrame) -> tuple[str, ...]:
     return tuple(g for g in known if g in found)
 
 
+def swept_cells(
+    features: DataFrame,
+    variables: list[str],
+    geom_types: tuple[str, ...] = ("POLYGON",),
+    part_columns: int = PART_COLUMNS,
+) -> DataFrame:
+    """Burned cells, last feature wins, each made once.
+
+    The spans of all features are swept to disjoint ones before they become cells.
+    Crossings are computed once and shuffled by feature and row; a row with very many
+    spans is dealt out in parts, after every task has swept its own.
+    """
+    needed = features.select("layer", "fid", "geom_type", *variables, *_present(features))
+    spans = cut_rows(_clipped(_spans(needed, geom_types)), part_columns)
+    winners = winning_spans(spans.select("layer", "part", "row", "c0", "c1", "fid", *variables), ["layer", "part", "row"])
+    return span_cells(winners.drop("part")).select("layer", "row", "col", "fid", *variables)
+
+
+def swept_tiles(
+    features: DataFrame,
+    variables: list[str],
+    tile: int,
+    ascending: bool = False,
+    geom_types: tuple[str, ...] = ("POLYGON",),
+) -> DataFrame:
+    """The same cells partitioned by tile, so packing them needs no shuffle.
+
+    ``ascending`` numbers rows, and so tiles, from the south. Spans are shuffled on
+    their tile, cells never.
+    """
+    tile_key = ["layer", "tile_row", "tile_col"]
+    needed = features.select(
+        "layer", "fid", "geom_type", *variables, F.col("ny").alias("_ny"), *_present(features)
+    )
+    spans = _clipped(_spans(needed, geom_types))
+    if ascending:
+        spans = spans.withColumn("row", F.col("_ny") - 1 - F.col("row"))
+    spans = split_spans(spans.drop("_ny"), tile)
+    winners = winning_spans(spans, [*tile_key, "row"], tile_key)
+    # by tile once more: the sweep's own layout is not known to later steps
+    placed = winners.repartition(shuffle_partitions(features), *tile_key)
+    return span_cells(placed).select(*tile_key, "row", "col", "fid", *variables)
+
+
+def _clipped(spans: DataFrame) -> DataFrame:
+    return spans.where(F.col("c1") >= F.col("c0")).withColumns({n: F.col(n).cast("long") for n in ("row", "c0", "c1")})
+
+
 def burn(features: DataFrame, variables: list[str], geom_types: list[str]) -> DataFrame:
     """Last-wins cells of a layer that may mix the named geometry types."""
+    if "POLYGON" in geom_types:
+        return swept_cells(features, variables, tuple(geom_types))
     parts = []
     for g in geom_types:
-        some = features.where(F.col("geom_type") == g)
-        if g == "POLYGON":
-            parts.append(polygon_cells(some, variables))
-        else:
-            burned = (burn_points if g == "POINT" else burn_lines)(some)
-            parts.append(last_wins(burned, variables))
+        burned = (burn_points if g == "POINT" else burn_lines)(features.where(F.col("geom_type") == g))
+        parts.append(last_wins(burned, variables))
     if len(parts) == 1:
         return parts[0]
     merged = parts[0]

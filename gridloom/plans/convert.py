@@ -95,7 +95,7 @@ def grid_features_tiled(
     }
     placed = grid.with_grid(sound.withColumns(numeric), spec, settled=True)
     types = geom_types or rasterize.geometry_types(features)
-    cells = rasterize.tiled_cells(placed, names, chunk, ascending=True, geom_types=types)
+    cells = rasterize.swept_tiles(placed, names, chunk, ascending=True, geom_types=tuple(types))
     return Gridded(cells, spec, names, table, tile=chunk)
 
 
