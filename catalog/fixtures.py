@@ -9,12 +9,32 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from gridloom.functions.geometry import RINGS_TYPE, vertex
+from gridloom.operators.align import pack_chunks
 from gridloom.plans.joins import ensure_checkpoint_dir
+from gridloom.sources.chunk_store import write_chunks
 from gridloom.sources.features import with_boxes
 
 _STORED: dict[tuple[str, str, str], tuple[str, StructType]] = {}
 
 
+def raster_store(spark: SparkSession, sf_dir: str, chunk: int) -> str:
+    """The raster as a stored dataset, a variable ``value_<band>`` for each band.
+
+    Written once per application, into the shared checkpoint folder.
+    """
+    ensure_checkpoint_dir(spark)
+    sc = spark.sparkContext
+    key = (sc.applicationId, sf_dir, f"raster-{chunk}")
+    if key not in _STORED or not _exists(spark, _STORED[key][0]):
+        path = f"{sc.getCheckpointDir()}/raster-{uuid.uuid4().hex}"
+        chunks = pack_chunks(raster(spark, sf_dir), ["value"], chunk, ["band"]).withColumns(
+            {"layer": F.lit("raster"), "var": F.concat(F.lit("value_"), F.col("band"))}
+        )
+        write_chunks(chunks.drop("band"), spark.range(1).select(F.lit("raster").alias("layer")), path)
+        _STORED[key] = (path, chunks.schema)
+    return _STORED[key][0]
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

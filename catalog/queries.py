@@ -11,6 +11,7 @@ from catalog import fixtures as X
 from gridloom.functions import geometry as G
 from gridloom.functions import values as V
 from gridloom.operators import align, encode, grid, lookup, rasterize, tiles, validity, zonal
+from gridloom.operators import runs as zonal_runs
 from gridloom.plans import check, convert
 from gridloom.plans import metadata as M
 from gridloom.plans.joins import ensure_checkpoint_dir, settle, store
@@ -77,8 +78,7 @@ def raster_on_grid(spark, d) -> tuple[DataFrame, grid.RasterGrid]:
     return cells, rasters.raster_grid(cells, WEST, SOUTH, EAST, NORTH)
 
 
-def raster_class() -> Column:
-    v = F.col("value")
+def raster_class(v: Column) -> Column:
     return F.when(F.isnan(v), v).otherwise(F.floor(v / F.lit(100000.0)).cast("double"))
 
 
@@ -378,10 +378,11 @@ def lookup_label(spark, d):
 
 @query
 def lookup_position(spark, d):
-    cells, g = raster_on_grid(spark, d)
+    """Positions are gathered by chunk and looked up in a stored band."""
+    chunks, g = _stored_bands(spark, d, ["value_1"])
     p = F.col("rings")[0][0]
-    at = grid.on_raster(X.points(spark, d).select("fid", p["x"].alias("lon"), p["y"].alias("lat")), g)
-    found = lookup.lookup_positions(at, lookup.select_band(cells, 1).drop("band"))
+    at = X.points(spark, d).select("fid", p["x"].alias("lon"), p["y"].alias("lat"))
+    found = zonal_runs.positions_in_chunks(at, chunks.drop("band"), g, CHUNK)
     return found.select("fid", *as_long("row", "col"), "value")
 
 
@@ -480,11 +481,19 @@ def features_in_circle(spark, d):
     return hits.select("zone_id", "layer", "fid")
 
 
+def _stored_bands(spark, d, variables: list[str] | None = None) -> tuple[DataFrame, grid.RasterGrid]:
+    """Chunks of the stored raster with their band."""
+    _, g = raster_on_grid(spark, d)
+    chunks = chunk_store.read_chunks(spark, X.raster_store(spark, d, CHUNK), "raster", variables)
+    return chunks.withColumn("band", F.substring_index("var", "_", -1).cast("long")).drop("layer", "var"), g
+
+
 @query
 def cells_in_zone(spark, d):
-    cells, g = raster_on_grid(spark, d)
-    covered = zonal.cells_in_zone(zonal.circle_zones(X.zones(spark, d)), cells, g)
-    return covered.select("zone_id", *as_long("band", "row", "col"))
+    """Zones meet the chunks of a stored raster; cells come out, but do not move."""
+    chunks, g = _stored_bands(spark, d)
+    inside = zonal_runs.chunks_in_zone(zonal.circle_zones(X.zones(spark, d)), chunks, g, CHUNK)
+    return align.unpack_chunks(inside).select("zone_id", *as_long("band", "row", "col"))
 
 
 @query
@@ -553,9 +562,11 @@ def majority_features(spark, d):
 
 @query
 def zonal_majority(spark, d):
-    cells, g = raster_on_grid(spark, d)
-    covered = zonal.cells_in_zone(zonal.circle_zones(X.zones(spark, d)), cells.withColumn("value", raster_class()), g)
-    return zonal.majority(covered, ["zone_id", "band"], "value", nodata=0.0).select(
+    """Most frequent class in each zone, from the counts each chunk passes on."""
+    chunks, g = _stored_bands(spark, d)
+    classes = chunks.withColumn("vals", F.transform("vals", raster_class))
+    counts = zonal_runs.zonal_counts(zonal.circle_zones(X.zones(spark, d)), classes, g, CHUNK, ["band"])
+    return zonal.most_frequent(counts, ["zone_id", "band"], nodata=0.0).select(
         "zone_id", *as_long("band"), "majority", "n"
     )
 

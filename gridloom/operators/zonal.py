@@ -119,8 +119,15 @@ def majority(df: DataFrame, group: list[str], value: str, nodata: float | None =
     kept = df.where(V.has_value(v) if floating else v.isNotNull())
     if nodata is not None:
         kept = kept.where(v != F.lit(nodata))
-    counts = kept.groupBy(*group, v.alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
-    best = F.min(F.struct((-F.col("_n")).alias("_m"), F.col("_v"), F.col("_n")))
+    return most_frequent(kept.groupBy(*group, v.alias("value")).agg(F.count(F.lit(1)).alias("n")), group)
+
+
+def most_frequent(counts: DataFrame, group: list[str], nodata: float | None = None) -> DataFrame:
+    """``*group, majority, n`` from ``*group, value, n``: the value that occurs most
+    often, the smallest of those; ``nodata`` is left out."""
+    if nodata is not None:
+        counts = counts.where(F.col("value") != F.lit(nodata))
+    best = F.min(F.struct((-F.col("n")).alias("_m"), F.col("value"), F.col("n")))
     return counts.groupBy(*group).agg(best.alias("_b")).select(
-        *group, F.col("_b._v").alias("majority"), F.col("_b._n").alias("n")
+        *group, F.col("_b.value").alias("majority"), F.col("_b.n").alias("n")
     )
