@@ -2,10 +2,12 @@
 
 Every paragraph passes points, one plus its commas plus a point per hundred
 characters, to its ancestors: all to the parent, half to the grandparent, then a
-third of the remaining distance's inverse. A container's points are discounted by
-the share of its characters that lie in links. The best container is kept whole
-with those siblings that look like part of the same text; parts that are page
-furniture by their element, role or class are left out wherever they are.
+third of the remaining distance's inverse. Inside an element whose class or id only
+names page furniture they count a fifth. A container's points are discounted by the
+share of its characters that lie in links. The container with most is kept, with those
+siblings that look like part of the same text and what stands between them. Elements
+that are furniture by themselves (menus, footers, forms and the like) have no text;
+those that are by class or id are left out of what is kept, unless it lies in them.
 """
 
 from __future__ import annotations
@@ -53,6 +55,13 @@ WORDS = frozenset(
     "header masthead sidebar sidebars aside comment comments commentlist respond disqus replies share sharing social "
     "related newsletter subscribe subscription signup widget widgets toolbar pagination pager".split()
 )
+# words that say where or how, and leave a name of furniture one
+PLACES = frozenset(
+    "site page post article blog story entry global primary secondary main content body left right top bottom upper "
+    "lower box block bar list item items wrapper wrap container area section inner outer panel slot unit zone link "
+    "links button buttons icon icons group row col column module component form fixed sticky mobile desktop small "
+    "large thread text card cards tags meta info".split()
+)
 NOT_FURNITURE = frozenset("html body main article".split())
 NEGATING = frozenset("no has with without".split())
 COMMAS = re.compile("[,،、，]")
@@ -65,6 +74,9 @@ ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?"
 TOKEN = re.compile(r"[a-z]+|[A-Z][a-z]+|[A-Z]+|\d+")
 SIBLING_SHARE = 0.2
 SIBLING_CHARS = 80
+SIBLING_LINKS = 0.25
+LEVELS = 12  # ancestors a paragraph passes points to
+SOFT = 0.2  # share of the points that counts inside furniture by name
 
 
 class _Tree:
@@ -72,12 +84,16 @@ class _Tree:
 
     def __init__(self) -> None:
         self.tag, self.parent, self.last, self.out, self.link = ["#"], [-1], [0], [False], [False]
+        self.block = [0]  # the innermost element around that is no inline one
+        self.soft = [-1]  # the innermost one around that is furniture by its name
         self.items: list[tuple[int, str]] = []  # element, text; an empty text is a break
         self.stack = [0]
         self.open: dict[str, int] = {}
 
-    def push(self, tag: str, out: bool) -> None:
-        up = self.stack[-1]
+    def push(self, tag: str, out: bool, soft: bool = False) -> None:
+        up, i = self.stack[-1], len(self.tag)
+        self.block.append(self.block[up] if tag in INLINE else i)
+        self.soft.append(i if soft else self.soft[up])
         self.tag.append(tag)
         self.parent.append(up)
         self.last.append(len(self.tag) - 1)
@@ -112,26 +128,38 @@ class _Tree:
 P, P_STOP = frozenset({"p"}), frozenset("button caption html marquee object table td th template".split())
 
 
-def _furniture(tag: str, attributes: str, inside: bool) -> bool:
+def _named(name: str, tag: str) -> bool:
+    """Whether a class or id names furniture: it holds a word for some, that is not
+    negated, and otherwise only words for places."""
+    words, some = [w.lower() for w in TOKEN.findall(name)], False
+    for k, w in enumerate(words):
+        if w in WORDS:
+            if (k and words[k - 1] in NEGATING) or (tag in HEADINGS and w in ("header", "banner")):
+                return False
+            some = True
+        elif w not in PLACES and not w.isdigit() and w not in NEGATING:
+            return False
+    return some
+
+
+def _furniture(tag: str, attributes: str, inside: bool) -> tuple[bool, bool]:
+    """Whether an element is furniture by itself, and whether by its name."""
     if tag in FURNITURE or (tag == "header" and not inside):
-        return True
+        return True, False
     if not attributes or tag in NOT_FURNITURE:
-        return False
+        return False, False
+    soft = False
     for m in ATTRIBUTE.finditer(attributes):
         key, value = m.group(1).lower(), (m.group(2) or "").strip("\"'")
         if key == "hidden" or (key == "aria-hidden" and value.lower() == "true"):
-            return True
+            return True, False
         if key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
-            return True
+            return True, False
         if key == "role" and value.lower() in ROLES:
-            return True
-        if key in ("class", "id"):
-            for name in value.split():
-                words = [w.lower() for w in TOKEN.findall(name)]
-                for k, w in enumerate(words):
-                    if w in WORDS and not (k and words[k - 1] in NEGATING):
-                        return tag not in HEADINGS or w not in ("header", "banner")
-    return False
+            return True, False
+        if key in ("class", "id") and not soft:
+            soft = any(_named(name, tag) for name in value.split())
+    return False, soft
 
 
 def _odd_tag(page: str, lt: int, unclosed: set[str]) -> tuple[bool, str, str, int] | int:
@@ -216,14 +244,14 @@ def parse(page: str) -> _Tree:
             tree.close(P, P_STOP)
         if tag in ENDS:
             tree.close(*ENDS[tag])
-        out = tree.out[stack[-1]]
+        out, soft = tree.out[stack[-1]], False
         if not out and (attributes or tag in FURNITURE or tag == "header" or opened.get("header")):
             inside = bool(opened.get("article") or opened.get("main"))
-            out = _furniture(tag, attributes, inside)
+            out, soft = _furniture(tag, attributes, inside)
             if not out and inside and opened.get("header"):
                 # a heading of the article stays, the rest of its header goes
                 out = tag not in HEADINGS and tag not in ("hgroup", "div") and tag not in INLINE
-        tree.push(tag, out)
+        tree.push(tag, out, soft)
     while len(stack) > 1:
         tree.pop()
     tree.last[0] = len(tree.tag) - 1
@@ -241,67 +269,97 @@ def _text(tree: _Tree, text: str) -> None:
     tree.items.append((i, entities.unescape(text) if "&" in text else text))
 
 
-def main_text(page: str | None) -> str:
-    """The article of a page as one line; empty if there is none."""
-    if not page:
-        return ""
-    tree = parse(page)
+def score(tree: _Tree) -> tuple[list[float], list[int], list[int]]:
+    """Points of every element after the discount for links, and how many characters
+    it holds, in all and in links."""
     n = len(tree.tag)
     own, linked, commas = [0] * n, [0] * n, [0] * n
     for i, text in tree.items:
         size = len(text.strip()) if text else 0
-        if not size:
-            continue
-        link = tree.link[i]
-        while tree.tag[i] in INLINE and tree.parent[i] >= 0:
-            i = tree.parent[i]
-        own[i] += size
-        linked[i] += size if link else 0
-        commas[i] += len(COMMAS.findall(text))
-    if not any(own):
-        return ""
-    score = [0.0] * n
+        if size:
+            block = tree.block[i]
+            own[block] += size
+            linked[block] += size if tree.link[i] else 0
+            commas[block] += len(COMMAS.findall(text))
+    points_of = [0.0] * n
     for i in range(n):
         if not own[i]:
             continue
         points = 1 + commas[i] + own[i] / 100
-        level, up = (1, tree.parent[i]) if tree.tag[i] in PARAGRAPHS and tree.parent[i] >= 0 else (1, i)
-        while up >= 0:
-            score[up] += points if level == 1 else points / 2 if level == 2 else points / (3 * (level - 1))
-            level, up = level + 1, tree.parent[up]
-    chars, links = own[:], linked[:]
+        if tree.soft[i] >= 0:
+            points *= SOFT
+        up = tree.parent[i] if tree.tag[i] in PARAGRAPHS and tree.parent[i] >= 0 else i
+        for level in range(1, LEVELS + 1):
+            if up < 0:
+                break
+            points_of[up] += points if level == 1 else points / 2 if level == 2 else points / (3 * (level - 1))
+            up = tree.parent[up]
+    chars, links = own, linked
     for i in range(n - 1, 0, -1):
         chars[tree.parent[i]] += chars[i]
         links[tree.parent[i]] += links[i]
+    return [p * (1 - links[i] / chars[i]) if chars[i] else 0.0 for i, p in enumerate(points_of)], chars, links
 
-    def density(i: int) -> float:
-        return links[i] / chars[i] if chars[i] else 0.0
-
-    final = [score[i] * (1 - density(i)) for i in range(n)]
-    best = max(range(n), key=lambda i: (final[i], i))
-    points, up = final[best], best
-    while up >= 0 and tree.tag[up] != "article":
-        up = tree.parent[up]
-    if up < 0:
-        up = best
-        while up >= 0 and tree.tag[up] != "main":
-            up = tree.parent[up]
-    best = up if up >= 0 else best
-
-    keep = [best]
-    if tree.parent[best] >= 0:
-        i, stop = tree.parent[best] + 1, tree.last[tree.parent[best]]
-        while i <= stop:
-            if i != best and not tree.out[i]:
-                plain = tree.tag[i] in PARAGRAPHS and density(i) < 0.25 and chars[i] >= SIBLING_CHARS
-                if plain or tree.tag[i] == "h1" or (final[i] and final[i] >= max(1.0, SIBLING_SHARE * points)):
-                    keep.append(i)
-            i = tree.last[i] + 1
-    ranges = sorted((i, tree.last[i]) for i in keep)
+
+def _siblings(tree: _Tree, best: int, peaks: list[float], chars: list[int], links: list[int]) -> list[int]:
+    """The best container and the siblings kept with it, in page order.
+
+    Kept are those with a share of its points, or that hold such, and longer paragraphs, all with few
+    links, and first headings; then what stands between two kept ones, and the
+    paragraphs and headings that follow or precede one directly.
+    """
+    around, i = [], tree.parent[best] + 1
+    while i <= tree.last[tree.parent[best]]:
+        # empty elements stand between nothing
+        if not tree.out[i] and chars[i]:
+            around.append(i)
+        i = tree.last[i] + 1
+    plain = [links[i] < SIBLING_LINKS * chars[i] and tree.soft[i] == tree.soft[best] for i in around]
+    text = [ok and (tree.tag[i] in PARAGRAPHS or tree.tag[i] in INLINE) for ok, i in zip(plain, around)]
+    kept = [
+        i == best
+        or (ok and peaks[i] >= max(1.0, SIBLING_SHARE * peaks[best]))
+        or (par and (tree.tag[i] == "h1" or chars[i] >= SIBLING_CHARS))
+        for i, ok, par in zip(around, plain, text)
+    ]
+    first, last = kept.index(True), len(kept) - 1 - kept[::-1].index(True)
+    while first > 0 and text[first - 1]:
+        first -= 1
+    while last < len(kept) - 1 and text[last + 1]:
+        last += 1
+    return [i for k, i in enumerate(around) if kept[k] or (first <= k <= last and plain[k])]
+
+
+def main_text(page: str | None) -> str:
+    """The article of a page as one line; empty if there is none."""
+    if not page:
+        return ""
+    tree = parse(page)
+    points, chars, links = score(tree)
+    if not chars[0]:
+        return ""
+    n = len(tree.tag)
+    best = max(range(n), key=lambda i: (points[i], i))
+    # an element that holds nothing else is the same container
+    while (up := tree.parent[best]) >= 0 and chars[up] == chars[best] and tree.soft[up] == tree.soft[best]:
+        best = up
+    peaks = points[:]  # the most any element inside has
+    for i in range(n - 1, 0, -1):
+        peaks[tree.parent[i]] = max(peaks[tree.parent[i]], peaks[i])
+    keep = _siblings(tree, best, peaks, chars, links) if tree.parent[best] >= 0 else [best]
     kept = [False] * n
-    for a, b in ranges:
-        kept[a : b + 1] = [True] * (b + 1 - a)
-    return " ".join("".join([text if text and kept[i] else " " for i, text in tree.items]).split())
+    for i in keep:
+        kept[i : tree.last[i] + 1] = [True] * (tree.last[i] + 1 - i)
+    soft, around = tree.soft[best], tree.parent[best]
+    words = [text if text and kept[i] and tree.soft[i] == soft else " " for i, text in tree.items]
+    if len(keep) > 1:
+        # text between kept siblings that is in no element of its own
+        held = [k for k, (i, text) in enumerate(tree.items) if text and kept[i]]
+        for k in range(held[0], held[-1]):
+            i, text = tree.items[k]
+            if text and not kept[i] and i == around:
+                words[k] = text
+    return " ".join("".join(words).split())
 
 
 def _main_texts(pages: pa.Array) -> pa.Array:
