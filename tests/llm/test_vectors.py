@@ -138,3 +138,57 @@ def test_all_compared_when_rounds_run_out(spark, monkeypatch):
     monkeypatch.setattr(E, "_start", lambda nodes, *_: nodes.selectExpr("node", "node as near", "1D as cos").limit(0))
     monkeypatch.setattr(E, "EXACT_BLOCK", 100)
     check_cone(spark, 300, 8, rounds=1)
+
+
+def test_codes_and_probes():
+    x = np.random.default_rng(3).normal(size=(40, 12))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    for axes in (1, 2, 3):
+        codes = ann.own_codes(x, 2, axes, 7)
+        for y, own in zip(x[:5], codes):
+            probes = ann.probed(y, 2, axes, 200, 7)
+            # a vector's own code is probed first, none twice, nearest ones first
+            assert probes[0].tolist() == own.tolist() and len(np.unique(probes, axis=0)) == len(probes)
+            near = sum(ann._signed(y[None, :], 2, j, 7)[0][probes[:, j]] for j in range(axes))
+            assert (np.diff(near) <= 1e-12).all()
+        # the rank at which a neighbour is met is where its code stands among the probes
+        ranks = ann.reached_at(x[0], x[1:], 3, axes, 7)
+        for k in range(1, 40):
+            at = []
+            for t in range(3):
+                probes = ann.probed(x[0], t, axes, 32**axes, 7)
+                hit = np.flatnonzero((probes == ann.own_codes(x[k : k + 1], t, axes, 7)[0]).all(axis=1))
+                at += (hit + 1).tolist()
+            assert ranks[k - 1] == min(at)
+
+
+def test_more_rows_get_longer_codes():
+    assert [ann.axes_for(n, 64) for n in (0, 100, 2_000, 51_282, 2_000_000, 10**9)] == [1, 1, 2, 2, 3, 4]
+
+
+@pytest.mark.parametrize("rows", [400, 3000])
+def test_probes_reach_the_target(spark, rows):
+    data = clustered(rows, [], rows, width=24)
+    df, asks = frame(spark, data), F.col("vec_id") % 10 == 0
+    got = ann.nearest_neighbours(df, asks, sample=30, block=500)
+    assert ann.recall(df, got, asks, block=500) >= 0.9
+    exact = ann.nearest_neighbours(df, asks, probes=0, block=500).collect()
+    for q in (0, 10, 20):
+        assert [(r["vec_id"], round(r["score"], 9)) for r in sorted(exact, key=lambda r: r["rank"]) if r["query_id"] == q] == [
+            (i, round(d, 9)) for i, d in truth(data, q, 10)
+        ]
+
+
+def test_many_queries_of_one_place_are_cut(spark, monkeypatch):
+    monkeypatch.setattr(ann, "ASKED", 7)
+    rows = [(i, [1.0, 2.0, 3.0 + i % 3]) for i in range(200)]
+    df, asks = frame(spark, rows), F.col("vec_id") < 90
+    got = ann.nearest_neighbours(df, asks, block=20)
+    assert got.count() == 900 and ann.recall(df, got, asks) == 1.0
+
+
+def test_recall_on_the_given_vectors(spark, sf_dir):
+    from gridloom.llm.queries import QUERIES
+
+    df = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    assert ann.recall(df, QUERIES["op4_neighbours"](spark, sf_dir), F.col("vec_id") % 100 == 0) >= 0.9
