@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridloom.llm.components import components
-from gridloom.llm.frames import col
+from gridloom.llm.frames import col, released
 from gridloom.llm.words import BASE, batch_word_hashes, mix, shingle_hashes
 from gridloom.plans.joins import join_dimension, settle, store
 
@@ -310,7 +310,7 @@ def near_duplicates(
     """
     docs = df.select(col(key).alias("key"), col(text).alias("text"))
     fields = f"key {df.schema[key].dataType.simpleString()}, n long, digest binary, bands array<long>, sketch binary"
-    signed = store(docs.mapInArrow(_signatures(width, band_rows(percent)), fields))
+    signed = store(docs.mapInArrow(released(_signatures(width, band_rows(percent))), fields))
     classes = signed.where(F.col("digest").isNotNull() & F.col("key").isNotNull())
     classes = settle(classes.groupBy("digest").agg(F.min("key").alias("rep")))
     # a row that repeats stands for its class twice, which changes nothing below
@@ -327,14 +327,14 @@ def near_duplicates(
     wanted = join_dimension(classes, involved, ["digest"], settled=True, spread="rep")
     wanted = settle(wanted.select(F.col("rep").alias("key"), F.col("digest").alias("want")))
     sets = join_dimension(docs, wanted, ["key"], settled=True, spread="text").select("want", "text")
-    sets = sets.mapInArrow(_full_sets(width), "digest binary, items binary")
+    sets = sets.mapInArrow(released(_full_sets(width)), "digest binary, items binary")
     sets = store(sets.groupBy("digest").agg(F.min("items").alias("items")))
 
     def confirmed(pairs: DataFrame) -> DataFrame:
         one = sets.select(F.col("digest").alias("a"), F.col("items").alias("x"))
         two = sets.select(F.col("digest").alias("b"), F.col("items").alias("y"))
         both = pairs.join(one, "a").join(two, "b").select("a", "b", "x", "y")
-        return settle(both.mapInArrow(_linked(percent), "a binary, b binary"))
+        return settle(both.mapInArrow(released(_linked(percent)), "a binary, b binary"))
 
     links = confirmed(first)
     roots = components(links)

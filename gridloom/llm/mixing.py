@@ -12,7 +12,7 @@ the landing tries every choice of them and of the two that the flight leaves.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gridloom.llm.frames import col, scratch
+from gridloom.llm.frames import col, scratch, slices
 from gridloom.llm.words import word_counts
 from gridloom.plans.joins import join_dimension, settle, store
 from gridloom.plans.numbering import number_rows
@@ -34,7 +34,11 @@ COUNT_SHARE = 0.02  # weight of a document too many against the words of one
 
 def word_count(text: Column) -> Column:
     """Words of a text; 0 for a null text."""
-    return F.arrow_udf(word_counts, T.LongType())(text)
+
+    def counted(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        return map(word_counts, slices(batches))
+
+    return F.arrow_udf(counted, T.LongType())(text)
 
 
 def _move(p: list[float], u: Sequence[float], draw: float) -> list[float]:

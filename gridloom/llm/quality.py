@@ -9,6 +9,7 @@ every document inside Spark tasks.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -17,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gridloom.llm.frames import col
+from gridloom.llm.frames import col, slices
 
 CHUNK, HOP = 512, 256
 SAMPLE_DOCS = 3000  # labelled documents a fit reads at most
@@ -206,8 +207,9 @@ def train(
         return fit([], [])
     kept = docs.sparkSession.createDataFrame(wanted, known.schema)
     rows = (
-        docs.select(col(key).alias("_key"), _spread_chunks(col(text), net.width).alias("_chunks"))
+        docs.select(col(key).alias("_key"), col(text).alias("_text"))
         .join(F.broadcast(kept), "_key")
+        .withColumn("_chunks", _spread_chunks(F.col("_text"), net.width))
         .groupBy("_key")
         .agg(F.min(F.struct("_chunks", "_label")).alias("_row"))
         .orderBy("_key")
@@ -225,11 +227,10 @@ def score_quality(df: DataFrame, net: ByteConvNet, text: str = "text", out: str
     shuffle; memory is bounded by a slice of one text.
     """
     weights = (net.embed, net.kernel, net.shift, net.head, net.offset)
-    loaded: list[ByteConvNet] = []
 
-    def scored(texts: pa.Array) -> pa.Array:
-        if not loaded:
-            loaded.append(ByteConvNet(*weights))
-        return pa.array([loaded[0].score(t.as_py()) for t in texts], pa.float64())
+    def scored(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        loaded = ByteConvNet(*weights)
+        for texts in slices(batches):
+            yield pa.array([loaded.score(t.as_py()) for t in texts], pa.float64())
 
     return df.withColumn(out, F.arrow_udf(scored, T.DoubleType())(col(text)))
