@@ -192,3 +192,20 @@ def test_recall_on_the_given_vectors(spark, sf_dir):
 
     df = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
     assert ann.recall(df, QUERIES["op4_neighbours"](spark, sf_dir), F.col("vec_id") % 100 == 0) >= 0.9
+
+
+def test_sql_on_planted_near_duplicates(spark, tmp_path):
+    import duckdb
+
+    from gridloom.llm.oracles import EMBEDDING_DUPLICATES
+
+    rows = clustered(21, [60, 25, 8, 3, 2, 2], 900, spread=0.35)
+    path = str(tmp_path / "embeddings.parquet")
+    frame(spark, rows).write.parquet(path)
+    db = duckdb.connect()
+    db.execute(f"CREATE VIEW embeddings AS SELECT * FROM read_parquet('{path}/*.parquet')")
+    want = {r[0]: r[1:] for r in db.execute(f"SELECT vec_id, n_links, component_id, kept FROM ({EMBEDDING_DUPLICATES})").fetchall()}
+    got = E.near_duplicate_vectors(spark.read.parquet(path), threshold=0.9).collect()
+    assert {r["vec_id"]: (r["n_links"], r["component_id"], r["kept"]) for r in got} == want
+    # the planted clusters are there: some rows are linked, some go
+    assert sum(n > 0 for n, _, _ in want.values()) > 50 and any(not kept for _, _, kept in want.values())
