@@ -1,18 +1,24 @@
-"""Language-model scores from a trie of word pairs in Elias-Fano form.
-
-One shuffle brings every pair of neighbouring words to the part of its first word.
-A part counts the pairs of the training documents, lays them out as a trie of
-compact levels (sorted first words, monotone pointers to their successors, the
-successors sorted relative to their first word, smoothed probabilities in 16 bits)
-and looks up all its pairs, training and held-out, by successor search among the
-pointers' range. Only sums per document, and the found values of held-out tokens,
-leave a part.
-
-The model backs off from pairs to words: a seen pair has the absolutely discounted
-share of its first word's count; for an unseen one the discounted mass is spread by
-the words' shares, each counted once more than it was seen. A first word of very
-many pairs is spread over all parts by its successors; such words are found on a
-bounded sample and only steer where pairs go.
+"""Language-model scores from tries of three words in Elias-Fano form.
+
+A first pass counts the words of all documents. Frequent words, a bounded number, are
+known to every task with their counts; the others share 65,536 classes by hash, whose
+sums are known too. So every task knows the lowest order of the model.
+
+One shuffle then brings every token, with the two words before it, to the part of the
+word right before it. A part holds the counts of the training documents as a trie of
+compact levels: words; contexts; the words that follow a context and the words that
+come before it, each relative to the context; and the words that follow both. Sorted
+levels are reached by monotone pointers and searched for successors among the entries
+of their parent. Discounted shares are kept in 16 bits. All tokens of a part, training
+and held-out, are looked up there, equal ones of a batch once, and only sums per
+document leave it.
+
+Each order is interpolated with the one below, so probabilities add up to one: a seen
+word has its discounted share, and every word has the discounted mass times its
+probability one order down. The lowest order gives a frequent word its count plus one,
+and shares a class's count evenly among its words and one that was never seen. A
+context of very many tokens is cut into slices by the classes of the words that follow;
+there the slice is predicted first, then the word among those of its slice.
 """
 
 from __future__ import annotations
@@ -26,90 +32,216 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gridloom.llm.eliasfano import Arena, EliasFano
-from gridloom.llm.frames import col
-from gridloom.llm.shards import record_bytes
+from gridloom.llm.frames import col, give_back
 from gridloom.llm.words import batch_word_hashes, mix
 from gridloom.plans.joins import store
 
 DISCOUNT = 0.75
 STEP = 2048.0  # quantised values per unit of log10
-PART_BYTES = 12 * 1024 * 1024  # text whose pairs one part holds
-BATCH_TOKENS = 1_000_000
+PART_TOKENS = 1_000_000  # tokens one part looks up, about
+BATCH_TOKENS = 600_000
 BATCH_DOCS = 30_000
-LOOKUPS = 300_000  # pairs looked up at a time
-SAMPLE_DOCS, FREQUENT, SHARE = 500, 512, 1 / 1000  # for the words spread over all parts
+CLASSES = 1 << 16  # of words that are not frequent
+SHARE, RARE = 1 << 20, 16  # a frequent word has more than RARE and one of SHARE tokens
 BEGIN, END = np.uint64(0x0123456789ABCDEF), np.uint64(0xFEDCBA9876543210)
 
 PIECES = "part long, sub long, keys array<{key}>, data binary"
-FOUND = "kind int, sub long, keys array<{key}>, data binary, h int, c long, d long, e long"
+FOUND = "sub long, keys array<{key}>, data binary"
+TRIPLES = ("<u8", "i", "i", "i", "i", "<u2")  # words; places of context, word, word before; times; tags
 
 
 def pack(*arrays: np.ndarray) -> bytes:
     return b"".join(np.array([a.nbytes], "<i8").tobytes() + a.tobytes() for a in arrays)
 
 
-def unpack(data: bytes, *types: str) -> list[np.ndarray]:
+def unpack(data: bytes, *types: str, n: int = 0) -> list[np.ndarray]:
+    """The packed arrays; type ``i`` is that of ``n`` numbers of two or four bytes."""
     out, at = [], 0
     for t in types:
         size = int(np.frombuffer(data, "<i8", 1, at)[0])
+        if t == "i":
+            t = "<u2" if size == 2 * n else "<u4"
         out.append(np.frombuffer(data, t, size // np.dtype(t).itemsize, at + 8))
         at += 8 + size
     return out
 
 
+def narrow(x: np.ndarray) -> np.ndarray:
+    return x.astype("<u2" if not len(x) or x.max() < 1 << 16 else "<u4")
+
+
 def quantise(x: np.ndarray) -> np.ndarray:
     return np.clip(np.round(x * STEP), -32768, 32767).astype(np.int16)
 
 
-class PairTrie:
-    """Two levels: first words, and for each the words that follow it."""
-
-    def __init__(self, context: np.ndarray, follower: np.ndarray, weight: np.ndarray, spread: np.ndarray) -> None:
-        """``context``: sorted distinct first words; ``follower``: sorted distinct
-        pairs as place of the first word times 2**32 plus the relative word;
-        ``weight``: count of each pair; ``spread``: first words that only have some
-        of their pairs here, whose counts are divided out later."""
-        of = (follower >> np.uint64(32)).astype(np.int64)
-        total = np.bincount(of, weight, minlength=len(context))
-        kinds = np.bincount(of, minlength=len(context))
-        self.total, self.kinds = total.astype(np.int64), kinds
-        divisor = np.where(spread, 1.0, np.maximum(total, 1))
-        value = np.log10(weight - DISCOUNT) - np.log10(divisor)[of]
-        backoff = np.where(spread, 0.0, np.log10(np.maximum(DISCOUNT * kinds, DISCOUNT) / divisor))
-        self.words, self.followers = EliasFano(context), EliasFano(follower)
-        self.pointers = EliasFano(np.concatenate([[0], np.cumsum(kinds)]).astype(np.uint64))
-        parts = [self.words, self.followers, self.pointers]
-        levels = [a for p in parts for a in p.levels] + [quantise(value), quantise(backoff)]
-        views = Arena(levels).views
+def class_of(words: np.ndarray) -> np.ndarray:
+    return (mix(words, 41) & np.uint64(CLASSES - 1)).astype(np.int64)
+
+
+class Vocabulary:
+    """What every task knows of the words: frequent ones with their counts, the
+    classes of the others, and the contexts that are cut into slices."""
+
+    def __init__(self, words, train, seen, class_count, class_words, trained, documents, cap) -> None:
+        """``words``: sorted frequent words, seen ``train`` times in training and
+        ``seen`` times in all; tokens and known words of each class; training and all
+        documents; a context of more than ``cap`` tokens is cut."""
+        self.words, self.train = words, train
+        weight = np.asarray(class_count + class_words + 1, "f8")
+        self.total = float(np.sum(train + 1.0) + weight.sum())
+        self.exact = (train + 1.0) / self.total
+        self.shared = weight / (class_words + 1.0) / self.total
+        self.mass = weight / self.total
+        np.add.at(self.mass, class_of(words), self.exact)
+        self.trained = trained
+        cut = seen > cap
+        some = np.append(words[cut], BEGIN)
+        order = np.argsort(some)
+        size = np.append(seen[cut], documents)[order]
+        self.spread = some[order]
+        self.spread_train = np.append(train[cut], trained)[order]
+        parts = np.maximum(size / max(cap, 1), 1.0)
+        self.slices = np.minimum(2 ** np.ceil(np.log2(parts)).astype(np.int64), CLASSES)
+
+    @staticmethod
+    def _find(values: np.ndarray, keys: np.ndarray) -> np.ndarray:
+        if not len(values):
+            return np.full(len(keys), -1, np.int64)
+        at = np.minimum(np.searchsorted(values, keys), len(values) - 1)
+        return np.where(values[at] == keys, at, -1)
+
+    def frequent(self, words: np.ndarray) -> np.ndarray:
+        """Places among the frequent words, or -1."""
+        return self._find(self.words, words)
+
+    def low(self, words: np.ndarray) -> np.ndarray:
+        """The lowest order's probability of each word."""
+        at = self.frequent(words)
+        out = self.shared[class_of(words)]
+        out[at >= 0] = self.exact[at[at >= 0]]
+        return out
+
+    def slices_of(self, context: np.ndarray) -> np.ndarray:
+        """In how many slices each context is cut."""
+        at = self._find(self.spread, context)
+        return np.where(at >= 0, self.slices[np.maximum(at, 0)], 1)
+
+    def slice_mass(self, context: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The lowest order's probability of a context's slice, and the context's
+        training tokens; for contexts that are known here."""
+        at = self._find(self.spread, context)
+        mass = np.empty(len(context))
+        for n in np.unique(self.slices[at]):
+            of = self.slices[at] == n
+            mass[of] = self.mass.reshape(-1, n).sum(axis=0)[which[of]]
+        return mass, self.spread_train[at]
+
+
+class WordTrie:
+    """Words, contexts, followers, words before, and the words that follow both."""
+
+    def __init__(self, context: np.ndarray, which: np.ndarray, word: np.ndarray, before: np.ndarray, weight: np.ndarray) -> None:
+        """Hashes of the training tokens' context, word and word before the context,
+        the context's slice, and how often each occurs; they may repeat."""
+        known = np.unique(np.concatenate([context, word, before]))
+        place = lambda x: np.searchsorted(known, x).astype(np.uint64)
+        w, v = place(word), place(before)
+        contexts, at = np.unique(place(context) << np.uint64(16) | which.astype(np.uint64), return_inverse=True)
+        at = at.astype(np.uint64)
+        followers, f = np.unique(at << np.uint64(32) | w, return_inverse=True)
+        befores, b = np.unique(at << np.uint64(32) | v, return_inverse=True)
+        thirds, t = np.unique(b.astype(np.uint64) << np.uint64(32) | w, return_inverse=True)
+        self.total = np.bincount(at.astype(np.int64), weight, len(contexts))
+        parts = [EliasFano(x) for x in (known, contexts, followers, befores, thirds)]
+        levels = []
+        for keys, count, parents in (
+            (followers, np.bincount(f, weight, len(followers)), len(contexts)),
+            (thirds, np.bincount(t, weight, len(thirds)), len(befores)),
+        ):
+            of = (keys >> np.uint64(32)).astype(np.int64)
+            kinds = np.bincount(of, minlength=parents)
+            total = np.maximum(np.bincount(of, count, parents), 1)
+            parts.append(EliasFano(np.concatenate([[0], np.cumsum(kinds)]).astype(np.uint64)))
+            levels += [quantise(np.log10((count - DISCOUNT) / total[of])), quantise(np.log10(DISCOUNT * np.maximum(kinds, 1) / total))]
+        of = (befores >> np.uint64(32)).astype(np.int64)
+        parts.append(EliasFano(np.concatenate([[0], np.cumsum(np.bincount(of, minlength=len(contexts)))]).astype(np.uint64)))
+        views = Arena([a for p in parts for a in p.levels] + levels).views
         for p in parts:
             p.open(views[: len(p.levels)])
             views = views[len(p.levels) :]
-        self.value, self.backoff = views
-
-    def pairs(self, place: np.ndarray, relative: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Whether each pair is known, and its value or its first word's backoff;
-        ``place`` is that of the first word, -1 if it is unknown."""
-        known = place >= 0
-        at = np.maximum(place, 0)
-        seen, out = np.zeros(len(place), bool), np.zeros(len(place))
-        if self.words.n and len(place):
-            first, stop = self.pointers.get(at).astype(np.int64), self.pointers.get(at + 1).astype(np.int64)
-            keys = at.astype(np.uint64) << np.uint64(32) | relative.astype(np.uint64)
-            found = self.followers.find(keys, first, np.where(known, stop, first))
-            seen = found >= 0
-            out = np.where(seen, self.value[np.maximum(found, 0)], np.where(known, self.backoff[at], 0)) / STEP
-        return seen, out
-
-
-def relative(first: np.ndarray, second: np.ndarray) -> np.ndarray:
-    """A word relative to the one before it, in 32 bits."""
-    return (mix(first ^ (second * np.uint64(0x9E3779B97F4A7C15) + np.uint64(1)), 31) >> np.uint64(32)).astype(np.uint32)
-
-
-def _cut(frequent: np.ndarray, parts: int, key_type: pa.DataType) -> Callable[[Iterator], Iterator]:
-    """Documents to the pieces of each part, and a piece with their own data."""
+        self.words, self.contexts, self.followers, self.befores, self.thirds = parts[:5]
+        self.to_followers, self.to_thirds, self.to_befores = parts[5:]
+        self.share, self.left, self.third_share, self.third_left = views
+
+    @staticmethod
+    def _below(level: EliasFano, pointers: EliasFano, parent: np.ndarray, word: np.ndarray) -> np.ndarray:
+        """Places of words among the entries of their parents, or -1."""
+        ok = (parent >= 0) & (word >= 0)
+        if not ok.any():
+            return np.full(len(parent), -1, np.int64)
+        at, w = np.where(ok, parent, 0), np.where(ok, word, 0)
+        first, stop = pointers.get(at).astype(np.int64), pointers.get(at + 1).astype(np.int64)
+        found = level.find(at.astype(np.uint64) << np.uint64(32) | w.astype(np.uint64), first, np.where(ok, stop, first))
+        return np.where(ok, found, -1)
+
+    def find_contexts(self, context: np.ndarray, which: np.ndarray) -> np.ndarray:
+        at = self.words.find(context)
+        key = np.maximum(at, 0).astype(np.uint64) << np.uint64(16) | which.astype(np.uint64)
+        return np.where(at >= 0, self.contexts.find(key), -1)
+
+    def probability(self, at: np.ndarray, word: np.ndarray, before: np.ndarray, low: np.ndarray) -> np.ndarray:
+        """Of each word, after the context at a place (-1: unknown) and a word before
+        it, given the lowest order's."""
+        w, v = self.words.find(word), self.words.find(before)
+        out = low
+        for level, pointers, parent, share, left in (
+            (self.followers, self.to_followers, at, self.share, self.left),
+            (self.thirds, self.to_thirds, self._below(self.befores, self.to_befores, at, v), self.third_share, self.third_left),
+        ):
+            if not level.n:
+                continue
+            found = self._below(level, pointers, parent, w)
+            seen = np.where(found >= 0, 10.0 ** (share[np.maximum(found, 0)] / STEP), 0)
+            out = np.where(parent >= 0, seen + 10.0 ** (left[np.maximum(parent, 0)] / STEP) * out, out)
+        return out
+
+    def log_probability(self, vocabulary: Vocabulary, context: np.ndarray, which: np.ndarray, word: np.ndarray, before: np.ndarray) -> np.ndarray:
+        at = self.find_contexts(context, which)
+        low, chance = vocabulary.low(word), np.ones(len(word))
+        cut = np.flatnonzero(vocabulary.slices_of(context) > 1)
+        if len(cut):
+            mass, tokens = vocabulary.slice_mass(context[cut], which[cut])
+            here = np.where(at[cut] >= 0, self.total[np.maximum(at[cut], 0)], 0) if len(self.total) else 0
+            low[cut] /= mass
+            chance[cut] = (here + mass) / (tokens + 1.0)
+        return np.log10(self.probability(at, word, before, low) * chance)
+
+
+def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Words of the documents, and an end for each: their class, and how often they
+    occur in training and in all."""
+    for batch in batches:
+        held = batch["held_out"].to_numpy(zero_copy_only=False).astype(bool)
+        parts, size, first = [], 0, 0
+        for i, w in enumerate(batch_word_hashes(batch["text"])):
+            parts.append(w)
+            size += len(w) + 1
+            if size >= BATCH_TOKENS or i + 1 == len(held):
+                train = np.repeat(~held[first : i + 1], [len(p) + 1 for p in parts])
+                word, at = np.unique(np.concatenate([x for p in parts for x in (p, np.array([END]))]), return_inverse=True)
+                n = np.bincount(at, train, len(word)).astype("i8")
+                columns = (word.astype("i8"), class_of(word), n, np.bincount(at, minlength=len(word)))
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["w", "class", "n", "m"])
+                parts, size, first = [], 0, i + 1
+    give_back()
+
+
+def _cut(known, parts: int, key_type: pa.DataType) -> Callable[[Iterator], Iterator]:
+    """Documents to the pieces of each part, and a piece with their own data;
+    ``known`` is the broadcast vocabulary."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocabulary = known.value
         for batch in batches:
             words, lo = [], 0
             size = 0
@@ -117,37 +249,60 @@ def _cut(frequent: np.ndarray, parts: int, key_type: pa.DataType) -> Callable[[I
                 words.append(w)
                 size += len(w) + 1
                 if size >= BATCH_TOKENS or len(words) >= BATCH_DOCS:
-                    yield from pieces(batch.slice(lo, len(words)), words)
+                    yield from pieces(vocabulary, batch.slice(lo, len(words)), words)
                     lo, words, size = i + 1, [], 0
             if words:
-                yield from pieces(batch.slice(lo, len(words)), words)
+                yield from pieces(vocabulary, batch.slice(lo, len(words)), words)
+        give_back()
 
-    def pieces(docs: pa.RecordBatch, words: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+    def pieces(vocabulary: Vocabulary, docs: pa.RecordBatch, words: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
         sub = docs["row"][0].as_py()
         held = docs["held_out"].to_numpy(zero_copy_only=False).astype(bool)
         sizes = np.array([len(w) + 1 for w in words])
-        doc = np.repeat(np.arange(len(words), dtype=np.uint16), sizes)
-        end, one = np.array([END]), np.array([BEGIN])
-        second = np.concatenate([x for w in words for x in (w, end)])
-        first = np.concatenate([x for w in words for x in (one, w)])
-        out = held[doc]
-        rel = relative(first, second)
-        hot = np.searchsorted(frequent, first)
-        hot = np.where(frequent[np.minimum(hot, len(frequent) - 1)] == first, hot + 1, 0).astype(np.uint16)
-        route = mix(np.where(hot > 0, first + rel, first), 32) % np.uint64(parts)
-        # counts of the spread words in each document, and before each held-out token
-        pair, n = np.unique(doc[hot > 0].astype(np.uint32) << np.uint32(16) | hot[hot > 0], return_counts=True)
-        own = pack(held, sizes.astype(np.int64), pair, n.astype(np.uint32), hot[out])
+        doc = np.repeat(np.arange(len(words)), sizes)
+        one, end = np.array([BEGIN]), np.array([END])
+        dictionary, ids = np.unique(np.concatenate([x for w in words for x in (one, w, end)]), return_inverse=True)
+        starts = np.cumsum(sizes + 1) - sizes - 1
+        inner = np.ones(len(ids), bool)
+        inner[starts] = False
+        at = np.flatnonzero(inner)
+        w, u, v = ids[at], ids[at - 1], ids[np.maximum(at - 2, 0)]
+        opening = ~inner[at - 1]
+        v[opening] = u[opening]
+        # frequent words and ends are settled here, others where they are a context
+        frequent = vocabulary.frequent(dictionary)
+        count = np.where(frequent >= 0, vocabulary.train[np.maximum(frequent, 0)], 0) if len(vocabulary.words) else np.zeros(len(dictionary))
+        is_end = dictionary == END
+        count = np.where(is_end, vocabulary.trained, count)
+        settled = (frequent >= 0) | is_end
+        base = np.bincount(doc, np.where(settled, np.log10(count + 1.0), 0)[w], len(words))
+        known_words = np.bincount(doc, (settled & (count > 0))[w], len(words))
+        own = pack(held, sizes.astype("<i8"), base, known_words.astype("<i8"))
         rows = [(-1 - sub, sub, docs["key"].to_pylist(), own)]
-        place = np.cumsum(out) - 1
-        tag = doc | np.where(out, 0x8000, 0).astype(np.uint16)
-        order = np.lexsort((first, route))
-        bounds = np.searchsorted(route[order], np.arange(parts + 1))
-        for p in np.flatnonzero(np.diff(bounds)):
-            at = order[bounds[p] : bounds[p + 1]]
-            w, count = np.unique(first[at], return_counts=True)
-            data = pack(w, count.astype(np.uint32), rel[at], tag[at], place[at][out[at]].astype(np.uint32))
-            rows.append((int(p), sub, None, data))
+
+        slices = vocabulary.slices_of(dictionary)
+        goal = (mix(dictionary, 32) % np.uint64(parts)).astype(np.int64)[u]
+        hot = np.flatnonzero(slices[u] > 1)
+        which = class_of(dictionary)[w[hot]] % slices[u[hot]]
+        goal[hot] = (mix(dictionary[u[hot]] + which.astype(np.uint64), 32) % np.uint64(parts)).astype(np.int64)
+        pair = u << 32 | w
+        order = np.lexsort((v, pair, goal))
+        goal, pair, v = goal[order], pair[order], v[order]
+        tag = (doc | np.where(held[doc], 0x8000, 0))[order].astype("<u2")
+        fresh = np.ones(len(order), bool)
+        fresh[1:] = (np.diff(goal) != 0) | (np.diff(pair) != 0) | (np.diff(v) != 0)
+        first = np.append(np.flatnonzero(fresh), len(order))
+        times = np.diff(first)
+        goal, pair, v = goal[first[:-1]], pair[first[:-1]], v[first[:-1]]
+        edges = np.append(np.flatnonzero(np.diff(goal, prepend=-1)), len(goal))
+        for lo, hi in zip(edges[:-1], edges[1:]):
+            n = hi - lo
+            used, place = np.unique(np.concatenate([pair[lo:hi] >> 32, pair[lo:hi] & 0xFFFFFFFF, v[lo:hi]]), return_inverse=True)
+            data = pack(
+                np.array([n], "<i8"), dictionary[used], *[narrow(place[k * n : (k + 1) * n]) for k in range(3)],
+                narrow(times[lo:hi]), tag[first[lo] : first[hi]],
+            )
+            rows.append((int(goal[lo]), sub, None, data))
         yield pa.RecordBatch.from_arrays(
             [
                 pa.array([r[0] for r in rows], pa.int64()),
@@ -161,127 +316,75 @@ def _cut(frequent: np.ndarray, parts: int, key_type: pa.DataType) -> Callable[[I
     return cut
 
 
-def _look_up(frequent: np.ndarray, key_type: pa.DataType) -> Callable[[pa.Table], pa.Table]:
-    """Build the trie of a part and score its pairs."""
+def read_piece(data: bytes) -> list[np.ndarray]:
+    """Words, places of context, word and word before, times and tags of a piece."""
+    n = int(np.frombuffer(data, "<i8", 1, 8)[0])
+    return unpack(data, "<i8", *TRIPLES, n=n)[1:]
+
 
-    def row(kind=0, sub=None, keys=None, data=None, h=None, c=None, d=None, e=None):
-        return (kind, sub, keys, data, h, c, d, e)
+def _look_up(known, key_type: pa.DataType) -> Callable[[pa.Table], pa.Table]:
+    """Build the trie of a part and score its tokens."""
 
     def look_up(group: pa.Table) -> pa.Table:
-        rows = []
         if group["part"][0].as_py() < 0:
-            rows = [row(0, r["sub"], r["keys"], r["data"]) for r in group.to_pylist()]
-        else:
-            got = [(s.as_py(), unpack(d.as_py(), "<u8", "<u4", "<u4", "<u2", "<u4")) for s, d in zip(group["sub"], group["data"])]
-            got.sort(key=lambda g: g[0])
-            first, inverse = np.unique(np.concatenate([g[1][0] for g in got]), return_inverse=True)
-            count = np.concatenate([g[1][1] for g in got])
-            at = np.repeat(inverse.astype(np.uint32), count)
-            rel = np.concatenate([g[1][2] for g in got])
-            tag = np.concatenate([g[1][3] for g in got])
-            train = (tag & 0x8000) == 0
-            key = at.astype(np.uint64) << np.uint64(32) | rel
-            pair, weight = np.unique(key[train], return_counts=True)
-            # first words without training pairs are not in the trie
-            place = np.full(len(first), -1)
-            known = np.unique((pair >> np.uint64(32)).astype(np.int64))
-            place[known] = np.arange(len(known))
-            follower = place[(pair >> np.uint64(32)).astype(np.int64)].astype(np.uint64) << np.uint64(32) | (pair & np.uint64(0xFFFFFFFF))
-            spread = np.isin(first, frequent)
-            trie = PairTrie(first[known], follower, weight.astype("f8"), spread[known])
-            del key, pair
-            home = trie.words.find(first)
-            seen, value = np.empty(len(at), bool), np.empty(len(at), "f4")
-            for lo in range(0, len(at), LOOKUPS):
-                some = slice(lo, lo + LOOKUPS)
-                seen[some], value[some] = trie.pairs(home[at[some]], rel[some])
-            total = np.where(home >= 0, trie.total[np.maximum(home, 0)], 0) if len(known) else np.zeros(len(first), np.int64)
-            # of the first word as a word by itself; spread words are added later
-            log_base = np.where(spread, 0.0, np.log10(total + 1.0))
-            is_known = (total > 0) & ~spread
-            stop = np.cumsum([len(g[1][2]) for g in got])
-            for (sub, g), hi in zip(got, stop):
-                part = slice(hi - len(g[2]), hi)
-                doc = tag[part] & 0x7FFF
-                docs, of = np.unique(doc, return_inverse=True)
-                sums = [np.bincount(of, x, minlength=len(docs)) for x in (np.where(train[part], value[part], 0), log_base[at[part]], is_known[at[part]])]
-                rows.append(row(1, sub, data=pack(docs, sums[0].astype("f4"), sums[1], sums[2].astype(np.uint32))))
-                held = ~train[part]
-                if held.any():
-                    rows.append(
-                        row(2, sub, data=pack(g[4], value[part][held].astype("f4"), seen[part][held], log_base[at[part]][held].astype("f4"), spread[at[part]][held]))
-                    )
-            words = ~spread & (total > 0)
-            rows.append(row(3, h=0, c=int(words.sum()), d=0, e=int(total[words].sum())))
-            for i in np.flatnonzero(spread & (total > 0)):
-                h = int(np.searchsorted(frequent, first[i])) + 1
-                rows.append(row(3, h=h, c=int(total[i]), d=int(trie.kinds[home[i]]), e=0))
-        names = ["kind", "sub", "keys", "data", "h", "c", "d", "e"]
-        types = [pa.int32(), pa.int64(), pa.list_(key_type), pa.binary(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
-        return pa.table({n: pa.array([r[k] for r in rows], t) for k, (n, t) in enumerate(zip(names, types))})
+            return group.select(["sub", "keys", "data"])
+        vocabulary = known.value
+        subs = group["sub"].to_pylist()
+        got = [read_piece(d.as_py()) for d in group["data"]]
+        u, w, v = (np.concatenate([g[0][g[k]] for g in got]) for k in (1, 2, 3))
+        times = np.concatenate([g[4] for g in got]).astype(np.int64)
+        tags = np.concatenate([g[5] for g in got])
+        ends = np.cumsum(times)
+        weight = np.add.reduceat((tags & 0x8000) == 0, ends - times, dtype=np.int64)
+        which = class_of(w) % vocabulary.slices_of(u)
+        train = weight > 0
+        trie = WordTrie(u[train], which[train], w[train], v[train], weight[train])
+        value = trie.log_probability(vocabulary, u, which, w, v)
+        # of a context as a word by itself, if that is not settled elsewhere
+        other = (vocabulary.frequent(u) < 0) & (u != BEGIN)
+        at = trie.find_contexts(u, which)
+        count = np.where(at >= 0, trie.total[np.maximum(at, 0)], 0) if len(trie.total) else np.zeros(len(u))
+        log_base = np.where(other, np.log10(count + 1.0), 0)
+        found, lo = [], 0
+        for g in got:
+            part = slice(lo, lo + len(g[4]))
+            docs, of = np.unique(g[5] & 0x7FFF, return_inverse=True)
+            score = np.bincount(of, np.repeat(value[part], g[4]), len(docs))
+            rest = np.repeat(other[part], g[4])
+            mine, some = np.unique(of[rest], return_inverse=True)
+            base = np.bincount(some, np.repeat(log_base[part], g[4])[rest], len(mine))
+            hits = np.bincount(some, np.repeat(count[part] > 0, g[4])[rest], len(mine))
+            found.append(pack(docs.astype("<u2"), score.astype("<f4"), docs[mine].astype("<u2"), base, hits.astype("<u4")))
+            lo = part.stop
+        nothing = pa.nulls(len(subs), pa.list_(key_type))
+        give_back()
+        return pa.table({"sub": pa.array(subs, pa.int64()), "keys": nothing, "data": pa.array(found, pa.binary())})
 
     return look_up
 
 
-def _assemble(totals: dict, key_type: pa.DataType) -> Callable[[pa.Table], pa.Table]:
+def _assemble(tokens: int, words: int, key_type: pa.DataType) -> Callable[[pa.Table], pa.Table]:
     """Scores of the documents of one batch from what the parts found."""
-    n, v, docs_trained = totals["n"], totals["v"], totals["ends"]
-    hot_count, hot_kinds = totals["count"], totals["kinds"]
-    log_hot = np.log10(np.maximum(hot_count, 1))
-    base_scale = np.log10(n + 1.0 * (v + 1))
+    base_scale = np.log10(tokens + 1.0 * (words + 1))
 
     def assemble(group: pa.Table) -> pa.Table:
-        kinds = group["kind"].to_numpy()
-        rows = group["data"].to_pylist()
-        own = int(np.flatnonzero(kinds == 0)[0])
+        own = int(np.flatnonzero(group["keys"].is_valid().to_numpy())[0])
         keys = group["keys"][own].as_py()
-        held, sizes, pair, times, hot = unpack(rows[own], "?", "<i8", "<u4", "<u4", "<u2")
-        times = times.astype("f8")
-        base, score, known = np.zeros(len(sizes)), np.zeros(len(sizes)), np.zeros(len(sizes), np.int64)
-        doc, h = (pair >> 16).astype(np.int64), (pair & 0xFFFF).astype(np.int64)
-        word = h != totals["begin"]
-        np.add.at(base, doc[word], times[word] * np.log10(hot_count[h[word]] + 1.0))
-        np.add.at(known, doc[word], (times[word] * (hot_count[h[word]] > 0)).astype(np.int64))
-        trained = ~held[doc]
-        np.add.at(score, doc[trained], -times[trained] * log_hot[h[trained]])
-        tokens = int(sizes[held].sum())
-        value, seen, single = np.zeros(tokens, "f8"), np.zeros(tokens, bool), np.zeros(tokens)
-        for k, data in zip(kinds, rows):
-            if k == 1:
-                d, x, y, z = unpack(data, "<u2", "<f4", "<f8", "<u4")
-                score[d] += x
-                base[d] += y
-                known[d] += z
-            elif k == 2:
-                at, x, s, w, spread = unpack(data, "<u4", "<f4", "?", "<f4", "?")
-                value[at], seen[at] = x, s
-                # the first word of a pair is the token before
-                before = ~spread
-                inner = at[before & (at > 0)] - 1
-                single[inner] = w[before & (at > 0)]
-        if tokens:
-            # spread words: known by number, divided by their whole counts here
-            spread = hot > 0
-            value[spread & seen] -= log_hot[hot[spread & seen]]
-            gone = spread & ~seen & (hot_count[hot] > 0)
-            value[gone] = np.log10(DISCOUNT * hot_kinds[hot[gone]] / hot_count[hot[gone]])
-            last = np.cumsum(sizes[held]) - 1
-            after = np.flatnonzero(spread)
-            after = after[after > 0]
-            inner = after[hot[after] != totals["begin"]] - 1
-            single[inner] = np.log10(hot_count[hot[inner + 1]] + 1.0)
-            single[last] = np.log10(docs_trained + 1.0)
-            owner = np.repeat(np.flatnonzero(held), sizes[held])
-            score += np.bincount(owner, np.where(seen, value, value + single - base_scale), minlength=len(sizes))
-        base += np.log10(docs_trained + 1.0) - sizes * base_scale
-        known += docs_trained > 0
+        held, sizes, base, known = unpack(group["data"][own].as_py(), "?", "<i8", "<f8", "<i8")
+        base, known, score = base - sizes * base_scale, known.copy(), np.zeros(len(sizes))
+        # in one order, so that reruns add alike
+        for data in sorted(d.as_py() for i, d in enumerate(group["data"]) if i != own):
+            docs, x, some, y, z = unpack(data, "<u2", "<f4", "<u2", "<f8", "<u4")
+            score[docs] += x
+            base[some] += y
+            known[some] += z
         return pa.table(
             {
                 "key": pa.array(keys, key_type),
                 "held_out": pa.array(held),
                 "n_tokens": pa.array(sizes, pa.int64()),
                 "n_known": pa.array(known, pa.int64()),
-                "train_tokens": pa.array(np.full(len(sizes), n), pa.int64()),
+                "train_tokens": pa.array(np.full(len(sizes), tokens), pa.int64()),
                 "base_score": pa.array(base, pa.float64()),
                 "score": pa.array(score, pa.float64()),
             }
@@ -295,21 +398,31 @@ def held_out(key: str, folds: int = 7, fold: int = 2) -> Column:
     return F.coalesce(F.crc32(col(key).cast("string")) % folds == fold, F.lit(False))
 
 
-def frequent_words(docs: DataFrame, sample: int = SAMPLE_DOCS) -> np.ndarray:
-    """Sorted hashes of the most frequent words of at most ``sample`` documents,
-    and the mark before a document's first word."""
+def count_words(docs: DataFrame, part_tokens: int) -> tuple[Vocabulary, int, int, int]:
+    """The vocabulary, training tokens, distinct training words and all tokens.
 
-    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for w in batch_word_hashes(batch["text"]):
-                word, n = np.unique(w, return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(word.astype("i8")), pa.array(n.astype("i8"))], names=["w", "n"])
-
-    some = docs.orderBy(F.xxhash64("key", F.lit(1)), "row").limit(sample).select("text")
-    counts = some.mapInArrow(counted, "w long, n long").groupBy("w").agg(F.sum("n").alias("n"))
-    total = counts.agg(F.sum("n").alias("n")).first()["n"] or 0
-    top = counts.where(F.col("n") >= total * SHARE).orderBy(F.desc("n"), "w").limit(FREQUENT).collect()
-    return np.unique(np.array([BEGIN, *[np.int64(r["w"]).astype(np.uint64) for r in top]], dtype=np.uint64))
+    Words are counted over all documents. At most ``SHARE`` frequent words and the
+    sums of the classes come to the driver.
+    """
+    counts = docs.select("held_out", "text").mapInArrow(_count, "w long, class long, n long, m long")
+    words = store(counts.groupBy("w", "class").agg(F.sum("n").alias("n"), F.sum("m").alias("m")))
+    sums = words.agg(F.sum("n").alias("n"), F.sum("m").alias("m"), F.sum((F.col("n") > 0).cast("long")).alias("v")).first()
+    n, m, v = (sums[k] or 0 for k in ("n", "m", "v"))
+    is_frequent = F.col("m") > max(m // SHARE, RARE)
+    end = F.col("w") == F.lit(int(END.astype("i8")))
+    top = words.where(is_frequent | end).select("w", "n", "m").toArrow()
+    word = top["w"].to_numpy().astype("u8")
+    order = np.argsort(word)
+    word, train, seen = word[order], top["n"].to_numpy()[order], top["m"].to_numpy()[order]
+    at = np.flatnonzero(word == END)
+    trained, documents = (int(train[at[0]]), int(seen[at[0]])) if len(at) else (0, 0)
+    rest = words.where(~is_frequent & ~end).groupBy("class").agg(
+        F.sum("n").alias("n"), F.sum((F.col("n") > 0).cast("long")).alias("k")
+    ).toArrow()
+    class_count, class_words = np.zeros(CLASSES), np.zeros(CLASSES)
+    where = rest["class"].to_numpy()
+    class_count[where], class_words[where] = rest["n"].to_numpy(), rest["k"].to_numpy()
+    return Vocabulary(word, train, seen, class_count, class_words, trained, documents, max(1, part_tokens // 4)), n, v, m
 
 
 def score_documents(
@@ -317,7 +430,7 @@ def score_documents(
     key: str = "doc_id",
     text: str = "text",
     held: Column | None = None,
-    part_bytes: int = PART_BYTES,
+    part_tokens: int = PART_TOKENS,
 ) -> DataFrame:
     """``key``, ``held_out``, ``n_tokens``, ``n_known``, ``train_tokens``,
     ``base_score`` and ``score`` of each row.
@@ -326,9 +439,11 @@ def score_documents(
     ``held`` (by default a seventh by the key's checksum) is true are scored, but
     not learned from. A null text is empty and has its end only. Rows that repeat
     count and are scored each by itself; without training rows the base spreads
-    evenly. An empty table gives an empty result. What the parts find is stored in
-    the session's checkpoint folder.
+    evenly, and all words are as likely as their class of unseen words. An empty
+    table gives an empty result. Other columns are ignored. The counted words are
+    stored in the session's checkpoint folder.
     """
+    spark = df.sparkSession
     key_type = df.schema[key].dataType
     arrow_key = pa.schema([pa.field("k", _arrow_type(key_type))])[0].type
     docs = df.select(
@@ -337,28 +452,14 @@ def score_documents(
         F.coalesce(col(text), F.lit("")).alias("text"),
         F.monotonically_increasing_id().alias("row"),
     )
-    total = docs.agg(F.sum(record_bytes(docs.select("text"))).alias("b")).first()["b"] or 0
-    parts = max(1, -(-total // part_bytes))
-    frequent = frequent_words(docs)
+    vocabulary, tokens, words, all_tokens = count_words(docs, part_tokens)
+    parts = max(1, -(-all_tokens // part_tokens))
+    known = spark.sparkContext.broadcast(vocabulary)
     name = key_type.simpleString()
-    pieces = docs.mapInArrow(_cut(frequent, parts, arrow_key), PIECES.format(key=name))
-    found = store(pieces.groupBy("part").applyInArrow(_look_up(frequent, arrow_key), FOUND.format(key=name)))
-    # one row for the sums, and one per spread word
-    stats = found.where("kind = 3").groupBy("h").agg(*[F.sum(c).alias(c) for c in "cde"]).collect()
-    count, kinds = np.zeros(len(frequent) + 1), np.zeros(len(frequent) + 1)
-    totals = {"begin": int(np.searchsorted(frequent, BEGIN)) + 1, "n": 0, "v": 0}
-    for r in stats:
-        if r["h"]:
-            count[r["h"]], kinds[r["h"]] = r["c"], r["d"]
-        else:
-            totals |= {"v": r["c"], "n": r["e"]}
-    ends = int(count[totals["begin"]])
-    words = np.arange(len(count)) != totals["begin"]
-    totals["n"] += int(count[words].sum()) + ends
-    totals["v"] += int((count[words] > 0).sum()) + (ends > 0)
-    totals |= {"ends": ends, "count": count, "kinds": kinds}
+    pieces = docs.mapInArrow(_cut(known, parts, arrow_key), PIECES.format(key=name))
+    found = pieces.groupBy("part").applyInArrow(_look_up(known, arrow_key), FOUND.format(key=name))
     schema = f"key {name}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    scored = found.where("kind < 3").select("kind", "sub", "keys", "data").groupBy("sub").applyInArrow(_assemble(totals, arrow_key), schema)
+    scored = found.groupBy("sub").applyInArrow(_assemble(tokens, words, arrow_key), schema)
     return scored.withColumnRenamed("key", key) if key != "key" else scored
 
 

@@ -4,6 +4,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from gridloom.llm import lm as L
@@ -32,26 +33,63 @@ def test_elias_fano(top):
             assert (ef.successor(keys, first, stop) == want).all()
 
 
-def model(tokens, held):
+def hashed(word):
+    return np.uint64(L.END) if word == "\n" else next(L.batch_word_hashes(pa.array([word])))[0]
+
+
+def model(tokens, held, part_tokens=L.PART_TOKENS):
     """Base and score of every document by definition."""
     trained = [t for t, h in zip(tokens, held) if not h]
     c = collections.Counter(x for t in trained for x in t)
+    m = collections.Counter(x for t in tokens for x in t)
     n, v = sum(c.values()), len(c)
-    pairs, first = collections.Counter(), collections.Counter()
+    key = {x: hashed(x) for x in m}
+    group = {x: int(L.class_of(np.array([k]))[0]) for x, k in key.items()}
+    frequent = {x for x in m if m[x] > max(sum(m.values()) // L.SHARE, L.RARE) or x == "\n"}
+    rest = collections.defaultdict(list)
+    for x in m:
+        if x not in frequent and c[x]:
+            rest[group[x]].append(c[x])
+    weight = [sum(rest[g]) + len(rest[g]) + 1 for g in range(L.CLASSES)]
+    total = sum(weight) + sum(c[x] + 1 for x in frequent)
+    low = {x: (c[x] + 1 if x in frequent else weight[group[x]] / (len(rest[group[x]]) + 1)) / total for x in m}
+    cap = max(1, part_tokens // 4)
+    slices = {x: min(L.CLASSES, 1 << max(0, math.ceil(math.log2(m[x] / cap)))) for x in frequent if m[x] > cap}
+    slices["<s>"] = 1 << max(0, math.ceil(math.log2(max(1, len(tokens) / cap))))
+    mass = {}
+    for k in set(slices.values()):
+        w = np.array(weight, "f8")
+        np.add.at(w, [group[x] for x in frequent], [c[x] + 1 for x in frequent])
+        mass[k] = w.reshape(-1, k).sum(axis=0) / total
+    # contexts with their slice
+    two, three = collections.defaultdict(collections.Counter), collections.defaultdict(collections.Counter)
+    in_all = collections.Counter()
+
+    def steps(t):
+        for b, a, x in zip(["<s>", "<s>", *t], ["<s>", *t], t):
+            yield b, a, x, group[x] % slices.get(a, 1)
+
     for t in trained:
-        for a, b in zip(["<s>", *t], t):
-            pairs[a, b] += 1
-            first[a] += 1
-    kinds = collections.Counter(a for a, _ in pairs)
+        for b, a, x, s in steps(t):
+            two[a, s][x] += 1
+            three[a, s, b][x] += 1
+            in_all[a] += 1
+
+    def lower(counts, x, p):
+        all_of = sum(counts.values())
+        return (max(counts[x] - L.DISCOUNT, 0) + L.DISCOUNT * len(counts) * p) / all_of if all_of else p
+
     out = []
     for t in tokens:
         base = [math.log10((c[x] + 1) / (n + 1 * (v + 1))) for x in t]
         score = 0.0
-        for a, b, w in zip(["<s>", *t], t, base):
-            if pairs[a, b]:
-                score += math.log10((pairs[a, b] - L.DISCOUNT) / first[a])
-            else:
-                score += w + (math.log10(L.DISCOUNT * kinds[a] / first[a]) if first[a] else 0)
+        for b, a, x, s in steps(t):
+            k = slices.get(a, 1)
+            share = mass[k][s] if k > 1 else 1.0
+            p = lower(three.get((a, s, b), collections.Counter()), x, lower(two.get((a, s), collections.Counter()), x, low[x] / share))
+            if k > 1:
+                p *= (sum(two.get((a, s), {}).values()) + share) / (in_all[a] + 1)
+            score += math.log10(p)
         out.append((len(t), sum(c[x] > 0 for x in t), n, sum(base), score))
     return out
 
@@ -60,7 +98,7 @@ def check(spark, texts, ids=None, **more):
     ids = ids if ids is not None else list(range(len(texts)))
     df = clashing(docs(spark, texts, ids=ids)).drop("score")
     held = [i is not None and zlib.crc32(str(i).encode()) % 7 == 2 for i in ids]
-    want = model([[*words(t), "\n"] for t in texts], held)
+    want = model([[*words(t), "\n"] for t in texts], held, **more)
     got = L.score_documents(df, **more).collect()
     key = lambda r: (str(r[0]), r[1], r[2], round(r[5], 6))
     got = sorted(((r["doc_id"], r["held_out"], r["n_tokens"], r["n_known"], r["train_tokens"], r["base_score"], r["score"]) for r in got), key=key)
@@ -77,22 +115,67 @@ def varied(n, seed):
     return [" ".join(rnd.choice(["the", "The", "of", vocab[int(300 * rnd.random() ** 3)]]) for _ in range(rnd.randint(0, 80))) for _ in range(n)]
 
 
-@pytest.mark.parametrize("part_bytes", [1 << 24, 3000])
-def test_against_definition(spark, part_bytes):
-    check(spark, varied(150, 1), part_bytes=part_bytes)
+@pytest.mark.parametrize("part_tokens", [1 << 20, 400])
+def test_against_definition(spark, part_tokens):
+    check(spark, varied(150, 1), part_tokens=part_tokens)
+
+
+def test_hot_context_is_cut(spark):
+    # one word before very many others, one pair in every document
+    texts = [" ".join(f"hot w{(i * 7 + k * k) % 90}" for k in range(12)) + " same pair" for i in range(80)]
+    check(spark, texts, part_tokens=64)
+
+
+@pytest.mark.parametrize("cap", [1 << 20, 5])
+def test_probabilities_add_up_to_one(cap):
+    rng = np.random.default_rng(5)
+    known = np.unique(rng.integers(0, 2**64, 60, dtype=np.uint64))
+    token = known[(len(known) * rng.random(3000) ** 3).astype(int)]
+    u, w, v = token[1:-1], token[2:], token[:-2]
+    word, n = np.unique(w, return_counts=True)
+    often = n > 30
+    count, kinds = (np.bincount(L.class_of(word[~often]), x, L.CLASSES) for x in (n[~often], None))
+    voc = L.Vocabulary(word[often], n[often], n[often], count, kinds, 0, 0, cap)
+    which = L.class_of(w) % voc.slices_of(u)
+    trie = L.WordTrie(u, which, w, v, np.ones(len(u), int))
+    # tokens of a context in training, as the vocabulary of a corpus has them
+    first, total = np.unique(u, return_counts=True)
+    at = voc._find(first, voc.spread)
+    voc.spread_train = np.where(at >= 0, total[np.maximum(at, 0)], 0)
+    # an unseen word of each class stands for all of its class
+    other = rng.integers(0, 2**64, 2_000_000, dtype=np.uint64)
+    other = other[~np.isin(other, word)]
+    of, one = np.unique(L.class_of(other), return_index=True)
+    assert len(of) == L.CLASSES
+    everything = np.concatenate([word, other[one]])
+    for context, before in [(known[0], known[1]), (known[0], known[-1]), (known[-1], known[0]), (np.uint64(9), known[3]), (known[5], np.uint64(9))]:
+        us, vs = np.full(len(everything), context), np.full(len(everything), before)
+        s = L.class_of(everything) % voc.slices_of(us)
+        p = 10.0 ** trie.log_probability(voc, us, s, everything, vs)
+        assert abs(p.sum() - 1) < 1e-3
+
+
+def test_documents_that_occur_twice_score_higher(spark):
+    rnd = random.Random(3)
+    texts = [" ".join(f"w{rnd.randint(0, 400)}" for _ in range(60)) for _ in range(60)]
+    ids = [i for i in range(200) if zlib.crc32(str(i).encode()) % 7 != 2][:90]
+    got = {r["doc_id"]: r["score"] for r in L.score_documents(docs(spark, texts + texts[:30], ids=ids)).collect()}
+    assert min(got[i] for i in ids[:30]) > max(got[i] for i in ids[30:60])
 
 
 def test_many_batches(spark, monkeypatch):
     # on a session with workers of its own the limits are read there; the cut is called here
-    import pyarrow as pa
+    class Known:
+        none = np.zeros(0, np.int64)
+        value = L.Vocabulary(none.astype("u8"), none, none, np.zeros(L.CLASSES), np.zeros(L.CLASSES), 0, 40, 10)
 
     monkeypatch.setattr(L, "BATCH_TOKENS", 100)
     batch = pa.RecordBatch.from_pydict({"key": list(range(40)), "held_out": [False] * 40, "text": varied(40, 2), "row": list(range(40))})
-    rows = [r for b in L._cut(np.array([L.BEGIN]), 5, pa.int64())(iter([batch])) for r in b.to_pylist()]
+    rows = [r for b in L._cut(Known, 5, pa.int64())(iter([batch])) for r in b.to_pylist()]
     own = [r for r in rows if r["part"] < 0]
     assert len(own) > 5 and sorted(k for r in own for k in r["keys"]) == list(range(40))
-    total = sum(int(L.unpack(r["data"], "<u8", "<u4", "<u4", "<u2", "<u4")[1].sum()) for r in rows if r["part"] >= 0)
-    assert total == sum(len(words(t)) + 1 for t in varied(40, 2))
+    pieces = [L.read_piece(r["data"]) for r in rows if r["part"] >= 0]
+    assert sum(int(p[4].sum()) for p in pieces) == sum(len(p[5]) for p in pieces) == sum(len(words(t)) + 1 for t in varied(40, 2))
 
 
 def test_odd_rows(spark):
