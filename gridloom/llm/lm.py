@@ -41,33 +41,57 @@ STEP = 2048.0  # quantised values per unit of log10
 PART_TOKENS = 1_000_000  # tokens one part looks up, about
 BATCH_TOKENS = 600_000
 BATCH_DOCS = 30_000
+LOOKUPS = 300_000  # tokens looked up at a time
 CLASSES = 1 << 16  # of words that are not frequent
 SHARE, RARE = 1 << 20, 16  # a frequent word has more than RARE and one of SHARE tokens
 BEGIN, END = np.uint64(0x0123456789ABCDEF), np.uint64(0xFEDCBA9876543210)
 
 PIECES = "part long, sub long, keys array<{key}>, data binary"
 FOUND = "sub long, keys array<{key}>, data binary"
-TRIPLES = ("<u8", "i", "i", "i", "i", "<u2")  # words; places of context, word, word before; times; tags
 
 
 def pack(*arrays: np.ndarray) -> bytes:
-    return b"".join(np.array([a.nbytes], "<i8").tobytes() + a.tobytes() for a in arrays)
-
-
-def unpack(data: bytes, *types: str, n: int = 0) -> list[np.ndarray]:
-    """The packed arrays; type ``i`` is that of ``n`` numbers of two or four bytes."""
+    """Arrays one after another; the bytes of integers of up to four are compressed
+    place by place, as the higher ones repeat."""
+    out = []
+    for a in arrays:
+        a = np.ascontiguousarray(a)
+        out += [a.dtype.str.encode(), len(a).to_bytes(8, "little")]
+        if a.dtype.kind == "f" or a.dtype.itemsize == 8:
+            out.append(a.tobytes())
+            continue
+        for plane in np.ascontiguousarray(a.view("u1").reshape(len(a), a.dtype.itemsize).T):
+            small = pa.compress(plane, codec="zstd", asbytes=True)
+            out += [len(small).to_bytes(4, "little"), small]
+    return b"".join(out)
+
+
+def unpack(data: bytes) -> list[np.ndarray]:
     out, at = [], 0
-    for t in types:
-        size = int(np.frombuffer(data, "<i8", 1, at)[0])
-        if t == "i":
-            t = "<u2" if size == 2 * n else "<u4"
-        out.append(np.frombuffer(data, t, size // np.dtype(t).itemsize, at + 8))
-        at += 8 + size
+    while at < len(data):
+        kind, n = np.dtype(data[at : at + 3].decode()), int.from_bytes(data[at + 3 : at + 11], "little")
+        at += 11
+        if kind.kind == "f" or kind.itemsize == 8:
+            out.append(np.frombuffer(data, kind, n, at))
+            at += n * kind.itemsize
+            continue
+        planes = np.empty((n, kind.itemsize), "u1")
+        for k in range(kind.itemsize):
+            size = int.from_bytes(data[at : at + 4], "little")
+            planes[:, k] = np.frombuffer(pa.decompress(data[at + 4 : at + 4 + size], n, codec="zstd"), "u1") if n else 0
+            at += 4 + size
+        out.append(planes.reshape(-1).view(kind))
     return out
 
 
 def narrow(x: np.ndarray) -> np.ndarray:
-    return x.astype("<u2" if not len(x) or x.max() < 1 << 16 else "<u4")
+    """Numbers from 0 on in as few bytes as they need."""
+    top = x.max() if len(x) else 0
+    return x.astype("u1" if top < 1 << 8 else "<u2" if top < 1 << 16 else "<u4")
+
+
+def steps(x: np.ndarray) -> np.ndarray:
+    return narrow(np.diff(x, prepend=0))
 
 
 def quantise(x: np.ndarray) -> np.ndarray:
@@ -75,7 +99,7 @@ def quantise(x: np.ndarray) -> np.ndarray:
 
 
 def class_of(words: np.ndarray) -> np.ndarray:
-    return (mix(words, 41) & np.uint64(CLASSES - 1)).astype(np.int64)
+    return (words >> np.uint64(48)).astype(np.int64)
 
 
 class Vocabulary:
@@ -140,13 +164,16 @@ class Vocabulary:
 class WordTrie:
     """Words, contexts, followers, words before, and the words that follow both."""
 
-    def __init__(self, context: np.ndarray, which: np.ndarray, word: np.ndarray, before: np.ndarray, weight: np.ndarray) -> None:
-        """Hashes of the training tokens' context, word and word before the context,
-        the context's slice, and how often each occurs; they may repeat."""
-        known = np.unique(np.concatenate([context, word, before]))
-        place = lambda x: np.searchsorted(known, x).astype(np.uint64)
-        w, v = place(word), place(before)
-        contexts, at = np.unique(place(context) << np.uint64(16) | which.astype(np.uint64), return_inverse=True)
+    def __init__(self, words: np.ndarray, context: np.ndarray, which: np.ndarray, word: np.ndarray, before: np.ndarray, weight: np.ndarray) -> None:
+        """Places among the sorted ``words`` of the training tokens' context, word and
+        word before the context, the context's slice, and how often each occurs; they
+        may repeat, and words that occur nowhere are left out."""
+        used = np.zeros(len(words), bool)
+        for x in (context, word, before):
+            used[x] = True
+        known, rank = words[used], np.cumsum(used, dtype=np.uint64) - np.uint64(1)
+        w, v = rank[word], rank[before]
+        contexts, at = np.unique(rank[context] << np.uint64(16) | which.astype(np.uint64), return_inverse=True)
         at = at.astype(np.uint64)
         followers, f = np.unique(at << np.uint64(32) | w, return_inverse=True)
         befores, b = np.unique(at << np.uint64(32) | v, return_inverse=True)
@@ -184,42 +211,50 @@ class WordTrie:
         found = level.find(at.astype(np.uint64) << np.uint64(32) | w.astype(np.uint64), first, np.where(ok, stop, first))
         return np.where(ok, found, -1)
 
-    def find_contexts(self, context: np.ndarray, which: np.ndarray) -> np.ndarray:
-        at = self.words.find(context)
-        key = np.maximum(at, 0).astype(np.uint64) << np.uint64(16) | which.astype(np.uint64)
-        return np.where(at >= 0, self.contexts.find(key), -1)
+    def find_contexts(self, place: np.ndarray, which: np.ndarray) -> np.ndarray:
+        key = np.maximum(place, 0).astype(np.uint64) << np.uint64(16) | which.astype(np.uint64)
+        distinct, at = np.unique(key, return_inverse=True)
+        return np.where(place >= 0, self.contexts.find(distinct)[at], -1)
 
     def probability(self, at: np.ndarray, word: np.ndarray, before: np.ndarray, low: np.ndarray) -> np.ndarray:
         """Of each word, after the context at a place (-1: unknown) and a word before
-        it, given the lowest order's."""
-        w, v = self.words.find(word), self.words.find(before)
+        it, given the lowest order's; words by their places in the trie, or -1."""
         out = low
         for level, pointers, parent, share, left in (
             (self.followers, self.to_followers, at, self.share, self.left),
-            (self.thirds, self.to_thirds, self._below(self.befores, self.to_befores, at, v), self.third_share, self.third_left),
+            (self.thirds, self.to_thirds, self._below(self.befores, self.to_befores, at, before), self.third_share, self.third_left),
         ):
             if not level.n:
                 continue
-            found = self._below(level, pointers, parent, w)
+            found = self._below(level, pointers, parent, word)
             seen = np.where(found >= 0, 10.0 ** (share[np.maximum(found, 0)] / STEP), 0)
             out = np.where(parent >= 0, seen + 10.0 ** (left[np.maximum(parent, 0)] / STEP) * out, out)
         return out
 
-    def log_probability(self, vocabulary: Vocabulary, context: np.ndarray, which: np.ndarray, word: np.ndarray, before: np.ndarray) -> np.ndarray:
-        at = self.find_contexts(context, which)
-        low, chance = vocabulary.low(word), np.ones(len(word))
-        cut = np.flatnonzero(vocabulary.slices_of(context) > 1)
+    def log_probability(
+        self, vocabulary: Vocabulary, words: np.ndarray, context: np.ndarray, which: np.ndarray, word: np.ndarray, before: np.ndarray
+    ) -> tuple[np.ndarray, np.ndarray]:
+        """Of each word after a context and a word before it, all places among
+        ``words``; and how often the context's slice occurs in training."""
+        place = self.words.find(words)
+        at = self.find_contexts(place[context], which)
+        total = np.where(at >= 0, self.total[np.maximum(at, 0)], 0) if len(self.total) else np.zeros(len(at))
+        low, chance = vocabulary.low(words)[word], np.ones(len(word))
+        cut = np.flatnonzero((vocabulary.slices_of(words) > 1)[context])
         if len(cut):
-            mass, tokens = vocabulary.slice_mass(context[cut], which[cut])
-            here = np.where(at[cut] >= 0, self.total[np.maximum(at[cut], 0)], 0) if len(self.total) else 0
+            mass, tokens = vocabulary.slice_mass(words[context[cut]], which[cut])
             low[cut] /= mass
-            chance[cut] = (here + mass) / (tokens + 1.0)
-        return np.log10(self.probability(at, word, before, low) * chance)
+            chance[cut] = (total[cut] + mass) / (tokens + 1.0)
+        value = np.empty(len(word))
+        for lo in range(0, len(word), LOOKUPS):
+            some = slice(lo, lo + LOOKUPS)
+            value[some] = self.probability(at[some], place[word[some]], place[before[some]], low[some])
+        return np.log10(value * chance), total
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Words of the documents, and an end for each: their class, and how often they
-    occur in training and in all."""
+    """Words of the documents, and an end for each: how often they occur in training
+    and in all."""
     for batch in batches:
         held = batch["held_out"].to_numpy(zero_copy_only=False).astype(bool)
         parts, size, first = [], 0, 0
@@ -230,8 +265,8 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 train = np.repeat(~held[first : i + 1], [len(p) + 1 for p in parts])
                 word, at = np.unique(np.concatenate([x for p in parts for x in (p, np.array([END]))]), return_inverse=True)
                 n = np.bincount(at, train, len(word)).astype("i8")
-                columns = (word.astype("i8"), class_of(word), n, np.bincount(at, minlength=len(word)))
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["w", "class", "n", "m"])
+                columns = (word.astype("i8"), n, np.bincount(at, minlength=len(word)))
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["w", "n", "m"])
                 parts, size, first = [], 0, i + 1
     give_back()
 
@@ -262,6 +297,14 @@ def _cut(known, parts: int, key_type: pa.DataType) -> Callable[[Iterator], Itera
         doc = np.repeat(np.arange(len(words)), sizes)
         one, end = np.array([BEGIN]), np.array([END])
         dictionary, ids = np.unique(np.concatenate([x for w in words for x in (one, w, end)]), return_inverse=True)
+        # frequent words, which all tasks know, come first
+        frequent = vocabulary.frequent(dictionary)
+        first_those = np.argsort(frequent < 0, kind="stable")
+        dictionary, frequent = dictionary[first_those], frequent[first_those]
+        moved = np.empty(len(dictionary), np.int64)
+        moved[first_those] = np.arange(len(dictionary))
+        ids = moved[ids]
+        n_frequent = int((frequent >= 0).sum())
         starts = np.cumsum(sizes + 1) - sizes - 1
         inner = np.ones(len(ids), bool)
         inner[starts] = False
@@ -270,14 +313,13 @@ def _cut(known, parts: int, key_type: pa.DataType) -> Callable[[Iterator], Itera
         opening = ~inner[at - 1]
         v[opening] = u[opening]
         # frequent words and ends are settled here, others where they are a context
-        frequent = vocabulary.frequent(dictionary)
         count = np.where(frequent >= 0, vocabulary.train[np.maximum(frequent, 0)], 0) if len(vocabulary.words) else np.zeros(len(dictionary))
         is_end = dictionary == END
         count = np.where(is_end, vocabulary.trained, count)
         settled = (frequent >= 0) | is_end
         base = np.bincount(doc, np.where(settled, np.log10(count + 1.0), 0)[w], len(words))
         known_words = np.bincount(doc, (settled & (count > 0))[w], len(words))
-        own = pack(held, sizes.astype("<i8"), base, known_words.astype("<i8"))
+        own = pack(held.astype("u1"), sizes.astype("<i8"), base, known_words.astype("<i8"))
         rows = [(-1 - sub, sub, docs["key"].to_pylist(), own)]
 
         slices = vocabulary.slices_of(dictionary)
@@ -298,9 +340,10 @@ def _cut(known, parts: int, key_type: pa.DataType) -> Callable[[Iterator], Itera
         for lo, hi in zip(edges[:-1], edges[1:]):
             n = hi - lo
             used, place = np.unique(np.concatenate([pair[lo:hi] >> 32, pair[lo:hi] & 0xFFFFFFFF, v[lo:hi]]), return_inverse=True)
+            own_frequent = int(np.searchsorted(used, n_frequent))
             data = pack(
-                np.array([n], "<i8"), dictionary[used], *[narrow(place[k * n : (k + 1) * n]) for k in range(3)],
-                narrow(times[lo:hi]), tag[first[lo] : first[hi]],
+                steps(frequent[used[:own_frequent]]), dictionary[used[own_frequent:]], steps(place[:n]),
+                narrow(place[n : 2 * n]), narrow(place[2 * n :]), narrow(times[lo:hi]), tag[first[lo] : first[hi]],
             )
             rows.append((int(goal[lo]), sub, None, data))
         yield pa.RecordBatch.from_arrays(
@@ -316,10 +359,11 @@ def _cut(known, parts: int, key_type: pa.DataType) -> Callable[[Iterator], Itera
     return cut
 
 
-def read_piece(data: bytes) -> list[np.ndarray]:
+def read_piece(vocabulary: Vocabulary, data: bytes) -> list[np.ndarray]:
     """Words, places of context, word and word before, times and tags of a piece."""
-    n = int(np.frombuffer(data, "<i8", 1, 8)[0])
-    return unpack(data, "<i8", *TRIPLES, n=n)[1:]
+    frequent, rare, u, w, v, times, tags = unpack(data)
+    words = np.concatenate([vocabulary.words[np.cumsum(frequent, dtype=np.int64)], rare])
+    return [words, np.cumsum(u, dtype=np.int64), w, v, times.astype(np.int64), tags]
 
 
 def _look_up(known, key_type: pa.DataType) -> Callable[[pa.Table], pa.Table]:
@@ -330,20 +374,20 @@ def _look_up(known, key_type: pa.DataType) -> Callable[[pa.Table], pa.Table]:
             return group.select(["sub", "keys", "data"])
         vocabulary = known.value
         subs = group["sub"].to_pylist()
-        got = [read_piece(d.as_py()) for d in group["data"]]
-        u, w, v = (np.concatenate([g[0][g[k]] for g in got]) for k in (1, 2, 3))
-        times = np.concatenate([g[4] for g in got]).astype(np.int64)
+        got = [read_piece(vocabulary, d.as_py()) for d in group["data"]]
+        words, ids = np.unique(np.concatenate([g[0] for g in got]), return_inverse=True)
+        start = np.cumsum([0, *[len(g[0]) for g in got]])
+        u, w, v = (np.concatenate([ids[lo : lo + len(g[0])][g[k]] for lo, g in zip(start, got)]) for k in (1, 2, 3))
+        times = np.concatenate([g[4] for g in got])
         tags = np.concatenate([g[5] for g in got])
         ends = np.cumsum(times)
         weight = np.add.reduceat((tags & 0x8000) == 0, ends - times, dtype=np.int64)
-        which = class_of(w) % vocabulary.slices_of(u)
+        which = class_of(words)[w] % vocabulary.slices_of(words)[u]
         train = weight > 0
-        trie = WordTrie(u[train], which[train], w[train], v[train], weight[train])
-        value = trie.log_probability(vocabulary, u, which, w, v)
+        trie = WordTrie(words, u[train], which[train], w[train], v[train], weight[train])
+        value, count = trie.log_probability(vocabulary, words, u, which, w, v)
         # of a context as a word by itself, if that is not settled elsewhere
-        other = (vocabulary.frequent(u) < 0) & (u != BEGIN)
-        at = trie.find_contexts(u, which)
-        count = np.where(at >= 0, trie.total[np.maximum(at, 0)], 0) if len(trie.total) else np.zeros(len(u))
+        other = ((vocabulary.frequent(words) < 0) & (words != BEGIN))[u]
         log_base = np.where(other, np.log10(count + 1.0), 0)
         found, lo = [], 0
         for g in got:
@@ -353,8 +397,8 @@ def _look_up(known, key_type: pa.DataType) -> Callable[[pa.Table], pa.Table]:
             rest = np.repeat(other[part], g[4])
             mine, some = np.unique(of[rest], return_inverse=True)
             base = np.bincount(some, np.repeat(log_base[part], g[4])[rest], len(mine))
-            hits = np.bincount(some, np.repeat(count[part] > 0, g[4])[rest], len(mine))
-            found.append(pack(docs.astype("<u2"), score.astype("<f4"), docs[mine].astype("<u2"), base, hits.astype("<u4")))
+            hits = np.bincount(some, np.repeat(count[part] > 0, g[4])[rest], len(mine)).astype(np.int64)
+            found.append(pack(steps(docs.astype(np.int64)), score.astype("<f4"), steps(mine), base, narrow(hits)))
             lo = part.stop
         nothing = pa.nulls(len(subs), pa.list_(key_type))
         give_back()
@@ -370,11 +414,14 @@ def _assemble(tokens: int, words: int, key_type: pa.DataType) -> Callable[[pa.Ta
     def assemble(group: pa.Table) -> pa.Table:
         own = int(np.flatnonzero(group["keys"].is_valid().to_numpy())[0])
         keys = group["keys"][own].as_py()
-        held, sizes, base, known = unpack(group["data"][own].as_py(), "?", "<i8", "<f8", "<i8")
+        held, sizes, base, known = unpack(group["data"][own].as_py())
+        held = held.astype(bool)
         base, known, score = base - sizes * base_scale, known.copy(), np.zeros(len(sizes))
         # in one order, so that reruns add alike
         for data in sorted(d.as_py() for i, d in enumerate(group["data"]) if i != own):
-            docs, x, some, y, z = unpack(data, "<u2", "<f4", "<u2", "<f8", "<u4")
+            docs, x, some, y, z = unpack(data)
+            docs = np.cumsum(docs, dtype=np.int64)
+            some = docs[np.cumsum(some, dtype=np.int64)]
             score[docs] += x
             base[some] += y
             known[some] += z
@@ -404,8 +451,8 @@ def count_words(docs: DataFrame, part_tokens: int) -> tuple[Vocabulary, int, int
     Words are counted over all documents. At most ``SHARE`` frequent words and the
     sums of the classes come to the driver.
     """
-    counts = docs.select("held_out", "text").mapInArrow(_count, "w long, class long, n long, m long")
-    words = store(counts.groupBy("w", "class").agg(F.sum("n").alias("n"), F.sum("m").alias("m")))
+    counts = docs.select("held_out", "text").mapInArrow(_count, "w long, n long, m long")
+    words = store(counts.groupBy("w").agg(F.sum("n").alias("n"), F.sum("m").alias("m")))
     sums = words.agg(F.sum("n").alias("n"), F.sum("m").alias("m"), F.sum((F.col("n") > 0).cast("long")).alias("v")).first()
     n, m, v = (sums[k] or 0 for k in ("n", "m", "v"))
     is_frequent = F.col("m") > max(m // SHARE, RARE)
@@ -416,7 +463,7 @@ def count_words(docs: DataFrame, part_tokens: int) -> tuple[Vocabulary, int, int
     word, train, seen = word[order], top["n"].to_numpy()[order], top["m"].to_numpy()[order]
     at = np.flatnonzero(word == END)
     trained, documents = (int(train[at[0]]), int(seen[at[0]])) if len(at) else (0, 0)
-    rest = words.where(~is_frequent & ~end).groupBy("class").agg(
+    rest = words.where(~is_frequent & ~end).groupBy(F.shiftrightunsigned("w", 48).alias("class")).agg(
         F.sum("n").alias("n"), F.sum((F.col("n") > 0).cast("long")).alias("k")
     ).toArrow()
     class_count, class_words = np.zeros(CLASSES), np.zeros(CLASSES)

@@ -132,26 +132,27 @@ def test_probabilities_add_up_to_one(cap):
     known = np.unique(rng.integers(0, 2**64, 60, dtype=np.uint64))
     token = known[(len(known) * rng.random(3000) ** 3).astype(int)]
     u, w, v = token[1:-1], token[2:], token[:-2]
+    # an unseen word of each class stands for all of its class
+    other = rng.integers(0, 2**64, 2_000_000, dtype=np.uint64)
+    of, one = np.unique(L.class_of(other), return_index=True)
+    assert len(of) == L.CLASSES and not np.isin(other, known).any()
+    everything = np.unique(np.concatenate([known, other[one]]))
+    place = lambda x: np.searchsorted(everything, x)
     word, n = np.unique(w, return_counts=True)
     often = n > 30
     count, kinds = (np.bincount(L.class_of(word[~often]), x, L.CLASSES) for x in (n[~often], None))
     voc = L.Vocabulary(word[often], n[often], n[often], count, kinds, 0, 0, cap)
     which = L.class_of(w) % voc.slices_of(u)
-    trie = L.WordTrie(u, which, w, v, np.ones(len(u), int))
+    trie = L.WordTrie(everything, place(u), which, place(w), place(v), np.ones(len(u), int))
     # tokens of a context in training, as the vocabulary of a corpus has them
     first, total = np.unique(u, return_counts=True)
     at = voc._find(first, voc.spread)
     voc.spread_train = np.where(at >= 0, total[np.maximum(at, 0)], 0)
-    # an unseen word of each class stands for all of its class
-    other = rng.integers(0, 2**64, 2_000_000, dtype=np.uint64)
-    other = other[~np.isin(other, word)]
-    of, one = np.unique(L.class_of(other), return_index=True)
-    assert len(of) == L.CLASSES
-    everything = np.concatenate([word, other[one]])
-    for context, before in [(known[0], known[1]), (known[0], known[-1]), (known[-1], known[0]), (np.uint64(9), known[3]), (known[5], np.uint64(9))]:
-        us, vs = np.full(len(everything), context), np.full(len(everything), before)
-        s = L.class_of(everything) % voc.slices_of(us)
-        p = 10.0 ** trie.log_probability(voc, us, s, everything, vs)
+    for context, before in [(known[0], known[1]), (known[0], known[-1]), (known[-1], known[0]), (everything[9], known[3]), (known[5], everything[9])]:
+        candidate = np.flatnonzero(np.isin(everything, word) | np.isin(everything, other[one]))
+        us, vs = np.full(len(candidate), place(context)), np.full(len(candidate), place(before))
+        which = L.class_of(everything[candidate]) % voc.slices_of(everything)[us]
+        p = 10.0 ** trie.log_probability(voc, everything, us, which, candidate, vs)[0]
         assert abs(p.sum() - 1) < 1e-3
 
 
@@ -174,7 +175,7 @@ def test_many_batches(spark, monkeypatch):
     rows = [r for b in L._cut(Known, 5, pa.int64())(iter([batch])) for r in b.to_pylist()]
     own = [r for r in rows if r["part"] < 0]
     assert len(own) > 5 and sorted(k for r in own for k in r["keys"]) == list(range(40))
-    pieces = [L.read_piece(r["data"]) for r in rows if r["part"] >= 0]
+    pieces = [L.read_piece(Known.value, r["data"]) for r in rows if r["part"] >= 0]
     assert sum(int(p[4].sum()) for p in pieces) == sum(len(p[5]) for p in pieces) == sum(len(words(t)) + 1 for t in varied(40, 2))
 
 
