@@ -173,11 +173,12 @@ class WordTrie:
             used[x] = True
         known, rank = words[used], np.cumsum(used, dtype=np.uint64) - np.uint64(1)
         w, v = rank[word], rank[before]
+        self.width = np.uint64(max(len(known), 1))
         contexts, at = np.unique(rank[context] << np.uint64(16) | which.astype(np.uint64), return_inverse=True)
         at = at.astype(np.uint64)
-        followers, f = np.unique(at << np.uint64(32) | w, return_inverse=True)
-        befores, b = np.unique(at << np.uint64(32) | v, return_inverse=True)
-        thirds, t = np.unique(b.astype(np.uint64) << np.uint64(32) | w, return_inverse=True)
+        followers, f = np.unique(at * self.width + w, return_inverse=True)
+        befores, b = np.unique(at * self.width + v, return_inverse=True)
+        thirds, t = np.unique(b.astype(np.uint64) * self.width + w, return_inverse=True)
         self.total = np.bincount(at.astype(np.int64), weight, len(contexts))
         parts = [EliasFano(x) for x in (known, contexts, followers, befores, thirds)]
         levels = []
@@ -185,30 +186,30 @@ class WordTrie:
             (followers, np.bincount(f, weight, len(followers)), len(contexts)),
             (thirds, np.bincount(t, weight, len(thirds)), len(befores)),
         ):
-            of = (keys >> np.uint64(32)).astype(np.int64)
+            of = (keys // self.width).astype(np.int64)
             kinds = np.bincount(of, minlength=parents)
             total = np.maximum(np.bincount(of, count, parents), 1)
             parts.append(EliasFano(np.concatenate([[0], np.cumsum(kinds)]).astype(np.uint64)))
             levels += [quantise(np.log10((count - DISCOUNT) / total[of])), quantise(np.log10(DISCOUNT * np.maximum(kinds, 1) / total))]
-        of = (befores >> np.uint64(32)).astype(np.int64)
+        of = (befores // self.width).astype(np.int64)
         parts.append(EliasFano(np.concatenate([[0], np.cumsum(np.bincount(of, minlength=len(contexts)))]).astype(np.uint64)))
         views = Arena([a for p in parts for a in p.levels] + levels).views
         for p in parts:
             p.open(views[: len(p.levels)])
             views = views[len(p.levels) :]
         self.words, self.contexts, self.followers, self.befores, self.thirds = parts[:5]
-        self.to_followers, self.to_thirds, self.to_befores = parts[5:]
+        # pointers are read in one go: all are needed, most of them many times
+        self.to_followers, self.to_thirds, self.to_befores = (p.get(np.arange(p.n)).astype(np.int64) for p in parts[5:])
         self.share, self.left, self.third_share, self.third_left = views
 
-    @staticmethod
-    def _below(level: EliasFano, pointers: EliasFano, parent: np.ndarray, word: np.ndarray) -> np.ndarray:
+    def _below(self, level: EliasFano, pointers: np.ndarray, parent: np.ndarray, word: np.ndarray) -> np.ndarray:
         """Places of words among the entries of their parents, or -1."""
         ok = (parent >= 0) & (word >= 0)
         if not ok.any():
             return np.full(len(parent), -1, np.int64)
         at, w = np.where(ok, parent, 0), np.where(ok, word, 0)
-        first, stop = pointers.get(at).astype(np.int64), pointers.get(at + 1).astype(np.int64)
-        found = level.find(at.astype(np.uint64) << np.uint64(32) | w.astype(np.uint64), first, np.where(ok, stop, first))
+        first, stop = pointers[at], pointers[at + 1]
+        found = level.find(at.astype(np.uint64) * self.width + w.astype(np.uint64), first, np.where(ok, stop, first))
         return np.where(ok, found, -1)
 
     def find_contexts(self, place: np.ndarray, which: np.ndarray) -> np.ndarray:
@@ -262,11 +263,12 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             parts.append(w)
             size += len(w) + 1
             if size >= BATCH_TOKENS or i + 1 == len(held):
-                train = np.repeat(~held[first : i + 1], [len(p) + 1 for p in parts])
-                word, at = np.unique(np.concatenate([x for p in parts for x in (p, np.array([END]))]), return_inverse=True)
-                n = np.bincount(at, train, len(word)).astype("i8")
-                columns = (word.astype("i8"), n, np.bincount(at, minlength=len(word)))
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["w", "n", "m"])
+                for some in (False, True):
+                    of = [x for p, h in zip(parts, held[first : i + 1]) if h == some for x in (p, np.array([END]))]
+                    if of:
+                        word, m = np.unique(np.concatenate(of), return_counts=True)
+                        columns = (word.astype("i8"), np.zeros_like(m) if some else m, m)
+                        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["w", "n", "m"])
                 parts, size, first = [], 0, i + 1
     give_back()
 
@@ -322,27 +324,40 @@ def _cut(known, parts: int, key_type: pa.DataType) -> Callable[[Iterator], Itera
         own = pack(held.astype("u1"), sizes.astype("<i8"), base, known_words.astype("<i8"))
         rows = [(-1 - sub, sub, docs["key"].to_pylist(), own)]
 
+        # contexts in the order of their parts; a slice of a hot one is a context
         slices = vocabulary.slices_of(dictionary)
-        goal = (mix(dictionary, 32) % np.uint64(parts)).astype(np.int64)[u]
         hot = np.flatnonzero(slices[u] > 1)
         which = class_of(dictionary)[w[hot]] % slices[u[hot]]
-        goal[hot] = (mix(dictionary[u[hot]] + which.astype(np.uint64), 32) % np.uint64(parts)).astype(np.int64)
-        pair = u << 32 | w
-        order = np.lexsort((v, pair, goal))
-        goal, pair, v = goal[order], pair[order], v[order]
-        tag = (doc | np.where(held[doc], 0x8000, 0))[order].astype("<u2")
-        fresh = np.ones(len(order), bool)
-        fresh[1:] = (np.diff(goal) != 0) | (np.diff(pair) != 0) | (np.diff(v) != 0)
+        cut_up, at = np.unique(u[hot] << 16 | which, return_inverse=True)
+        context = u.copy()
+        context[hot] = len(dictionary) + at
+        route = np.concatenate([dictionary, dictionary[cut_up >> 16] + (cut_up & 0xFFFF).astype(np.uint64)])
+        route = (mix(route, 32) % np.uint64(parts)).astype(np.int64)
+        base_word = np.concatenate([np.arange(len(dictionary)), cut_up >> 16])
+        by_part = np.argsort(route, kind="stable")
+        rank = np.empty(len(route), np.int64)
+        rank[by_part] = np.arange(len(route))
+        bits = len(dictionary).bit_length()
+        tag = (doc | np.where(held[doc], 0x8000, 0)).astype("<u2")
+        if len(route).bit_length() + 2 * bits <= 63:
+            whole = rank[context] << 2 * bits | w << bits | v
+            order = np.argsort(whole)
+            fresh = np.diff(whole[order], prepend=-1) != 0
+        else:  # a text of very many different words
+            order = np.lexsort((v, w, rank[context]))
+            fresh = np.ones(len(order), bool)
+            fresh[1:] = (np.diff(rank[context][order]) != 0) | (np.diff(w[order]) != 0) | (np.diff(v[order]) != 0)
         first = np.append(np.flatnonzero(fresh), len(order))
-        times = np.diff(first)
-        goal, pair, v = goal[first[:-1]], pair[first[:-1]], v[first[:-1]]
+        times, tag, one_each = np.diff(first), tag[order], order[first[:-1]]
+        goal, w, v = route[context[one_each]], w[one_each], v[one_each]
+        u = base_word[context[one_each]]
         edges = np.append(np.flatnonzero(np.diff(goal, prepend=-1)), len(goal))
         for lo, hi in zip(edges[:-1], edges[1:]):
             n = hi - lo
-            used, place = np.unique(np.concatenate([pair[lo:hi] >> 32, pair[lo:hi] & 0xFFFFFFFF, v[lo:hi]]), return_inverse=True)
+            used, place = np.unique(np.concatenate([u[lo:hi], w[lo:hi], v[lo:hi]]), return_inverse=True)
             own_frequent = int(np.searchsorted(used, n_frequent))
             data = pack(
-                steps(frequent[used[:own_frequent]]), dictionary[used[own_frequent:]], steps(place[:n]),
+                steps(frequent[used[:own_frequent]]), dictionary[used[own_frequent:]], narrow(place[:n]),
                 narrow(place[n : 2 * n]), narrow(place[2 * n :]), narrow(times[lo:hi]), tag[first[lo] : first[hi]],
             )
             rows.append((int(goal[lo]), sub, None, data))
@@ -363,7 +378,7 @@ def read_piece(vocabulary: Vocabulary, data: bytes) -> list[np.ndarray]:
     """Words, places of context, word and word before, times and tags of a piece."""
     frequent, rare, u, w, v, times, tags = unpack(data)
     words = np.concatenate([vocabulary.words[np.cumsum(frequent, dtype=np.int64)], rare])
-    return [words, np.cumsum(u, dtype=np.int64), w, v, times.astype(np.int64), tags]
+    return [words, u, w, v, times.astype(np.int64), tags]
 
 
 def _look_up(known, key_type: pa.DataType) -> Callable[[pa.Table], pa.Table]:
