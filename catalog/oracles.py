@@ -430,6 +430,14 @@ FROM full_grid f LEFT JOIN (SELECT CAST(band AS VARCHAR) AS layer, row, col, val
   ON v.layer=f.layer AND v.row=f.row AND v.col=f.col""").replace("\n, full_grid", ", full_grid")
 oracle("pack_chunks", RASTER, select="""
 SELECT band, row//40 AS chunk_row, col//40 AS chunk_col, (row%40)*40+col%40 AS pos, value FROM ras""")
+oracle("pack_chunks_auto", RASTER, """
+full_band AS (SELECT max(n) AS n FROM (SELECT count(*) AS n FROM ras GROUP BY band)),
+side AS (
+  SELECT CAST(greatest(nx, ny) AS DOUBLE) AS longest,
+    greatest(1, floor(sqrt(4096 / (least(CAST(1 AS DOUBLE), CAST(n AS DOUBLE)/CAST(nx*ny AS DOUBLE))*12)))) AS side
+  FROM g, full_band),
+size AS (SELECT CAST(ceil(longest/ceil(longest/side)) AS BIGINT) AS k FROM side)""", select="""
+SELECT band, k AS chunk, row//k AS chunk_row, col//k AS chunk_col, (row%k)*k+col%k AS pos, value FROM ras, size""")
 ORACLES["export_encoding"] = "SELECT CAST(p_partkey AS BIGINT) AS code, p_name||' '||p_partkey AS category FROM part"
 oracle("category_map", POLY, FIRST_CODES, select="SELECT layer, 'category' AS var, category, code FROM codes")
 oracle("infer_resolution", RASTER, RASTER_SPEC, AXIS_TABLE, select="""

@@ -21,6 +21,7 @@ RESOLUTION = 0.01
 TILE = 200
 CHUNK = 20
 STRIP = 20
+AUTO_BYTES = 4096
 WEST, SOUTH, EAST, NORTH = 0.0, 0.0, 10.0, 6.0
 WKT = 'GEOGCS["WGS 84",AUTHORITY["EPSG","4326"]]'
 DAY = "2024-01-01"
@@ -593,6 +594,17 @@ def pack_chunks(spark, d):
     ).select(*as_long("band", "chunk_row", "chunk_col"), F.col("c.pos").cast("long").alias("pos"), "c.value")
 
 
+@query
+def pack_chunks_auto(spark, d):
+    """Chunks of a size that follows the cells' width, their density and the grid."""
+    cells, g = raster_on_grid(spark, d)
+    spec = spark.range(1).select(F.lit("raster").alias("layer")).withColumns(g.columns())
+    packed = align.pack_chunks(cells, ["value"], "auto", ["band"], spec=spec, target_bytes=AUTO_BYTES)
+    return packed.select(
+        *as_long("band", "chunk", "chunk_row", "chunk_col"), F.explode(F.arrays_zip(F.col("pos").alias("pos"), F.col("vals").alias("value"))).alias("c")
+    ).select("band", "chunk", "chunk_row", "chunk_col", F.col("c.pos").cast("long").alias("pos"), "c.value")
+
+
 @query
 def category_map(spark, d):
     maps = encode.category_map(encode.codes_first_seen(X.polygons(spark, d), ["category"]), part_size=10)

@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridloom.plans.joins import join_dimension
 from gridloom.plans.numbering import number_rows
 
+CHUNK_BYTES = 1 << 20  # what a chunk of automatic size holds, about
+LONGEST_SIDE = 46340  # positions in a chunk are 32-bit numbers
+WIDTHS = {"tinyint": 1, "smallint": 2, "int": 4, "float": 4}  # other numbers take eight bytes
+
 
 def union_axes(datasets: list[DataFrame], axis: str) -> DataFrame:
     """Distinct labels of one axis over all datasets."""
@@ -89,21 +95,54 @@ def densify(cells: DataFrame, spec: DataFrame, variables: list[str], fill: float
     return fill_rows(sparse, rows, ["layer", "row"], variables, F.lit(float(fill)))
 
 
+def auto_chunk(
+    cells: DataFrame,
+    spec: DataFrame,
+    variables: list[str],
+    group: list[str] | None = None,
+    target_bytes: int = CHUNK_BYTES,
+) -> int:
+    """Side of the chunks that hold about ``target_bytes`` each.
+
+    A cell takes four bytes for its position and the width of every variable's type;
+    cells are as dense as in the fullest group, spread over the largest grid of
+    ``spec``. The longest axis is cut evenly, so that the last chunk is hardly smaller
+    than the others; a grid that fits is one chunk. Without cells or grids it is 1.
+    """
+    group = group or ["layer"]
+    types = {f.name: f.dataType.simpleString() for f in cells.schema.fields}
+    width = 4 + sum(WIDTHS.get(types[v], 8) for v in variables)
+    grid = spec.agg(F.max(F.col("nx") * F.col("ny")).alias("area"), F.max(F.greatest("nx", "ny")).alias("side")).first()
+    fullest = cells.groupBy(*group).count().agg(F.max("count").alias("n")).first()["n"]
+    if not fullest or not grid["area"]:
+        return 1
+    fill = min(1.0, fullest / grid["area"])
+    side = min(max(1, math.floor(math.sqrt(target_bytes / (fill * width)))), LONGEST_SIDE)
+    return math.ceil(grid["side"] / math.ceil(grid["side"] / side))
+
+
 def pack_chunks(
     cells: DataFrame,
     variables: list[str],
-    chunk: int,
+    chunk: int | str,
     group: list[str] | None = None,
     placed: bool = False,
+    spec: DataFrame | None = None,
+    target_bytes: int = CHUNK_BYTES,
 ) -> DataFrame:
     """Cells to chunks of at most ``chunk`` x ``chunk`` cells, one row per
     variable and chunk with sorted in-chunk positions and their values.
 
     Cells are unique per variable, so a chunk holds at most chunk * chunk. With
     ``placed`` the cells already carry ``tile_row, tile_col`` of this size, as
-    from ``tiled_cells``, and need no shuffle.
+    from ``tiled_cells``, and need no shuffle. The size ``"auto"`` is that of
+    ``auto_chunk`` for the grids in ``spec``.
     """
     group = group or ["layer"]
+    if chunk == "auto":
+        if spec is None or placed:
+            raise ValueError("an automatic chunk size needs the grids, and cells that are not placed")
+        chunk = auto_chunk(cells, spec, variables, group, target_bytes)
     n = F.lit(int(chunk)).cast("long")
     row, col = F.col("row").cast("long"), F.col("col").cast("long")
     keyed = cells.select(

@@ -265,3 +265,19 @@ def test_side_by_side(spark):
     b = spark.createDataFrame([(0, 1, 2.0)], "row long, col long, v double")
     assert rows_of(tiles.beside([(a, 0), (b, 5)]), "row", "col", "v") == [(0, 0, 1.0), (0, 6, 2.0)]
     assert rows_of(tiles.stack([(a, 0), (b, 5)]), "row", "col", "v") == [(0, 0, 1.0), (5, 1, 2.0)]
+
+
+def test_automatic_chunk_size(spark):
+    spec = spark.sql("SELECT 'a' layer, 1000L nx, 300L ny")
+    cells = spark.range(3000).selectExpr("'a' layer", "id % 300 row", "id % 1000 col", "cast(id as float) v", "cast(id as double) w")
+    size = lambda some, **more: align.auto_chunk(some, spec, ["v", "w"], **more)
+    # a hundredth of the cells, 16 bytes each: 100 x 100 cells hold 1,600 bytes
+    assert size(cells, target_bytes=1600) == 100
+    assert size(cells, target_bytes=1700) == 100  # 103 would leave a last chunk of 73
+    assert size(cells) == 1000 and size(cells, target_bytes=1) == 2
+    assert size(cells.limit(0)) == 1 and align.auto_chunk(cells, spec.limit(0), ["v"]) == 1
+    packed = align.pack_chunks(cells, ["v"], "auto", spec=spec, target_bytes=800)
+    assert {r["chunk"] for r in packed.collect()} == {100}
+    assert sorted(map(tuple, align.unpack_chunks(packed).select("row", "col", "value").collect())) == sorted((i % 300, i % 1000, float(i)) for i in range(3000))
+    with pytest.raises(ValueError):
+        align.pack_chunks(cells, ["v"], "auto")
