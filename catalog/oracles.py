@@ -371,6 +371,22 @@ t AS (
 SELECT fid, CASE WHEN wide THEN n ELSE k END AS row, CASE WHEN wide THEN k ELSE n END AS col
 FROM t WHERE n>=0 AND n<CASE WHEN wide THEN ny ELSE nx END""")
 ORACLES["rasterize_lines"] = ORACLES["rasterize_lines"].replace("\n, p AS", ", p AS")
+oracle("rasterize_lines_touched", LINES, BOUNDS, SPEC, """
+pix AS (
+  SELECT fid, nx, ny, (ux-lon_min)/dx AS ax, (lat_max-uy)/dy AS ay, (vx-lon_min)/dx AS bx, (lat_max-vy)/dy AS by_
+  FROM ends JOIN spec USING (layer)),
+down AS (
+  SELECT fid, nx, ny, ax AS x0, ay AS y0, bx AS x1, by_ AS y1 FROM pix WHERE ay<by_ OR (ay=by_ AND ax<=bx)
+  UNION ALL SELECT fid, nx, ny, bx, by_, ax, ay FROM pix WHERE NOT (ay<by_ OR (ay=by_ AND ax<=bx))),
+lay AS (SELECT *, unnest(range(0, ny)) AS r FROM down),
+passed AS (
+  SELECT fid, nx, r, CASE WHEN r<=y0 THEN x0 ELSE x0+(CAST(r AS DOUBLE)-y0)*((x1-x0)/(y1-y0)) END AS xa,
+    CASE WHEN r+1>=y1 THEN x1 ELSE x0+(CAST(r+1 AS DOUBLE)-y0)*((x1-x0)/(y1-y0)) END AS xb
+  FROM lay WHERE r+1>y0 AND r<=y1),
+clip AS (
+  SELECT fid, r AS row, greatest(0, CAST(floor(least(xa,xb)) AS BIGINT)) AS c0,
+    least(nx-1, CAST(floor(greatest(xa,xb)) AS BIGINT)) AS c1 FROM passed)""", select="""
+SELECT fid, row, c0, c1 FROM clip WHERE c1>=c0""")
 oracle("apply_codes", POLY, FIRST_CODES, select=f"""
 SELECT p.layer, p.fid, CAST(c.code AS DOUBLE) AS code
 FROM poly p JOIN codes c ON c.layer=p.layer AND c.category={filled('basic').replace('category','p.category')}""")

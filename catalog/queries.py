@@ -437,6 +437,14 @@ def rasterize_lines(spark, d):
     return rasterize.burn_lines(g).select("fid", *as_long("row", "col"))
 
 
+@query
+def rasterize_lines_touched(spark, d):
+    """Every cell a line enters, as spans of columns."""
+    lines = X.lines(spark, d)
+    g = grid.with_grid(lines, polygon_spec(lines))
+    return rasterize.touched_spans(g).select("fid", *as_long("row", "c0", "c1"))
+
+
 @query
 def apply_codes(spark, d):
     poly = X.polygons(spark, d)

@@ -306,6 +306,40 @@ def burn_lines(features: DataFrame) -> DataFrame:
     )
 
 
+def touched_spans(features: DataFrame) -> DataFrame:
+    """Every cell that a line enters, as a span of columns for each segment and row.
+
+    A segment is cut at the borders of the rows it passes; between two borders it runs
+    from one column to another. Cells own their upper and left border, as for points, so
+    neighbouring segments share the cell of their common vertex.
+    """
+    carried = _carried(features)
+    e = F.col("e")
+    ends = (
+        features.withColumn("e", F.explode(G.edges(F.col("rings"))))
+        .withColumn("a", F.struct(pixel_y(e["a"]["y"]).alias("y"), pixel_x(e["a"]["x"]).alias("x")))
+        .withColumn("b", F.struct(pixel_y(e["b"]["y"]).alias("y"), pixel_x(e["b"]["x"]).alias("x")))
+        .select(*carried, "nx", "ny", F.least("a", "b").alias("p"), F.greatest("a", "b").alias("q"))
+    )
+    y0, x0, y1, x1 = F.col("p.y"), F.col("p.x"), F.col("q.y"), F.col("q.x")
+    slope = F.coalesce(F.try_divide(x1 - x0, y1 - y0), F.lit(0.0))
+    rows = (
+        ends.withColumn("from", F.greatest(F.lit(0).cast("long"), F.floor(y0)))
+        .withColumn("to", F.least(F.col("ny") - 1, F.floor(y1)))
+        .where(F.col("to") >= F.col("from"))
+        .withColumn("row", F.explode(F.sequence("from", "to")))
+    )
+    top, bottom = F.col("row").cast("double"), (F.col("row") + 1).cast("double")
+    enter = F.when(top <= y0, x0).otherwise(x0 + (top - y0) * slope)
+    leave = F.when(bottom >= y1, x1).otherwise(x0 + (bottom - y0) * slope)
+    return (
+        rows.withColumn("c0", F.greatest(F.lit(0).cast("long"), F.floor(F.least(enter, leave))))
+        .withColumn("c1", F.least(F.col("nx") - 1, F.floor(F.greatest(enter, leave))))
+        .where(F.col("c1") >= F.col("c0"))
+        .select(*carried, "row", "c0", "c1")
+    )
+
+
 def _spans(features: DataFrame, geom_types: tuple[str, ...]) -> DataFrame:
     """Spans of mixed geometry; points and lines burn spans of one cell."""
     one_cell = {"c0": F.col("col"), "c1": F.col("col")}

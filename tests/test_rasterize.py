@@ -198,3 +198,14 @@ def test_packing_tiled_cells_needs_no_shuffle(spark):
     packed = align.pack_chunks(tiled, ["value"], 50, placed=True)
     plan = packed._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange") == 1
+
+
+def test_lines_enter_every_cell_they_touch(spark):
+    lines = [((0.5, 9.5), (2.5, 8.2)), ((5.5, 9.5), (5.9, 6.5)), ((3.5, 9.5), (0.5, 9.5)), ((5, 5), (5, 5)),
+             ((-2, 9.5), (1.5, 9.5)), ((20, 1), (30, 2)), ((1.5, 8.5), (1.5, 8.5), (3.5, 8.5))]
+    rows = [(i, [ring(*line)], "LINE") for i, line in enumerate(lines, 1)]
+    got = rows_of(rasterize.touched_spans(on_grid(features(spark, rows), TEN)), "fid", "row", "c0", "c1")
+    assert [r for r in got if r[0] < 7] == [
+        (1, 0, 0, 1), (1, 1, 1, 2), *[(2, r, 5, 5) for r in range(4)], (3, 0, 0, 3), (4, 5, 5, 5), (5, 0, 0, 1)
+    ]
+    assert {r for r in got if r[0] == 7} == {(7, 1, 1, 1), (7, 1, 1, 3)}
