@@ -113,14 +113,16 @@ def shared_uri(spark: SparkSession, path: str) -> str:
     """``path`` on the session's default file system, as every executor names it.
 
     A bare path on a machine's own disk is refused on a cluster: the executors
-    would each write to their own.
+    would each write to their own. A path that names its file system is taken as it
+    is, with one slash or three: folders inside the session's checkpoint folder come
+    as ``file:/...``.
     """
     hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
     filesystem = hadoop.getFileSystem(spark._jsc.hadoopConfiguration())
     uri = filesystem.makeQualified(hadoop).toString()
     master = spark.sparkContext.master
     if uri.startswith("file:"):
-        if "://" not in path and master != "local" and not master.startswith("local["):
+        if hadoop.toUri().getScheme() is None and master != "local" and not master.startswith("local["):
             raise ValueError(f"{path!r} is on each machine's own disk; name a file system that all executors share")
         uri = "file://" + uri.removeprefix("file:").removeprefix("//")
     return uri

@@ -276,3 +276,14 @@ def test_folders_match_like_files(spark, tmp_path):
         p.write_bytes(b"1")
     got = files.match_files(spark, str(tmp_path), ".gdb").collect()
     assert sorted((r.path.split("/")[-1], r.folder, r.length) for r in got) == [(".c.gdb", True, 0), ("_b.gdb", False, 1), ("a.gdb", True, 0)]
+
+
+def test_the_checkpoint_folder_is_shared_on_a_cluster(spark, tmp_path, monkeypatch):
+    """Spark names it ``file:/...``; a bare path is each machine's own."""
+    inside = f"{spark.sparkContext.getCheckpointDir()}/export"
+    assert inside.startswith("file:/") and "://" not in inside
+    monkeypatch.setattr(spark.sparkContext, "master", "local-cluster[2,1,1024]")
+    assert array_store.shared_uri(spark, inside) == "file://" + inside.removeprefix("file:")
+    assert array_store.shared_uri(spark, f"file://{tmp_path}/x") == f"file://{tmp_path}/x"
+    with pytest.raises(ValueError):
+        array_store.shared_uri(spark, str(tmp_path / "x"))
