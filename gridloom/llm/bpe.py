@@ -15,7 +15,7 @@ from __future__ import annotations
 import base64
 import gc
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 import numpy as np
@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gridloom.llm.frames import col, slices
+from gridloom.llm.frames import col, give_back, slices
 
 STATES = 200_000  # transitions are forgotten beyond this many states
 PIECES = 125_000  # and encoded pieces beyond twice this many
@@ -378,6 +378,21 @@ def _no_collection() -> Iterator[None]:
         gc.enable()
 
 
+Arrays = Callable[[Iterator[pa.Array]], Iterator[pa.Array]]
+
+
+def _letting_go(task: Arrays) -> Arrays:
+    """The same work of a task. Its tables and caches end before memory is given back,
+    or an idle worker would keep them beside those of the next tasks."""
+
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        yield from task(batches)
+        gc.collect()
+        give_back()
+
+    return run
+
+
 def encode_text(df: DataFrame, path: str, pattern: str, text: str = "text", out: str = "ids") -> DataFrame:
     """Add ``out``: the token ids of each text, packed as little-endian unsigned
     32-bit numbers in a binary column.
@@ -395,7 +410,7 @@ def encode_text(df: DataFrame, path: str, pattern: str, text: str = "text", out:
             with _no_collection():
                 yield pa.array([encode(t.as_py()) for t in texts], pa.binary())
 
-    return df.withColumn(out, F.arrow_udf(encoded, T.BinaryType())(col(text)))
+    return df.withColumn(out, F.arrow_udf(_letting_go(encoded), T.BinaryType())(col(text)))
 
 
 def decode_ids(df: DataFrame, path: str, ids: str = "ids", out: str = "decoded") -> DataFrame:
@@ -406,7 +421,7 @@ def decode_ids(df: DataFrame, path: str, ids: str = "ids", out: str = "decoded")
         for packed in slices(batches):
             yield pa.array([decode(p.as_py()) for p in packed], pa.string())
 
-    return df.withColumn(out, F.arrow_udf(decoded, T.StringType())(col(ids)))
+    return df.withColumn(out, F.arrow_udf(_letting_go(decoded), T.StringType())(col(ids)))
 
 
 def round_trip(
@@ -432,7 +447,7 @@ def round_trip(
             )
 
     kind = T.StructType([T.StructField("ids", T.BinaryType()), T.StructField("decoded", T.StringType())])
-    found = F.arrow_udf(both, kind)(col(text))
+    found = F.arrow_udf(_letting_go(both), kind)(col(text))
     return df.withColumns({ids: found["ids"], out: found["decoded"]})
 
 

@@ -77,3 +77,29 @@ def test_round_trip_in_spark(spark):
     both = bpe.round_trip(df, PATH, P.PATTERN, ids="packed", out="decoded").collect()
     assert sorted((r["doc_id"], bytes(r["packed"]), r["decoded"]) for r in both) == sorted((r["doc_id"], bytes(r["packed"]), r["decoded"]) for r in out)
     assert bpe.encode_text(df.limit(0), PATH, P.PATTERN).count() == 0
+
+
+def test_caches_end_before_memory_is_given_back(spark, monkeypatch):
+    import weakref
+
+    import pyarrow as pa
+
+    from gridloom.llm import frames
+
+    tasks, made, left = [], weakref.WeakSet(), []
+    real_udf, real_init = bpe.F.arrow_udf, bpe.Encoder.__init__
+
+    def init(self, *a):
+        real_init(self, *a)
+        made.add(self)
+
+    monkeypatch.setattr(bpe.F, "arrow_udf", lambda fn, kind: (tasks.append(fn), real_udf(fn, kind))[1])
+    monkeypatch.setattr(bpe.Encoder, "__init__", init)
+    for module in (frames, bpe):
+        monkeypatch.setattr(module, "give_back", lambda: left.append(len(made)), raising=False)
+    df = spark.createDataFrame([("a b",)], "text string")
+    bpe.encode_text(df, PATH, P.PATTERN)
+    bpe.round_trip(df, PATH, P.PATTERN)
+    for task in tasks:
+        assert len(list(task(iter([pa.array(["some text", None])])))) == 1
+        assert left[-1] == 0
