@@ -565,8 +565,9 @@ def strip_max(spark, d):
 
 @query
 def majority_features(spark, d):
-    near = zonal.features_in_circle(X.zones(spark, d), X.polygons(spark, d))
-    return zonal.majority(near.withColumn("size", F.col("size").cast("double")), ["zone_id"], "size")
+    """Most frequent size among the features each disc meets."""
+    sized = X.polygons(spark, d).withColumn("size", F.col("size").cast("double"))
+    return zonal.majority_in_circle(X.zones(spark, d), sized, ["zone_id"], "size")
 
 
 @query

@@ -65,6 +65,12 @@ def vertex_count(columns: list[str]) -> Column:
     return F.col(SIZE_COLUMN) if SIZE_COLUMN in columns else F.size(vertices(F.col("rings")))
 
 
+def shape_digest(rings: Column) -> Column:
+    """128 bits that tell geometries apart, by vertices and by how many a ring has."""
+    cut = F.transform(rings, F.size)
+    return F.struct(F.xxhash64(rings, cut).alias("a"), F.xxhash64(F.lit(1), rings, cut).alias("b"))
+
+
 def edges(rings: Column) -> Column:
     """All consecutive vertex pairs of every ring as ``ARRAY<STRUCT<a, b>>``."""
     drawable = F.filter(rings, lambda r: F.size(r) >= 2)

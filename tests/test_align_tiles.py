@@ -293,3 +293,35 @@ def test_automatic_chunk_size(spark):
     assert sorted(map(tuple, align.unpack_chunks(packed).select("row", "col", "value").collect())) == sorted((i % 300, i % 1000, float(i)) for i in range(3000))
     with pytest.raises(ValueError):
         align.pack_chunks(cells, ["v"], "auto")
+
+
+def copied(spark, copies):
+    """Discs and shapes, every one ``copies`` times under other ids."""
+    rng = random.Random(12)
+    places = [(rng.uniform(0, 6), rng.uniform(0, 6), rng.uniform(0.2, 1.5)) for _ in range(40)]
+    shapes = [(i * 100 + k, [square(x, y, w)], "POLYGON", "ab"[k % 2], float(k % 3)) for i, (x, y, w) in enumerate(places) for k in range(copies)]
+    discs = [(z * 100 + k, rng_x, 6 - rng_x, 0.4) for z, rng_x in enumerate([0.5, 1.5, 3.0, 4.4]) for k in range(copies)]
+    return spark.createDataFrame(discs, "zone_id long, cx double, cy double, radius double"), features(spark, shapes)
+
+
+@pytest.mark.parametrize("limit", [0, 10**7])
+def test_copies_of_discs_and_shapes_are_compared_once(spark, monkeypatch, limit):
+    from gridloom.functions import geometry as G
+
+    zones, df = copied(spark, 5)
+    stored = []
+    real = zonal.store
+    monkeypatch.setattr(zonal, "store", lambda t: (stored.append(real(t)), stored[-1])[1])
+    got = zonal.features_in_circle(zones, df, broadcast_bytes=limit)
+    brute = zones.join(df).where(G.disc_intersects(F.col("rings"), F.col("cx"), F.col("cy"), F.col("radius")))
+    assert rows_of(got, "zone_id", "layer", "fid", "value") == rows_of(brute, "zone_id", "layer", "fid", "value") != []
+    once = zonal.features_in_circle(*copied(spark, 1)).count()
+    assert got.count() == 25 * once and stored[0].count() < 4 * once  # candidate pairs, without the copies
+
+
+@pytest.mark.parametrize("nodata", [None, 1.0])
+def test_majority_in_circle_needs_no_pairs(spark, nodata):
+    zones, df = copied(spark, 5)
+    want = zonal.majority(zonal.features_in_circle(zones, df), ["zone_id"], "value", nodata)
+    names = ("zone_id", "majority", "n")
+    assert rows_of(zonal.majority_in_circle(zones, df, ["zone_id"], "value", nodata), *names) == rows_of(want, *names) != []
