@@ -501,8 +501,8 @@ def _stored_bands(spark, d, variables: list[str] | None = None) -> tuple[DataFra
 def cells_in_zone(spark, d):
     """Zones meet the chunks of a stored raster; cells come out, but do not move."""
     chunks, g = _stored_bands(spark, d)
-    inside = zonal_runs.chunks_in_zone(zonal.circle_zones(X.zones(spark, d)), chunks, g, CHUNK)
-    return align.unpack_chunks(inside).select("zone_id", *as_long("band", "row", "col"))
+    inside = zonal_runs.cells_in_zone(zonal.circle_zones(X.zones(spark, d)), chunks, g, CHUNK)
+    return inside.select("zone_id", *as_long("band", "row", "col"))
 
 
 @query
