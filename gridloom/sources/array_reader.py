@@ -1,21 +1,22 @@
 """Read the open chunked-array folder layout back, as a chunk table.
 
-A data source plans one partition for each run of neighbouring chunk objects, from
-the consolidated JSON alone; objects of other variables, or outside the wanted chunk
-rows and columns, are neither planned nor opened. An object that is absent is all
-fill, and cells that hold the fill value are no cells.
-
-Bounds are options of a read, not filters it takes from the query: Spark keeps what a
-Python source was last given for every later query of the same DataFrame, so a second
-query with other conditions, or none, would miss rows.
+The consolidated JSON says which arrays there are; their objects are read by Spark's
+own reader of binary files, so a store may lie wherever Spark reads. Objects of other
+variables, or outside the wanted chunk rows and columns, are left out by their names
+and never opened. An object that is absent is all fill, and cells that hold the fill
+value are no cells.
 """
 
 from __future__ import annotations
 
 import json
+import math
+import re
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql import functions as F
 
 from gridloom.sources.array_store import (
     ALL_FILE,
@@ -28,149 +29,109 @@ from gridloom.sources.array_store import (
 )
 from gridloom.sources.folders import Folder
 
-READER_NAME = "gridloom_array_chunks"
 RUN_BYTES = 16 * 1024 * 1024  # of chunk objects in one partition
-MOST_RUNS = 50_000  # partitions of one read; runs are longer where this is not enough
-AXIS_FIELDS = "array string, idx bigint, label double"
+KINDS = {code: kind for kind, code in DTYPES.items()}
 
 
-def array_chunks_source() -> type[DataSource]:
-    """Source of ``var, chunk_row, chunk_col, chunk, pos, vals``, or of axis labels.
+def _documents(spark: SparkSession, uri: str) -> dict[str, dict]:
+    return json.loads(Folder(spark, uri).text(ALL_FILE))["metadata"]
 
-    The classes are made here so that they travel to the workers by value and the
-    package need not be installed there.
-    """
-    types = {code: kind for kind, code in DTYPES.items()}
-    source_name, all_file, array_file, axis_fields = READER_NAME, ALL_FILE, ARRAY_FILE, AXIS_FIELDS
-    run_bytes, most_runs = RUN_BYTES, MOST_RUNS
-
-    def opened(path: str):
-        from pyarrow import fs
-
-        return fs.FileSystem.from_uri(path.replace("s3a://", "s3://", 1))
 
-    def arrays_of(path: str) -> dict[str, dict]:
-        filesystem, root = opened(path)
-        with filesystem.open_input_stream(f"{root}/{all_file}") as f:
-            documents = json.loads(f.read())["metadata"]
-        return {k.rsplit("/", 1)[0]: v for k, v in documents.items() if k.endswith("/" + array_file)}
-
-    def readable(name: str, info: dict) -> dict:
-        if info["compressor"] is not None or info["filters"] or info["order"] != "C" or info["dtype"] not in types:
+def _arrays(spark: SparkSession, uri: str, dimensions: int) -> dict[str, dict]:
+    """The arrays with that many dimensions; all of them have to be readable."""
+    found = {k.rsplit("/", 1)[0]: v for k, v in _documents(spark, uri).items() if k.endswith("/" + ARRAY_FILE)}
+    found = {k: v for k, v in sorted(found.items()) if len(v["shape"]) == dimensions}
+    for name, info in found.items():
+        if info["compressor"] is not None or info["filters"] or info["order"] != "C" or info["dtype"] not in KINDS:
             raise ValueError(f"array {name!r} is not stored as raw little-endian values")
-        if len(info["chunks"]) == 2 and info["chunks"][0] != info["chunks"][1]:
+        if len(set(info["chunks"])) > 1:
             raise ValueError(f"array {name!r} has chunks that are not square")
-        return info
-
-    class Run(InputPartition):
-        """Chunks ``first`` to ``last``, counted row by row within a box of chunks."""
-
-        def __init__(self, name, info, box, first, last):
-            self.name, self.info, self.box, self.first, self.last = name, info, box, first, last
+    return found
 
-    class ArrayReader(DataSourceReader):
-        def __init__(self, options: dict):
-            self.path, self.axes = options["path"], options["what"] == "axes"
-            self.names = json.loads(options["names"])
-            self.box = json.loads(options["box"])  # chunk rows and columns, ends included
 
-        def partitions(self):
-            chosen = []
-            for name, info in sorted(arrays_of(self.path).items()):
-                if len(info["shape"]) != (1 if self.axes else 2) or (self.names and name not in self.names):
-                    continue
-                readable(name, info)
-                box = []
-                for n, size, (low, high) in zip(info["shape"], info["chunks"], self.box):
-                    last = -(-n // size) - 1
-                    box.append((max(0, low or 0), last if high is None else min(last, high)))
-                count = 1
-                for low, high in box:
-                    count *= max(0, high - low + 1)
-                chosen.append((name, info, box, count))
-            total = sum(count for *_, count in chosen)
-            out = []
-            for name, info, box, count in chosen:
-                size = int(info["dtype"][2:])
-                for n in info["chunks"]:
-                    size *= n
-                run = max(1, run_bytes // size, -(-total // most_runs))
-                out += [Run(name, info, box, at, min(at + run, count) - 1) for at in range(0, count, run)]
-            # a read without any partition is not one Spark knows
-            return out or [Run("", {}, [(0, -1)], 0, -1)]
-
-        def read(self, partition):
-            import numpy as np
-            import pyarrow as pa
-
-            if partition.last < partition.first:
-                return
-            filesystem, root = opened(self.path)
-            info, box = partition.info, partition.box
-            dtype, shape, chunks = np.dtype(info["dtype"]), info["shape"], info["chunks"]
-            fill = np.array(np.nan if info["fill_value"] == "NaN" else info["fill_value"] or 0).astype(dtype)
-            width = box[-1][1] - box[-1][0] + 1
-            for k in range(partition.first, partition.last + 1):
-                at = [box[0][0] + k] if len(box) == 1 else [box[0][0] + k // width, box[1][0] + k % width]
-                try:
-                    with filesystem.open_input_stream(f"{root}/{partition.name}/{'.'.join(map(str, at))}") as f:
-                        block = np.frombuffer(f.read(), dtype).reshape(chunks)
-                except FileNotFoundError:
-                    if not self.axes:
-                        continue
-                    block = np.full(chunks, fill, dtype)
+def number_globs(low: int, high: int) -> list[str]:
+    """Glob patterns that match the numbers from ``low`` to ``high`` and no others."""
+    out = []
+    while low <= high:
+        # the longest block of numbers that begins at low and differs in its last digits only
+        free = 0
+        while low and low % 10 ** (free + 1) == 0 and low + 10 ** (free + 1) - 1 <= high:
+            free += 1
+        step = 10**free
+        first = low // step % 10
+        last = min(9, first + (high - low + 1) // step - 1)
+        head = str(low // step // 10) if low // step >= 10 else ""
+        out.append(f"{head}[{first}-{last}]" + "[0-9]" * free)
+        low += (last - first + 1) * step
+    return out
+
+
+def _box(info: dict, wanted: list[tuple]) -> tuple:
+    """First and last chunk that is there and wanted, for each dimension."""
+    lasts = [-(-n // size) - 1 for n, size in zip(info["shape"], info["chunks"])]
+    return tuple((max(0, low or 0), last if high is None else min(last, high)) for last, (low, high) in zip(lasts, wanted))
+
+
+def _objects(spark: SparkSession, uri: str, arrays: dict[str, dict], wanted: list[tuple]) -> DataFrame | None:
+    """``path, content`` of the arrays' objects in the box, a run of them in a partition."""
+    folder = Folder(spark, uri)
+    groups: dict[tuple, list[str]] = {}
+    for name, info in arrays.items():
+        box = _box(info, wanted)
+        if folder.exists(name) and all(low <= high for low, high in box):
+            groups.setdefault(box, []).append(name)
+    out = None
+    for box, names in groups.items():
+        counted = math.prod(high - low + 1 for low, high in box)
+        size = sum(counted * math.prod(arrays[n]["chunks"]) * int(arrays[n]["dtype"][2:]) for n in names)
+        objects = (
+            spark.read.format("binaryFile")
+            .option("pathGlobFilter", ".".join("{" + ",".join(number_globs(*b)) + "}" for b in box))
+            .load([re.sub(r"([{}\[\]*?\\])", r"\\\1", f"{uri}/{n}") for n in names])
+            .select("path", "content")
+            .coalesce(max(spark.sparkContext.defaultParallelism, -(-size // RUN_BYTES)))
+        )
+        out = objects if out is None else out.unionByName(objects)
+    return out
+
+
+def _decoded(objects: DataFrame, root: str, arrays: dict[str, dict], kind: str) -> DataFrame:
+    """Chunks of all objects that hold more than fill."""
+    code = DTYPES[kind]
+
+    def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import numpy as np
+
+        for batch in batches:
+            for path, content in zip(batch["path"], batch["content"]):
+                name, _, key = path.as_py()[len(root) + 1 :].rpartition("/")
+                info, at = arrays[name], [int(k) for k in key.split(".")]
+                chunks = info["chunks"]
+                fill = np.array(np.nan if info["fill_value"] == "NaN" else info["fill_value"] or 0).astype(info["dtype"])
+                block = np.frombuffer(content.as_buffer(), info["dtype"]).reshape(chunks)
                 # the last chunk of an axis reaches beyond it
-                block = block[tuple(slice(0, n - a * c) for n, a, c in zip(shape, at, chunks))]
-                if self.axes:
-                    idx = np.arange(len(block)) + at[0] * chunks[0]
-                    yield pa.record_batch([pa.array([partition.name] * len(block)), pa.array(idx), pa.array(block.astype("f8"))], names=["array", "idx", "label"])
-                    continue
-                there = ~np.isnan(block) if fill != fill else block != fill
-                row, col = np.nonzero(there)
+                block = block[tuple(slice(0, n - a * c) for n, a, c in zip(info["shape"], at, chunks))]
+                row, col = np.nonzero(~np.isnan(block) if fill != fill else block != fill)
                 if not len(row):
                     continue
                 offsets = pa.array([0, len(row)], pa.int32())
                 yield pa.record_batch(
                     [
-                        pa.array([partition.name]),
+                        pa.array([name]),
                         pa.array([at[0]], pa.int64()),
                         pa.array([at[1]], pa.int64()),
                         pa.array([chunks[1]], pa.int32()),
                         pa.ListArray.from_arrays(offsets, pa.array((row * chunks[1] + col).astype(np.int32))),
-                        pa.ListArray.from_arrays(offsets, pa.array(block[row, col].astype(self.kind))),
+                        pa.ListArray.from_arrays(offsets, pa.array(block[row, col].astype(code))),
                     ],
                     names=["var", "chunk_row", "chunk_col", "chunk", "pos", "vals"],
                 )
 
-    class ArraySource(DataSource):
-        @classmethod
-        def name(cls) -> str:
-            return source_name
-
-        def _kind(self) -> str:
-            """The type of all variables, or double where they differ."""
-            found = {v["dtype"] for k, v in arrays_of(self.options["path"]).items() if len(v["shape"]) == 2 and readable(k, v)}
-            return types[found.pop()] if len(found) == 1 else "double"
+    return objects.mapInArrow(decode, _chunk_schema(kind))
 
-        def schema(self) -> str:
-            if self.options.get("what") == "axes":
-                return axis_fields
-            return f"var string, chunk_row bigint, chunk_col bigint, chunk int, pos array<int>, vals array<{self._kind()}>"
 
-        def reader(self, schema):
-            reader = ArrayReader(dict(self.options))
-            reader.kind = {v: k for k, v in types.items()}[self._kind()]
-            return reader
-
-    return ArraySource
-
-
-def _load(spark: SparkSession, path: str, what: str, names: list[str], box: list) -> DataFrame:
-    path = shared_uri(spark, path).rstrip("/")
-    settle_export(spark, path)
-    spark.dataSource.register(array_chunks_source())
-    reader = spark.read.format(READER_NAME).option("path", path).option("what", what)
-    return reader.option("names", json.dumps(names)).option("box", json.dumps(box)).load()
+def _chunk_schema(kind: str) -> str:
+    return f"var string, chunk_row bigint, chunk_col bigint, chunk int, pos array<int>, vals array<{kind}>"
 
 
 def read_array_chunks(
@@ -186,12 +147,58 @@ def read_array_chunks(
     :func:`gridloom.operators.lookup.chunk_bounds`. Rows count from the first of the
     stored axis. Values have the stored type, double if variables differ.
     """
-    return _load(spark, path, "chunks", variables or [], [rows or (0, None), cols or (0, None)])
+    uri = shared_uri(spark, path).rstrip("/")
+    settle_export(spark, uri)
+    arrays = _arrays(spark, uri, 2)
+    found = {info["dtype"] for info in arrays.values()}
+    kind = KINDS[found.pop()] if len(found) == 1 else "double"
+    chosen = {n: info for n, info in arrays.items() if not variables or n in variables}
+    objects = _objects(spark, uri, chosen, [rows or (0, None), cols or (0, None)])
+    if objects is None:
+        return spark.createDataFrame([], _chunk_schema(kind))
+    return _decoded(objects, Folder(spark, uri).qualified, chosen, kind)
 
 
 def read_axes(spark: SparkSession, path: str) -> DataFrame:
     """``array, idx, label`` of every axis of an exported store."""
-    return _load(spark, path, "axes", [], [(0, None)])
+    uri = shared_uri(spark, path).rstrip("/")
+    settle_export(spark, uri)
+    arrays = _arrays(spark, uri, 1)
+    root = Folder(spark, uri).qualified
+    planned = spark.createDataFrame(
+        [(n, info["shape"][0], info["chunks"][0]) for n, info in arrays.items()], "array string, n bigint, size bigint"
+    ).withColumn("k", F.explode(F.sequence(F.lit(0).cast("bigint"), F.ceil(F.col("n") / F.col("size")) - 1)))
+    objects = _objects(spark, uri, arrays, [(0, None)])
+    if objects is None:
+        objects = spark.createDataFrame([], "path string, content binary")
+    inside = F.substring("path", len(root) + 2, 1_000_000)
+    # the key is what follows the last slash; an array's name may hold others
+    named = objects.select(
+        F.regexp_replace(inside, "/[0-9]+$", "").alias("array"),
+        F.substring_index("path", "/", -1).cast("bigint").alias("k"),
+        "content",
+    )
+
+    def labels(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import numpy as np
+
+        for batch in batches:
+            for name, k, content in zip(batch["array"].to_pylist(), batch["k"].to_pylist(), batch["content"]):
+                info = arrays[name]
+                (n,), (size,) = info["shape"], info["chunks"]
+                if content.is_valid:
+                    block = np.frombuffer(content.as_buffer(), info["dtype"]).astype("f8")
+                else:
+                    block = np.full(size, np.nan if info["fill_value"] == "NaN" else info["fill_value"] or 0, "f8")
+                block = block[: n - k * size]
+                idx = np.arange(len(block)) + k * size
+                yield pa.record_batch(
+                    [pa.array([name] * len(block)), pa.array(idx, pa.int64()), pa.array(block)], names=["array", "idx", "label"]
+                )
+
+    return planned.join(named, ["array", "k"], "left").select("array", "k", "content").mapInArrow(
+        labels, "array string, idx bigint, label double"
+    )
 
 
 def array_documents(spark: SparkSession, path: str) -> dict[str, dict]:
@@ -199,7 +206,7 @@ def array_documents(spark: SparkSession, path: str) -> dict[str, dict]:
     uri = shared_uri(spark, path).rstrip("/")
     settle_export(spark, uri)
     found = {}
-    for key, document in json.loads(Folder(spark, uri).text(ALL_FILE))["metadata"].items():
+    for key, document in _documents(spark, uri).items():
         name, _, last = key.rpartition("/")
         if last == ATTRS_FILE:
             found[name] = {k: v for k, v in document.items() if k != DIMENSIONS_KEY}

@@ -44,6 +44,11 @@ class Folder:
     def delete(self, name: str | None = None) -> None:
         self._files.delete(self._at if name is None else self._inside(name), True)
 
+    @property
+    def qualified(self) -> str:
+        """Its path as Spark's readers show it before the names of files in it."""
+        return self._files.makeQualified(self._at).toString()
+
     @property
     def parent(self) -> Folder:
         return Folder(self.spark, self._at.getParent().toString())

@@ -177,3 +177,44 @@ def test_stores_without_versions_are_read(spark, tmp_path):
     path, df = str(tmp_path / "s"), cells(spark)
     align.pack_chunks(df, ["v"], 5).write.partitionBy("layer", "var").parquet(f"{path}/chunks")
     assert rows_of(convert.read_cells(spark, path), "layer", "row", "col") == rows_of(df, "layer", "row", "col")
+
+
+def test_stores_that_only_spark_opens_are_read(spark, tmp_path):
+    """No Python process opens the store: objects and JSON come through Spark's file systems."""
+    df = cells(spark).where("layer = 'a'")
+    export(spark, str(tmp_path / "arrays"), df, names=["v"])
+    spark._jsc.hadoopConfiguration().set("fs.viewfs.mounttable.exports.link./in", f"file://{tmp_path}")
+    out = "viewfs://exports/in/arrays"
+    assert got(array_reader.read_array_chunks(spark, out)) == wanted(df, ["v"])
+    axes = array_reader.read_axes(spark, out)
+    assert axes.count() == 74 and rows_of(axes, "array", "idx") == rows_of(array_reader.read_axes(spark, str(tmp_path / "arrays")), "array", "idx")
+
+
+def test_absent_axis_objects_are_fill(spark, tmp_path):
+    out = tmp_path / "arrays"
+    export(spark, str(out), cells(spark).where("layer = 'a'"), names=["v"])
+    (out / "longitude" / "1").unlink()
+    (out / "latitude" / "99").write_bytes(b"beyond the axis")
+    axes = array_reader.read_axes(spark, str(out)).where("array = 'longitude'").orderBy("idx").collect()
+    assert [r.idx for r in axes] == list(range(37)) and [r.label for r in axes][5:10] == [0.0] * 5 and axes[10].label > 0
+    assert array_reader.read_axes(spark, str(out)).count() == 74
+
+
+def test_names_are_no_patterns(spark, tmp_path):
+    df = cells(spark).where("layer = 'a'")
+    named = F.when(F.col("var") == "v", "a[1] b*").otherwise("a1 bc")
+    out = str(tmp_path / "arrays")
+    array_store.write_array_store(align.pack_chunks(df, ["v", "w"], 5).withColumn("var", named), spec(spark), "a", {}, out, 5)
+    for names in (["a[1] b*"], ["a1 bc"], ["a[1] b*", "a1 bc"]):
+        back = array_reader.read_array_chunks(spark, out, names).withColumn("var", F.when(F.col("var") == "a1 bc", "w").otherwise("v"))
+        assert got(back) == wanted(df, ["w" if n == "a1 bc" else "v" for n in names]) != []
+
+
+@pytest.mark.parametrize("low,high", [(0, 0), (0, 9), (0, 10), (0, 1234), (7, 7), (7, 13), (10, 99), (98, 1001), (990, 2010), (5, 4)])
+def test_number_globs_match_their_range_alone(low, high):
+    import re
+
+    globs = array_reader.number_globs(low, high)
+    # as a regular expression these patterns mean the same
+    assert [n for n in range(3000) if any(re.fullmatch(g, str(n)) for g in globs)] == list(range(low, high + 1))
+    assert not any(re.fullmatch(g, f"0{n}") for g in globs for n in range(200)) and len(globs) <= 40
