@@ -364,6 +364,16 @@ def geometry_types(features: DataFrame) -> tuple[str, ...]:
     return tuple(g for g in known if g in found)
 
 
+def last_of_equal(features: DataFrame) -> DataFrame:
+    """Without the features of which a later one of their layer has the geometry: that
+    one covers all their cells, so only the last can be seen."""
+    every = F.struct(*[F.col(f"`{c}`") for c in features.columns])
+    latest = features.groupBy("layer", "geom_type", G.shape_digest(F.col("rings")).alias("_shape")).agg(
+        F.max_by(every, "fid").alias("_last")
+    )
+    return latest.select("_last.*")
+
+
 def swept_cells(
     features: DataFrame,
     variables: list[str],

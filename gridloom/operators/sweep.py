@@ -1,76 +1,93 @@
-"""Overlapping spans to disjoint ones, by a sweep along each grid row.
+"""Overlapping spans to disjoint ones, row by row of the grid.
 
-Spans of a row come ordered by their first cell. Those that are open wait in a heap
-by feature, highest first; a cell belongs to the one on top. So only winning spans
-leave, and cells are made from them once, not once for each feature that covers them.
+Spans come sorted by row and first cell. The ends of all spans of a batch cut its rows
+into pieces; spans are painted on these in the order of their features, so a piece keeps
+the highest. Only winning spans leave, and cells are made from them once, not once for
+each feature that covers them.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from heapq import heappop, heappush
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridloom.plans.joins import shuffle_partitions
 
 PART_COLUMNS = 4096  # a row is dealt out in parts of so many cells
-BATCH = 20_000
-
-
-def _sweep(keys: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+PIECES = 4_000_000  # painted at once, overlaps counted; more spans are painted in halves
+
+
+def _painted(row: np.ndarray, c0: np.ndarray, c1: np.ndarray, fid: np.ndarray, pieces: int) -> tuple:
+    """Disjoint spans, in order, as the span each is part of, its first and last cell."""
+    left = c0.min()
+    width = c1.max() - left + 2  # rows do not touch
+    start, stop = row * width + (c0 - left), row * width + (c1 - left + 1)
+    cuts = np.unique(np.concatenate([start, stop]))
+    first = np.searchsorted(cuts, start)
+    count = np.searchsorted(cuts, stop) - first
+    if count.sum() > pieces and len(row) > 2:
+        # what two halves keep is disjoint in each, so that together it overlaps little
+        halves = []
+        for at in np.array_split(np.arange(len(row)), 2):
+            span, a, b = _painted(row[at], c0[at], c1[at], fid[at], pieces)
+            halves.append((at[span], a, b))
+        span, a, b = (np.concatenate(x) for x in zip(*halves))
+        top, a, b = _painted(row[span], a, b, fid[span], max(pieces, 4 * len(span)))
+        return span[top], a, b
+    order = np.argsort(fid, kind="stable")
+    first, count = first[order], count[order]
+    before = np.cumsum(count) - count
+    top = np.full(len(cuts), -1)
+    # of several values for a piece the last one stays, that of the highest feature
+    top[np.repeat(first - before, count) + np.arange(count.sum())] = np.repeat(order, count)
+    known = np.append(top[:-1] >= 0, False)
+    same = known[1:] & known[:-1] & (fid[top[1:]] == fid[top[:-1]])
+    begins = np.flatnonzero(known & ~np.insert(same, 0, False))
+    ends = np.flatnonzero(known & ~np.append(same, False))
+    span = top[begins]
+    shift = left - row[span] * width
+    return span, cuts[begins] + shift, cuts[ends + 1] + shift - 1
+
+
+def _rows_of(spans: pa.Table, keys: int) -> np.ndarray:
+    """Number of each span's row; spans of a row follow one another."""
+    new = np.zeros(spans.num_rows, bool)
+    for c in spans.columns[:keys]:
+        codes = pc.dictionary_encode(c.combine_chunks(), null_encoding="encode").indices.to_numpy()
+        new[1:] |= codes[1:] != codes[:-1]
+    return np.cumsum(new)
+
+
+def _sweep(keys: int, pieces: int = PIECES) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Rows are ``keys`` key columns, ``c0``, ``c1``, ``fid`` and values, sorted by the
-    keys and ``c0``. What is held is the spans open at one cell."""
+    keys and ``c0``. What is held is a batch and the winners that may still be covered."""
 
     def swept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema, group, at, count = None, None, 0, 0
-        heap: list[tuple] = []
-        out: list[list] = []
-
-        def advance(limit: float) -> None:
-            """Winners of all cells before ``limit``."""
-            nonlocal at
-            while heap and at < limit:
-                _, end, _, values = heap[0]
-                if end < at:
-                    heappop(heap)
-                    continue
-                stop = end if end < limit else limit - 1
-                last = out[-1] if out else None
-                if last is not None and last[2][0] == values[0] and last[1] == at - 1 and last[3] is group:
-                    last[1] = stop
-                else:
-                    out.append([at, stop, values, group])
-                at = stop + 1
-
-        def batch_of() -> pa.RecordBatch:
-            columns = [*zip(*(r[3] for r in out)), [r[0] for r in out], [r[1] for r in out], *zip(*(r[2] for r in out))]
-            return pa.record_batch([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
-
+        held = None
         for batch in batches:
-            schema = batch.schema
-            columns = [c.to_pylist() for c in batch.columns]
-            first, ends, fids = columns[keys : keys + 3]
-            for key, c0, c1, fid, values in zip(zip(*columns[:keys]), first, ends, fids, zip(*columns[keys + 2 :])):
-                if key != group:
-                    advance(float("inf"))
-                    heap.clear()
-                    group, at = key, c0
-                else:
-                    advance(c0)
-                    at = c0
-                count += 1
-                heappush(heap, (-fid, c1, count, values))
-            if len(out) > BATCH:
-                # the last one may still grow
-                tail = out.pop()
-                yield batch_of()
-                out = [tail]
-        advance(float("inf"))
-        if out:
-            yield batch_of()
+            spans = pa.Table.from_batches([batch])
+            if held is not None:
+                spans = pa.concat_tables([held, spans])
+            if not spans.num_rows:
+                continue
+            row = _rows_of(spans, keys)
+            c0, c1, fid = (spans.column(keys + i).to_numpy() for i in range(3))
+            span, a, b = _painted(row, c0, c1, fid, pieces)
+            # spans to come begin at or after the last one, in its row or a later one; a
+            # winner that ends right before may still grow
+            done = int(np.count_nonzero((row[span] < row[-1]) | (b < c0[-1] - 1)))
+            won = spans.take(pa.array(span))
+            for i, c in ((keys, a), (keys + 1, b)):
+                won = won.set_column(i, won.field(i), pa.array(c, won.field(i).type))
+            yield from won.slice(0, done).to_batches()
+            held = won.slice(done).combine_chunks()
+        if held is not None:
+            yield from held.to_batches()
 
     return swept
 

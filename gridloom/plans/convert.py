@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from gridloom.operators import align, encode, grid, rasterize, validity
 from gridloom.plans import metadata as M
-from gridloom.plans.joins import settle
+from gridloom.plans.joins import settle, store
 from gridloom.sources import array_store, chunk_store, rasters
 
 
@@ -63,7 +63,7 @@ def grid_features(
     names = _usable(features, variables)
     spec = settle(grid.grid_spec(grid.layer_bounds(features), resolution))
     encoded, table = encode.encode(features, names, clean, codes, null_policy)
-    placed = grid.with_grid(encoded, spec, settled=True)
+    placed = grid.with_grid(_seen(encoded, names), spec, settled=True)
     cells = rasterize.burn(placed, names, list(geom_types or rasterize.geometry_types(features)))
     return Gridded(_from_south(cells, spec), spec, names, table)
 
@@ -82,7 +82,8 @@ def grid_features_tiled(
     follow the order of ``tile`` x ``tile`` windows, and cells come out grouped
     in ``chunk`` x ``chunk`` blocks, ready to be packed."""
     names = _usable(features, variables)
-    sound = validity.valid_geometries(features)
+    # equal geometries are equally valid; the test of large ones reads them again
+    sound = validity.valid_geometries(store(_seen(features, names)))
     spec = settle(grid.grid_spec(grid.layer_bounds(features), resolution))
     text = [v for v, k in encode.variable_kinds(features, names).items() if k == "categorical"]
     table = None
@@ -104,6 +105,11 @@ def _usable(features: DataFrame, variables: list[str] | None) -> list[str]:
     return [v for v, k in kinds.items() if k != "unsupported"]
 
 
+def _seen(features: DataFrame, names: list[str]) -> DataFrame:
+    """What a burn has to look at; bounds and codes are those of all features."""
+    return rasterize.last_of_equal(features.select(*[c for c in features.columns if c in encode.KEY_COLUMNS or c in names]))
+
+
 def _from_south(cells: DataFrame, spec: DataFrame) -> DataFrame:
     sized = grid.join_dimension(cells, spec.select("layer", "ny"), ["layer"], settled=True, spread="row")
     return grid.ascending_rows(sized, F.col("ny")).drop("ny")

@@ -116,3 +116,50 @@ def test_row_with_very_many_spans_is_dealt_out(spark):
     got = rasterize.swept_cells(g, [], part_columns=100).withColumn("p", F.spark_partition_id())
     assert got.where("row = 4").select("p").distinct().count() > 4
     assert rows_of(got, "row", "col", "fid") == rows_of(rasterize.polygon_cells(g, []), "row", "col", "fid")
+
+
+def test_features_under_an_equal_one_are_not_burned(spark):
+    shapes = [square(1, 1, 3), square(2, 2, 3), [*square(1, 1, 3)]]
+    rows = [(i, [shapes[i % 3]], "POLYGON", "ab"[i // 6 % 2], i / 2) for i in range(24)]
+    every = features(spark, rows)
+    last = rasterize.last_of_equal(every)
+    assert last.columns == every.columns
+    # the first and third shape are the same
+    assert sorted((r.layer, r.fid) for r in last.collect()) == [("a", 16), ("a", 17), ("b", 22), ("b", 23)]
+    box = RasterGrid(0, 0, 10, 10, 20, 20)
+    want = fixed(rows_of(rasterize.polygon_cells(on_grid(every, box), ["value"]), *NAMES))
+    assert fixed(rows_of(rasterize.polygon_cells(on_grid(last, box), ["value"]), *NAMES)) == want != []
+
+
+def test_conversions_burn_the_last_of_equal_features(spark, monkeypatch):
+    from gridloom.plans import convert
+
+    rows = [(i, [square(i % 2, 0, 3)], "POLYGON", "a", float(i)) for i in range(20)]
+    every = features(spark, rows).withColumn("name", F.concat(F.lit("n"), "fid"))
+    burned, valid, burn = [], convert.validity.valid_geometries, convert.rasterize.burn
+    monkeypatch.setattr(convert.validity, "valid_geometries", lambda df: burned.append(df.count()) or valid(df))
+    monkeypatch.setattr(convert.rasterize, "burn", lambda df, *a: burned.append(df.count()) or burn(df, *a))
+    whole = convert.grid_features(every, 0.5, ["value", "name"])
+    tiled = convert.grid_features_tiled(every, 0.5, tile=4, chunk=4, variables=["value", "name"])
+    assert burned == [2, 2]
+    # codes and bounds are those of all features
+    assert whole.codes.count() == tiled.codes.count() == 20
+    for g in (whole, tiled):
+        assert {r.value for r in g.cells.select("value").distinct().collect()} == {18.0, 19.0}
+        assert g.spec.first()["nx"] == whole.spec.first()["nx"]
+
+
+@pytest.mark.parametrize("pieces", [1, 50, 10_000])
+def test_sweeps_in_halves_and_over_batches(pieces):
+    import pyarrow as pa
+
+    from gridloom.operators.sweep import _sweep
+
+    rows = sorted(random_spans(3), key=lambda r: r[:3])
+    names = ["layer", "row", "c0", "c1", "fid", "value", "name"]
+    table = pa.table(dict(zip(names, map(list, zip(*rows)))))
+    won = pa.Table.from_batches(list(_sweep(2, pieces)(iter(table.to_batches(max_chunksize=61))))).to_pylist()
+    got = [((r["layer"], r["row"], c), (r["fid"], r["value"], r["name"])) for r in won for c in range(r["c0"], r["c1"] + 1)]
+    assert len(got) == len(dict(got)) and dict(got) == painted(rows)
+    ends = {(r["layer"], r["row"], r["c1"] + 1): r["fid"] for r in won}
+    assert all(ends.get((r["layer"], r["row"], r["c0"])) != r["fid"] for r in won)
