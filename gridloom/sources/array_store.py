@@ -56,12 +56,17 @@ def array_store_source() -> type[DataSource]:
             return fs.FileSystem.from_uri(self.path.replace("s3a://", "s3://", 1))
 
         def _put(self, filesystem, root: str, key: str, data: bytes) -> None:
-            folder = f"{root}/{key}".rsplit("/", 1)[0]
+            folder, _, name = f"{root}/{key}".rpartition("/")
             if folder not in self.folders:
                 filesystem.create_dir(folder, recursive=True)
                 self.folders.add(folder)
-            with filesystem.open_output_stream(f"{root}/{key}") as out:
+            # whole or not there: a second attempt that is killed leaves the first one's object
+            renamed = filesystem.type_name == "local"
+            part = f"{folder}/.{name}-{uuid.uuid4().hex}" if renamed else f"{root}/{key}"
+            with filesystem.open_output_stream(part) as out:
                 out.write(data)
+            if renamed:
+                filesystem.move(part, f"{root}/{key}")
 
         def write(self, iterator):
             # a task run twice writes the same objects under the same names

@@ -162,6 +162,30 @@ def test_a_failed_export_leaves_the_old_one(spark, tmp_path):
     assert got(array_reader.read_array_chunks(spark, out)) == wanted(df.where("row < 3"), ["v"]) and os.listdir(tmp_path) == ["arrays"]
 
 
+def test_a_killed_second_attempt_leaves_whole_objects(spark, tmp_path):
+    """A speculative attempt may be ended while it writes an object that is already there."""
+    out, df = str(tmp_path / "arrays"), cells(spark).where("layer = 'a'")
+    export(spark, out, df, ["v"])
+    writer = array_store.array_store_source()({"path": f"file://{out}", "documents": "{}"}).writer(None, False)
+    local, root = writer._open()
+
+    class Killed:
+        type_name = local.type_name
+        create_dir, move = local.create_dir, local.move
+
+        def open_output_stream(self, path):
+            with local.open_output_stream(path) as half:
+                half.write(b"half")
+            raise KeyboardInterrupt
+
+    with pytest.raises(KeyboardInterrupt):
+        writer._put(Killed(), root, "v/0.0", b"whole")
+    assert got(array_reader.read_array_chunks(spark, out)) == wanted(df, ["v"])
+    writer._put(local, root, "v/0.0", b"whole")
+    with open(f"{out}/v/0.0", "rb") as f:
+        assert f.read() == b"whole"
+
+
 def test_a_replacement_that_broke_off_is_finished(spark, tmp_path):
     out, df = str(tmp_path / "arrays"), cells(spark).where("layer = 'a'")
     export(spark, out, df, ["v"])
